@@ -1,0 +1,162 @@
+"""New batches against all history, without working through the history again.
+
+State lies in Parquet under one folder: ``keys`` (blocking keys of every distinct shingle set accepted so far),
+``members`` (which text belongs to which set, with its batch), ``weights`` (learned from the candidates seen) and
+``clusters`` (representative of each linked text). A call of ``ingest`` computes keys of the new texts only, probes the
+history's keys through a bounded Bloom filter, verifies the few candidates exactly, and appends. Texts of the history
+are read again only where they are candidates.
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass, field
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from caretlake.operators.bloom import build
+from caretlake.operators.components import hash_to_min
+from caretlake.operators.covering import Covering, bucket_pairs, covering_keys
+from caretlake.operators.hashes import clean_hash, file_hashes
+from caretlake.operators.neardup import sets_of, verified
+from caretlake.session import fresh_dir, materialise
+
+LINK_FIELDS = ("length", "name", "package")
+
+
+@dataclass
+class IncrementalDedup:
+    """``texts`` is the table of all accepted texts: (id bigint, text), old and new; only candidates are read from it."""
+
+    spark: SparkSession
+    threshold: float = 0.6
+    covering: Covering = field(default_factory=Covering)
+    root: str | None = None
+    runs: int = 0
+
+    def __post_init__(self):
+        self.root = self.root or fresh_dir(self.spark, "dedup-state")
+
+    def _read(self, name: str) -> DataFrame:
+        return self.spark.read.parquet(*[f"{self.root}/{name}/run={k}" for k in range(self.runs)])
+
+    def ingest(self, new: DataFrame, texts: DataFrame) -> DataFrame:
+        """Add ``new`` (id bigint, batch int, text); return links (a, b, similarity) between representatives.
+
+        Each link has at least one representative of the new texts. Rows of null id are dropped, a null batch counts
+        as the latest. Rows may belong to several batches: who came first is decided by batch, not by call.
+        """
+        keys_at, members_at = (f"{self.root}/{n}/run={self.runs}" for n in ("keys", "members"))
+        made = covering_keys(new.where("id IS NOT NULL").select("id", F.coalesce("batch", F.lit(2**31 - 1)).alias("batch"), "text"), "text", self.covering, ["id", "batch"])
+        made = materialise(made.where("n > 0"), "new-keys")
+        members = made.select("id", "batch", "cls", "n")
+        members.write.parquet(members_at)
+        rows = made.select("cls", F.explode("tables").alias("key"))
+        pairs = bucket_pairs(rows, "key", "cls")
+        if self.runs:
+            history, known = self._read("keys"), self._read("members").select("cls").distinct()
+            filt = self.spark.sparkContext.broadcast(build(rows, "key", self.covering.tables * members.count()))
+
+            def probe(frames):
+                for f in frames:
+                    yield f[filt.value.might_hold(f["key"].to_numpy("int64").view("uint64"))]
+
+            near = history.mapInPandas(probe, history.schema)
+            both = near.select("key", "cls", F.lit(False).alias("is_new")).unionByName(rows.select("key", "cls", F.lit(True).alias("is_new")))
+            against = bucket_pairs(both, "key", "cls", left=F.col("is_new")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+            pairs = pairs.union(against).distinct()
+            fresh = rows.join(known, "cls", "left_anti")
+        else:
+            fresh = rows
+        fresh.select("key", "cls").write.parquet(keys_at)
+        self.runs += 1
+        reps = self._read("members").groupBy("cls").agg(F.min("id").alias("rep"), F.first("n").alias("size"))
+        ra, rb = reps.toDF("a", "ra", "na"), reps.toDF("b", "rb", "nb")
+        close = F.least("na", "nb") * 1_000_000 >= F.greatest("na", "nb") * int(round(self.threshold * 1_000_000))
+        cand = pairs.join(ra, "a").join(rb, "b").where(close).select(F.col("ra").alias("a"), F.col("rb").alias("b"))
+        cand = materialise(cand, "candidates")
+        ids = cand.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+        links = materialise(verified(cand, sets_of(texts, "id", "text", ids, ids.count()), self.threshold), "links")
+        links.write.parquet(f"{self.root}/links/run={self.runs - 1}")
+        cand.write.parquet(f"{self.root}/candidates/run={self.runs - 1}")
+        return links
+
+    def members(self) -> DataFrame:
+        """(id, batch, rep): every accepted text and the representative of its set."""
+        m = self._read("members")
+        return m.join(m.groupBy("cls").agg(F.min("id").alias("rep")), "cls").select("id", "batch", "rep")
+
+    def not_new(self) -> DataFrame:
+        """(id) of the texts that are equal or similar to one of a smaller batch."""
+        m = self.members()
+        first = m.groupBy("rep").agg(F.min("batch").alias("first"))
+        links = self._read("links")
+        both = links.select("a", "b").union(links.select("b", "a"))
+        of = both.join(first.toDF("b", "f"), "b").groupBy("a").agg(F.min("f").alias("near"))
+        known = first.join(of.withColumnRenamed("a", "rep"), "rep", "left").select("rep", F.least("first", "near").alias("since"))
+        return m.join(known, "rep").where("batch > since").select("id")
+
+    def weights(self, fields: DataFrame) -> DataFrame:
+        """(field, agrees, weight): log2 of how much likelier an agreement is among links than among other candidates.
+
+        ``fields`` is (id, length, name, package). All candidates count, each field cell with one added on either side.
+        """
+        seen = self._compare(self._read("candidates"), fields).join(self._read("links").select("a", "b", F.lit(1).alias("is_link")), ["a", "b"], "left")
+        cells = seen.select("is_link", F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).alias("agrees")) for f in LINK_FIELDS])).alias("x"))
+        counts = cells.groupBy("x.field", "x.agrees").agg(F.count("is_link").alias("links"), F.count("*").alias("all"))
+        total = seen.agg(F.count("is_link").alias("tl"), F.count("*").alias("ta"))
+        m = (F.col("links") + 1) / (F.col("tl") + 2)
+        u = (F.col("all") - F.col("links") + 1) / (F.col("ta") - F.col("tl") + 2)
+        return counts.crossJoin(F.broadcast(total)).select("field", "agrees", F.log2(m / u).alias("weight"))  # total is one row
+
+    def _compare(self, pairs: DataFrame, fields: DataFrame) -> DataFrame:
+        f = fields.select("id", "length", "name", "package")
+        j = pairs.select("a", "b").join(f.toDF("a", "la", "na", "pa"), "a").join(f.toDF("b", "lb", "nb", "pb"), "b")
+        same = lambda x, y: F.coalesce(F.col(x) == F.col(y), F.lit(False))
+        return j.select("a", "b", (F.least("la", "lb") * 10 >= F.greatest("la", "lb") * 8).alias("length"), same("na", "nb").alias("name"), same("pa", "pb").alias("package"))
+
+    def scored(self, fields: DataFrame) -> DataFrame:
+        """(a, b, score): links with the sum of the learned weights of their fields."""
+        w = {(r["field"], r["agrees"]): r["weight"] for r in self.weights(fields).collect()}  # two rows a field
+        score: Column = F.lit(0.0)
+        for f in LINK_FIELDS:
+            score = score + F.when(F.col(f), F.lit(w.get((f, True), 0.0))).otherwise(F.lit(w.get((f, False), 0.0)))
+        return self._compare(self._read("links"), fields).select("a", "b", F.round(score, 6).alias("score"))
+
+    def update_clusters(self, links: DataFrame, clusters: DataFrame | None = None) -> DataFrame:
+        """(id, rep): the union-find mapping after ``links``; clusters that no link touches are passed through as they are."""
+        if clusters is None:
+            clusters = links.select(F.explode(F.array("a", "b")).alias("id")).distinct().select("id", F.col("id").alias("rep"))
+        else:
+            own = links.select(F.explode(F.array("a", "b")).alias("id")).distinct().join(clusters, "id", "left_anti")
+            clusters = clusters.unionByName(own.select("id", F.col("id").alias("rep")))
+        c = clusters.select("id", "rep")
+        edges = links.select("a", "b").join(c.toDF("a", "x"), "a").join(c.toDF("b", "y"), "b").select("x", "y").where("x <> y")
+        moved = hash_to_min(edges, "x", "y").toDF("rep", "to")
+        return c.join(moved, "rep", "left").select("id", F.coalesce("to", "rep").alias("rep"))
+
+
+def nothing_new(files: DataFrame, owners: DataFrame, discovery: DataFrame, threshold: float = 0.6) -> DataFrame:
+    """(file_id) of the corpus files that bring nothing new.
+
+    These are the files whose hash a smaller batch gave to another repository, that are similar to a file of a smaller
+    batch, or whose accepted discovery row names an original. History is loaded first, then the latest batch is held
+    against it.
+    """
+    spark = files.sparkSession
+    texts = files.select(F.col("file_id").cast("bigint").alias("id"), F.col("content").alias("text"))
+    batched = files.select(F.col("file_id").cast("bigint").alias("id"), "batch", F.col("content").alias("text"))
+    last = files.agg(F.max("batch")).first()[0]
+    state = IncrementalDedup(spark, threshold)
+    state.ingest(batched.where(F.col("batch") < F.lit(last)), texts)
+    state.ingest(batched.where((F.col("batch") >= F.lit(last)) | F.col("batch").isNull()), texts)
+    similar = state.not_new().select(F.col("id").alias("file_id"))
+
+    claims = owners.select(clean_hash(F.col("sha256")).alias("hash"), "repo_id", "batch").where("hash IS NOT NULL AND repo_id IS NOT NULL")
+    first = claims.groupBy("hash", "repo_id").agg(F.min("batch").alias("owned"))
+    mine = file_hashes(files, discovery).join(files.select("file_id", "repository_id", "batch"), "file_id")
+    owned = mine.join(first, "hash").where("repo_id <> repository_id AND owned < batch").select("file_id")
+
+    copies = discovery.where("accepted AND duplicate_of IS NOT NULL").select("repository_id", "relative_path").distinct()
+    copied = files.select("file_id", "repository_id", "relative_path").join(copies, ["repository_id", "relative_path"], "left_semi").select("file_id")
+    return similar.union(owned).union(copied).distinct()

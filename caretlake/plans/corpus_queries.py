@@ -1,0 +1,113 @@
+"""Queries of the core training-data operators over the whole tables, with their SQL."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from caretlake.operators import splits
+from caretlake.operators.incremental import IncrementalDedup, nothing_new
+from caretlake.operators.neardup import near_duplicates
+from caretlake.operators.overlap import cross_split
+from caretlake.session import table
+
+SIMILAR = 0.6  # what TESTDATA.md states for problems 4, 6 and 7
+
+
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    return splits.broken_ties(table(spark, d, "jobs"), table(spark, d, "samples")).select("repository_id")
+
+
+def p1_assignment(spark: SparkSession, d: str) -> DataFrame:
+    return splits.grouped_splits(table(spark, d, "jobs"), table(spark, d, "samples"))
+
+
+def p1_shares(spark: SparkSession, d: str) -> DataFrame:
+    a = p1_assignment(spark, d)
+    total = a.agg(F.sum("samples").alias("total"))
+    return a.groupBy("split").agg(F.count("*").alias("repositories"), F.sum("samples").alias("samples")).crossJoin(F.broadcast(total)).select("split", "repositories", "samples", F.round(F.col("samples") / F.col("total"), 4).alias("share"))
+
+
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    r = near_duplicates(table(spark, d, "corpus_files"), "file_id", "content", SIMILAR)
+    return r.pairs().toDF("file_id_a", "file_id_b")
+
+
+def p4_classes(spark: SparkSession, d: str) -> DataFrame:
+    r = near_duplicates(table(spark, d, "corpus_files"), "file_id", "content")
+    return r.documents().withColumnRenamed("id", "file_id")
+
+
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    return nothing_new(table(spark, d, "corpus_files"), table(spark, d, "file_owner"), table(spark, d, "discovery_files"), SIMILAR)
+
+
+def p6_clusters(spark: SparkSession, d: str) -> DataFrame:
+    """Each linked representative with its cluster and the best learned score of its links, after loading batch by batch halves."""
+    files = table(spark, d, "corpus_files")
+    texts = files.select(F.col("file_id").alias("id"), F.col("content").alias("text"))
+    new = files.select(F.col("file_id").alias("id"), "batch", F.col("content").alias("text"))
+    name = F.element_at(F.split("relative_path", "/"), -1)
+    fields = files.select(F.col("file_id").alias("id"), F.length("content").alias("length"), name.alias("name"), F.col("package_name").alias("package"))
+    state = IncrementalDedup(spark, SIMILAR)
+    clusters = None
+    for part in ("batch <= 4", "batch > 4 OR batch IS NULL"):
+        clusters = state.update_clusters(state.ingest(new.where(part), texts), clusters)
+    best = state.scored(fields).select(F.explode(F.array("a", "b")).alias("id"), "score").groupBy("id").agg(F.max("score").alias("best_score"))
+    return clusters.join(best, "id", "left").select(F.col("id").alias("file_id"), F.col("rep").alias("cluster_id"), "best_score")
+
+
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    return cross_split(table(spark, d, "corpus_files"), table(spark, d, "samples"), SIMILAR).select("record_table", "record_key").distinct()
+
+
+def p7_report(spark: SparkSession, d: str) -> DataFrame:
+    found = cross_split(table(spark, d, "corpus_files"), table(spark, d, "samples"), SIMILAR)
+    return found.groupBy("record_table", "split", "repository_id").agg(F.countDistinct("record_key").alias("records"))
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p1_assignment, p1_shares, p4_found, p4_classes, p6_found, p6_clusters, p7_found, p7_report)}
+
+_SETS = """
+w AS (SELECT file_id, batch, split, repository_id, regexp_extract_all(lower(content), '[a-z0-9_]+') AS t FROM corpus_files WHERE content IS NOT NULL),
+s AS (SELECT DISTINCT file_id, batch, split, repository_id, array_to_string(t[i : i + 4], ' ') AS h
+      FROM (SELECT *, unnest(range(1, greatest(len(t) - 3, 1))) AS i FROM w)),
+c AS (SELECT file_id, count(*) AS n FROM s GROUP BY file_id),
+p AS (SELECT x.file_id AS a, y.file_id AS b, count(*) AS m FROM s x JOIN s y ON x.h = y.h AND x.file_id < y.file_id GROUP BY ALL),
+j AS (SELECT a, b FROM p JOIN c ca ON ca.file_id = a JOIN c cb ON cb.file_id = b WHERE m * 5 >= 3 * (ca.n + cb.n - m))
+"""
+_SPLIT = "CASE WHEN lower(trim({0})) IN ('eval', 'val') THEN 'validation' ELSE nullif(lower(trim({0})), '') END"
+_HASH = "nullif(trim(regexp_replace(lower(trim({0})), '^sha256:', '')), '')"
+
+ORACLE = {
+    "p1_found": f"""
+WITH RECURSIVE t AS (
+  SELECT DISTINCT repo, nullif(lower(trim(g)), '') AS g FROM (
+    SELECT repo_id AS repo, grp AS g FROM jobs UNION ALL SELECT repository_id, split_group FROM samples) WHERE repo IS NOT NULL),
+n AS (SELECT DISTINCT x.repo AS a, y.repo AS b FROM t x JOIN t y ON x.g = y.g),
+r AS (SELECT DISTINCT repo AS a, repo AS b FROM t UNION SELECT r.a, n.b FROM r JOIN n ON r.b = n.a),
+s AS (SELECT DISTINCT repository_id AS repo, {_SPLIT.format('split')} AS sp FROM samples),
+k AS (SELECT r.a, count(DISTINCT sp) AS n FROM r JOIN s ON s.repo = r.b WHERE sp IS NOT NULL GROUP BY r.a)
+SELECT a AS repository_id FROM k WHERE n > 1 AND a IN (SELECT repo FROM s WHERE sp IS NOT NULL)""",
+    "p4_found": f"WITH {_SETS} SELECT a AS file_id_a, b AS file_id_b FROM j",
+    "p6_found": f"""
+WITH {_SETS},
+d AS (SELECT repository_id, relative_path, max({_HASH.format('sha256')}) AS h, bool_or(coalesce(accepted, false) AND duplicate_of IS NOT NULL) AS dup
+      FROM discovery_files GROUP BY ALL),
+f AS (SELECT f.file_id, f.repository_id, f.batch, coalesce({_HASH.format('f.sha256')}, d.h) AS h, coalesce(d.dup, false) AS dup
+      FROM corpus_files f LEFT JOIN d USING (repository_id, relative_path)),
+o AS (SELECT {_HASH.format('sha256')} AS h, repo_id, batch FROM file_owner),
+e AS (SELECT a AS x, b AS y FROM j UNION ALL SELECT b, a FROM j)
+SELECT file_id FROM f WHERE dup
+UNION SELECT f.file_id FROM f JOIN o ON o.h = f.h AND o.repo_id <> f.repository_id AND o.batch < f.batch
+UNION SELECT f.file_id FROM f JOIN e ON e.x = f.file_id JOIN corpus_files g ON g.file_id = e.y WHERE g.batch < f.batch""",
+    "p7_found": f"""
+WITH {_SETS},
+k AS (SELECT file_id, {_SPLIT.format('split')} AS sp FROM corpus_files),
+e AS (SELECT a AS x, b AS y FROM j UNION ALL SELECT b, a FROM j),
+q AS (SELECT sample_id, {_SPLIT.format('split')} AS sp, regexp_replace(lower(target_text), '[^a-z0-9]', '', 'g') AS t FROM samples)
+SELECT DISTINCT 'corpus_files' AS record_table, CAST(u.file_id AS VARCHAR) AS record_key
+FROM k u JOIN e ON e.x = u.file_id JOIN k v ON v.file_id = e.y WHERE u.sp IN ('validation', 'test') AND v.sp = 'train'
+UNION SELECT DISTINCT 'samples', sample_id FROM q
+WHERE sp IN ('validation', 'test') AND length(t) >= 30 AND t IN (SELECT t FROM q WHERE sp = 'train')""",
+}
