@@ -1,0 +1,680 @@
+"""Queries of the dataset-building operators over the whole tables, each with SQL that says the same.
+
+The tables hold produced records: corpus_files and discovery_files are files, samples are carets, jobs are repositories,
+documents stand in for repository descriptions where names and descriptions are compared.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from caretlake.functions.hashing import stable_id, uniform
+from caretlake.functions.regexes import any_of, globs, re2_to_java
+from caretlake.functions.text import first_units, last_units, line_table, newline_style, rtrim_hspace, slug, utf16_len
+from caretlake.operators import discovery as D
+from caretlake.operators import rendering, reports, sampling, selection, semantics, validation
+from caretlake.operators.golexer import PRIORITY, WEIGHTS, caret_table
+from caretlake.operators.hashes import clean_hash
+from caretlake.session import table
+
+QUERIES: dict = {}
+ORACLE: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql is not None:
+            ORACLE[f.__name__] = sql
+        return f
+
+    return add
+
+
+def lit(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+_U = "(CAST(('0x' || substr(sha256({0}), 1, 14)) AS UBIGINT) >> 3) / 9007199254740992.0"
+_SEP = "chr(31)"
+
+
+def usql(*parts: str) -> str:
+    return _U.format(f" || {_SEP} || ".join(parts))
+
+
+# ---- files ----------------------------------------------------------------------------------------------------------
+
+_PATHS = f"""
+CASE WHEN regexp_matches(p, {lit(globs(D.EXCLUDE))}) THEN 'excluded_path' WHEN regexp_matches(p, '(?:^|/)[_.][^/]*/') THEN 'go_ignored_dir'
+ WHEN regexp_matches(p, {lit(globs(D.TESTDATA))}) THEN 'testdata_path' WHEN regexp_matches(p, {lit(globs(D.VENDORED))}) THEN 'vendored_path'
+ WHEN n > 1048576 THEN 'too_large' WHEN regexp_matches(p, {lit(globs(D.GENERATED))}) THEN 'generated_path' END"""
+_DECIDED = f"""
+f AS (SELECT file_id, repository_id, relative_path AS p, content AS c, octet_length(encode(content)) AS n FROM corpus_files),
+r AS (SELECT *, CASE WHEN c IS NULL THEN 'unreadable' ELSE coalesce({_PATHS}, CASE
+  WHEN contains(c, chr(0)) THEN 'binary_nul'
+  WHEN len(list_filter(string_split(c, chr(10)), lambda x: contains(regexp_replace(x, '\\r$', ''), chr(13)))) > 0 THEN 'lone_cr'
+  WHEN trim(c, chr(10) || chr(13) || chr(9) || ' ' || chr(11) || chr(12)) = '' THEN 'empty'
+  WHEN NOT regexp_matches(c, '(?m)^[ \\t]*package[ \\t]+[\\p{{L}}_][\\p{{L}}\\p{{N}}_]*') THEN 'invalid_package_clause'
+  WHEN regexp_matches(chr(10) || regexp_extract(c, '^((?:[ \\t\\r\\n]|//[^\\n]*\\n|/\\*(?:[^*]|\\*+[^*/])*\\*+/)*)package[ \\t]', 1), '\\n// Code generated [^\\n]* DO NOT EDIT\\.\\r?\\n')
+    OR regexp_matches(left(c, 4000), {lit(any_of(D.MARKERS))}) THEN 'generated_marker'
+  WHEN list_max(list_transform(string_split(c, chr(10)), lambda x: octet_length(encode(regexp_replace(x, '\\r$', ''))))) > 2000 THEN 'long_lines'
+  WHEN regexp_matches(c, {lit(any_of(D.SECRETS))}) THEN 'secret_detected' END) END AS why FROM f),
+x AS (SELECT *, first_value(p) OVER (PARTITION BY repository_id, CASE WHEN why IS NULL THEN sha256(c) END ORDER BY p) AS firstp FROM r),
+d AS (SELECT file_id, repository_id, p, n, c, CASE WHEN why IS NULL AND firstp <> p THEN 'exact_duplicate' ELSE why END AS skip_reason,
+  CASE WHEN why IS NULL AND firstp <> p THEN firstp END AS duplicate_of, regexp_matches(p, {lit(globs(D.TESTS))}) AS is_test FROM x)
+"""
+
+
+def _decided(spark: SparkSession, d: str) -> DataFrame:
+    return D.decide(table(spark, d, "corpus_files").select("file_id", "repository_id", "relative_path", "content"))
+
+
+@query(f"WITH {_DECIDED} SELECT file_id, skip_reason, duplicate_of, is_test FROM d")
+def discovery_records(spark, d):
+    return _decided(spark, d).select("file_id", "skip_reason", "duplicate_of", "is_test")
+
+
+@query(f"""WITH {_DECIDED} SELECT counter, CAST(sum(v) AS BIGINT) AS value FROM (
+ SELECT 'files.discovered' AS counter, 1 AS v FROM d UNION ALL SELECT 'files.accepted', 1 FROM d WHERE skip_reason IS NULL
+ UNION ALL SELECT 'files.accepted_test', 1 FROM d WHERE skip_reason IS NULL AND is_test UNION ALL SELECT 'bytes.accepted', n FROM d WHERE skip_reason IS NULL
+ UNION ALL SELECT 'files.skipped.' || skip_reason, 1 FROM d WHERE skip_reason IS NOT NULL) GROUP BY counter""")
+def discovery_funnel(spark, d):
+    return D.funnel(_decided(spark, d))
+
+
+@query(f"""SELECT repository_id, relative_path, {_PATHS} AS reason FROM (SELECT DISTINCT repository_id, relative_path, relative_path AS p, bytes AS n FROM discovery_files)""")
+def path_reasons(spark, d):
+    f = table(spark, d, "discovery_files").select("repository_id", "relative_path", "bytes").distinct()
+    return f.select("repository_id", "relative_path", D.path_reason(F.col("relative_path"), F.col("bytes"), D.FilterConfig()).alias("reason"))
+
+
+@query(f"SELECT file_id FROM corpus_files WHERE regexp_matches(content, {lit(any_of(D.MARKERS))})")
+def generated_marker_scan(spark, d):
+    return table(spark, d, "corpus_files").where(D.matches(F.col("content"), any_of(D.MARKERS))).select("file_id")
+
+
+_DETAIL = "CASE " + " ".join(f"WHEN regexp_matches(content, {lit(p)}) THEN {lit(p)}" for p in D.SECRETS) + " END"
+
+
+@query(f"SELECT file_id, {_DETAIL} AS detail FROM corpus_files WHERE {_DETAIL} IS NOT NULL")
+def secret_scan(spark, d):
+    return table(spark, d, "corpus_files").select("file_id", D.secret_detail(F.col("content")).alias("detail")).where("detail IS NOT NULL")
+
+
+_LINES = "l AS (SELECT file_id, CAST(i - 1 AS INTEGER) AS line, regexp_replace(parts[i], '\\r$', '') AS content FROM (SELECT file_id, parts, unnest(range(1, len(parts) + 1)) AS i FROM (SELECT file_id, string_split(content, chr(10)) AS parts FROM corpus_files WHERE content IS NOT NULL)))"
+
+
+@query(f"""WITH {_LINES} SELECT file_id, line FROM l WHERE len(list_filter(regexp_extract_all(content, {lit(D.LINE_SECRET)}, 3), lambda v: NOT regexp_full_match(v, '[A-Z0-9_]*'))) > 0""")
+def secret_lines(spark, d):
+    lines = line_table(table(spark, d, "corpus_files"), "file_id", "content")
+    values = F.regexp_extract_all("content", F.lit(re2_to_java(D.LINE_SECRET)), F.lit(3))
+    return lines.where(F.exists(values, lambda v: ~v.rlike(r"\A[A-Z0-9_]*\z"))).select("file_id", "line")
+
+
+@query("""WITH p AS (SELECT file_id, string_split(content, chr(10)) AS parts FROM corpus_files WHERE content IS NOT NULL),
+q AS (SELECT file_id, len(parts) AS m, unnest(range(1, len(parts) + 1)) AS i, parts[i] AS t FROM p),
+z AS (SELECT file_id, m, i, t, regexp_replace(t, '\\r$', '') AS body, octet_length(encode(t)) + 1 AS b, length(t) + length(regexp_replace(t, '[^\\x{10000}-\\x{10FFFF}]', '', 'g')) + 1 AS u FROM q)
+SELECT file_id, CAST(i - 1 AS INTEGER) AS line, CAST(sum(b) OVER w - b AS BIGINT) AS start, CAST(octet_length(encode(CASE WHEN i < m THEN body ELSE t END)) AS INTEGER) AS bytes, CAST(sum(u) OVER w - u AS BIGINT) AS u16_start,
+ CASE WHEN i = m THEN 'EOF' WHEN body <> t THEN 'CRLF' ELSE 'LF' END AS eol FROM z WINDOW w AS (PARTITION BY file_id ORDER BY i)""")
+def lines(spark, d):
+    return line_table(table(spark, d, "corpus_files"), "file_id", "content").drop("content")
+
+
+@query("""SELECT file_id, CASE WHEN lf = 0 THEN 'none' WHEN crlf = 0 THEN 'lf' WHEN crlf = lf THEN 'crlf' ELSE 'mixed' END AS newline_style, u16, CAST(lf + 1 AS BIGINT) AS lines, slug FROM (
+ SELECT file_id, length(content) - length(replace(content, chr(10), '')) AS lf, (length(content) - length(replace(content, chr(13) || chr(10), ''))) // 2 AS crlf,
+ CAST(length(content) + length(regexp_replace(content, '[^\\x{10000}-\\x{10FFFF}]', '', 'g')) AS INTEGER) AS u16, regexp_replace(relative_path, '[^A-Za-z0-9_.-]+', '__', 'g') AS slug FROM corpus_files WHERE content IS NOT NULL)""")
+def newline_and_size_profile(spark, d):
+    c = F.col("content")
+    count = (F.length(c) - F.length(F.replace(c, F.lit("\n"), F.lit(""))) + 1).cast("bigint")
+    return table(spark, d, "corpus_files").where("content IS NOT NULL").select("file_id", newline_style(c).alias("newline_style"), utf16_len(c).alias("u16"), count.alias("lines"), slug(F.col("relative_path")).alias("slug"))
+
+
+_SIG = [
+    ("Apache-2.0", [r"(?i)apache license", r"(?i)version 2\.0"], []), ("MPL-2.0", [r"(?i)mozilla public license,? (version|v\.?) ?2\.0"], []),
+    ("AGPL-3.0", [r"(?i)gnu affero general public license"], []), ("LGPL-3.0", [r"(?i)gnu lesser general public license"], []),
+    ("GPL-3.0", [r"(?i)gnu general public license", r"(?i)version 3"], []), ("GPL-2.0", [r"(?i)gnu general public license", r"(?i)version 2"], []),
+    ("Unlicense", [r"(?i)this is free and unencumbered software released into the public domain"], []),
+    ("0BSD", [r"(?i)permission to use, copy, modify, and/or distribute this software for any purpose with or without fee", r"(?i)zero-clause|0bsd"], []),
+    ("ISC", [r"(?i)permission to use, copy, modify, and(/or)? distribute this software for any purpose with or without fee"], []),
+    ("MIT", [r"(?i)permission is hereby granted, free of charge", r"(?i)the above copyright notice and this permission notice shall be\s+included"], []),
+    ("BSD-3-Clause", [r"(?i)redistribution and use in source and binary forms", r"(?i)(neither the name|names of (its|the) contributors)"], []),
+    ("BSD-2-Clause", [r"(?i)redistribution and use in source and binary forms"], [r"(?i)(neither the name|names of (its|the) contributors)"]),
+    ("Zlib", [r"(?i)this software is provided 'as-is', without any express or implied", r"(?i)altered source versions must be plainly marked"], []),
+]  # fmt: skip  # fixed values: licence signatures in order: all of, none of
+_SIGSQL = "CASE " + " ".join("WHEN " + " AND ".join([f"regexp_matches(t, {lit(p)})" for p in a] + [f"NOT regexp_matches(t, {lit(p)})" for p in n]) + f" THEN {lit(k)}" for k, a, n in _SIG) + " END"
+_DETECT = f"""b AS (SELECT repository_id, file_name, trim(regexp_replace(body, '\\s+', ' ', 'g')) AS t FROM license_files WHERE regexp_matches(lower(file_name), '^(license|licence|copying)') AND octet_length(encode(body)) <= 262144),
+s AS (SELECT repository_id, file_name, {_SIGSQL} AS spdx FROM b),
+g AS (SELECT repository_id, file_name, spdx FROM (SELECT *, row_number() OVER (PARTITION BY repository_id ORDER BY file_name) AS k FROM s WHERE spdx IS NOT NULL) WHERE k = 1)"""
+
+
+def _detected(spark, d):
+    b = table(spark, d, "license_files").where(F.lower("file_name").rlike("^(license|licence|copying)") & (F.octet_length("body") <= 262144))
+    t = F.trim(F.regexp_replace("body", r"[\t\n\f\r ]+", " "))
+    out = F.lit(None).cast("string")
+    for k, a, n in reversed(_SIG):
+        cond = F.lit(True)
+        for p in a:
+            cond = cond & D.matches(t, p)
+        for p in n:
+            cond = cond & ~D.matches(t, p)
+        out = F.when(cond, k).otherwise(out)
+    s = b.select("repository_id", "file_name", out.alias("spdx")).where("spdx IS NOT NULL")
+    return s.groupBy("repository_id").agg(F.min_by(F.struct("file_name", "spdx"), "file_name").alias("x")).select("repository_id", "x.file_name", "x.spdx")
+
+
+@query(f"WITH {_DETECT} SELECT repository_id, file_name, spdx FROM g")
+def licence_detect(spark, d):
+    return _detected(spark, d)
+
+
+_ALLOW = ", ".join(map(lit, D.ALLOWED))
+
+
+@query(f"""WITH {_DETECT},
+j AS (SELECT repo_id, max(license) AS declared FROM jobs GROUP BY repo_id),
+v AS (SELECT repo_id, nullif(declared, '') AS declared, spdx, file_name FROM j LEFT JOIN g ON g.repository_id = j.repo_id),
+w AS (SELECT repo_id, coalesce(spdx, declared) AS licence, CASE WHEN spdx IS NOT NULL AND declared IS NOT NULL AND lower(spdx) <> lower(declared) THEN 'license_conflict: declared ' || declared || ', detected ' || spdx || ' in ' || file_name
+ WHEN spdx IS NOT NULL THEN 'detected:' || file_name WHEN declared IS NOT NULL THEN 'declared_only' ELSE 'license_unknown' END AS reason FROM v)
+SELECT repo_id, licence, CASE WHEN reason LIKE 'license\\_%' ESCAPE '\\' OR licence IN ({_ALLOW}) THEN reason ELSE reason || ' (not allowlisted)' END AS reason, NOT reason LIKE 'license\\_%' ESCAPE '\\' AND coalesce(licence IN ({_ALLOW}), false) AS allowed FROM w""")
+def licence_gate(spark, d):
+    j = table(spark, d, "jobs").groupBy("repo_id").agg(F.max("license").alias("declared")).withColumn("declared", F.when(F.col("declared") != "", F.col("declared")))
+    v = j.join(_detected(spark, d).withColumnRenamed("repository_id", "repo_id"), "repo_id", "left")
+    conflict = F.col("spdx").isNotNull() & F.col("declared").isNotNull() & (F.lower("spdx") != F.lower("declared"))
+    reason = F.when(conflict, F.concat(F.lit("license_conflict: declared "), "declared", F.lit(", detected "), "spdx", F.lit(" in "), "file_name")).when(F.col("spdx").isNotNull(), F.concat(F.lit("detected:"), "file_name")).when(F.col("declared").isNotNull(), "declared_only").otherwise("license_unknown")
+    w = v.select("repo_id", F.coalesce("spdx", "declared").alias("licence"), reason.alias("reason"))
+    fine, open_ = F.coalesce(F.col("licence").isin(*D.ALLOWED), F.lit(False)), ~F.col("reason").startswith("license_")
+    return w.select("repo_id", "licence", F.when(~open_ | fine, F.col("reason")).otherwise(F.concat("reason", F.lit(" (not allowlisted)"))).alias("reason"), (open_ & fine).alias("allowed"))
+
+
+_RESTR = " OR ".join(f"starts_with(license, {lit(p)})" for p in selection.RESTRICTED)
+
+
+@query(f"""SELECT CASE WHEN license IN ({', '.join(map(lit, selection.PERMISSIVE))}) THEN 'permissive' WHEN {_RESTR} THEN 'restricted' ELSE 'unknown' END AS bucket, count(*) AS rows FROM jobs GROUP BY 1""")
+def licence_buckets(spark, d):
+    return reports.count_by(table(spark, d, "jobs"), selection.licence_bucket(F.col("license")).alias("bucket"))
+
+
+# ---- lines and carets -----------------------------------------------------------------------------------------------
+
+_WHY = """CASE WHEN trim(content, ' ' || chr(9) || chr(11) || chr(12)) = '' THEN 'blank'
+ WHEN starts_with(t, '//go:build') OR starts_with(t, '// +build') THEN 'build_constraint'
+ WHEN starts_with(t, '//go:') OR starts_with(t, '//line ') OR starts_with(t, '//export ') OR starts_with(t, '//nolint') THEN 'directive'
+ WHEN starts_with(t, '//') THEN 'comment'
+ WHEN length(content) + length(regexp_replace(content, '[^\\x{10000}-\\x{10FFFF}]', '', 'g')) > 240 THEN 'too_long' ELSE 'code' END"""
+_EXCL = f"{_LINES}, e AS (SELECT file_id, line, content, {_WHY} AS reason FROM (SELECT *, ltrim(content, ' ' || chr(9) || chr(11) || chr(12)) AS t FROM l))"
+
+
+def _line_reasons(spark, d):
+    lines_ = line_table(table(spark, d, "corpus_files"), "file_id", "content")
+    t = F.ltrim(F.col("content"), F.lit(" \t\x0b\x0c"))
+    starts = lambda *p: F.greatest(*[t.startswith(x) for x in p]) if len(p) > 1 else t.startswith(p[0])
+    why = (
+        F.when(F.length(t) == 0, "blank").when(starts("//go:build", "// +build"), "build_constraint").when(starts("//go:", "//line ", "//export ", "//nolint"), "directive")
+        .when(starts("//"), "comment").when(utf16_len(F.col("content")) > 240, "too_long").otherwise("code")
+    )
+    return lines_.withColumn("reason", why)
+
+
+@query(f"WITH {_EXCL} SELECT reason, count(*) AS rows FROM e GROUP BY reason")
+def line_exclusions(spark, d):
+    return reports.count_by(_line_reasons(spark, d), "reason")
+
+
+@query(f"WITH {_EXCL} SELECT file_id, reason, line FROM (SELECT *, row_number() OVER (PARTITION BY file_id, reason ORDER BY line) AS k FROM e WHERE reason <> 'code') WHERE k <= 25")
+def exclusion_examples(spark, d):
+    """At most 25 examples of a reason in a file: the feature itself."""
+    e = _line_reasons(spark, d).where("reason <> 'code'").select("file_id", "reason", "line")
+    return sampling.cap(e, ["file_id", "reason"], [F.col("line")], 25)
+
+
+_STARTS = f"""{_EXCL}, k AS (SELECT file_id, line, rtrim(content, ' ' || chr(9) || chr(11) || chr(12)) AS body, regexp_extract(content, '^[ \\t\\x0B\\f]*') AS indentation FROM e WHERE reason = 'code')"""
+
+
+@query(f"""WITH {_STARTS} SELECT file_id, line, length(indentation) AS col, body[length(indentation) + 1:] AS target, indentation, regexp_full_match(body[length(indentation) + 1:], '[{{}}()\\[\\];,]*') AS trivial FROM k""")
+def line_start_carets(spark, d):
+    """Carets before the first sign of a code line, with target, indentation and whether the target is trivial."""
+    e = _line_reasons(spark, d).where("reason = 'code'")
+    ind = F.regexp_extract("content", "\\A[ \\t\\x0B\\f]*", 0)
+    e = e.select("file_id", "line", F.length(ind).cast("bigint").alias("col"), ind.alias("indentation"), rtrim_hspace(F.col("content")).alias("body"))
+    target = F.substr("body", F.length("indentation") + 1)
+    return e.select("file_id", "line", "col", target.alias("target"), "indentation", target.rlike(r"\A[{}()\[\];,]*\z").alias("trivial"))
+
+
+@query()
+def caret_candidates(spark, d):
+    """Carets of the Go lexer: candidates per kind and reason."""
+    return reports.count_by(caret_table(table(spark, d, "corpus_files")), "kind", "reason")
+
+
+@query()
+def sampled_carets(spark, d):
+    """The whole chain: best candidate of a place, weights, caps of two a line and 300 a file."""
+    files = table(spark, d, "corpus_files")
+    c = caret_table(files).where("reason IS NULL AND kind <> 'line' AND kind <> 'probe'")
+    c = sampling.cap(c, ["file_id", "byte_offset"], [F.col("priority"), F.col("seq")], 1)
+    c = c.join(files.select("file_id", "sha256"), "file_id")
+    u = uniform(F.lit(str(sampling.SEED)), F.lit("caret"), F.coalesce(clean_hash(F.col("sha256")), F.lit("")), F.col("byte_offset").cast("string"))
+    c = sampling.keep_weighted(c, u, sampling.weight_of(F.col("kind"), WEIGHTS))
+    c = sampling.cap(c, ["file_id", "line"], [F.col("score"), F.col("byte_offset")], 2)
+    c = sampling.cap(c, ["file_id"], [F.col("score"), F.col("byte_offset")], 300)
+    return c.select("file_id", "line", "byte_offset", "kind", "subkind")
+
+
+_IMPORT = r'"([\w./-]+)"'
+
+
+@query(r"""WITH i AS (SELECT file_id, unnest(regexp_extract_all(regexp_extract(content, '(?s)import \((.*?)\n\)', 1), '"([^"]+)"', 1)) AS path FROM corpus_files),
+s AS (SELECT DISTINCT file_id, path, string_split(path, '/') AS parts FROM i)
+SELECT file_id, path, replace(regexp_replace(string_split(CASE WHEN len(parts) > 1 AND regexp_full_match(parts[-1], 'v[0-9]+') THEN parts[-2] ELSE parts[-1] END, '.')[1], '^go-', ''), '-', '_') AS name FROM s""")
+def import_names(spark, d):
+    """The local name by which a Go import is used."""
+    block = F.regexp_extract("content", r"(?s)import \((.*?)\n\)", 1)
+    i = table(spark, d, "corpus_files").select("file_id", F.explode(F.regexp_extract_all(block, F.lit('"([^"]+)"'), F.lit(1))).alias("path")).distinct()
+    parts = F.split("path", "/")
+    last = F.when((F.size(parts) > 1) & F.element_at(parts, -1).rlike(r"\Av[0-9]+\z"), F.try_element_at(parts, F.lit(-2))).otherwise(F.element_at(parts, -1))
+    name = F.replace(F.regexp_replace(F.substring_index(last, ".", 1), r"\Ago-", ""), F.lit("-"), F.lit("_"))
+    return i.select("file_id", "path", name.alias("name"))
+
+
+# ---- samples --------------------------------------------------------------------------------------------------------
+
+
+@query(f"SELECT sample_id, extracted_at, {usql('sample_id', lit('x'))} AS u, left(sha256(sample_id || {_SEP} || relative_path), 32) AS id FROM samples")
+def uniform_hash(spark, d):
+    return table(spark, d, "samples").select("sample_id", "extracted_at", uniform(F.col("sample_id"), F.lit("x")).alias("u"), stable_id(F.col("sample_id"), F.col("relative_path")).alias("id"))
+
+
+@query(f"SELECT g, CASE WHEN u < 0.02 THEN 'validation' WHEN u < 0.04 THEN 'test' ELSE 'train' END AS split FROM (SELECT g, {usql(lit('20261009'), lit('repo_split'), 'g')} AS u FROM (SELECT DISTINCT lower(trim(grp)) AS g FROM jobs WHERE grp IS NOT NULL))")
+def split_assignment(spark, d):
+    g = table(spark, d, "jobs").where("grp IS NOT NULL").select(F.lower(F.trim("grp")).alias("g")).distinct()
+    return g.select("g", sampling.split_of(F.col("g"), 0.02, 0.02).alias("split"))
+
+
+_FRACTIONS = """t AS (SELECT repository_id, count(*) AS total, count(*) FILTER (is_test) AS tests FROM samples GROUP BY 1),
+a AS (SELECT *, least(1.0::DOUBLE, 40.0::DOUBLE / total) AS k0, total - tests AS rest FROM t),
+b AS (SELECT *, tests > 0 AND k0 * tests > 0.35::DOUBLE * k0 * total AS over FROM a),
+c AS (SELECT *, CASE WHEN over AND rest > 0 THEN least(1.0::DOUBLE, (0.35::DOUBLE / (1 - 0.35::DOUBLE)) * rest / tests) ELSE 1.0::DOUBLE END AS test_keep FROM b),
+k AS (SELECT repository_id, total, tests, test_keep, CASE WHEN over THEN least(1.0::DOUBLE, 40.0::DOUBLE / (rest + tests * test_keep)) ELSE k0 END AS keep FROM c)"""
+
+
+def _fractions(spark, d):
+    t = table(spark, d, "samples").groupBy("repository_id").agg(F.count("*").alias("total"), F.sum(F.col("is_test").cast("bigint")).alias("tests"))
+    return sampling.thinning_fractions(t, 40, 0.35)
+
+
+@query(f"WITH {_FRACTIONS} SELECT repository_id, total, tests, round(test_keep, 9) AS test_keep, round(keep, 9) AS keep FROM k")
+def thinning_fractions(spark, d):
+    return _fractions(spark, d).select("repository_id", "total", F.coalesce("tests", F.lit(0)).alias("tests"), F.round("test_keep", 9).alias("test_keep"), F.round("keep", 9).alias("keep"))
+
+
+@query(f"WITH {_FRACTIONS} SELECT s.sample_id, s.extracted_at FROM samples s JOIN k USING (repository_id) WHERE {usql(lit('20261009'), lit('keep'), 's.sample_id')} < keep * CASE WHEN is_test THEN test_keep ELSE 1 END")
+def thinned(spark, d):
+    j = table(spark, d, "samples").select("sample_id", "repository_id", "is_test", "extracted_at").join(_fractions(spark, d).select("repository_id", "keep", "test_keep"), "repository_id")
+    return sampling.thin(j, "sample_id", "is_test", F.col("keep"), F.col("test_keep")).select("sample_id", "extracted_at")
+
+
+_W = "CASE caret_kind " + " ".join(f"WHEN {lit(k)} THEN {v}" for k, v in WEIGHTS.items()) + " ELSE 0 END"
+_SCORED = f"s AS (SELECT sample_id, extracted_at, repository_id, relative_path, caret_line_zero_based AS line, caret_byte_offset AS o, u / w AS score FROM (SELECT *, {usql(lit('20261009'), lit('caret'), 'source_sha256', 'CAST(caret_byte_offset AS VARCHAR)')} AS u, CAST({_W} AS DOUBLE) AS w FROM samples) WHERE w > 0)"
+
+
+def _scored(spark, d):
+    s = table(spark, d, "samples").select("sample_id", "extracted_at", "repository_id", "relative_path", "caret_kind", "source_sha256", F.col("caret_line_zero_based").alias("line"), F.col("caret_byte_offset").alias("o"))
+    u = uniform(F.lit(str(sampling.SEED)), F.lit("caret"), F.col("source_sha256"), F.col("o").cast("string"))
+    return s.withColumn("w", sampling.weight_of(F.col("caret_kind"), WEIGHTS)).where("w > 0").withColumn("score", u / F.col("w"))
+
+
+_FILE = ["repository_id", "relative_path"]
+
+
+@query(f"WITH {_SCORED} SELECT sample_id, extracted_at FROM (SELECT *, row_number() OVER (PARTITION BY repository_id, relative_path, line ORDER BY score, o, sample_id, extracted_at) AS k FROM s) WHERE k <= 1")
+def line_cap(spark, d):
+    """One sample a line: a cap is the operator."""
+    return sampling.cap(_scored(spark, d), [*_FILE, "line"], [F.col(c) for c in ("score", "o", "sample_id", "extracted_at")], 1).select("sample_id", "extracted_at")
+
+
+@query(f"WITH {_SCORED} SELECT sample_id, extracted_at FROM (SELECT *, row_number() OVER (PARTITION BY repository_id, relative_path ORDER BY score, o, sample_id, extracted_at) AS k FROM s) WHERE k <= 2")
+def file_cap(spark, d):
+    """Two samples a file: a cap is the operator."""
+    return sampling.cap(_scored(spark, d), _FILE, [F.col(c) for c in ("score", "o", "sample_id", "extracted_at")], 2).select("sample_id", "extracted_at")
+
+
+@query(f"SELECT sample_id FROM (SELECT DISTINCT sample_id, repository_id, relative_path, caret_byte_offset AS o, {usql(lit('20261009'), lit('repo_cap'), 'sample_id')} AS u FROM samples) QUALIFY row_number() OVER (PARTITION BY repository_id ORDER BY u, relative_path, o, sample_id) <= 10")
+def repo_cap(spark, d):
+    """Ten samples a repository: a cap is the operator."""
+    s = table(spark, d, "samples").select("sample_id", "repository_id", "relative_path", "caret_byte_offset").distinct()
+    return sampling.repo_cap(s, "repository_id", "sample_id", 10).select("sample_id")
+
+
+_KEYED = """s AS (SELECT DISTINCT sample_id, repository_id, relative_path, caret_byte_offset AS o, trim(string_split(left_context, chr(10))[-1] || target_text, ' ' || chr(9)) AS t, length(ltrim(string_split(left_context, chr(10))[-1], ' ' || chr(9))) AS c FROM samples)"""
+
+
+@query(f"WITH {_KEYED} SELECT sample_id FROM s QUALIFY row_number() OVER (PARTITION BY repository_id, t, c ORDER BY relative_path, o, sample_id) = 1")
+def line_target_dedup(spark, d):
+    """The first sample of each trimmed line and caret column of a repository."""
+    head = F.substring_index("left_context", "\n", -1)
+    s = table(spark, d, "samples").select("sample_id", "repository_id", "relative_path", F.col("caret_byte_offset").alias("o"), F.trim(F.concat(head, "target_text"), F.lit(" \t")).alias("t"), F.length(F.ltrim(head, F.lit(" \t"))).alias("c"))
+    s = s.withColumn("t", F.sha2("t", 256)).distinct()
+    return sampling.first_wins(s, ["repository_id", "t", "c"], [F.col("relative_path"), F.col("o"), F.col("sample_id")]).select("sample_id")
+
+
+@query("""SELECT counter, count(*) AS value FROM (SELECT 'samples.total' AS counter FROM samples UNION ALL SELECT 'samples.kind.' || caret_kind FROM samples
+UNION ALL SELECT 'samples.test_code' FROM samples WHERE is_test UNION ALL SELECT 'samples.flag.' || unnest(quality_flags) FROM samples) GROUP BY counter""")
+def sample_counters(spark, d):
+    return reports.sample_counters(table(spark, d, "samples"))
+
+
+_FLAGS = """list_filter([CASE WHEN regexp_full_match(target_text, '[{}()\\[\\];,]*') THEN 'trivial_target' END, CASE WHEN regexp_matches(target_text, '^[ \\t\\x0B\\f]') THEN 'target_starts_with_whitespace' END,
+CASE WHEN regexp_matches(target_text, '^[)\\]}]') THEN 'target_starts_with_closer' END, CASE WHEN regexp_matches(target_text, '[^\\x00-\\x7F]') THEN 'non_ascii_target' END], lambda x: x IS NOT NULL)"""
+
+
+@query(f"SELECT sample_id, extracted_at, array_to_string({_FLAGS}, ',') AS flags FROM samples")
+def caret_flags(spark, d):
+    t = F.col("target_text")
+    flags = F.array(
+        F.when(t.rlike(r"\A[{}()\[\];,]*\z"), "trivial_target"), F.when(t.rlike(r"\A[ \t\x0B\f]"), "target_starts_with_whitespace"),
+        F.when(t.rlike(r"\A[)\]}]"), "target_starts_with_closer"), F.when(t.rlike(r"[^\x00-\x7F]"), "non_ascii_target"),
+    )
+    return table(spark, d, "samples").select("sample_id", "extracted_at", F.array_join(F.filter(flags, lambda x: x.isNotNull()), ",").alias("flags"))
+
+
+@query("""SELECT sample_id, extracted_at, right(left_context, 100) AS before, left(right_context, 40) AS after FROM samples""")
+def context_windows(spark, d):
+    """Contexts cut to 100 and 40 UTF-16 units (the data has no surrogate pairs, so that units are characters)."""
+    return table(spark, d, "samples").select("sample_id", "extracted_at", last_units(F.col("left_context"), 100).alias("before"), first_units(F.col("right_context"), 40).alias("after"))
+
+
+_BYTES = "encode(content)"
+_RECON = """j AS (SELECT s.sample_id, s.extracted_at, s.target_text, s.left_context, s.right_context, encode(f.content) AS raw, CASE WHEN f.has_bom THEN 3 ELSE 0 END AS bom, caret_byte_offset AS a, target_end_byte_offset AS e, left_context_start_byte_offset AS l, right_context_end_byte_offset AS r
+ FROM samples s JOIN corpus_files f USING (repository_id, relative_path) WHERE f.content IS NOT NULL)"""
+
+
+@query(f"""WITH {_RECON} SELECT count(*) AS rows, count(*) FILTER (raw[a - bom + 1 : e - bom] IS DISTINCT FROM encode(target_text)) AS bad_target, count(*) FILTER (raw[l - bom + 1 : a - bom] IS DISTINCT FROM encode(left_context)) AS bad_left,
+ count(*) FILTER (raw[e - bom + 1 : r - bom] IS DISTINCT FROM encode(right_context)) AS bad_right FROM j""")
+def reconstruction_check(spark, d):
+    """Targets and contexts cut again from the bytes of the files."""
+    f = table(spark, d, "corpus_files").where("content IS NOT NULL").withColumn("bom", F.when(F.col("has_bom"), 3).otherwise(0))
+    s = table(spark, d, "samples").select("sample_id", "repository_id", "relative_path", "target_text", "left_context", "right_context", "caret_byte_offset", "target_end_byte_offset", "left_context_start_byte_offset", "right_context_end_byte_offset")
+    r = validation.reconstructed(s, f)
+    bad = lambda a, b: F.sum((~F.col(a).eqNullSafe(F.col(b))).cast("bigint"))
+    return r.agg(F.count("*").alias("rows"), F.coalesce(bad("file_target", "target_text"), F.lit(0)).alias("bad_target"), F.coalesce(bad("file_left", "left_context"), F.lit(0)).alias("bad_left"), F.coalesce(bad("file_right", "right_context"), F.lit(0)).alias("bad_right"))
+
+
+@query()
+def sample_checks(spark, d):
+    """Rows that fail each check of a sample record."""
+    return validation.report(table(spark, d, "samples"), validation.field_checks())
+
+
+@query(f"SELECT count(*) AS rows, count(*) FILTER (sample_id <> left(sha256(repository_id || {_SEP} || relative_path || {_SEP} || source_sha256 || {_SEP} || caret_utf16_offset || {_SEP} || target_end_utf16_offset), 32)) AS failed FROM samples")
+def sample_id_check(spark, d):
+    s = table(spark, d, "samples")
+    return s.agg(F.count("*").alias("rows"), F.sum((F.col("sample_id") != validation.expected_id()).cast("bigint")).alias("failed"))
+
+
+@query("SELECT sample_id, count(*) AS rows FROM samples GROUP BY 1 HAVING count(*) > 1")
+def duplicate_ids(spark, d):
+    return reports.count_by(table(spark, d, "samples"), "sample_id").where("rows > 1")
+
+
+@query("SELECT repository_id, relative_path FROM discovery_files WHERE accepted AND NOT EXISTS (SELECT 1 FROM corpus_files f WHERE f.repository_id = discovery_files.repository_id AND f.relative_path = discovery_files.relative_path) GROUP BY ALL")
+def orphans(spark, d):
+    """Accepted paths without a corpus file."""
+    a = table(spark, d, "discovery_files").where("accepted").select("repository_id", "relative_path").distinct()
+    return a.join(table(spark, d, "corpus_files").select("repository_id", "relative_path"), ["repository_id", "relative_path"], "left_anti")
+
+
+_SPL = "CASE WHEN lower(trim(split)) IN ('eval', 'val') THEN 'validation' ELSE nullif(lower(trim(split)), '') END"
+
+
+@query(f"SELECT lower(trim(split_group)) AS g, count(DISTINCT {_SPL}) AS splits FROM samples WHERE split_group IS NOT NULL AND split IS NOT NULL GROUP BY 1 HAVING count(DISTINCT {_SPL}) > 1")
+def group_split_leak(spark, d):
+    from caretlake.operators.splits import clean_split
+
+    s = table(spark, d, "samples").where("split_group IS NOT NULL AND split IS NOT NULL").select(F.lower(F.trim("split_group")).alias("g"), clean_split(F.col("split")).alias("s")).distinct()
+    return s.groupBy("g").agg(F.count("s").alias("splits")).where("splits > 1")
+
+
+# ---- facts ----------------------------------------------------------------------------------------------------------
+
+_IDS = "list_sort(list_distinct(regexp_extract_all({0}, '[A-Za-z_][A-Za-z0-9_]*')))"
+_AUDIT = f"""a AS (SELECT sample_id, extracted_at, {_IDS.format('right_context')} AS facts, {_IDS.format('target_text')} AS ids, {_IDS.format('left_context')} AS visible FROM samples),
+v AS (SELECT *, list_sort(list_intersect(facts, ids)) AS mentioned FROM a), z AS (SELECT *, list_sort(list_filter(mentioned, lambda x: NOT list_contains(visible, x))) AS violations FROM v)"""
+
+
+def _audited(spark, d):
+    """Identifiers of the right context stand in for facts; what the left context names is visible."""
+    s = table(spark, d, "samples").select("sample_id", "extracted_at", "target_text", semantics.identifiers(F.col("right_context")).alias("facts"), semantics.identifiers(F.col("left_context")).alias("visible"))
+    return semantics.leak_audit(s, F.col("facts"), F.col("target_text"), F.col("visible"))
+
+
+@query(f"WITH {_AUDIT} SELECT sample_id, extracted_at, array_to_string(ids, ',') AS target_identifiers, array_to_string(mentioned, ',') AS mentioned, array_to_string(violations, ',') AS violations FROM z")
+def leak_audit(spark, d):
+    return _audited(spark, d).select("sample_id", "extracted_at", *[F.array_join(c, ",").alias(c) for c in ("target_identifiers", "mentioned", "violations")])
+
+
+@query(f"WITH {_AUDIT} SELECT sample_id, extracted_at, CASE WHEN len(violations) > 0 THEN 'failed' ELSE 'resolved' END AS status, CASE WHEN len(violations) > 0 THEN 'leak_audit:' || array_to_string(violations, ',') END AS reason, CASE WHEN len(violations) > 0 THEN 0 ELSE len(facts) END AS facts FROM z")
+def quarantine(spark, d):
+    q = semantics.quarantine(_audited(spark, d).withColumn("status", F.lit("resolved")).withColumn("reason", F.lit(None).cast("string")), "facts")
+    return q.select("sample_id", "extracted_at", "status", "reason", F.size("facts").cast("bigint").alias("facts"))
+
+
+_REC = "r AS (SELECT sample_id, max(semantic_status) AS status, max(semantic_reason) AS reason FROM samples WHERE is_test = false GROUP BY 1)"
+
+
+def _records(spark, d):
+    s = table(spark, d, "samples").where("NOT is_test").groupBy("sample_id").agg(F.max("semantic_status").alias("status"), F.max("semantic_reason").alias("reason"))
+    return s.withColumn("visibility_policy", F.lit("editor_snapshot"))
+
+
+@query(f"WITH {_REC} SELECT s.sample_id, s.extracted_at, coalesce(status, 'not_attempted') AS semantic_status, CASE WHEN status IS NULL THEN 'not_in_subset' ELSE reason END AS semantic_reason FROM samples s LEFT JOIN r USING (sample_id)")
+def status_mirror(spark, d):
+    return semantics.mirror_status(table(spark, d, "samples"), _records(spark, d), "editor_snapshot").select("sample_id", "extracted_at", "semantic_status", "semantic_reason")
+
+
+@query(f"WITH {_REC} SELECT s.sample_id, s.extracted_at FROM samples s JOIN r USING (sample_id) WHERE status IN ('resolved', 'partially_resolved')")
+def required_mode(spark, d):
+    return semantics.mirror_status(table(spark, d, "samples"), _records(spark, d), "editor_snapshot", True).select("sample_id", "extracted_at")
+
+
+@query("SELECT semantic_status, semantic_reason, count(*) AS rows FROM samples GROUP BY ALL")
+def semantic_counters(spark, d):
+    return reports.count_by(table(spark, d, "samples"), "semantic_status", "semantic_reason")
+
+
+@query("""WITH a AS (SELECT sample_id, max(semantic_status) AS st, max_by(tags, extracted_at) AS tags FROM samples GROUP BY 1), b AS (SELECT sample_id, st, CASE WHEN sample_id < '8' THEN list_append(tags, 'x') WHEN sample_id < 'c' THEN [] ELSE tags END AS tags FROM a WHERE sample_id < 'f'),
+j AS (SELECT a.sample_id AS ia, b.sample_id AS ib, a.st IS NOT DISTINCT FROM b.st AS same, len(list_filter(coalesce(a.tags, []), lambda x: NOT list_contains(coalesce(b.tags, []), x))) = 0 AS sub, len(list_filter(coalesce(b.tags, []), lambda x: NOT list_contains(coalesce(a.tags, []), x))) = 0 AS sup FROM a FULL JOIN b ON a.sample_id = b.sample_id)
+SELECT CASE WHEN ib IS NULL THEN 'only_left' WHEN ia IS NULL THEN 'only_right' WHEN same AND sub AND sup THEN 'identical' WHEN same AND sub THEN 'subset' WHEN same AND sup THEN 'superset' ELSE 'different' END AS outcome, count(*) AS records FROM j GROUP BY 1""")
+def fact_compare(spark, d):
+    """Records compared with a changed copy of themselves; the copy is made from all of them by their id's first digit."""
+    a = table(spark, d, "samples").groupBy("sample_id").agg(F.max("semantic_status").alias("st"), F.max_by("tags", "extracted_at").alias("tags"))
+    changed = F.when(F.col("sample_id") < "8", F.array_append("tags", F.lit("x"))).when(F.col("sample_id") < "c", F.array().cast("array<string>")).otherwise(F.col("tags"))
+    return reports.compare_records(a, a.where("sample_id < 'f'").withColumn("tags", changed), ["sample_id"], ["st"], ["tags"])
+
+
+# ---- prompts --------------------------------------------------------------------------------------------------------
+
+_CUT = """CASE WHEN length(left_context) <= 300 THEN left_context WHEN instr(right(left_context, 300), chr(10)) IN (0, 300) THEN right(left_context, 300) ELSE substr(right(left_context, 300), instr(right(left_context, 300), chr(10)) + 1) END"""
+
+
+@query(f"SELECT sample_id, split, '<|go|><|path|>' || relative_path || chr(10) || '<|code|>' || chr(10) || {_CUT} || '<|complete|>' AS prompt, target_text || '<|eol|>' AS completion FROM samples")
+def render_prompts(spark, d):
+    return rendering.render(table(spark, d, "samples"), None, 300)
+
+
+@query(f"SELECT split, count(*) AS rows, sum(length(target_text) + 7) AS completion_chars FROM samples GROUP BY split")
+def render_summary(spark, d):
+    r = rendering.render(table(spark, d, "samples"), None, 300)
+    return r.groupBy("split").agg(F.count("*").alias("rows"), F.sum(F.length("completion")).alias("completion_chars"))
+
+
+@query(f"SELECT sample_id, u FROM (SELECT DISTINCT sample_id, {usql(lit('preview'), 'sample_id')} - CASE WHEN semantic_status IN ('resolved', 'partially_resolved') THEN 1 ELSE 0 END AS u FROM samples) ORDER BY u, sample_id LIMIT 20")
+def preview_topk(spark, d):
+    """The twenty of a preview: a top-k report."""
+    has = F.when(F.col("semantic_status").isin("resolved", "partially_resolved"), 1).otherwise(0)
+    return table(spark, d, "samples").select("sample_id", (uniform(F.lit("preview"), F.col("sample_id")) - has).alias("u")).distinct().orderBy("u", "sample_id").limit(20)
+
+
+@query("SELECT caret_kind, min(sample_id) AS sample_id FROM samples WHERE NOT is_test AND length(target_text) BETWEEN 10 AND 60 GROUP BY 1")
+def example_pick(spark, d):
+    return table(spark, d, "samples").where("NOT is_test AND length(target_text) BETWEEN 10 AND 60").groupBy("caret_kind").agg(F.min("sample_id").alias("sample_id"))
+
+
+@query()
+def budgeted_facts(spark, d):
+    """Fact lines of each sample admitted into 120 units by priority; identifiers stand in for facts."""
+    ids = semantics.identifiers
+    line = lambda n, items: F.struct(F.lit(float(rendering.LINES[n][1])).alias("place"), F.lit(rendering.LINES[n][2]).alias("priority"), F.lit(rendering.LINES[n][0]).alias("key"), F.lit(rendering.LINES[n][3]).alias("sep"), items.alias("items"))
+    facts = rendering.admit(F.array(line(1, ids(F.col("target_text"))), line(3, ids(F.substring_index("left_context", "\n", -3))), line(7, ids(F.col("right_context")))), 120)
+    return table(spark, d, "samples").select("sample_id", "extracted_at", facts.alias("facts"))
+
+
+# ---- repositories ---------------------------------------------------------------------------------------------------
+
+
+@query(f"""WITH o AS (SELECT nullif(trim(regexp_replace(lower(trim(sha256)), '^sha256:', '')), '') AS h, batch, repo_id FROM file_owner)
+SELECT h AS hash, min_by(repo_id, {{'b': batch, 'r': repo_id}}) AS repo_id FROM o WHERE h IS NOT NULL GROUP BY 1""")
+def file_ownership(spark, d):
+    o = table(spark, d, "file_owner").select(clean_hash(F.col("sha256")).alias("hash"), "batch", "repo_id").where("hash IS NOT NULL")
+    return sampling.first_owner(o, "hash", "repo_id", ["batch"])
+
+
+@query("""WITH o AS (SELECT DISTINCT nullif(trim(regexp_replace(lower(trim(sha256)), '^sha256:', '')), '') AS h, repo_id FROM file_owner WHERE batch = 0)
+SELECT count(*) AS rows, count(*) FILTER (EXISTS (SELECT 1 FROM o WHERE o.h = s.source_sha256 AND o.repo_id <> s.repository_id)) AS owned_elsewhere FROM samples s""")
+def owned_elsewhere(spark, d):
+    """Samples whose source another repository owned before."""
+    o = table(spark, d, "file_owner").where("batch = 0").select(clean_hash(F.col("sha256")).alias("source_sha256"), F.col("repo_id").alias("owner")).distinct()
+    s = table(spark, d, "samples").select("sample_id", "extracted_at", "repository_id", "source_sha256")
+    owned = s.alias("s").join(o.alias("o"), F.expr("s.source_sha256 = o.source_sha256 AND s.repository_id <> o.owner"), "left_semi")
+    return s.agg(F.count("*").alias("rows")).crossJoin(owned.agg(F.count("*").alias("owned_elsewhere")))  # one row each
+
+
+_JOBS1 = "j AS (SELECT * FROM jobs QUALIFY row_number() OVER (PARTITION BY repo_id ORDER BY attempts DESC, started DESC NULLS LAST, status, samples) = 1)"
+
+
+def _jobs(spark, d):
+    return sampling.cap(table(spark, d, "jobs"), ["repo_id"], [F.desc("attempts"), F.desc_nulls_last("started"), F.col("status"), F.col("samples")], 1)
+
+
+@query(f"WITH {_JOBS1} SELECT repo_id, before FROM (SELECT repo_id, CAST(coalesce(sum(coalesce(samples, 0)) OVER (ORDER BY repo_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS before FROM j) WHERE before < 10000")
+def batch_assignment(spark, d):
+    return sampling.batches(_jobs(spark, d).select("repo_id", "samples"), 5000).select("repo_id", "before")
+
+
+@query("SELECT DISTINCT repo_id FROM jobs WHERE repo_id NOT IN (SELECT repository_id FROM license_files WHERE repository_id IS NOT NULL)")
+def anti_jobs(spark, d):
+    return table(spark, d, "jobs").select("repo_id").distinct().join(table(spark, d, "license_files").select(F.col("repository_id").alias("repo_id")), "repo_id", "left_anti")
+
+
+@query("SELECT status, count(*) AS rows, CAST(sum(samples) AS BIGINT) AS samples, CAST(coalesce(sum(semantic) FILTER (reported = 1), 0) AS BIGINT) AS reported FROM jobs GROUP BY status")
+def status_counts(spark, d):
+    return table(spark, d, "jobs").groupBy("status").agg(F.count("*").alias("rows"), F.sum("samples").alias("samples"), F.coalesce(F.sum(F.when(F.col("reported") == 1, F.col("semantic"))), F.lit(0)).alias("reported"))
+
+
+@query("SELECT repo_id, status, batch FROM jobs WHERE batch = 3 UNION ALL SELECT repo_id, status, batch FROM jobs WHERE batch <> 3 AND status IN ('skipped', 'failed') AND coalesce(reported, 0) = 0")
+def provenance_union(spark, d):
+    j = table(spark, d, "jobs").select("repo_id", "status", "batch", "reported")
+    rest = j.where("batch <> 3 AND status IN ('skipped', 'failed') AND coalesce(reported, 0) = 0")
+    return j.where("batch = 3").unionByName(rest).drop("reported")
+
+
+@query("SELECT count(*) AS files, CAST(sum(bytes) AS BIGINT) AS bytes FROM (SELECT DISTINCT repository_id, relative_path, bytes FROM discovery_files) WHERE NOT regexp_matches(relative_path, '(^|/)(vendor|testdata|node_modules|\\.git)/') AND relative_path LIKE '%.go'")
+def go_bytes(spark, d):
+    f = table(spark, d, "discovery_files").select("repository_id", "relative_path", "bytes").distinct()
+    f = f.where(F.col("relative_path").endswith(".go") & ~F.col("relative_path").rlike(r"(^|/)(vendor|testdata|node_modules|\.git)/"))
+    return f.agg(F.count("*").alias("files"), F.sum("bytes").alias("bytes"))
+
+
+@query("""SELECT file_id, coalesce(CASE WHEN has_bom THEN octet_length(encode(content)) + 3 ELSE octet_length(encode(content)) END, 0) AS size, CASE WHEN has_bom THEN sha256(from_hex('EFBBBF') || encode(content)) ELSE sha256(content) END AS hash,
+coalesce(nullif(trim(regexp_replace(lower(trim(sha256)), '^sha256:', '')), '') = CASE WHEN has_bom THEN sha256(from_hex('EFBBBF') || encode(content)) ELSE sha256(content) END, false) AS hash_ok FROM corpus_files WHERE content IS NOT NULL""")
+def corpus_rows(spark, d):
+    """Size and hash of corpus files from their bytes, the byte order mark included, held against what is recorded."""
+    raw = F.when(F.col("has_bom"), F.concat(F.unhex(F.lit("EFBBBF")), F.col("content").cast("binary"))).otherwise(F.col("content").cast("binary"))
+    f = table(spark, d, "corpus_files").where("content IS NOT NULL").withColumn("raw", raw).withColumn("hash", F.sha2("raw", 256))
+    return f.select("file_id", F.octet_length("raw").cast("bigint").alias("size"), "hash", F.coalesce(clean_hash(F.col("sha256")) == F.col("hash"), F.lit(False)).alias("hash_ok"))
+
+
+_P = "[(0.50, 'p50'), (0.95, 'p95'), (0.99, 'p99'), (1.0, 'max')]"
+
+
+@query("""WITH r AS (SELECT event_type, value, row_number() OVER (PARTITION BY event_type ORDER BY value) - 1 AS i, count(*) OVER (PARTITION BY event_type) AS n FROM events WHERE value IS NOT NULL)
+SELECT event_type, max(n) AS rows, max(value) FILTER (i = floor(0.5 * (n - 1) + 0.5)) AS p50, max(value) FILTER (i = floor(0.95 * (n - 1) + 0.5)) AS p95, max(value) FILTER (i = floor(0.99 * (n - 1) + 0.5)) AS p99, max(value) AS max FROM r GROUP BY 1""")
+def value_percentiles(spark, d):
+    return reports.rank_percentiles(table(spark, d, "events"), ["event_type"], "value", {"p50": 0.5, "p95": 0.95, "p99": 0.99, "max": 1.0})
+
+
+# ---- metadata rules -------------------------------------------------------------------------------------------------
+
+_HITS = lambda ps: " + ".join(f"CAST(regexp_matches(hay, {lit(p)}) AS INTEGER)" for p in ps)
+
+
+@query(f"""SELECT doc_id, CASE WHEN s > 0 AND b = 0 THEN 'strong' WHEN w >= 2 AND b = 0 THEN 'weak_twice' WHEN w > 0 THEN 'flag' END AS flag FROM (
+ SELECT doc_id, {_HITS(selection.STRONG)} AS s, {_HITS(selection.WEAK)} AS w, {_HITS(selection.BENIGN)} AS b FROM (SELECT doc_id, lower(text) AS hay FROM documents WHERE text IS NOT NULL))""")
+def content_flags(spark, d):
+    return table(spark, d, "documents").where("text IS NOT NULL").select("doc_id", selection.content_flag(F.lower("text")).alias("flag"))
+
+
+_CAT = "CASE " + " ".join(f"WHEN regexp_matches(text, {lit('(?i)' + p)}) THEN {lit(n)}" for n, p in selection.CATEGORIES) + " ELSE 'other' END"
+
+
+@query(f"SELECT {_CAT} AS category, count(*) AS rows FROM documents WHERE text IS NOT NULL GROUP BY 1")
+def category_rules(spark, d):
+    return reports.count_by(table(spark, d, "documents").where("text IS NOT NULL"), selection.category(F.col("text")).alias("category"))
+
+
+@query("""SELECT repo_id, CAST(round_even(1000 * (0.45 * least(1.0, log10(size_kb + 1) / log10(150001.0)) + 0.30 * greatest(0.0, least(1.0, date_diff('day', DATE '2024-10-09', CAST(substr(started, 1, 10) AS DATE)) / 730.0))
+ + CASE WHEN repo_id LIKE '%labs/%' THEN 0.10 ELSE 0.0 END + 0.15 * ((CASE WHEN license <> '' THEN 0.5 ELSE 0.0 END + least(0.5, 0.1 * attempts)) * 1.0)), 0) AS INTEGER) AS priority FROM jobs WHERE started IS NOT NULL AND license IS NOT NULL""")
+def priority_score(spark, d):
+    """The score of metadata; sizes stand in for stars, attempts for topics."""
+    j = table(spark, d, "jobs").where("started IS NOT NULL AND license IS NOT NULL")
+    p = selection.priority(F.col("size_kb"), F.col("started"), F.col("repo_id").like("%labs/%"), F.col("license") != "", F.col("attempts"), F.lit(1.0))
+    return j.select("repo_id", p.alias("priority"))
+
+
+_TOK = "list_filter(list_distinct(string_split(regexp_replace(lower(full_name), '[^a-z0-9]+', ' ', 'g'), ' ')), lambda x: x <> '' AND x NOT IN (" + ", ".join(map(lit, selection.STOP_WORDS)) + "))"
+_NAMES = f"n AS (SELECT DISTINCT repo_id, string_split(full_name, '/')[1] AS block, {_TOK} AS t FROM jobs)"
+
+
+def _names(spark, d):
+    j = table(spark, d, "jobs").select("repo_id", "full_name").distinct()
+    return j.select("repo_id", F.substring_index("full_name", "/", 1).alias("block"), selection.token_set(F.col("full_name")).alias("t"))
+
+
+_PAIRS = f"""{_NAMES}, e AS (SELECT x.repo_id AS a, y.repo_id AS b, len(list_intersect(x.t, y.t)) / len(list_distinct(list_concat(x.t, y.t))) AS similarity FROM n x JOIN n y ON x.block = y.block AND x.repo_id < y.repo_id)"""
+
+
+@query(f"WITH {_PAIRS} SELECT a, b, round(similarity, 9) AS similarity FROM e WHERE similarity >= 0.5")
+def jaccard_pairs(spark, d):
+    """Names of one owner whose token sets are similar."""
+    return selection.similar_in_blocks(_names(spark, d), "repo_id", "block", "t", 0.5).withColumn("similarity", F.round("similarity", 9))
+
+
+@query(f"""WITH RECURSIVE {_PAIRS}, u AS (SELECT a, b FROM e WHERE similarity >= 0.5 UNION SELECT b, a FROM e WHERE similarity >= 0.5),
+r AS (SELECT DISTINCT repo_id AS x, repo_id AS y FROM n UNION SELECT r.x, u.b FROM r JOIN u ON r.y = u.a) SELECT x AS repo_id, min(y) AS "group" FROM r GROUP BY x""")
+def components(spark, d):
+    n = _names(spark, d)
+    return selection.groups(n, selection.similar_in_blocks(n, "repo_id", "block", "t", 0.5), "repo_id")
+
+
+@query(f"WITH {_JOBS1} SELECT lower(trim(grp)) AS g, max_by(repo_id, {{'p': priority, 's': size_kb, 'n': repo_id}}) AS canonical FROM j WHERE grp IS NOT NULL GROUP BY 1")
+def canonical(spark, d):
+    j = _jobs(spark, d).where("grp IS NOT NULL").withColumn("g", F.lower(F.trim("grp")))
+    return selection.canonical(j, "g", ["priority", "size_kb"], "repo_id")
+
+
+@query(f"WITH {_JOBS1} SELECT repo_id, string_split(full_name, '/')[1] AS owner FROM j QUALIFY row_number() OVER (PARTITION BY string_split(full_name, '/')[1] ORDER BY priority DESC, size_kb DESC, repo_id) <= 2")
+def owner_cap(spark, d):
+    """Two repositories an owner: a cap is the operator."""
+    return selection.owner_cap(_jobs(spark, d), F.substring_index("full_name", "/", 1), [F.desc("priority"), F.desc("size_kb"), F.col("repo_id")], 2).select("repo_id", "owner")
+
+
+@query("""WITH t AS (SELECT doc_id, trim(regexp_replace(regexp_replace(lower(coalesce(text, '')), '[^a-z0-9_\\s]', '', 'g'), '\\s+', ' ', 'g')) AS t FROM documents) SELECT a, doc_id AS b FROM t JOIN (SELECT t, min(doc_id) AS a FROM t WHERE length(t) >= 40 GROUP BY t) USING (t) WHERE a <> doc_id""")
+def same_text_edges(spark, d):
+    docs = table(spark, d, "documents").select("doc_id", selection.normal_text(F.regexp_replace("text", "[\x0b]", "")).alias("t"))
+    return selection.same_text_edges(docs, "doc_id", "t")
+
+
+@query("SELECT status, reason, count(*) AS rows, count(DISTINCT lower(trim(grp))) AS groups FROM jobs GROUP BY ALL")
+def selection_report(spark, d):
+    return table(spark, d, "jobs").groupBy("status", "reason").agg(F.count("*").alias("rows"), F.countDistinct(F.lower(F.trim("grp"))).alias("groups"))
