@@ -5,9 +5,13 @@ hash order k, so two texts of similarity s agree in each component with chance s
 are the positions of structured bit masks: mask i keeps all positions of its part but the i-th. Two sketches
 that differ in at most one position of some part therefore share the key of some mask, whatever the
 positions; by the pigeonhole principle this holds for every pair of sketches within the Hamming radius
-``2 * parts - 1``. With 14 parts of 4, 56 tables, a pair of similarity 0.6 is missed with a chance of 1.2e-4
-and one of 0.7 with 4e-7 (``miss_chance``); unrelated texts must agree in three minima at once. Candidates are
-verified exactly afterwards (see neardup.py).
+``2 * parts - 1``. With 12 parts of 3, 36 tables, a pair of similarity 0.6 is missed with a chance of 4e-6
+(``miss_chance``). Candidates are verified exactly afterwards (see neardup.py).
+
+Texts that merely share common phrases must not meet, or candidates grow with the square of the collection. So the
+minima are taken over a text's rare shingles (rarity.py), of which unrelated texts share none. A text of mostly common
+shingles, such as one of a family that fills a third of the collection, is sketched by all its shingles instead; one
+in between, with ``FULL_BELOW`` and ``RARE_FROM`` as bounds of its rare part, by both, so that it meets either kind.
 """
 
 from __future__ import annotations
@@ -21,12 +25,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from caretlake.operators import shingles as S
+from caretlake.operators.rarity import slot
+
+RARE_FROM, FULL_BELOW = 0.5, 0.8
 
 
 @dataclass(frozen=True)
 class Covering:
-    parts: int = 14
-    width: int = 4
+    parts: int = 12
+    width: int = 3
     seed: int = 5
 
     @property
@@ -64,7 +71,22 @@ class Covering:
         return out
 
 
-def covering_keys(df: DataFrame, text: str, covering: Covering, carry: list[str] = ()) -> DataFrame:
+def sketch_keys(values: np.ndarray, bounds: np.ndarray, covering: Covering, levels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(row of each key, key): keys of the rare sketch, of the full one, or of both."""
+    sizes = np.diff(bounds)
+    row = np.repeat(np.arange(len(sizes)), sizes)
+    rare = levels[slot(values)] == 0
+    share = np.bincount(row[rare], minlength=len(sizes)) / np.maximum(sizes, 1)
+    rows, keys = [], []
+    for chosen, salt in ((rare & (share >= RARE_FROM)[row], 0), ((share < FULL_BELOW)[row], 0x5BD1E995)):
+        sub = np.append(0, np.cumsum(np.bincount(row[chosen], minlength=len(sizes))))
+        k = covering.keys(values[chosen], sub) ^ np.uint64(salt)
+        rows.append(np.repeat(np.flatnonzero(np.diff(sub)), covering.tables))
+        keys.append(k.ravel())
+    return np.concatenate(rows), np.concatenate(keys)
+
+
+def covering_keys(df: DataFrame, text: str, covering: Covering, levels: np.ndarray, carry: list[str] = ()) -> DataFrame:
     """One row per text: ``cls`` (fingerprint of its shingle set, 0 if empty), ``n`` (its size), ``tables`` (keys).
 
     Equal sets within one task send their keys once: a hot group of copies costs a row per task and table.
@@ -72,26 +94,26 @@ def covering_keys(df: DataFrame, text: str, covering: Covering, carry: list[str]
     fields = [df.schema[c] for c in carry]
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in fields] + ["cls bigint", "n int", "tables array<bigint>"])
     carry = list(carry)
+    held = df.sparkSession.sparkContext.broadcast(levels)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for b in batches:
             for lo, hi, values, bounds in S.shingle_sets(b.column(len(carry))):
                 cls = S.set_hashes(values, bounds)
-                keys = covering.keys(values, bounds)
-                full = np.flatnonzero(np.diff(bounds))
-                new = np.zeros(len(full), bool)
-                for i, c in enumerate(cls[full].tolist()):
-                    if c not in seen:
+                new = np.zeros(hi - lo, bool)
+                for i, c in enumerate(cls.tolist()):
+                    if c and c not in seen:
                         new[i] = True
                         if len(seen) < 500_000:
                             seen.add(c)
-                count = np.zeros(hi - lo, np.int64)
-                count[full[new]] = covering.tables
-                lists = S.list_column(keys[new].ravel(), np.append(0, np.cumsum(count)))
+                row, keys = sketch_keys(values, bounds, covering, held.value)
+                ok = new[row]
+                row, keys = row[ok], keys[ok]
+                order = np.argsort(row, kind="stable")
+                lists = S.list_column(keys[order].view(np.int64), np.append(0, np.cumsum(np.bincount(row, minlength=hi - lo))))
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(k).slice(lo, hi - lo) for k in range(len(carry))]
-                    + [pa.array(cls.astype(np.int64)), pa.array(np.diff(bounds).astype(np.int32)), lists],
+                    [b.column(k).slice(lo, hi - lo) for k in range(len(carry))] + [pa.array(cls.astype(np.int64)), pa.array(np.diff(bounds).astype(np.int32)), lists],
                     names=[*carry, "cls", "n", "tables"],
                 )
 

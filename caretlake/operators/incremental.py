@@ -1,8 +1,8 @@
 """New batches against all history, without working through the history again.
 
 State lies in Parquet under one folder: ``keys`` (blocking keys of every distinct shingle set accepted so far),
-``members`` (which text belongs to which set, with its batch), ``weights`` (learned from the candidates seen) and
-``clusters`` (representative of each linked text). A call of ``ingest`` computes keys of the new texts only, probes the
+``members`` (which text belongs to which set, with its batch), ``reps`` (one text that stands for each set), ``links`` and ``candidates`` (from which weights are
+learned). A call of ``ingest`` computes keys of the new texts only, probes the
 history's keys through a bounded Bloom filter, verifies the few candidates exactly, and appends. Texts of the history
 are read again only where they are candidates.
 """
@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,7 +19,8 @@ from caretlake.operators.bloom import build
 from caretlake.operators.components import hash_to_min
 from caretlake.operators.covering import Covering, bucket_pairs, covering_keys
 from caretlake.operators.hashes import clean_hash, file_hashes
-from caretlake.operators.neardup import sets_of, verified
+from caretlake.operators.neardup import sets_of, sizes_fit, verified
+from caretlake.operators.rarity import rarity_levels
 from caretlake.session import fresh_dir, materialise
 
 LINK_FIELDS = ("length", "name", "package")
@@ -33,6 +35,7 @@ class IncrementalDedup:
     covering: Covering = field(default_factory=Covering)
     root: str | None = None
     runs: int = 0
+    levels: np.ndarray | None = None
 
     def __post_init__(self):
         self.root = self.root or fresh_dir(self.spark, "dedup-state")
@@ -47,33 +50,37 @@ class IncrementalDedup:
         as the latest. Rows may belong to several batches: who came first is decided by batch, not by call.
         """
         keys_at, members_at = (f"{self.root}/{n}/run={self.runs}" for n in ("keys", "members"))
-        made = covering_keys(new.where("id IS NOT NULL").select("id", F.coalesce("batch", F.lit(2**31 - 1)).alias("batch"), "text"), "text", self.covering, ["id", "batch"])
+        if self.levels is None:  # of the first texts; keys of later ones must be made alike
+            self.levels = rarity_levels(new, "text")
+        named = new.where("id IS NOT NULL").select("id", F.coalesce("batch", F.lit(2**31 - 1)).alias("batch"), "text")
+        made = covering_keys(named, "text", self.covering, self.levels, ["id", "batch"])
         made = materialise(made.where("n > 0"), "new-keys")
         members = made.select("id", "batch", "cls", "n")
         members.write.parquet(members_at)
+        first = members.groupBy("cls").agg(F.min("id").alias("rep"), F.first("n").alias("size"))
         rows = made.select("cls", F.explode("tables").alias("key"))
+        if self.runs:  # sets that history holds have their links already
+            known = self._read("reps").select("cls")
+            first, rows = first.join(known, "cls", "left_anti"), rows.join(known, "cls", "left_anti")
+        first.write.parquet(f"{self.root}/reps/run={self.runs}")
+        rows.select("key", "cls").write.parquet(keys_at)
+        rows = self.spark.read.parquet(keys_at)
         pairs = bucket_pairs(rows, "key", "cls")
         if self.runs:
-            history, known = self._read("keys"), self._read("members").select("cls").distinct()
-            filt = self.spark.sparkContext.broadcast(build(rows, "key", self.covering.tables * members.count()))
+            filt = self.spark.sparkContext.broadcast(build(rows, "key", rows.count()))
 
             def probe(frames):
                 for f in frames:
                     yield f[filt.value.might_hold(f["key"].to_numpy("int64").view("uint64"))]
 
+            history = self._read("keys")
             near = history.mapInPandas(probe, history.schema)
             both = near.select("key", "cls", F.lit(False).alias("is_new")).unionByName(rows.select("key", "cls", F.lit(True).alias("is_new")))
-            against = bucket_pairs(both, "key", "cls", left=F.col("is_new")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-            pairs = pairs.union(against).distinct()
-            fresh = rows.join(known, "cls", "left_anti")
-        else:
-            fresh = rows
-        fresh.select("key", "cls").write.parquet(keys_at)
+            pairs = pairs.union(bucket_pairs(both, "key", "cls", left=F.col("is_new")))
         self.runs += 1
-        reps = self._read("members").groupBy("cls").agg(F.min("id").alias("rep"), F.first("n").alias("size"))
+        reps = self._read("reps")
         ra, rb = reps.toDF("a", "ra", "na"), reps.toDF("b", "rb", "nb")
-        close = F.least("na", "nb") * 1_000_000 >= F.greatest("na", "nb") * int(round(self.threshold * 1_000_000))
-        cand = pairs.join(ra, "a").join(rb, "b").where(close).select(F.col("ra").alias("a"), F.col("rb").alias("b"))
+        cand = pairs.join(ra, "a").join(rb, "b").where(sizes_fit("na", "nb", self.threshold)).select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b"))
         cand = materialise(cand, "candidates")
         ids = cand.select(F.explode(F.array("a", "b")).alias("id")).distinct()
         links = materialise(verified(cand, sets_of(texts, "id", "text", ids, ids.count()), self.threshold), "links")
@@ -82,9 +89,8 @@ class IncrementalDedup:
         return links
 
     def members(self) -> DataFrame:
-        """(id, batch, rep): every accepted text and the representative of its set."""
-        m = self._read("members")
-        return m.join(m.groupBy("cls").agg(F.min("id").alias("rep")), "cls").select("id", "batch", "rep")
+        """(id, batch, rep): every accepted text and the representative of its set, which stays the one it first had."""
+        return self._read("members").join(self._read("reps"), "cls").select("id", "batch", "rep")
 
     def not_new(self) -> DataFrame:
         """(id) of the texts that are equal or similar to one of a smaller batch."""
@@ -113,7 +119,7 @@ class IncrementalDedup:
         f = fields.select("id", "length", "name", "package")
         j = pairs.select("a", "b").join(f.toDF("a", "la", "na", "pa"), "a").join(f.toDF("b", "lb", "nb", "pb"), "b")
         same = lambda x, y: F.coalesce(F.col(x) == F.col(y), F.lit(False))
-        return j.select("a", "b", (F.least("la", "lb") * 10 >= F.greatest("la", "lb") * 8).alias("length"), same("na", "nb").alias("name"), same("pa", "pb").alias("package"))
+        return j.select("a", "b", (F.least("la", "lb").cast("bigint") * 10 >= F.greatest("la", "lb").cast("bigint") * 8).alias("length"), same("na", "nb").alias("name"), same("pa", "pb").alias("package"))
 
     def scored(self, fields: DataFrame) -> DataFrame:
         """(a, b, score): links with the sum of the learned weights of their fields."""

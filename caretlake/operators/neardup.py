@@ -12,12 +12,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from caretlake.operators import shingles as S
 from caretlake.operators.bloom import build
 from caretlake.operators.covering import Covering, bucket_pairs, covering_keys
+from caretlake.operators.rarity import rarity_levels
 from caretlake.session import materialise
 
 
@@ -42,6 +43,11 @@ def sets_of(df: DataFrame, id_col: str, text: str, wanted: DataFrame, count: int
     return df.select(F.col(id_col).cast("bigint").alias("i"), F.col(text)).where("i IS NOT NULL").mapInArrow(run, "id bigint, shingles array<bigint>")
 
 
+def sizes_fit(a: str, b: str, threshold: float) -> Column:
+    """Whether sets of two sizes can be similar enough at all."""
+    return F.least(a, b).cast("bigint") * 1_000_000 >= F.greatest(a, b).cast("bigint") * int(round(threshold * 1_000_000))
+
+
 def verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     """The pairs (a, b) whose sets have a similarity of at least ``threshold``, with ``similarity``."""
     a = sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa"))
@@ -50,7 +56,7 @@ def verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     joined = pairs.join(a, "a").join(b, "b").withColumn("m", both)
     union = F.size("sa") + F.size("sb") - F.col("m")
     # In whole numbers: a threshold of 0.6 must hold for 3 of 5 exactly.
-    ok = F.col("m") * 1_000_000 >= union * int(round(threshold * 1_000_000))
+    ok = F.col("m").cast("bigint") * 1_000_000 >= union.cast("bigint") * int(round(threshold * 1_000_000))
     return joined.where(ok & (F.col("m") > 0)).select("a", "b", (F.col("m") / union).alias("similarity"))
 
 
@@ -87,14 +93,14 @@ def near_duplicates(df: DataFrame, id_col: str, text: str, threshold: float = 0.
     are not read. An empty table gives empty results.
     """
     docs = df.select(F.col(id_col).cast("bigint").alias("id"), F.col(text).alias("text")).where("id IS NOT NULL")
-    keys = materialise(covering_keys(docs, "text", covering, ["id"]).where("n > 0"), "covering-keys")
+    keys = materialise(covering_keys(docs, "text", covering, rarity_levels(docs, "text"), ["id"]).where("n > 0"), "covering-keys")
     reps = keys.groupBy("cls").agg(F.min("id").alias("rep"))
     members = materialise(keys.select("id", "cls", "n").join(reps, "cls").groupBy("id").agg(F.first("rep").alias("rep"), F.first("n").alias("n"), F.first("cls").alias("cls")), "members")
     rows = keys.select("cls", F.explode("tables").alias("key"))
     pairs = bucket_pairs(rows, "key", "cls")
     rep = members.where("id = rep").select(F.col("cls").alias("c"), "rep", F.col("n").alias("size"))
     ra, rb = rep.toDF("a", "ra", "na"), rep.toDF("b", "rb", "nb")
-    near = F.least("na", "nb") * 1_000_000 >= F.greatest("na", "nb") * int(round(threshold * 1_000_000))
+    near = sizes_fit("na", "nb", threshold)
     cand = materialise(pairs.join(ra, "a").join(rb, "b").where(near).select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b")), "candidates")
     ids = cand.select(F.explode(F.array("a", "b")).alias("id")).distinct()
     sets = sets_of(docs, "id", "text", ids, ids.count())

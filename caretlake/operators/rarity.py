@@ -1,0 +1,55 @@
+"""How common shingles are, from a count sketch of fixed size.
+
+The sketch has ``SLOTS`` counters whatever the size of the collection. A shingle's level says how far its slot lies above
+twice the mean slot, as a power of two; level 0 holds the rare ones. In a collection of any size the shingles above
+level 0 are those of about one text in a thousand or more. Levels only order or select shingles; no result depends on
+exact counts.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+from pyspark import TaskContext
+from pyspark.sql import DataFrame
+
+from caretlake.operators import shingles as S
+
+SLOTS = 1 << 18
+
+
+def slot(values: np.ndarray) -> np.ndarray:
+    return (S.mix(values + np.uint64(991)) & np.uint64(SLOTS - 1)).astype(np.int64)
+
+
+def rarity_levels(docs: DataFrame, text: str) -> np.ndarray:
+    """The level of each slot, counted over all distinct shingles of all texts."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(SLOTS, np.int64)
+        for b in batches:
+            for _, _, values, _ in S.shingle_sets(b.column(0)):
+                total += np.bincount(slot(values), minlength=SLOTS)
+        task = TaskContext.get()
+        salt = task.partitionId() % 32 if task else 0
+        yield pa.RecordBatch.from_pydict({"piece": list(range(16)), "salt": [salt] * 16, "counts": [x.tobytes() for x in np.minimum(total, 2**32 - 1).astype(np.uint32).reshape(16, -1)]})
+
+    def merge(key: tuple, frames: pd.DataFrame) -> pd.DataFrame:
+        total = sum(np.frombuffer(c, np.uint32).astype(np.uint64) for c in frames["counts"])
+        return pd.DataFrame({"piece": [key[0]], "counts": [np.minimum(total, 2**32 - 1).astype(np.uint32).tobytes()]})
+
+    parts = docs.select(text).mapInArrow(count, "piece bigint, salt bigint, counts binary")
+    merged = parts.groupBy("piece", "salt").applyInPandas(merge, "piece bigint, counts binary").groupBy("piece").applyInPandas(merge, "piece bigint, counts binary")
+    counts = np.zeros(SLOTS, np.float64)
+    for r in merged.collect():  # 1 MB in all
+        counts.reshape(16, -1)[r["piece"]] = np.frombuffer(r["counts"], np.uint32)
+    return levels_of(counts)
+
+
+def levels_of(counts: np.ndarray) -> np.ndarray:
+    """Levels of slot counts. In a small collection, where slots are nearly empty, a count up to 16 is rare."""
+    mean = max(counts.mean(), 8.0)
+    return np.maximum(np.ceil(np.log2(np.maximum(counts, 1) / (2 * mean))), 0).astype(np.uint8)
