@@ -1,0 +1,186 @@
+"""Near-duplicates, incremental deduplication and cross-split overlap against brute force."""
+
+import random
+import re
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from caretlake.operators import shingles as S
+from caretlake.operators.bloom import build
+from caretlake.operators.covering import Covering, bucket_pairs
+from caretlake.operators.incremental import IncrementalDedup, nothing_new
+from caretlake.operators.neardup import near_duplicates
+from caretlake.operators.overlap import cross_split, equal_targets, overlapping
+
+
+def sets(t):
+    w = re.findall(r"[a-z0-9_]+", re.sub("[A-Z]+", lambda m: m[0].lower(), t or ""))
+    return {tuple(w[i : i + 5]) for i in range(len(w) - 4)}
+
+
+def sim(a, b):
+    a, b = sets(a), sets(b)
+    return len(a & b) / len(a | b) if a and b else 0.0
+
+
+def corpus(seed=1, n=120):
+    """Texts with copies, small edits, a family that fills a third, short, empty and null ones, and one very long."""
+    rnd = random.Random(seed)
+    word = lambda: "w" + str(rnd.randrange(4000))
+    base = [[word() for _ in range(rnd.randrange(30, 160))] for _ in range(n // 3)]
+    out = [" ".join(b) for b in base]
+    for _ in range(n // 3):
+        b = list(rnd.choice(base))
+        for _ in range(rnd.randrange(0, 8)):
+            b[rnd.randrange(len(b))] = word()
+        out.append(" ".join(b))
+    family = [word() for _ in range(100)]
+    for _ in range(n // 3):
+        b = list(family)
+        for _ in range(rnd.randrange(0, 4)):
+            b.insert(rnd.randrange(len(b)), word())
+        out.append("\n".join(b))
+    long = " ".join(word() for _ in range(60_000))
+    return [*out, None, "", "a b c d", "a b c d e", "A B-C d\te", "é b c d e", long, long + " x", out[0]]
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.text(alphabet="aB9_ é-\n", max_size=60)), max_size=8))
+def test_shingles_equal_the_definition(texts):
+    got = []
+    for lo, hi, values, bounds in S.shingle_sets(pa.array(texts, pa.string())):
+        for i in range(hi - lo):
+            v = values[bounds[i] : bounds[i + 1]]
+            assert (np.diff(v.astype(np.int64)) > 0).all()
+            got.append(frozenset(v.tolist()))
+    want = [sets(t) for t in texts]
+    assert [len(g) for g in got] == [len(w) for w in want]
+    for i in range(len(texts)):
+        for j in range(i):
+            assert len(got[i] & got[j]) == len(want[i] & want[j])
+
+
+def test_chunks_and_long_texts_give_the_same_sets(monkeypatch):
+    texts = [t for t in corpus(3, 30)]
+    whole = [frozenset(v[b[i] : b[i + 1]].tolist()) for lo, hi, v, b in S.shingle_sets(pa.array(texts)) for i in range(hi - lo)]
+    monkeypatch.setattr(S, "CHUNK_BYTES", 97)
+    small = [frozenset(v[b[i] : b[i + 1]].tolist()) for lo, hi, v, b in S.shingle_sets(pa.array(texts)) for i in range(hi - lo)]
+    assert whole == small
+
+
+def test_masks_cover_the_radius():
+    """Whatever ``radius`` components differ, some table's mask leaves them all out."""
+    c = Covering(parts=3, width=3)
+    rnd = random.Random(0)
+    masks = [(p * c.width, m) for p in range(c.parts) for m in c.masks()]
+    for _ in range(500):
+        differ = set(rnd.sample(range(c.parts * c.width), c.radius))
+        assert any(all(first + i not in differ for i in range(c.width) if m >> i & 1) for first, m in masks)
+
+
+def frame(spark, texts):
+    rows = [(i + 1, t, "x", i % 3, 7.0) for i, t in enumerate(texts)]
+    return spark.createDataFrame([*rows, (None, texts[0], "y", 1, 1.0), (1, texts[0], "x", 0, 7.0)], "file_id bigint, content string, id string, rep int, links double")
+
+
+def test_near_duplicates_equal_brute_force(spark):
+    texts = corpus()
+    r = near_duplicates(frame(spark, texts), "file_id", "content", 0.6)
+    want = {(i + 1, j + 1) for i in range(len(texts)) for j in range(i + 1, len(texts)) if sim(texts[i], texts[j]) >= 0.6}
+    pairs = [(p["id_a"], p["id_b"]) for p in r.pairs().collect()]
+    assert set(pairs) == want and len(pairs) == len(want)
+    docs = {d["id"]: d for d in r.documents().collect()}
+    assert set(docs) == {i + 1 for i, t in enumerate(texts) if sets(t)}
+    assert docs[len(texts)]["class_id"] == 1 and docs[1]["copies"] >= 2
+
+
+def test_near_duplicates_of_nothing(spark):
+    for rows in ([], [(1, None)], [(1, ""), (2, "")]):
+        r = near_duplicates(spark.createDataFrame(rows, "file_id bigint, content string"), "file_id", "content")
+        assert r.pairs().count() == 0 and r.documents().count() == 0
+
+
+def test_same_result_for_any_partitioning(spark):
+    texts = corpus(5, 60)
+    df = frame(spark, texts)
+    out = [sorted(map(tuple, near_duplicates(df.repartition(n), "file_id", "content", 0.6).pairs().collect())) for n in (1, 4)]
+    assert out[0] == out[1]
+
+
+def test_hot_buckets_are_cut_into_blocks(spark):
+    rows = spark.createDataFrame([(1, i) for i in range(150)] + [(2, 5), (2, 6), (3, 9)], "k bigint, i bigint")
+    assert bucket_pairs(rows, "k", "i", block=16).count() == 150 * 149 // 2
+    sided = bucket_pairs(rows, "k", "i", left=F.col("i") < 10, block=16)
+    assert {(r["a"], r["b"]) for r in sided.collect()} == {(a, b) for a in range(10) for b in range(10, 150)}
+
+
+def test_bloom_lets_all_members_pass(spark):
+    df = spark.range(0, 100_000, 3)
+    b = build(df, "id", 33_334)
+    ids = np.arange(0, 300_000, dtype=np.uint64)
+    ok = b.might_hold(ids)
+    assert ok[:100_000:3].all() and ok[100_000:].mean() < 0.05
+
+
+def test_batches_against_history(spark):
+    texts = corpus(7, 60)
+    batch = [1 + (i * 7) % 5 for i in range(len(texts))]
+    rows = [(i + 1, batch[i], t) for i, t in enumerate(texts)]
+    want = {i + 1 for i, t in enumerate(texts) if any(batch[j] < batch[i] and sim(t, texts[j]) >= 0.6 for j in range(len(texts)))}
+    df = spark.createDataFrame([*rows, (None, 1, texts[0]), (999, None, texts[0])], "id bigint, batch int, text string")
+    all_texts = df.select("id", "text")
+    for cuts in (["batch IS NOT NULL OR batch IS NULL"], ["batch < 3", "batch IN (3, 4)", "batch = 5 OR batch IS NULL"]):
+        state = IncrementalDedup(spark, 0.6)
+        clusters = None
+        for c in cuts:
+            clusters = state.update_clusters(state.ingest(df.where(c), all_texts), clusters)
+        assert {r["id"] for r in state.not_new().collect()} == want | {999}
+        rep = {r["id"]: r["rep"] for r in clusters.collect()}
+        links = [(r["a"], r["b"]) for k in range(state.runs) for r in spark.read.parquet(f"{state.root}/links/run={k}").collect()]
+        assert links and all(rep[a] == rep[b] for a, b in links)
+    fields = df.select("id", F.length("text").alias("length"), F.lit("n").alias("name"), F.lit(None).cast("string").alias("package"))
+    assert state.scored(fields).count() == len(set(links))
+
+
+def test_nothing_new(spark):
+    t = " ".join(f"a{i}" for i in range(50))
+    files = spark.createDataFrame(
+        [(1, 1, "r1", "a.go", " SHA256:AA ", t), (2, 2, "r2", "b.go", None, t + " z"), (3, 2, "r3", "c.go", "bb", "q w e r t y"), (4, 3, "r4", "d.go", "cc", None), (5, 3, "r5", "e.go", None, ""), (6, None, None, None, None, None)],
+        "file_id bigint, batch int, repository_id string, relative_path string, sha256 string, content string",
+    )
+    owners = spark.createDataFrame([("BB", "r9", 1), ("bb", "r3", 0), ("aa", "r1", 0), ("ee", "r7", 0), (None, "r8", 0)], "sha256 string, repo_id string, batch int")
+    disc = spark.createDataFrame(
+        [("r4", "d.go", True, "x.go", None, None), ("r1", "a.go", False, "y.go", None, None), ("r5", "e.go", True, None, "sha256:EE", None), ("r5", "e.go", True, None, None, None)],
+        "repository_id string, relative_path string, accepted boolean, duplicate_of string, sha256 string, scanned_at timestamp",
+    )
+    assert {r["file_id"] for r in nothing_new(files, owners, disc).collect()} == {2, 3, 4, 5}
+    assert nothing_new(files.limit(0), owners.limit(0), disc.limit(0)).count() == 0
+
+
+def test_overlap_equals_brute_force(spark):
+    texts = corpus(11, 90)
+    split = ["train", "test", "Train ", "eval", None][0:]
+    rows = [(i + 1, t, split[i % 5], "r") for i, t in enumerate(texts)]
+    files = spark.createDataFrame(rows, "file_id bigint, content string, split string, repository_id string")
+    samples = spark.createDataFrame(
+        [("s1", "Return fmt.Errorf(abcdefghijklmnopqrstuvwxyz)", "train", "r"), ("s2", "return FMT.errorf(ABCDEFGHIJKLMNOPQRSTUVWXYZ) ", "val", "r"), ("s3", "short", "test", "r"), ("s4", "short", "train", "r"), ("s5", None, "test", None), (None, "return fmt.Errorf(abcdefghijklmnopqrstuvwxyz)", "test", "r")],
+        "sample_id string, target_text string, split string, repository_id string",
+    )
+    label = lambda s: {"eval": "validation"}.get((s or "").strip().lower(), (s or "").strip().lower())
+    train = [t for t, r in zip(texts, rows) if label(r[2]) == "train"]
+    want = {("corpus_files", str(r[0])) for r in rows if label(r[2]) in ("validation", "test") and any(sim(r[1], t) >= 0.6 for t in train)}
+    got = {(r["record_table"], r["record_key"]) for r in cross_split(files, samples, 0.6).collect()}
+    assert got == want | {("samples", "s2")}
+    assert equal_targets(samples.limit(0)).count() == 0
+    empty = spark.createDataFrame([], "id bigint, text string")
+    assert overlapping(empty, empty).count() == 0
+
+
+@pytest.mark.parametrize("s", [0.6, 0.7, 0.9])
+def test_miss_chance_of_the_defaults_is_small(s):
+    assert Covering().miss_chance(s) < 5e-6
