@@ -78,7 +78,7 @@ def realise(sized: DataFrame, budgets: dict[str, float], limits: dict[str, float
     it. A document of a source without budget has 0 uses; so has one without tokens. Sums are taken per source and
     block first, and only the one block in which a pass ends is ordered within.
     """
-    spark = sized.sparkSession
+    spark, sized = sized.sparkSession, sized.select(id_col, "source", F.coalesce(F.col("tokens").cast("bigint"), F.lit(0)).alias("tokens"))
     h = F.xxhash64(F.lit(seed), id_col)
     s = sized.withColumn("block", F.pmod(F.shiftrightunsigned(h, 40), F.lit(BLOCKS)).cast("int")).withColumn("place", h)
     cells = s.groupBy("source", "block").agg(F.sum("tokens").alias("tokens")).collect()  # sources * BLOCKS rows

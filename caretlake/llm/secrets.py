@@ -53,7 +53,7 @@ _ISSUED = [re.compile(p) for _, p in ISSUED]
 _SURE = r"(?:passwor[dt]|passwd|passphrase|passwort|kennwort|contrase[nñ]a|пароль|pwd)"
 _LIKE = r"(?:secret|token|api[_-]?key|apikey|access[_-]?key|auth[_-]?key|signing[_-]?key|private[_-]?key|encryption[_-]?key|client[_-]?secret|shared[_-]?key|account[_-]?key|credentials?|\.pass)"
 _LIT = r"(?:\"((?:[^\"\\\n]|\\.)*)\"|`([^`\n]*)`|'((?:[^'\\\n]|\\.)*)')"
-_ASSIGN = re.compile(rf"((?<![\w.-])[\w.-]*?(?:(?i:{_SURE})|(?i:{_LIKE}))\w*)[\"'\]]?(?:\s+string)?\s*(?:=|:=|:|,)\s*(?:\[\]byte\(|string\(|&|new\()?\s*{_LIT}")
+_ASSIGN = re.compile(rf"((?<![\w.-])[\w.-]{{0,160}}?(?:(?i:{_SURE})|(?i:{_LIKE}))\w{{0,80}})[\"'\]]?(?:\s+string)?\s*(?:=|:=|:|,)\s*(?:\[\]byte\(|string\(|&|new\()?\s*{_LIT}")
 _CALL = re.compile(rf"\.?\b(Set(?i:password|passphrase|secret|token|apikey|passwd)|With(?i:password|passphrase|secret|token|apikey))\(\s*(?:\[\]byte\()?{_LIT}")
 _TUPLE = re.compile(r"([\w.]+(?:\s*,\s*[\w.]+)+)\s*:?=\s*(\"(?:[^\"\\\n]|\\.)*\"(?:\s*,\s*\"(?:[^\"\\\n]|\\.)*\")+)")
 _STRING = re.compile(r"\"((?:[^\"\\\n]|\\.)*)\"")
@@ -70,8 +70,9 @@ _RUN = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}={0,2}")
 _SURE_NAME = re.compile(rf"(?i)(?:{_SURE}|\bpass$)")
 _LIKE_END = re.compile(r"(?i)(?:token|secret)\w{0,2}$")
 _FIELD_NAME = re.compile(rf"(?i)(?:{_SURE}|\bpass|secret|token|apikey)$")
-_PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2}|[\w.~:/?&=@+-])*(?:%[0-9A-Fa-f]{2}){2}(?:%[0-9A-Fa-f]{2}|[\w.~:/?&=@+-])*")
-_ESCAPED = re.compile(r"(?:\\x[0-9A-Fa-f]{2}|\\u[0-9A-Fa-f]{4}|\\[0-7]{3}|[^\s\"'`\\]){0,400}(?:\\x[0-9A-Fa-f]{2}|\\u[0-9A-Fa-f]{4}|\\[0-7]{3}){4}(?:\\x[0-9A-Fa-f]{2}|\\u[0-9A-Fa-f]{4}|\\[0-7]{3}|[^\s\"'`\\])*")
+_PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2}){2}")
+_ESCAPED = re.compile(r"(?:\\x[0-9A-Fa-f]{2}|\\u[0-9A-Fa-f]{4}|\\[0-7]{3}){4}")
+_URL_SIGN, _TEXT_SIGN = re.compile(r"[\w.~:/?&=@+%-]*"), re.compile(r"[^\s\"'`]*")
 _UNIT = re.compile(r"\\x([0-9A-Fa-f]{2})|\\u([0-9A-Fa-f]{4})|\\([0-7]{3})")
 _NONE = re.compile(
     r"(?i)^(?:[*x.•#_-]+|.*(?:\$\{|\$\(|\{\{|%\(|%[sdvq]\b|<[^>]*>|\.\.\.).*|\$\w+|%\w+%|.*(?:change_?-?me|replace_?-?me|example|placeholder|your[_-]|my[_-]?(?:password|secret|token)|todo|redacted|dummy|insert_|not-?set).*|"
@@ -176,15 +177,29 @@ def _layers(text: str, depth: int) -> Iterator[tuple[int, int, str]]:
             raw = _base64(s)
             if raw and (key_container(raw) or ((p := _printable(raw)) and _scan(p, depth + 1, True))):
                 yield m.start(), m.end(), "base64"
-    if text.count("%") > 2:
-        for m in _PERCENT.finditer(text):
-            if (p := _printable(unquote_to_bytes(m[0]))) and p != m[0] and _scan(p, depth + 1, True):
-                yield m.start(), m.end(), "percent"
-    if "\\x" in text or "\\u" in text or re.search(r"\\[0-7]{3}", text):
-        for m in _ESCAPED.finditer(text):
-            p = _UNIT.sub(lambda u: chr(int(u[1] or u[2], 16) if u[1] or u[2] else int(u[3], 8)), m[0])
-            if all(c.isprintable() for c in p) and _scan(p, depth + 1, True):
-                yield m.start(), m.end(), "escaped"
+    for seed, sign, kind in ((_PERCENT, _URL_SIGN, "percent"), (_ESCAPED, _TEXT_SIGN, "escaped")):
+        if ("%" if kind == "percent" else "\\") in text:
+            for start, end in _around(text, seed, sign):
+                s = text[start:end]
+                if kind == "percent":
+                    p = _printable(unquote_to_bytes(s))
+                else:
+                    p = _UNIT.sub(lambda u: chr(int(u[1] or u[2], 16) if u[1] or u[2] else int(u[3], 8) & 255), s)
+                    p = p if all(c.isprintable() for c in p) else None
+                if p and p != s and _scan(p, depth + 1, True):
+                    yield start, end, kind
+
+
+def _around(text: str, seed: re.Pattern, sign: re.Pattern) -> Iterator[tuple[int, int]]:
+    """Stretches of signs around each seed, in time that grows with the text."""
+    at = 0
+    while m := seed.search(text, at):
+        start = m.start()
+        while start > at and sign.fullmatch(text[start - 1]):
+            start -= 1
+        end = sign.match(text, m.end()).end()
+        yield start, end
+        at = max(end, m.end())
 
 
 def _lines_with(text: str, low: str) -> list[tuple[int, int]]:
