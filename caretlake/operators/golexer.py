@@ -109,16 +109,22 @@ def _composite(code: list[Token], i: int, stack: list[str]) -> bool:
         return bool(stack) and stack[-1] in ("composite", "call", "index") or prev.text != "{"
     if prev.kind != "ident" and prev.text not in ("]", "}"):
         return False
-    for k in range(i - 1, max(-1, i - 60), -1):
+    depth = 0
+    for k in range(i - 1, max(-1, i - 120), -1):  # back to where the statement starts
         t = code[k]
-        if t.kind == "keyword" and t.text in ("if", "for", "switch", "select", "func", "type", "interface", "struct"):
-            if t.text in ("struct", "interface") or t.text == "type":
+        if t.kind == "op" and t.text in (")", "]", "}"):
+            if t.text == "}" and depth == 0 and k < i - 1:
+                return True
+            depth += 1
+        elif t.kind == "op" and t.text in ("(", "[", "{"):
+            if depth == 0:
+                return True
+            depth -= 1
+        elif depth == 0 and t.kind == "keyword":
+            if t.text in ("if", "for", "switch", "select", "func", "struct", "interface", "type"):
                 return False
-            between = code[k:i]
-            depth = sum((x.text in "([{") - (x.text in ")]}") for x in between if x.kind == "op" and len(x.text) == 1)
-            return depth > 0
-        if t.kind == "op" and t.text in (";", "{", "}") or t.text in ("=", ":=", "return", ",", "("):
-            return True
+            if t.text not in ("map", "chan", "range"):
+                return True
     return True
 
 

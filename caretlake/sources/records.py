@@ -26,7 +26,7 @@ def salvage(spark: SparkSession, path: str) -> DataFrame:
 
     A file is read whole by one task, since what counts is the order of its lines; files stand beside each other.
     """
-    files = spark.read.option("wholetext", "true").text(path).select(F.input_file_name().alias("file"), "value")
+    files = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), "value")
     done = F.when(F.col("value").endswith("\n"), F.col("value")).otherwise(F.concat(F.expr("left(value, length(value) - length(substring_index(value, '\\n', -1)))")))
     lines = files.select("file", F.posexplode(F.split(done, "\n", -1)).alias("line", "value")).where("value <> ''")
     ok = F.try_parse_json("value").isNotNull()
