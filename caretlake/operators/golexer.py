@@ -14,6 +14,9 @@ from typing import NamedTuple
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from caretlake.functions.regexes import re2_to_java
+from caretlake.operators.discovery import LINE_SECRET
+
 KEYWORDS = frozenset("break case chan const continue default defer else fallthrough for func go goto if import interface map package range return select struct switch type var".split())
 # Operators and keywords after which a caret stands.
 AFTER_OPERATOR = frozenset("= := += -= *= /= %= &= |= ^= <<= >>= &^= == != < > <= >= && || <-".split())
@@ -205,9 +208,19 @@ class Caret(NamedTuple):
     priority: int
     seq: int
     reason: str | None
+    trivial: bool = False
+
+
+_SECRET = re.compile(re2_to_java(LINE_SECRET).replace(r"\z", r"\Z"))
+_TRIVIAL = frozenset("{}()[];,")
+
+
+def has_secret(line: str) -> bool:
+    """A literal given to a secret name, unless it is the name of a variable."""
+    return any(not re.fullmatch(r"[A-Z0-9_]*", m[3]) for m in _SECRET.finditer(line))
 
 
-def carets(src: str, prefix_max: int = 4, max_line: int = 240) -> tuple[list[Caret], list[tuple[int, str]]]:
+def carets(src: str, prefix_max: int = 4, max_line: int = 240, min_target: int = 1, max_target: int = 200) -> tuple[list[Caret], list[tuple[int, str]]]:
     """Candidates of one file (with the reason why the place is none, if so) and excluded lines (line, reason)."""
     tokens, _ = lex(src)
     code = [t for t in tokens if t.kind != "comment"]
@@ -328,29 +341,36 @@ def carets(src: str, prefix_max: int = 4, max_line: int = 240) -> tuple[list[Car
         for x in lits:  # places inside literals, to count what is left out
             if x.start + 1 <= le:
                 found.setdefault(x.start + 1, Caret(x.start + 1, ln, "probe", None, 98, 0, "probe_unclassified"))
+        secret = has_secret(body)
         for c in sorted(found.values()):
-            reason = None if c.kind != "probe" else c.reason
+            reason = None
+            target = src[c.offset : le].rstrip(" \t\x0b\x0c")
             if c.subkind != "template_body":
                 for x in lits:
                     if x.start < c.offset < x.end:
                         reason = {"comment": "in_comment", "raw": "in_raw_string", "string": "in_string", "char": "in_rune_literal"}[x.kind]
                 if reason is None and c.kind != "identifier_partial" and any(code[i].start < c.offset < code[i].end for i in toks if code[i].kind in ("ident", "number", "keyword", "op")):
                     reason = "caret_inside_token"
+            if reason is None and not target:
+                reason = "empty_target"
             if reason is None and any(w.start < le and w.end > c.offset and w.start >= c.offset for w in wide):
                 w = next(w for w in wide if w.start < le and w.end > c.offset and w.start >= c.offset)
                 reason = "raw_multiline_string" if w.kind == "raw" else "multiline_comment"
-            out.append(c._replace(reason=reason))
+            if reason is None:
+                n = len(target.encode("utf-16-le")) // 2
+                reason = "target_too_long" if n > max_target else "empty_target" if n < min_target else "secret_detected" if secret else c.reason
+            out.append(c._replace(reason=reason, trivial=_TRIVIAL.issuperset(target)))
     return out, excluded
 
 
 def caret_table(files: DataFrame, id_col: str = "file_id", content: str = "content") -> DataFrame:
-    """(id, line, byte_offset, line_start, kind, subkind, priority, seq, reason): one row per candidate and excluded line.
+    """(id, line, byte_offset, line_start, kind, subkind, priority, seq, reason, trivial): one row per candidate and excluded line.
 
     Excluded lines have kind ``line``. Offsets are bytes. A null content has no rows; a file that cannot be read as Go
     still gives what its tokens tell.
     """
     kind = files.schema[id_col].dataType.simpleString()
-    names = [id_col, "line", "byte_offset", "line_start", "kind", "subkind", "priority", "seq", "reason"]
+    names = [id_col, "line", "byte_offset", "line_start", "kind", "subkind", "priority", "seq", "reason", "trivial"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -368,16 +388,16 @@ def caret_table(files: DataFrame, id_col: str = "file_id", content: str = "conte
                 place = lambda p: p if wide is None else wide[p]
                 for c in found:
                     at.append(i)
-                    for col, v in zip(cols, (c.line, place(c.offset), place(starts[c.line]), c.kind, c.subkind, c.priority, c.seq, c.reason)):
+                    for col, v in zip(cols, (c.line, place(c.offset), place(starts[c.line]), c.kind, c.subkind, c.priority, c.seq, c.reason, c.trivial)):
                         col.append(v)
                 for ln, why in excluded:
                     at.append(i)
-                    for col, v in zip(cols, (ln, place(starts[ln]), place(starts[ln]), "line", None, 99, 0, why)):
+                    for col, v in zip(cols, (ln, place(starts[ln]), place(starts[ln]), "line", None, 99, 0, why, False)):
                         col.append(v)
-            types = [pa.int32(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int32(), pa.int32(), pa.string()]
+            types = [pa.int32(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int32(), pa.int32(), pa.string(), pa.bool_()]
             yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(at, pa.int64())), *(pa.array(c, t) for c, t in zip(cols, types))], names=names)
 
-    return files.select(id_col, content).mapInArrow(run, f"`{id_col}` {kind}, line int, byte_offset bigint, line_start bigint, kind string, subkind string, priority int, seq int, reason string")
+    return files.select(id_col, content).mapInArrow(run, f"`{id_col}` {kind}, line int, byte_offset bigint, line_start bigint, kind string, subkind string, priority int, seq int, reason string, trivial boolean")
 
 
 def build_matches(constraint: str, tags: frozenset[str] = frozenset({"linux", "amd64", "unix", "gc"})) -> bool:

@@ -18,7 +18,7 @@ def field_checks() -> dict[str, Column]:
     """Checks of a sample row alone."""
     c = F.col
     return {
-        "schema_version": c("schema_version") == "flc-sample/v1",
+        "schema_version": c("schema_version").rlike(r"sample/v1\z"),
         "language": c("language") == "go",
         "sample_id_format": c("sample_id").rlike(r"\A[0-9a-f]{32}\z"),
         "source_sha256_format": c("source_sha256").rlike(r"\A[0-9a-f]{64}\z"),

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from caretlake.plans import corpus_queries, reference_queries
+from caretlake.plans import corpus_queries, dataset_queries
 
-MODULES = [corpus_queries, reference_queries]
+MODULES = [corpus_queries, dataset_queries]
 
 
 def queries() -> dict:

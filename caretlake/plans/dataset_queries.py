@@ -13,8 +13,8 @@ from caretlake.functions.hashing import stable_id, uniform
 from caretlake.functions.regexes import any_of, globs, re2_to_java
 from caretlake.functions.text import first_units, last_units, line_table, newline_style, rtrim_hspace, slug, utf16_len
 from caretlake.operators import discovery as D
-from caretlake.operators import rendering, reports, sampling, selection, semantics, validation
-from caretlake.operators.golexer import PRIORITY, WEIGHTS, caret_table
+from caretlake.operators import extract, rendering, reports, sampling, selection, semantics, validation
+from caretlake.operators.golexer import WEIGHTS, caret_table
 from caretlake.operators.hashes import clean_hash
 from caretlake.session import table
 
@@ -249,20 +249,20 @@ def caret_candidates(spark, d):
 
 
 @query()
-def sampled_carets(spark, d):
-    """The whole chain: best candidate of a place, weights, caps of two a line and 300 a file."""
-    files = table(spark, d, "corpus_files")
-    c = caret_table(files).where("reason IS NULL AND kind <> 'line' AND kind <> 'probe'")
-    c = sampling.cap(c, ["file_id", "byte_offset"], [F.col("priority"), F.col("seq")], 1)
-    c = c.join(files.select("file_id", "sha256"), "file_id")
-    u = uniform(F.lit(str(sampling.SEED)), F.lit("caret"), F.coalesce(clean_hash(F.col("sha256")), F.lit("")), F.col("byte_offset").cast("string"))
-    c = sampling.keep_weighted(c, u, sampling.weight_of(F.col("kind"), WEIGHTS))
-    c = sampling.cap(c, ["file_id", "line"], [F.col("score"), F.col("byte_offset")], 2)
-    c = sampling.cap(c, ["file_id"], [F.col("score"), F.col("byte_offset")], 300)
-    return c.select("file_id", "line", "byte_offset", "kind", "subkind")
+def extracted_samples(spark, d):
+    """The whole chain from files to sample records."""
+    return extract.samples(table(spark, d, "corpus_files")).select("sample_id", "repository_id", "relative_path", "caret_byte_offset", "caret_kind", "caret_subkind", "target_text")
 
 
-_IMPORT = r'"([\w./-]+)"'
+@query()
+def extracted_checks(spark, d):
+    """Every record of the chain held against its file again: no check may fail."""
+    files = table(spark, d, "corpus_files")
+    s = extract.samples(files)
+    again = validation.reconstructed(s, files.where("content IS NOT NULL").withColumn("bom", F.lit(0)))
+    checks = {k: v for k, v in validation.field_checks().items() if k not in ("revision_format", "split")}
+    checks |= {c: F.col("file_" + c).eqNullSafe(F.col(t)) for c, t in (("target", "target_text"), ("left", "left_context"), ("right", "right_context"))}
+    return validation.report(again, checks)
 
 
 @query(r"""WITH i AS (SELECT file_id, unnest(regexp_extract_all(regexp_extract(content, '(?s)import \((.*?)\n\)', 1), '"([^"]+)"', 1)) AS path FROM corpus_files),
@@ -385,7 +385,6 @@ def context_windows(spark, d):
     return table(spark, d, "samples").select("sample_id", "extracted_at", last_units(F.col("left_context"), 100).alias("before"), first_units(F.col("right_context"), 40).alias("after"))
 
 
-_BYTES = "encode(content)"
 _RECON = """j AS (SELECT s.sample_id, s.extracted_at, s.target_text, s.left_context, s.right_context, encode(f.content) AS raw, CASE WHEN f.has_bom THEN 3 ELSE 0 END AS bom, caret_byte_offset AS a, target_end_byte_offset AS e, left_context_start_byte_offset AS l, right_context_end_byte_offset AS r
  FROM samples s JOIN corpus_files f USING (repository_id, relative_path) WHERE f.content IS NOT NULL)"""
 
@@ -595,9 +594,6 @@ def corpus_rows(spark, d):
     return f.select("file_id", F.octet_length("raw").cast("bigint").alias("size"), "hash", F.coalesce(clean_hash(F.col("sha256")) == F.col("hash"), F.lit(False)).alias("hash_ok"))
 
 
-_P = "[(0.50, 'p50'), (0.95, 'p95'), (0.99, 'p99'), (1.0, 'max')]"
-
-
 @query("""WITH r AS (SELECT event_type, value, row_number() OVER (PARTITION BY event_type ORDER BY value) - 1 AS i, count(*) OVER (PARTITION BY event_type) AS n FROM events WHERE value IS NOT NULL)
 SELECT event_type, max(n) AS rows, max(value) FILTER (i = floor(0.5 * (n - 1) + 0.5)) AS p50, max(value) FILTER (i = floor(0.95 * (n - 1) + 0.5)) AS p95, max(value) FILTER (i = floor(0.99 * (n - 1) + 0.5)) AS p99, max(value) AS max FROM r GROUP BY 1""")
 def value_percentiles(spark, d):
