@@ -20,14 +20,14 @@ SCHEMA_VERSION = "caretlake-sample/v1"
 def sampled_carets(files: DataFrame, cfg: Config = Config()) -> DataFrame:
     """(file_id, line, byte_offset, kind, subkind): what is kept of the candidates of each file.
 
-    In order: the best candidate of a place, the exclusions, the weights, the cap a line, the cap a file.
+    In order: the best candidate of a place and the exclusions (in the lexer), the weights, the cap a line, the cap a
+    file. Candidates are weighed where they are found, so that only the kept ones move to a cap.
     """
-    c = caret_table(files).where("kind <> 'line' AND kind <> 'probe'")
-    c = sampling.cap(c, ["file_id", "byte_offset"], [F.col("priority"), F.col("seq")], 1).where("reason IS NULL")
-    hashes = files.select("file_id", F.sha2(F.col("content").cast("binary"), 256).alias("source"))
+    hashed = files.withColumn("source", F.sha2(F.col("content").cast("binary"), 256))
+    c = caret_table(hashed, carry=["source"]).where("kind <> 'line' AND kind <> 'probe' AND reason IS NULL")
     u = uniform(F.lit(str(cfg.seed)), F.lit("caret"), F.col("source"), F.col("byte_offset").cast("string"))
     w = sampling.weight_of(F.col("kind"), cfg.sampling.weights) * F.when(F.col("trivial"), cfg.sampling.trivial_keep).otherwise(1.0)
-    c = sampling.keep_weighted(c.join(hashes, "file_id"), u, w)
+    c = sampling.keep_weighted(c, u, w).select("file_id", "line", "byte_offset", "kind", "subkind", "score")
     c = sampling.cap(c, ["file_id", "line"], [F.col("score"), F.col("byte_offset")], cfg.sampling.per_line)
     return sampling.cap(c, ["file_id"], [F.col("score"), F.col("byte_offset")], cfg.sampling.per_file).select("file_id", "line", "byte_offset", "kind", "subkind")
 

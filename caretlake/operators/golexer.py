@@ -223,6 +223,7 @@ def has_secret(line: str) -> bool:
 def carets(src: str, prefix_max: int = 4, max_line: int = 240, min_target: int = 1, max_target: int = 200) -> tuple[list[Caret], list[tuple[int, str]]]:
     """Candidates of one file (with the reason why the place is none, if so) and excluded lines (line, reason)."""
     tokens, _ = lex(src)
+    plain = src.isascii()
     code = [t for t in tokens if t.kind != "comment"]
     opens, inside = brackets(code)
     errors = _error_spans(code)
@@ -342,6 +343,7 @@ def carets(src: str, prefix_max: int = 4, max_line: int = 240, min_target: int =
             if x.start + 1 <= le:
                 found.setdefault(x.start + 1, Caret(x.start + 1, ln, "probe", None, 98, 0, "probe_unclassified"))
         secret = has_secret(body)
+        edges = {p for i in toks for p in (code[i].start, code[i].end)}
         for c in sorted(found.values()):
             reason = None
             target = src[c.offset : le].rstrip(" \t\x0b\x0c")
@@ -349,34 +351,35 @@ def carets(src: str, prefix_max: int = 4, max_line: int = 240, min_target: int =
                 for x in lits:
                     if x.start < c.offset < x.end:
                         reason = {"comment": "in_comment", "raw": "in_raw_string", "string": "in_string", "char": "in_rune_literal"}[x.kind]
-                if reason is None and c.kind != "identifier_partial" and any(code[i].start < c.offset < code[i].end for i in toks if code[i].kind in ("ident", "number", "keyword", "op")):
+                if reason is None and c.kind != "identifier_partial" and c.offset not in edges and any(code[i].start < c.offset < code[i].end for i in toks if code[i].kind in ("ident", "number", "keyword", "op")):
                     reason = "caret_inside_token"
             if reason is None and not target:
                 reason = "empty_target"
-            if reason is None and any(w.start < le and w.end > c.offset and w.start >= c.offset for w in wide):
+            if reason is None and wide and any(w.start < le and w.end > c.offset and w.start >= c.offset for w in wide):
                 w = next(w for w in wide if w.start < le and w.end > c.offset and w.start >= c.offset)
                 reason = "raw_multiline_string" if w.kind == "raw" else "multiline_comment"
             if reason is None:
-                n = len(target.encode("utf-16-le")) // 2
+                n = len(target) if plain else len(target.encode("utf-16-le")) // 2
                 reason = "target_too_long" if n > max_target else "empty_target" if n < min_target else "secret_detected" if secret else c.reason
-            out.append(c._replace(reason=reason, trivial=_TRIVIAL.issuperset(target)))
+            out.append(Caret(*c[:6], reason, _TRIVIAL.issuperset(target)))
     return out, excluded
 
 
-def caret_table(files: DataFrame, id_col: str = "file_id", content: str = "content") -> DataFrame:
-    """(id, line, byte_offset, line_start, kind, subkind, priority, seq, reason, trivial): one row per candidate and excluded line.
+def caret_table(files: DataFrame, id_col: str = "file_id", content: str = "content", carry: list[str] = ()) -> DataFrame:
+    """(id, *carry, line, byte_offset, line_start, kind, subkind, priority, seq, reason, trivial): one row per candidate and excluded line.
 
-    Excluded lines have kind ``line``. Offsets are bytes. A null content has no rows; a file that cannot be read as Go
+    Of several candidates at one place the one of the best priority stands, of equal ones the first. Excluded lines have
+    kind ``line``. Offsets are bytes. A null content has no rows; a file that cannot be read as Go
     still gives what its tokens tell.
     """
-    kind = files.schema[id_col].dataType.simpleString()
-    names = [id_col, "line", "byte_offset", "line_start", "kind", "subkind", "priority", "seq", "reason", "trivial"]
+    held = [files.schema[c] for c in (id_col, *carry)]
+    names = [*(f.name for f in held), "line", "byte_offset", "line_start", "kind", "subkind", "priority", "seq", "reason", "trivial"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            cols: list[list] = [[] for _ in names[1:]]
+            cols: list[list] = [[] for _ in names[len(held) :]]
             at = []
-            for i, src in enumerate(b.column(1).to_pylist()):
+            for i, src in enumerate(b.column(len(held)).to_pylist()):
                 if src is None:
                     continue
                 found, excluded = carets(src)
@@ -395,9 +398,11 @@ def caret_table(files: DataFrame, id_col: str = "file_id", content: str = "conte
                     for col, v in zip(cols, (ln, place(starts[ln]), place(starts[ln]), "line", None, 99, 0, why, False)):
                         col.append(v)
             types = [pa.int32(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int32(), pa.int32(), pa.string(), pa.bool_()]
-            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(at, pa.int64())), *(pa.array(c, t) for c, t in zip(cols, types))], names=names)
+            pick = pa.array(at, pa.int64())
+            yield pa.RecordBatch.from_arrays([*(b.column(k).take(pick) for k in range(len(held))), *(pa.array(c, t) for c, t in zip(cols, types))], names=names)
 
-    return files.select(id_col, content).mapInArrow(run, f"`{id_col}` {kind}, line int, byte_offset bigint, line_start bigint, kind string, subkind string, priority int, seq int, reason string, trivial boolean")
+    first = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in held)
+    return files.select(id_col, *carry, content).mapInArrow(run, f"{first}, line int, byte_offset bigint, line_start bigint, kind string, subkind string, priority int, seq int, reason string, trivial boolean")
 
 
 def build_matches(constraint: str, tags: frozenset[str] = frozenset({"linux", "amd64", "unix", "gc"})) -> bool:
