@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from caretlake.operators import shingles as S
-from caretlake.operators.rarity import slot
+from caretlake.operators.rarity import Rarity
 
 RARE_FROM, FULL_BELOW = 0.5, 0.8
 
@@ -71,11 +71,11 @@ class Covering:
         return out
 
 
-def sketch_keys(values: np.ndarray, bounds: np.ndarray, covering: Covering, levels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def sketch_keys(values: np.ndarray, bounds: np.ndarray, covering: Covering, rarity: Rarity) -> tuple[np.ndarray, np.ndarray]:
     """(row of each key, key): keys of the rare sketch, of the full one, or of both."""
     sizes = np.diff(bounds)
     row = np.repeat(np.arange(len(sizes)), sizes)
-    rare = levels[slot(values)] == 0
+    rare = rarity.rare(values)
     share = np.bincount(row[rare], minlength=len(sizes)) / np.maximum(sizes, 1)
     rows, keys = [], []
     for chosen, salt in ((rare & (share >= RARE_FROM)[row], 0), ((share < FULL_BELOW)[row], 0x5BD1E995)):
@@ -86,7 +86,7 @@ def sketch_keys(values: np.ndarray, bounds: np.ndarray, covering: Covering, leve
     return np.concatenate(rows), np.concatenate(keys)
 
 
-def covering_keys(df: DataFrame, text: str, covering: Covering, levels: np.ndarray, carry: list[str] = ()) -> DataFrame:
+def covering_keys(df: DataFrame, text: str, covering: Covering, rarity: Rarity, carry: list[str] = ()) -> DataFrame:
     """One row per text: ``cls`` (fingerprint of its shingle set, 0 if empty), ``n`` (its size), ``tables`` (keys).
 
     Equal sets within one task send their keys once: a hot group of copies costs a row per task and table.
@@ -94,7 +94,7 @@ def covering_keys(df: DataFrame, text: str, covering: Covering, levels: np.ndarr
     fields = [df.schema[c] for c in carry]
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in fields] + ["cls bigint", "n int", "tables array<bigint>"])
     carry = list(carry)
-    held = df.sparkSession.sparkContext.broadcast(levels)
+    held = df.sparkSession.sparkContext.broadcast(rarity)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()

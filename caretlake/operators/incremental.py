@@ -11,7 +11,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,7 +19,7 @@ from caretlake.operators.components import hash_to_min
 from caretlake.operators.covering import Covering, bucket_pairs, covering_keys
 from caretlake.operators.hashes import clean_hash, file_hashes
 from caretlake.operators.neardup import sets_of, sizes_fit, verified
-from caretlake.operators.rarity import rarity_levels
+from caretlake.operators.rarity import Rarity, rarity_of
 from caretlake.session import fresh_dir, materialise
 
 LINK_FIELDS = ("length", "name", "package")
@@ -35,7 +34,7 @@ class IncrementalDedup:
     covering: Covering = field(default_factory=Covering)
     root: str | None = None
     runs: int = 0
-    levels: np.ndarray | None = None
+    rarity: Rarity | None = None
 
     def __post_init__(self):
         self.root = self.root or fresh_dir(self.spark, "dedup-state")
@@ -50,10 +49,10 @@ class IncrementalDedup:
         as the latest. Rows may belong to several batches: who came first is decided by batch, not by call.
         """
         keys_at, members_at = (f"{self.root}/{n}/run={self.runs}" for n in ("keys", "members"))
-        if self.levels is None:  # of the first texts; keys of later ones must be made alike
-            self.levels = rarity_levels(new, "text")
+        if self.rarity is None:  # of the first texts; keys of later ones must be made alike
+            self.rarity = rarity_of(new, "text")
         named = new.where("id IS NOT NULL").select("id", F.coalesce("batch", F.lit(2**31 - 1)).alias("batch"), "text")
-        made = covering_keys(named, "text", self.covering, self.levels, ["id", "batch"])
+        made = covering_keys(named, "text", self.covering, self.rarity, ["id", "batch"])
         made = materialise(made.where("n > 0"), "new-keys")
         members = made.select("id", "batch", "cls", "n")
         members.write.parquet(members_at)

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from caretlake.operators import shingles as S
 from caretlake.operators.bloom import build
 from caretlake.operators.covering import Covering, bucket_pairs, covering_keys
-from caretlake.operators.rarity import rarity_levels
+from caretlake.operators.rarity import rarity_of
 from caretlake.session import materialise
 
 
@@ -93,7 +93,7 @@ def near_duplicates(df: DataFrame, id_col: str, text: str, threshold: float = 0.
     are not read. An empty table gives empty results.
     """
     docs = df.select(F.col(id_col).cast("bigint").alias("id"), F.col(text).alias("text")).where("id IS NOT NULL")
-    keys = materialise(covering_keys(docs, "text", covering, rarity_levels(docs, "text"), ["id"]).where("n > 0"), "covering-keys")
+    keys = materialise(covering_keys(docs, "text", covering, rarity_of(docs, "text"), ["id"]).where("n > 0"), "covering-keys")
     reps = keys.groupBy("cls").agg(F.min("id").alias("rep"))
     members = materialise(keys.select("id", "cls", "n").join(reps, "cls").groupBy("id").agg(F.first("rep").alias("rep"), F.first("n").alias("n"), F.first("cls").alias("cls")), "members")
     rows = keys.select("cls", F.explode("tables").alias("key"))

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -50,15 +49,5 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def drop_materialised(df: DataFrame) -> None:
-    """Delete the files behind a table of :func:`materialise` that is not needed any more."""
-    spark = df.sparkSession
-    for f in {os.path.dirname(x) for x in df.inputFiles()}:
-        if not f.startswith(work_dir(spark).split("://")[-1]) and work_dir(spark) not in f:
-            continue
-        path = spark._jvm.org.apache.hadoop.fs.Path(f)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -176,9 +176,16 @@ def test_overlap_equals_brute_force(spark):
     want = {("corpus_files", str(r[0])) for r in rows if label(r[2]) in ("validation", "test") and any(sim(r[1], t) >= 0.6 for t in train)}
     got = {(r["record_table"], r["record_key"]) for r in cross_split(files, samples, 0.6).collect()}
     assert got == want | {("samples", "s2")}
+    ids = lambda split: files.where(F.lower(F.trim("split")).isin(*split)).select(F.col("file_id").alias("id"), F.col("content").alias("text"))
+    counted = {r["id"]: r["links"] for r in overlapping(ids(["test", "eval"]), ids(["train"]), 0.6).collect()}
+    distinct = {frozenset(sets(t)) for t in train if sets(t)}
+    like = lambda a, b: len(a & b) / len(a | b) >= 0.6
+    assert counted == {int(k): sum(like(sets(texts[int(k) - 1]), b) for b in distinct) for _, k in want}
+    tried = {r["id"] for r in overlapping(ids(["test", "eval"]), ids(["train"]), 0.6, links=False, first_try=1).collect()}
+    assert tried == set(counted)
     assert equal_targets(samples.limit(0)).count() == 0
     empty = spark.createDataFrame([], "id bigint, text string")
-    assert overlapping(empty, empty).count() == 0
+    assert overlapping(empty, empty).count() == 0 and overlapping(empty, empty, links=False).count() == 0
 
 
 @pytest.mark.parametrize("s", [0.6, 0.7, 0.9])
