@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from caretlake.config import Config
 from caretlake.functions.hashing import stable_id, uniform
 from caretlake.functions.text import first_units, last_units, rtrim_hspace, utf16_len
-from caretlake.operators import sampling
+from caretlake.operators import gofiles, sampling
 from caretlake.operators.golexer import caret_table
 
 SCHEMA_VERSION = "caretlake-sample/v1"
@@ -48,7 +48,7 @@ def samples(files: DataFrame, cfg: Config = Config()) -> DataFrame:
     """
     f = files.select("file_id", "repository_id", "relative_path", "content").where("content IS NOT NULL")
     raw = f.select("file_id", "repository_id", "relative_path", F.col("content").cast("binary").alias("raw"), F.sha2(F.col("content").cast("binary"), 256).alias("source_sha256"))
-    j = sampled_carets(f, cfg).join(raw, "file_id")
+    j = sampled_carets(f, cfg).join(raw, "file_id").join(gofiles.file_facts(f), "file_id")
     o = F.col("byte_offset").cast("int")
     before = F.substr("raw", F.lit(1), o).cast("string")
     after = F.substr("raw", o + 1).cast("string")
@@ -63,11 +63,11 @@ def samples(files: DataFrame, cfg: Config = Config()) -> DataFrame:
     trimmed = F.trim(F.concat("head_", "line_"))
     s = s.withColumn("sample_id", stable_id("repository_id", "relative_path", "source_sha256", u0.cast("string"), (u0 + t_u).cast("string")))
     out = s.select(
-        F.lit(SCHEMA_VERSION).alias("schema_version"), "sample_id", F.lit("go").alias("language"), "file_id", "repository_id", "relative_path", "source_sha256", u0.alias("caret_utf16_offset"), F.col("byte_offset").alias("caret_byte_offset"),
+        F.lit(SCHEMA_VERSION).alias("schema_version"), "sample_id", F.lit("go").alias("language"), "file_id", "repository_id", "relative_path", "project", "package_name", "is_test", "build_constraint", "build_match", "source_sha256", u0.alias("caret_utf16_offset"), F.col("byte_offset").alias("caret_byte_offset"),
         F.col("line").alias("caret_line_zero_based"), units(F.col("head_")).alias("caret_column_utf16_zero_based"), F.octet_length("head_").alias("caret_column_byte_zero_based"),
         (u0 + t_u).alias("target_end_utf16_offset"), (F.col("byte_offset") + t_b).alias("target_end_byte_offset"), (u0 - units(F.col("head_"))).alias("line_start_utf16_offset"),
         (F.col("byte_offset") - size("head_")).alias("line_start_byte_offset"), (u0 + units(F.col("line_"))).alias("line_end_utf16_offset"), (F.col("byte_offset") + size("line_")).alias("line_end_byte_offset"),
-        F.col("kind").alias("caret_kind"), F.col("subkind").alias("caret_subkind"), (u0 - units(F.col("left_context"))).alias("left_context_start_utf16_offset"),
+        F.col("kind").alias("caret_kind"), F.col("subkind").alias("caret_subkind"), gofiles.tags(F.col("is_test"), F.col("build_match"), F.col("cgo"), F.col("kind"), F.concat("head_", "line_")).alias("tags"), (u0 - units(F.col("left_context"))).alias("left_context_start_utf16_offset"),
         (F.col("byte_offset") - size("left_context")).alias("left_context_start_byte_offset"), (F.length("left_context") < F.length("before_")).alias("left_context_truncated"), "left_context", "target_text", "right_context",
         (u0 + t_u + units(F.col("right_context"))).alias("right_context_end_utf16_offset"), (F.col("byte_offset") + t_b + size("right_context")).alias("right_context_end_byte_offset"),
         (F.length("right_context") < F.length("right_")).alias("right_context_truncated"), F.col("eol_").alias("end_of_line"), F.regexp_extract("head_", "\\A[ \\t\\x0B\\f]*", 0).alias("indentation"),

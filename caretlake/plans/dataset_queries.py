@@ -13,7 +13,7 @@ from caretlake.functions.hashing import stable_id, uniform
 from caretlake.functions.regexes import any_of, globs, re2_to_java
 from caretlake.functions.text import first_units, last_units, line_table, newline_style, rtrim_hspace, slug, utf16_len
 from caretlake.operators import discovery as D
-from caretlake.operators import extract, rendering, reports, sampling, selection, semantics, validation
+from caretlake.operators import extract, gofiles, rendering, reports, sampling, selection, semantics, validation
 from caretlake.operators.golexer import WEIGHTS, caret_table
 from caretlake.operators.hashes import clean_hash
 from caretlake.session import table
@@ -278,6 +278,26 @@ def import_names(spark, d):
     return i.select("file_id", "path", name.alias("name"))
 
 
+@query(r"""SELECT file_id, nullif(regexp_extract(content, '(?m)^[ \t]*package[ \t]+([A-Za-z_][A-Za-z0-9_]*)', 1), '') AS package_name, CASE WHEN contains(relative_path, '/') THEN regexp_replace(relative_path, '/[^/]*$', '') ELSE '.' END AS project,
+nullif(regexp_extract(string_split(content, chr(10) || 'package ')[1], '(?m)^(//go:build [^\r\n]*)', 1), '') AS build_constraint, coalesce(regexp_matches(content, '(?m)^[ \t]*(?:import[ \t]+)?"C"[ \t]*\r?$'), false) AS cgo,
+regexp_matches(relative_path, '^(?:[^/]+/)*[^/]*_test\.go$') AS is_test FROM corpus_files""")
+def file_facts(spark, d):
+    """Package, project, build constraint, cgo and test of every file (the data has no legacy constraints)."""
+    return gofiles.file_facts(table(spark, d, "corpus_files")).drop("build_match")
+
+
+@query("SELECT is_test, build_match, count(*) AS rows FROM corpus_files GROUP BY ALL")
+def build_counters(spark, d):
+    return reports.count_by(table(spark, d, "corpus_files"), "is_test", "build_match")
+
+
+@query("SELECT caret_kind, sample_id FROM (SELECT caret_kind, sample_id, row_number() OVER (PARTITION BY caret_kind ORDER BY length(target_text) DESC, sample_id) AS k FROM (SELECT DISTINCT caret_kind, sample_id, target_text FROM samples WHERE NOT is_test)) WHERE k = 1")
+def pilot_pick(spark, d):
+    """The first of each kind under a condition, by a total order."""
+    s = table(spark, d, "samples").where("NOT is_test").select("caret_kind", "sample_id", F.length("target_text").alias("n")).distinct()
+    return sampling.cap(s, ["caret_kind"], [F.desc("n"), F.col("sample_id")], 1).select("caret_kind", "sample_id")
+
+
 # ---- samples --------------------------------------------------------------------------------------------------------
 
 

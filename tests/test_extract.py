@@ -56,3 +56,13 @@ def test_plans_stay_in_the_jvm(spark):
 
     plan = D.decide(files(spark).select("repository_id", "relative_path", "content"))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_file_facts(spark):
+    from caretlake.operators import gofiles
+
+    rows = [(1, "a/x_windows.go", "package a\n"), (2, "x_test.go", "//go:build linux && !cgo\n\npackage b\n"), (3, "d/x_linux_arm64.go", "package c\n"), (4, "y.go", '// +build darwin\n\npackage d\n\nimport "C"\n'), (5, "z_amd64_test.go", None), (6, None, "package e"), (7, "linux.go", "package f\n// //go:build windows\n")]
+    got = {r["file_id"]: tuple(r)[1:] for r in gofiles.file_facts(spark.createDataFrame(rows, "file_id bigint, relative_path string, content string")).collect()}
+    assert got[1] == ("a", "a", None, False, False, False) and got[2] == ("b", ".", "//go:build linux && !cgo", True, False, True) and got[3][3] is False
+    assert got[4][2:5] == ("// +build darwin", False, True) and got[5] == (None, ".", None, True, False, True) and got[6][0] == "e" and got[7][2:4] == (None, True)
+    assert gofiles.name_matches("a_linux_test.go") and not gofiles.name_matches("a_arm64.go") and gofiles.name_matches("linux.go") and gofiles.name_matches("a_b_amd64.go")
