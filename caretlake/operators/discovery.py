@@ -59,26 +59,47 @@ def path_reason(path: Column, size: Column, cfg: FilterConfig) -> Column:
     )
 
 
-def content_reason(raw: Column, cfg: FilterConfig, licence: Column | None = None) -> Column:
-    """Reasons of the bytes of a file, in order, after those of its path."""
-    head = F.hex(F.substring(raw, 1, 3))
+#: What a text must hold for a default pattern to be able to match; the patterns are tried only then.
+SECRET_SIGNS = ["PRIVATE KEY-----", "AKIA", "ghp_", "gho_", "ghu_", "ghs_", "ghr_", "github_pat_", "xox", "sk_live_", "AIza", "eyJ"]
+
+
+def _may_hold(c: Column, signs: list[str]) -> Column:
+    out = F.lit(False)
+    for s in signs:
+        out = out | c.contains(s)
+    return out
+
+
+def body_of(raw: Column) -> Column:
+    """The text of a file without byte order mark; null if it is not UTF-8."""
     text = F.when(F.is_valid_utf8(raw.cast("string")), raw.cast("string"))
-    body = F.when(head == "EFBBBF", F.substring(text, 2, 2**31 - 1)).otherwise(text)
+    return F.when(text.startswith("\ufeff"), F.substring(text, 2, 2**31 - 1)).otherwise(text)
+
+
+def content_reason(raw: Column, body: Column, cfg: FilterConfig, licence: Column | None = None) -> Column:
+    """Reasons of the bytes of a file and its text (``body_of``), in order, after those of its path."""
+    head = F.hex(F.substring(raw, 1, 2))
     longest = F.array_max(F.transform(F.split(body, "\n", -1), lambda x: F.octet_length(x) - F.when(x.endswith("\r"), 1).otherwise(0)))
     comments = F.regexp_extract(body, r"^((?:[ \t\r\n]|//[^\n]*\n|/\*(?:[^*]|\*(?!/))*+\*/)*+)package[ \t]", 1)
     strict = matches(F.concat(F.lit("\n"), comments), r"\n// Code generated [^\n]* DO NOT EDIT\.\r?\n")
-    first = F.substring(raw, 1, cfg.marker_bytes)
-    first = F.when(F.is_valid_utf8(first.cast("string")), first.cast("string")).otherwise(F.substring(body, 1, cfg.marker_bytes))
+    first = F.substring(raw, 1, cfg.marker_bytes).cast("string")
+    first = F.when(F.is_valid_utf8(first), first).otherwise(F.substring(body, 1, cfg.marker_bytes))
+    marked = strict | matches(first, any_of(cfg.markers))
+    secret = matches(body, any_of(cfg.secrets))
+    if cfg.markers == MARKERS:
+        marked = F.contains(F.lower(body), F.lit("generated")) & marked
+    if cfg.secrets == SECRETS:
+        secret = (_may_hold(body, SECRET_SIGNS) | F.contains(F.lower(body), F.lit("accountkey="))) & secret
     out = (
-        F.when(head.startswith("FFFE") | head.startswith("FEFF"), "utf16_encoding")
-        .when(F.contains(raw, F.lit(b"\x00")), "binary_nul").when(text.isNull(), "invalid_utf8")
-        .when(body.rlike(r"\r(?!\n|\z)|\r\r\n"), "lone_cr").when(F.length(F.regexp_replace(body, r"[\s\u0085   ]+", "")) == 0, "empty")
+        F.when(head.isin("FFFE", "FEFF"), "utf16_encoding")
+        .when(F.contains(raw, F.lit(b"\x00")), "binary_nul").when(body.isNull(), "invalid_utf8")
+        .when(body.contains("\r") & body.rlike(r"\r(?!\n|\z)|\r\r\n"), "lone_cr").when(~body.rlike(r"[^\s\u0085\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"), "empty")
         .when(~matches(body, r"(?m)^[ \t]*package[ \t]+[\p{L}_][\p{L}\p{N}_]*"), "invalid_package_clause")
-        .when(strict | matches(first, any_of(cfg.markers)), "generated_marker").when(longest > cfg.max_line, "long_lines")
+        .when(marked, "generated_marker").when(longest > cfg.max_line, "long_lines")
     )
     if cfg.allowed is not None and licence is not None:
         out = out.when(~F.coalesce(licence.isin(cfg.allowed), F.lit(False)), "license_not_allowed")
-    return out.when(matches(body, any_of(cfg.secrets)), "secret_detected")
+    return out.when(secret, "secret_detected")
 
 
 def secret_detail(text: Column, patterns: list[str] = SECRETS) -> Column:
@@ -95,9 +116,13 @@ def decide(files: DataFrame, cfg: FilterConfig = FilterConfig(), repo: str = "re
     Among the files of a repository that have no other reason, all but the first path of equal content are exact
     duplicates of it. Only hashes travel to that window, never contents. A null content is ``unreadable``.
     """
-    raw = F.col(content).cast("binary")
-    reason = F.coalesce(F.when(raw.isNull(), "unreadable"), path_reason(F.col(path), F.octet_length(raw), cfg), content_reason(raw, cfg, F.col(licence) if licence else None))
-    d = files.withColumn("sha256_", F.sha2(raw, 256)).withColumn("reason_", reason).withColumn("bytes_", F.octet_length(raw)).drop(content, "sha256", "bytes")
+    keep = [c for c in files.columns if c not in (content, "sha256", "bytes")]
+    d = files.select(*keep, F.col(content).cast("binary").alias("raw_"))
+    raw = F.col("raw_")
+    d = d.withColumn("path_", F.when(raw.isNull(), "unreadable").otherwise(path_reason(F.col(path), F.octet_length(raw), cfg)))
+    d = d.withColumn("body_", F.when(F.col("path_").isNull(), body_of(raw)))  # its own column, so that it is made once
+    held = F.when(F.col("path_").isNull(), content_reason(raw, F.col("body_"), cfg, F.col(licence) if licence else None))
+    d = d.select(*keep, F.coalesce("path_", held).alias("reason_"), F.sha2(raw, 256).alias("sha256_"), F.octet_length(raw).alias("bytes_"))
     live = F.when(F.col("reason_").isNull(), F.col("sha256_"))
     w = Window.partitionBy(repo, live).orderBy(path)
     d = d.withColumn("first_", F.when(live.isNotNull(), F.first(path).over(w)))
