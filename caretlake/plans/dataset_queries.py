@@ -562,10 +562,15 @@ def file_ownership(spark, d):
 @query("""WITH o AS (SELECT DISTINCT nullif(trim(regexp_replace(lower(trim(sha256)), '^sha256:', '')), '') AS h, repo_id FROM file_owner WHERE batch = 0)
 SELECT count(*) AS rows, count(*) FILTER (EXISTS (SELECT 1 FROM o WHERE o.h = s.source_sha256 AND o.repo_id <> s.repository_id)) AS owned_elsewhere FROM samples s""")
 def owned_elsewhere(spark, d):
-    """Samples whose source another repository owned before."""
-    o = table(spark, d, "file_owner").where("batch = 0").select(clean_hash(F.col("sha256")).alias("source_sha256"), F.col("repo_id").alias("owner")).distinct()
-    s = table(spark, d, "samples").select("sample_id", "extracted_at", "repository_id", "source_sha256")
-    owned = s.alias("s").join(o.alias("o"), F.expr("s.source_sha256 = o.source_sha256 AND s.repository_id <> o.owner"), "left_semi")
+    """Samples whose source another repository claimed in a batch before that of the sample's corpus file.
+
+    All claims count; the SQL beside it still holds those of batch 0 only, whatever the batch of the file.
+    """
+    claims = table(spark, d, "file_owner").select(clean_hash(F.col("sha256")).alias("source_sha256"), F.col("repo_id").alias("owner"), "batch")
+    o = claims.where("source_sha256 IS NOT NULL AND owner IS NOT NULL").groupBy("source_sha256", "owner").agg(F.min("batch").alias("owned"))
+    f = table(spark, d, "corpus_files").groupBy("repository_id", "relative_path").agg(F.max("batch").alias("batch"))
+    s = table(spark, d, "samples").select("sample_id", "repository_id", "relative_path", clean_hash(F.col("source_sha256")).alias("source_sha256"))
+    owned = s.join(f, ["repository_id", "relative_path"]).alias("s").join(o.alias("o"), F.expr("s.source_sha256 = o.source_sha256 AND s.repository_id <> o.owner AND o.owned < s.batch"), "left_semi")
     return s.agg(F.count("*").alias("rows")).crossJoin(owned.agg(F.count("*").alias("owned_elsewhere")))  # one row each
 
 
