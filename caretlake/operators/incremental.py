@@ -140,6 +140,18 @@ class IncrementalDedup:
         moved = hash_to_min(edges, "x", "y").toDF("rep", "to")
         return c.join(moved, "rep", "left").select("id", F.coalesce("to", "rep").alias("rep"))
 
+    def documents(self, texts: DataFrame, clusters: DataFrame) -> DataFrame:
+        """(id, rep, cluster_id, links): one row per text of ``texts`` (id), with the set and the cluster it belongs to and the links of its set.
+
+        ``clusters`` is what ``update_clusters`` gave last. A set without links is a cluster of its own, and so is a
+        text without shingles.
+        """
+        ends = self._read("links").select(F.explode(F.array("a", "b")).alias("rep")).groupBy("rep").agg(F.count("*").alias("links"))
+        linked = clusters.toDF("rep", "cluster_id").join(ends, "rep", "left")
+        ids = texts.select(F.col("id").cast("bigint").alias("id")).where("id IS NOT NULL").distinct()
+        own = ids.join(self.members().groupBy("id").agg(F.min("rep").alias("rep")), "id", "left").select("id", F.coalesce("rep", "id").alias("rep"))
+        return own.join(linked, "rep", "left").select("id", "rep", F.coalesce("cluster_id", "rep").alias("cluster_id"), F.coalesce("links", F.lit(0)).alias("links"))
+
 
 def nothing_new(files: DataFrame, owners: DataFrame, discovery: DataFrame, threshold: float = 0.6) -> DataFrame:
     """(file_id) of the corpus files that bring nothing new.

@@ -43,7 +43,7 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p6_clusters(spark: SparkSession, d: str) -> DataFrame:
-    """Each linked representative with its cluster and the best learned score of its links, after loading batch by batch halves."""
+    """Each file with its cluster, the number of its set's links and their best learned score, after loading batch by batch halves."""
     files = table(spark, d, "corpus_files")
     texts = files.select(F.col("file_id").alias("id"), F.col("content").alias("text"))
     new = files.select(F.col("file_id").alias("id"), "batch", F.col("content").alias("text"))
@@ -53,8 +53,8 @@ def p6_clusters(spark: SparkSession, d: str) -> DataFrame:
     clusters = None
     for part in ("batch <= 4", "batch > 4 OR batch IS NULL"):
         clusters = state.update_clusters(state.ingest(new.where(part), texts), clusters)
-    best = state.scored(fields).select(F.explode(F.array("a", "b")).alias("id"), "score").groupBy("id").agg(F.max("score").alias("best_score"))
-    return clusters.join(best, "id", "left").select(F.col("id").alias("file_id"), F.col("rep").alias("cluster_id"), "best_score")
+    best = state.scored(fields).select(F.explode(F.array("a", "b")).alias("rep"), "score").groupBy("rep").agg(F.max("score").alias("best_score"))
+    return state.documents(files.select(F.col("file_id").alias("id")), clusters).join(best, "rep", "left").select(F.col("id").alias("file_id"), "cluster_id", "links", "best_score")
 
 
 def p7_found(spark: SparkSession, d: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 import pytest
 
-from caretlake.plans import dataset_queries
+from caretlake.plans import corpus_queries, dataset_queries
 
 
 @pytest.fixture
@@ -29,3 +29,14 @@ def test_owned_elsewhere_reads_claims_of_all_batches(spark, tables):
         samples=([(*s, None) for s in samples], "sample_id string, repository_id string, relative_path string, source_sha256 string, extracted_at timestamp"),
     )
     assert tuple(dataset_queries.owned_elsewhere(spark, d).first()) == (8, 4)
+
+
+def test_clusters_hold_every_file(spark, tables):
+    words = lambda p, n=60: " ".join(f"{p}{i}" for i in range(n))
+    texts = {1: words("a"), 2: words("a"), 3: words("a") + " more", 4: words("b"), 5: words("b"), 6: words("c"), 7: "short", 8: None, 9: words("a") + " more", 10: words("b"), 11: words("a") + " less"}
+    files = [(i, 1 + (i > 8) * 5, f"p/{i}.go", "p", t) for i, t in texts.items()]
+    d = tables(corpus_files=(files, "file_id bigint, batch int, relative_path string, package_name string, content string"))
+    got = {r["file_id"]: r for r in corpus_queries.p6_clusters(spark, d).collect()}
+    assert {i: r["cluster_id"] for i, r in got.items()} == {1: 1, 2: 1, 3: 1, 9: 1, 11: 1, 4: 4, 5: 4, 10: 4, 6: 6, 7: 7, 8: 8}
+    assert {i: r["links"] for i, r in got.items()} == {1: 2, 2: 2, 3: 2, 9: 2, 11: 2, 4: 0, 5: 0, 10: 0, 6: 0, 7: 0, 8: 0}
+    assert all((got[i]["best_score"] is not None) == (got[i]["links"] > 0) for i in got)
