@@ -18,7 +18,7 @@ SCHEMA_VERSION = "caretlake-sample/v1"
 
 
 def sampled_carets(files: DataFrame, cfg: Config = Config()) -> DataFrame:
-    """(file_id, line, byte_offset, kind, subkind): what is kept of the candidates of each file.
+    """(file_id, line, byte_offset, kind, subkind, syntax_errors): what is kept of the candidates of each file.
 
     In order: the best candidate of a place and the exclusions (in the lexer), the weights, the cap a line, the cap a
     file. Candidates are weighed where they are found, so that only the kept ones move to a cap.
@@ -27,15 +27,15 @@ def sampled_carets(files: DataFrame, cfg: Config = Config()) -> DataFrame:
     c = caret_table(hashed, carry=["source"]).where("kind <> 'line' AND kind <> 'probe' AND reason IS NULL")
     u = uniform(F.lit(str(cfg.seed)), F.lit("caret"), F.col("source"), F.col("byte_offset").cast("string"))
     w = sampling.weight_of(F.col("kind"), cfg.sampling.weights) * F.when(F.col("trivial"), cfg.sampling.trivial_keep).otherwise(1.0)
-    c = sampling.keep_weighted(c, u, w).select("file_id", "line", "byte_offset", "kind", "subkind", "score")
+    c = sampling.keep_weighted(c, u, w).select("file_id", "line", "byte_offset", "kind", "subkind", "syntax_errors", "score")
     c = sampling.cap(c, ["file_id", "line"], [F.col("score"), F.col("byte_offset")], cfg.sampling.per_line)
-    return sampling.cap(c, ["file_id"], [F.col("score"), F.col("byte_offset")], cfg.sampling.per_file).select("file_id", "line", "byte_offset", "kind", "subkind")
+    return sampling.cap(c, ["file_id"], [F.col("score"), F.col("byte_offset")], cfg.sampling.per_file).select("file_id", "line", "byte_offset", "kind", "subkind", "syntax_errors")
 
 
-def flags(target: Column, rest: Column) -> Column:
+def flags(target: Column, rest: Column, syntax_errors: Column) -> Column:
     found = F.array(
         F.when(target.rlike(r"\A[{}()\[\];,]*\z"), "trivial_target"), F.when(target.rlike(r"\A[ \t\x0B\f]"), "target_starts_with_whitespace"), F.when(target.rlike(r"\A[)\]}]"), "target_starts_with_closer"),
-        F.when(F.length(rest) > F.length(target), "trailing_whitespace"), F.when(target.contains("//") | target.contains("/*"), "target_has_comment"), F.when(target.rlike(r"[^\x00-\x7F]"), "non_ascii_target"),
+        F.when(F.length(rest) > F.length(target), "trailing_whitespace"), F.when(target.contains("//") | target.contains("/*"), "target_has_comment"), F.when(syntax_errors, "file_has_syntax_errors"), F.when(target.rlike(r"[^\x00-\x7F]"), "non_ascii_target"),
     )
     return F.filter(found, lambda x: x.isNotNull())
 
@@ -71,7 +71,7 @@ def samples(files: DataFrame, cfg: Config = Config()) -> DataFrame:
         (F.col("byte_offset") - size("left_context")).alias("left_context_start_byte_offset"), (F.length("left_context") < F.length("before_")).alias("left_context_truncated"), "left_context", "target_text", "right_context",
         (u0 + t_u + units(F.col("right_context"))).alias("right_context_end_utf16_offset"), (F.col("byte_offset") + t_b + size("right_context")).alias("right_context_end_byte_offset"),
         (F.length("right_context") < F.length("right_")).alias("right_context_truncated"), F.col("eol_").alias("end_of_line"), F.regexp_extract("head_", "\\A[ \\t\\x0B\\f]*", 0).alias("indentation"),
-        flags(F.col("target_text"), F.col("line_")).alias("quality_flags"), F.sha2(F.concat(trimmed, F.lit("\x1f"), F.length(F.ltrim("head_")).cast("string")), 256).alias("key_"),
+        flags(F.col("target_text"), F.col("line_"), F.col("syntax_errors")).alias("quality_flags"), F.sha2(F.concat(trimmed, F.lit("\x1f"), F.length(F.ltrim("head_")).cast("string")), 256).alias("key_"),
     )
     # The window sees ids and hashes only; survivors are joined back.
     first = sampling.first_wins(out.select("sample_id", "repository_id", "relative_path", "caret_byte_offset", "key_"), ["repository_id", "key_"], [F.col("relative_path"), F.col("caret_byte_offset"), F.col("sample_id")])

@@ -96,7 +96,7 @@ def brackets(code: list[Token]) -> tuple[list[str], list[str]]:
 
 def _receiver(code: list[Token], close: int) -> bool:
     depth = 0
-    for k in range(close, max(-1, close - 12), -1):
+    for k in range(close, -1, -1):
         depth += (code[k].text == ")") - (code[k].text == "(")
         if depth == 0:
             return k > 0 and code[k - 1].text == "func"
@@ -113,7 +113,7 @@ def _composite(code: list[Token], i: int, stack: list[str]) -> bool:
     if prev.kind != "ident" and prev.text not in ("]", "}"):
         return False
     depth = 0
-    for k in range(i - 1, max(-1, i - 120), -1):  # back to where the statement starts
+    for k in range(i - 1, -1, -1):  # back to where the statement starts
         t = code[k]
         if t.kind == "op" and t.text in (")", "]", "}"):
             if t.text == "}" and depth == 0 and k < i - 1:
@@ -131,7 +131,51 @@ def _composite(code: list[Token], i: int, stack: list[str]) -> bool:
     return True
 
 
-def statement_kind(code: list[Token], i: int, inside: str) -> str:
+def pairs(code: list[Token]) -> tuple[dict[int, int], list[int]]:
+    """The place of the bracket that closes each opening one, and for each token the place of the innermost open one (-1 if none)."""
+    close, parent, stack = {}, [], []
+    for i, t in enumerate(code):
+        if t.kind == "op" and t.text in (")", "]", "}") and stack:
+            close[stack.pop()] = i
+        parent.append(stack[-1] if stack else -1)
+        if t.kind == "op" and t.text in ("(", "[", "{"):
+            stack.append(i)
+    return close, parent
+
+
+def line_breaks(src: str, code: list[Token]) -> list[bool]:
+    """For each token whether a statement ends with it: the language puts a semicolon at such line ends."""
+    ends = lambda t: t.text in (")", "]", "}", "++", "--", "break", "continue", "fallthrough", "return") if t.kind in ("op", "keyword") else True
+    return [ends(t) and "\n" in src[t.end : code[i + 1].start if i + 1 < len(code) else len(src)] for i, t in enumerate(code)]
+
+
+def body_of(code: list[Token], close: dict[int, int], i: int) -> int:
+    """The place of the brace that opens the body of the statement or function literal at ``i`` (-1 if there is none)."""
+    k, literal = i + 1, False
+    while k < len(code):
+        t = code[k]
+        if t.kind == "keyword" and t.text == "func":
+            literal = True
+        elif t.kind == "op":
+            if t.text in (")", "]", "}") or code[i].text == "func" and t.text not in ("(", "[", "{", "*", ".", "<-"):
+                return -1
+            if t.text == "{":
+                q = k - 1
+                while q > i + 1 and code[q].kind == "ident" and code[q - 1].text == ".":
+                    q -= 2
+                typed = code[i].text != "func" and code[q].kind == "ident" and code[q - 1].text == "]"
+                if not literal and not typed and code[k - 1].text not in ("struct", "interface"):
+                    return k
+                literal = literal and code[k - 1].text in ("struct", "interface")
+            if t.text in ("(", "[", "{"):
+                if k not in close:
+                    return -1
+                k = close[k]
+        k += 1
+    return -1
+
+
+def statement_kind(code: list[Token], i: int, inside: str, close: dict[int, int], breaks: list[bool]) -> str:
     """Kind of the statement that starts with token ``i``."""
     t = code[i]
     nxt = code[i + 1] if i + 1 < len(code) else None
@@ -147,7 +191,7 @@ def statement_kind(code: list[Token], i: int, inside: str) -> str:
             "go": "go", "defer": "defer", "return": "return", "if": "if", "for": "for", "switch": "switch", "select": "select", "case": "case", "default": "case", "package": "package",
             "var": "var_decl", "const": "const_decl", "type": "type_decl", "import": "import_decl", "else": "else",
         }
-        if t.text == "for" and any(x.text == "range" for x in code[i : i + 8]):
+        if t.text == "for" and _has_range(code, close, i):
             return "range_for"
         return named.get(t.text, "branch" if t.text in ("break", "continue", "goto", "fallthrough") else "local_decl")
     if inside in ("call", "params"):
@@ -158,48 +202,82 @@ def statement_kind(code: list[Token], i: int, inside: str) -> str:
         return "import_spec"
     if nxt and nxt.text == ":" and inside == "block":
         return "label"
-    depth = 0
-    for k in range(i, min(i + 40, len(code))):
+    k = i
+    while k < len(code):
         x = code[k]
         if x.kind == "op":
-            if depth == 0:
-                if x.text == ":=":
-                    return "short_var_decl"
-                if x.text in AFTER_OPERATOR and (x.text.endswith("=") and x.text not in ("==", "!=", "<=", ">=")):
-                    return "assignment" if inside in ("block", "") else "value_spec"
-                if x.text in ("++", "--"):
-                    return "inc_dec"
-                if x.text == "<-" and k > i:
-                    return "send"
-            depth += (x.text in ("(", "[", "{")) - (x.text in (")", "]", "}"))
-            if depth < 0 or x.text in (";", "{", "}"):
+            if x.text == ":=":
+                return "short_var_decl"
+            if x.text in AFTER_OPERATOR and (x.text.endswith("=") and x.text not in ("==", "!=", "<=", ">=")):
+                return "assignment" if inside in ("block", "") else "value_spec"
+            if x.text in ("++", "--"):
+                return "inc_dec"
+            if x.text == "<-" and k > i:
+                return "send"
+            if x.text in (";", ")", "]", "}"):
                 break
+            if x.text in ("(", "[", "{"):
+                k = close.get(k, len(code))
+        if k < len(code) and breaks[k]:
+            break
+        k += 1
     if nxt and nxt.text in ("(", "."):
         return "call_stmt"
     return "field" if nxt and nxt.kind in ("ident", "keyword") else "expr_stmt"
 
 
-def _error_spans(code: list[Token]) -> list[tuple[int, int, int]]:
-    """(head, open, close) character places of ``if ... err != nil { ... }``."""
+def _has_range(code: list[Token], close: dict[int, int], i: int) -> bool:
+    k, end = i + 1, body_of(code, close, i)
+    while k < end:
+        if code[k].kind == "keyword" and code[k].text == "range":
+            return True
+        k = close.get(k, k) + 1
+    return False
+
+
+def _error_spans(code: list[Token], close: dict[int, int]) -> list[tuple[int, int, int, str]]:
+    """(if, open, close, subkind) places among the tokens of ``if err != nil { ... }`` and ``if errors.Is(...) { ... }``, with or without a statement before the test."""
     out = []
     for i, t in enumerate(code):
-        if t.text == "if" and t.kind == "keyword":
-            k = i + 1
-            test = False
-            while k < len(code) and code[k].text != "{" and k < i + 40:
-                if code[k].text == "!=" and k + 1 < len(code) and code[k + 1].text == "nil" and code[k - 1].kind == "ident" and (code[k - 1].text.endswith("err") or code[k - 1].text.endswith("Err")):
-                    test = True
-                k += 1
-            if test and k < len(code) and code[k].text == "{":
-                depth = 0
-                for c in range(k, len(code)):
-                    depth += (code[c].text == "{") - (code[c].text == "}") if code[c].kind == "op" else 0
-                    if depth == 0:
-                        out.append((t.start, code[k].start, code[c].end))
-                        break
+        if t.kind == "keyword" and t.text == "if":
+            brace = body_of(code, close, i)
+            if brace < 0:
+                continue
+            k = first = i + 1
+            while k < brace:
+                if code[k].text == ";" and code[k].kind == "op":
+                    first = k + 1
+                k = close.get(k, k) + 1
+            cond, kind = code[first:brace], ""
+            if len(cond) == 3 and cond[0].kind == "ident" and cond[0].text.endswith(("err", "Err")) and cond[1].text == "!=" and cond[2].text == "nil":
+                kind = "if_err_init" if first > i + 1 else "if_err_check"
+            else:
+                k = 0  # a chain of names: [x.]errors.Is or As, called, and nothing after the call
+                while k + 2 < len(cond) and cond[k].kind == "ident" and cond[k + 1].text == ".":
+                    k += 2
+                if k >= 2 and cond[k].text in ("Is", "As") and cond[k - 2].text == "errors" and k + 1 < len(cond) and cond[k + 1].text == "(" and close.get(first + k + 1) == brace - 1:
+                    kind = "if_err_is"
+            if kind:
+                out.append((i, brace, close.get(brace, len(code)), kind))
     return out
 
 
+def has_syntax_errors(src: str) -> bool:
+    """Whether the tokens tell that the file cannot be parsed: stray signs, open literals or comments, brackets that do not match."""
+    tokens, bad = lex(src)
+    stack = []
+    for t in tokens:
+        open_text = t.kind in ("string", "char", "raw") and (len(t.text) < 2 or t.text[-1] != t.text[0] or t.kind != "raw" and re.search(r"(?<!\\)(?:\\\\)*\\.\Z", t.text, re.S))
+        if open_text or t.kind == "comment" and t.text.startswith("/*") and (len(t.text) < 4 or not t.text.endswith("*/")):
+            return True
+        if t.kind == "op" and t.text in ("(", "[", "{"):
+            stack.append({"(": ")", "[": "]", "{": "}"}[t.text])
+        elif t.kind == "op" and t.text in (")", "]", "}") and (not stack or stack.pop() != t.text):
+            return True
+    code = next((t for t in tokens if t.kind != "comment"), None)
+    return bad > 0 or bool(stack) or code is None or code.text != "package"
+
+
 class Caret(NamedTuple):
     offset: int
     line: int
@@ -226,7 +304,14 @@ def carets(src: str, prefix_max: int = 4, max_line: int = 240, min_target: int =
     plain = src.isascii()
     code = [t for t in tokens if t.kind != "comment"]
     opens, inside = brackets(code)
-    errors = _error_spans(code)
+    close, parent = pairs(code)
+    breaks = line_breaks(src, code)
+    errors = _error_spans(code, close)
+    heads, bodies = {h: kind for h, _, _, kind in errors}, {o for _, o, _, _ in errors}
+    reach, inner = 0, set()  # tokens inside the body of an error check
+    for _, o, c, _ in errors:
+        inner.update(range(max(o + 1, reach), c))
+        reach = max(reach, c)
     starts = [0] + [m.end() for m in re.finditer("\n", src)]
     from bisect import bisect_right
 
@@ -283,12 +368,10 @@ def carets(src: str, prefix_max: int = 4, max_line: int = 240, min_target: int =
             t = code[i]
             prev = code[i - 1] if i else None
             if n == 0:
-                kind = statement_kind(code, i, inside[i])
-                head = next((h for h in errors if h[0] == t.start), None)
-                within = any(o < t.start < c for _, o, c in errors)
-                if head:
-                    add(t.start, "error_handling", "if_err_check" if not any(x.text == ":=" for x in code[i : i + 12] if x.start < head[1]) else "if_err_init")
-                elif within and t.text != "}":
+                kind = statement_kind(code, i, inside[i], close, breaks)
+                if i in heads:
+                    add(t.start, "error_handling", heads[i])
+                elif parent[i] in bodies and t.text != "}" and (i - 1 == parent[i] or breaks[i - 1] or prev.text == ";"):
                     add(t.start, "error_handling", "err_body_" + kind)
                 else:
                     add(t.start, "line_start", kind)
@@ -298,7 +381,10 @@ def carets(src: str, prefix_max: int = 4, max_line: int = 240, min_target: int =
                     add(t.start + k, "identifier_partial")
             if t.text == "func" and t.kind == "keyword" and inside[i] != "" and prev is not None:
                 where = {"return": "return", "go": "go", "defer": "defer", "=": "assignment", ":=": "assignment", ":": "composite_element"}
-                add(t.start, "func_literal", where.get(prev.text, "call_argument" if inside[i] == "call" else "composite_element" if inside[i] == "composite" else "expression"))
+                brace = body_of(code, close, i)
+                end = close.get(brace, len(code))
+                called = brace >= 0 and end + 1 < len(code) and code[end + 1].text == "(" and prev.text not in ("go", "defer")
+                add(t.start, "func_literal", "immediately_invoked" if called else where.get(prev.text, "call_argument" if inside[i] == "call" else "composite_element" if inside[i] == "composite" else "expression"))
             if t.kind in ("string", "raw") and i >= 2 and inside[i] == "call":
                 k, arg, depth = i - 1, 0, 0
                 while k > 0 and not (depth == 0 and code[k].text == "(" and code[k].kind == "op"):
@@ -333,10 +419,9 @@ def carets(src: str, prefix_max: int = 4, max_line: int = 240, min_target: int =
                     add(after(t.end), "after_operator", t.text)
             if t.kind == "keyword" and src[t.end : t.end + 1] == " ":
                 if t.text in CONTROL:
-                    add(after(t.end), "control_flow", t.text)
+                    add(after(t.end), *(("error_handling", "if_err_cond") if i in heads and after(t.end) == code[i + 1].start else ("control_flow", t.text)))
                 elif t.text in AFTER_KEYWORD:
-                    inner = any(o < t.start < c for _, o, c in errors)
-                    add(after(t.end), "error_handling" if inner and t.text == "return" else "after_keyword", "err_return" if inner and t.text == "return" else t.text)
+                    add(after(t.end), *(("error_handling", "err_return") if i in inner and t.text == "return" else ("after_keyword", t.text)))
             add(t.end, "token_boundary")
         lits = literals.get(ln, [])
         for x in lits:  # places inside literals, to count what is left out
@@ -366,23 +451,34 @@ def carets(src: str, prefix_max: int = 4, max_line: int = 240, min_target: int =
 
 
 def caret_table(files: DataFrame, id_col: str = "file_id", content: str = "content", carry: list[str] = ()) -> DataFrame:
-    """(id, *carry, line, byte_offset, line_start, kind, subkind, priority, seq, reason, trivial): one row per candidate and excluded line.
+    """(id, *carry, line, byte_offset, line_start, kind, subkind, priority, seq, reason, trivial, syntax_errors): one row per candidate and excluded line.
 
     Of several candidates at one place the one of the best priority stands, of equal ones the first. Excluded lines have
     kind ``line``. Offsets are bytes. A null content has no rows; a file that cannot be read as Go
     still gives what its tokens tell.
     """
     held = [files.schema[c] for c in (id_col, *carry)]
-    names = [*(f.name for f in held), "line", "byte_offset", "line_start", "kind", "subkind", "priority", "seq", "reason", "trivial"]
+    names = [*(f.name for f in held), "line", "byte_offset", "line_start", "kind", "subkind", "priority", "seq", "reason", "trivial", "syntax_errors"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        types = [pa.int32(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int32(), pa.int32(), pa.string(), pa.bool_(), pa.bool_()]
         for b in batches:
-            cols: list[list] = [[] for _ in names[len(held) :]]
-            at = []
-            for i, src in enumerate(b.column(len(held)).to_pylist()):
+            cols: list[list] = [[] for _ in types]
+            at: list[int] = []
+
+            def made() -> pa.RecordBatch:
+                pick = pa.array(at, pa.int64())
+                return pa.RecordBatch.from_arrays([*(b.column(k).take(pick) for k in range(len(held))), *(pa.array(c, t) for c, t in zip(cols, types))], names=names)
+
+            for i in range(b.num_rows):
+                src = b.column(len(held))[i].as_py()
                 if src is None:
                     continue
+                if len(at) >= 50_000:  # a file has hundreds of rows: a batch of files would fill the worker's memory
+                    yield made()
+                    cols, at = [[] for _ in types], []
                 found, excluded = carets(src)
+                broken = has_syntax_errors(src)
                 wide = None if src.isascii() else [0]
                 if wide is not None:
                     for ch in src:
@@ -391,18 +487,16 @@ def caret_table(files: DataFrame, id_col: str = "file_id", content: str = "conte
                 place = lambda p: p if wide is None else wide[p]
                 for c in found:
                     at.append(i)
-                    for col, v in zip(cols, (c.line, place(c.offset), place(starts[c.line]), c.kind, c.subkind, c.priority, c.seq, c.reason, c.trivial)):
+                    for col, v in zip(cols, (c.line, place(c.offset), place(starts[c.line]), c.kind, c.subkind, c.priority, c.seq, c.reason, c.trivial, broken)):
                         col.append(v)
                 for ln, why in excluded:
                     at.append(i)
-                    for col, v in zip(cols, (ln, place(starts[ln]), place(starts[ln]), "line", None, 99, 0, why, False)):
+                    for col, v in zip(cols, (ln, place(starts[ln]), place(starts[ln]), "line", None, 99, 0, why, False, broken)):
                         col.append(v)
-            types = [pa.int32(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int32(), pa.int32(), pa.string(), pa.bool_()]
-            pick = pa.array(at, pa.int64())
-            yield pa.RecordBatch.from_arrays([*(b.column(k).take(pick) for k in range(len(held))), *(pa.array(c, t) for c, t in zip(cols, types))], names=names)
+            yield made()
 
     first = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in held)
-    return files.select(id_col, *carry, content).mapInArrow(run, f"{first}, line int, byte_offset bigint, line_start bigint, kind string, subkind string, priority int, seq int, reason string, trivial boolean")
+    return files.select(id_col, *carry, content).mapInArrow(run, f"{first}, line int, byte_offset bigint, line_start bigint, kind string, subkind string, priority int, seq int, reason string, trivial boolean, syntax_errors boolean")
 
 
 def build_matches(constraint: str, tags: frozenset[str] = frozenset({"linux", "amd64", "unix", "gc"})) -> bool:
