@@ -54,9 +54,10 @@ def reconstructed(samples: DataFrame, files: DataFrame) -> DataFrame:
     """Samples joined to the file they were cut from, with what its bytes say: target, left and right context.
 
     ``files`` has repository_id, relative_path, content and bom (bytes before the content). Only the needed columns move.
+    A sample whose file is missing keeps its row; what its file says is null.
     """
     f = files.select("repository_id", "relative_path", F.col("content").cast("binary").alias("raw"), F.col("bom").alias("bom"))
-    j = samples.join(f, ["repository_id", "relative_path"])
+    j = samples.join(f, ["repository_id", "relative_path"], "left")
     at = lambda x: (F.col(x) - F.col("bom")).cast("int")
     part = lambda a, b: F.substr(F.col("raw"), a + 1, b - a).cast("string")
     return (

@@ -2,6 +2,7 @@
 
 import pytest
 
+from caretlake.operators import validation
 from caretlake.plans import corpus_queries, dataset_queries
 
 
@@ -40,3 +41,10 @@ def test_clusters_hold_every_file(spark, tables):
     assert {i: r["cluster_id"] for i, r in got.items()} == {1: 1, 2: 1, 3: 1, 9: 1, 11: 1, 4: 4, 5: 4, 10: 4, 6: 6, 7: 7, 8: 8}
     assert {i: r["links"] for i, r in got.items()} == {1: 2, 2: 2, 3: 2, 9: 2, 11: 2, 4: 0, 5: 0, 10: 0, 6: 0, 7: 0, 8: 0}
     assert all((got[i]["best_score"] is not None) == (got[i]["links"] > 0) for i in got)
+
+
+def test_samples_without_a_file_are_not_passed_over(spark):
+    cols = "sample_id string, repository_id string, relative_path string, caret_byte_offset bigint, target_end_byte_offset bigint, left_context_start_byte_offset bigint, right_context_end_byte_offset bigint"
+    samples = spark.createDataFrame([("s1", "r", "a.go", 1, 2, 0, 3), ("s2", "r", "gone.go", 1, 2, 0, 3)], cols)
+    files = spark.createDataFrame([("r", "a.go", "abc", 0)], "repository_id string, relative_path string, content string, bom int")
+    assert {r["sample_id"]: r["file_target"] for r in validation.reconstructed(samples, files).collect()} == {"s1": "b", "s2": None}
