@@ -449,7 +449,7 @@ _SPL = "CASE WHEN lower(trim(split)) IN ('eval', 'val') THEN 'validation' ELSE n
 
 @query(f"SELECT lower(trim(split_group)) AS g, count(DISTINCT {_SPL}) AS splits FROM samples WHERE split_group IS NOT NULL AND split IS NOT NULL GROUP BY 1 HAVING count(DISTINCT {_SPL}) > 1")
 def group_split_leak(spark, d):
-    from caretlake.operators.splits import clean_split
+    from caretlake.functions.labels import clean_split
 
     s = table(spark, d, "samples").where("split_group IS NOT NULL AND split IS NOT NULL").select(F.lower(F.trim("split_group")).alias("g"), clean_split(F.col("split")).alias("s")).distinct()
     return s.groupBy("g").agg(F.count("s").alias("splits")).where("splits > 1")

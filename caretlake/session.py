@@ -26,11 +26,14 @@ def local_session(cores: int = 8, partitions: int = 8, memory: str = "8g") -> Sp
 def work_dir(spark: SparkSession) -> str:
     """The folder all executors share: ``spark.checkpoint.dir`` of the session.
 
-    Only where that is unset (tests on one machine) a temporary folder is made and set.
+    Only where that is unset and the master is local (tests on one machine) a temporary folder is made and set; on a
+    cluster executors would write to disks of their own, so an unset folder is an error there.
     """
     conf = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if conf:
         return conf.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     own = "file://" + tempfile.mkdtemp(prefix="caretlake-")
     spark.conf.set("spark.checkpoint.dir", own)
     spark.sparkContext.setCheckpointDir(own)
@@ -46,7 +49,22 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: the lineage ends there and survives lost executors."""
     path = fresh_dir(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._written_at = path
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Delete what ``materialise`` wrote for ``df``; nothing that is still to be computed may read it."""
+    path = getattr(df, "_written_at", None)
+    if path:
+        delete(df.sparkSession, path)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a folder on whatever file system it lies."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
