@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caretlake.llm import handwritten, licences, mixing, packing, repetition, secrets, tokens
+from caretlake.llm import corpus_queries, handwritten, licences, mixing, packing, repetition, secrets, tokens
 from caretlake.session import materialise, table
 
 
@@ -110,12 +110,12 @@ def p10_adaptive(spark: SparkSession, d: str) -> DataFrame:
     return repetition.repetitive_adaptive(m, repetition.adaptive_thresholds(m, by), by)
 
 
-QUERIES = {
+QUERIES = corpus_queries.QUERIES | {
     f.__name__: f
     for f in (p2_found, p2_evidence, p3_found, p3_files, p3_repositories, p5_found, p5_redacted, p8_containers, p8_fill, p9_mix, p9_shares, p9_temperature, p10_found, p10_adaptive)
 }
 
-ORACLE = {
+ORACLE = corpus_queries.ORACLE | {
     "p10_found": r"""
 WITH w AS (SELECT doc_id, list_filter(string_split_regex(regexp_replace(lower(text), '[^\p{L}\p{N}\s\p{Z}\x0b\x1c-\x1f\x85]', '', 'g'), '[\s\p{Z}\x0b\x1c-\x1f\x85]+'), lambda x: x <> '') AS w FROM documents),
 r AS (SELECT doc_id, i, array_to_string(w[i : i + 7], ' ') AS h FROM (SELECT doc_id, w, unnest(range(1, len(w) - 6)) AS i FROM w WHERE len(w) >= 8)),

@@ -26,7 +26,7 @@ def words_of(text: str) -> list[str]:
 
 def repeated_words(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     """For each text its number of words and of words in repeated runs; computed for all texts of a batch at once."""
-    from caretlake.operators.shingles import _splitmix, mix
+    from caretlake.llm.shingles import _splitmix, mix
 
     codes: dict[str, int] = {}
     flat: list[int] = []
