@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from caretlake.plans import corpus_queries, dataset_queries
+from caretlake.plans import dataset_queries
 
-MODULES = [corpus_queries, dataset_queries]
+MODULES = [dataset_queries]
 
 
 def queries() -> dict:
