@@ -32,7 +32,8 @@ class Sampling:
 @dataclass(frozen=True)
 class Config:
     seed: int = 20261009
-    allowed: list = field(default_factory=lambda: list(D.ALLOWED))
+    allowed: list | None = None  # licences; without a list every licence passes
+    build_excluded: str = "keep"
     markers: list = field(default_factory=lambda: list(D.MARKERS))
     secrets: list = field(default_factory=lambda: list(D.SECRETS))
     max_bytes: int = 1 << 20
@@ -52,6 +53,8 @@ class Config:
                 re.compile(re2_to_java(p).replace(r"\z", r"\Z"))
             except re.error as e:
                 raise ValueError(f"bad pattern {p!r}: {e}") from e
+        if self.build_excluded not in ("keep", "skip"):
+            raise ValueError("build_excluded must be keep or skip")
         for name, v in (("keep", self.sampling.keep), ("test_keep", self.sampling.test_keep), ("trivial_keep", self.sampling.trivial_keep), ("evaluation", self.evaluation), ("test", self.test)):
             if not 0 <= v <= 1:
                 raise ValueError(f"{name} must lie in [0, 1]")

@@ -37,6 +37,7 @@ class FilterConfig:
     markers: list[str] = field(default_factory=lambda: MARKERS)
     secrets: list[str] = field(default_factory=lambda: SECRETS)
     allowed: list[str] | None = None
+    build_excluded: str = "keep"  # or "skip": files that the build context leaves out are skipped
     max_bytes: int = 1 << 20
     max_line: int = 2000
     marker_bytes: int = 4000
@@ -76,7 +77,7 @@ def body_of(raw: Column) -> Column:
     return F.when(text.startswith("\ufeff"), F.substring(text, 2, 2**31 - 1)).otherwise(text)
 
 
-def content_reason(raw: Column, body: Column, cfg: FilterConfig, licence: Column | None = None) -> Column:
+def content_reason(raw: Column, body: Column, cfg: FilterConfig, licence: Column | None = None, build_match: Column | None = None) -> Column:
     """Reasons of the bytes of a file and its text (``body_of``), in order, after those of its path."""
     head = F.hex(F.substring(raw, 1, 2))
     longest = F.array_max(F.transform(F.split(body, "\n", -1), lambda x: F.octet_length(x) - F.when(x.endswith("\r"), 1).otherwise(0)))
@@ -95,8 +96,11 @@ def content_reason(raw: Column, body: Column, cfg: FilterConfig, licence: Column
         .when(F.contains(raw, F.lit(b"\x00")), "binary_nul").when(body.isNull(), "invalid_utf8")
         .when(body.contains("\r") & body.rlike(r"\r(?!\n|\z)|\r\r\n"), "lone_cr").when(~body.rlike(r"[^\s\u0085\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"), "empty")
         .when(~matches(body, r"(?m)^[ \t]*package[ \t]+[\p{L}_][\p{L}\p{N}_]*"), "invalid_package_clause")
-        .when(marked, "generated_marker").when(longest > cfg.max_line, "long_lines")
+        .when(marked, "generated_marker")
     )
+    if cfg.build_excluded == "skip" and build_match is not None:
+        out = out.when(~F.coalesce(build_match, F.lit(True)), "build_excluded")
+    out = out.when(longest > cfg.max_line, "long_lines")
     if cfg.allowed is not None and licence is not None:
         out = out.when(~F.coalesce(licence.isin(cfg.allowed), F.lit(False)), "license_not_allowed")
     return out.when(secret, "secret_detected")
@@ -110,19 +114,32 @@ def secret_detail(text: Column, patterns: list[str] = SECRETS) -> Column:
     return out
 
 
-def decide(files: DataFrame, cfg: FilterConfig = FilterConfig(), repo: str = "repository_id", path: str = "relative_path", content: str = "content", licence: str | None = None) -> DataFrame:
-    """``files`` with accepted, skip_reason, duplicate_of, is_test and sha256; ``content`` is dropped.
+def decide(files: DataFrame, cfg: FilterConfig = FilterConfig(), repo: str = "repository_id", path: str = "relative_path", content: str = "content", licence: str | None = None, facts: bool = False) -> DataFrame:
+    """``files`` with accepted, skip_reason, detail, duplicate_of, is_test and sha256; ``content`` is dropped.
+
+    ``facts`` adds project, package_name, build_constraint, build_match and cgo; so does the setting that skips files
+    which the build leaves out. ``detail`` is the pattern of a credential. One row per repository and path is expected then.
 
     Among the files of a repository that have no other reason, all but the first path of equal content are exact
     duplicates of it. Only hashes travel to that window, never contents. A null content is ``unreadable``.
     """
-    keep = [c for c in files.columns if c not in (content, "sha256", "bytes")]
+    made = ["project", "package_name", "build_constraint", "build_match", "cgo"] if facts or cfg.build_excluded == "skip" else []
+    keep = [c for c in files.columns if c not in (content, "sha256", "bytes", "detail", *made)]
     d = files.select(*keep, F.col(content).cast("binary").alias("raw_"))
+    if made:
+        from caretlake.operators.gofiles import file_facts
+
+        texts = files.select(F.col(repo).alias("r_"), F.col(path).alias("relative_path"), body_of(F.col(content).cast("binary")).alias("content"))
+        told = file_facts(texts, keys=("r_", "relative_path")).withColumnRenamed("relative_path", "p_").drop("is_test")
+        d = d.join(told, F.col(repo).eqNullSafe(F.col("r_")) & F.col(path).eqNullSafe(F.col("p_")), "left").drop("r_", "p_")
+        keep += made
     raw = F.col("raw_")
     d = d.withColumn("path_", F.when(raw.isNull(), "unreadable").otherwise(path_reason(F.col(path), F.octet_length(raw), cfg)))
     d = d.withColumn("body_", F.when(F.col("path_").isNull(), body_of(raw)))  # its own column, so that it is made once
-    held = F.when(F.col("path_").isNull(), content_reason(raw, F.col("body_"), cfg, F.col(licence) if licence else None))
-    d = d.select(*keep, F.coalesce("path_", held).alias("reason_"), F.sha2(raw, 256).alias("sha256_"), F.octet_length(raw).alias("bytes_"))
+    held = F.when(F.col("path_").isNull(), content_reason(raw, F.col("body_"), cfg, F.col(licence) if licence else None, F.col("build_match") if made else None))
+    d = d.withColumn("reason_", F.coalesce("path_", held))
+    detail = F.when(F.col("reason_") == "secret_detected", secret_detail(F.col("body_"), cfg.secrets))
+    d = d.select(*keep, "reason_", detail.alias("detail"), F.sha2(raw, 256).alias("sha256_"), F.octet_length(raw).alias("bytes_"))
     live = F.when(F.col("reason_").isNull(), F.col("sha256_"))
     w = Window.partitionBy(repo, live).orderBy(path)
     d = d.withColumn("first_", F.when(live.isNotNull(), F.first(path).over(w)))
@@ -132,12 +149,16 @@ def decide(files: DataFrame, cfg: FilterConfig = FilterConfig(), repo: str = "re
 
 
 def funnel(decided: DataFrame) -> DataFrame:
-    """(counter, value): discovered, accepted, accepted tests and bytes, and skipped files per reason."""
-    rows = F.filter(F.array(
-        F.struct(F.lit("files.discovered").alias("c"), F.lit(1).cast("bigint").alias("v")),
-        F.when(F.col("accepted"), F.struct(F.lit("files.accepted").alias("c"), F.lit(1).cast("bigint").alias("v"))),
-        F.when(F.col("accepted") & F.col("is_test"), F.struct(F.lit("files.accepted_test").alias("c"), F.lit(1).cast("bigint").alias("v"))),
-        F.when(F.col("accepted"), F.struct(F.lit("bytes.accepted").alias("c"), F.col("bytes").cast("bigint").alias("v"))),
-        F.when(~F.col("accepted"), F.struct(F.concat(F.lit("files.skipped."), "skip_reason").alias("c"), F.lit(1).cast("bigint").alias("v"))),
-    ), lambda x: x.isNotNull())
+    """(counter, value): discovered and accepted files, accepted ones per flag, bytes in and accepted, skipped files per reason.
+
+    Flags that ``decided`` does not have are not counted.
+    """
+    one = F.lit(1).cast("bigint")
+    ok = F.col("accepted")
+    cell = lambda name, v: F.struct((F.lit(name) if isinstance(name, str) else name).alias("c"), v.cast("bigint").alias("v"))
+    cells = [cell("files.discovered", one), cell("bytes.discovered", F.coalesce("bytes", F.lit(0))), F.when(ok, cell("files.accepted", one)), F.when(ok & F.col("is_test"), cell("files.accepted_test", one)), F.when(ok, cell("bytes.accepted", F.col("bytes")))]
+    if "cgo" in decided.columns:
+        cells += [F.when(ok & F.col("cgo"), cell("files.accepted_cgo", one)), F.when(ok & ~F.col("build_match"), cell("files.accepted_build_excluded", one))]
+    cells.append(F.when(~ok, cell(F.concat(F.lit("files.skipped."), "skip_reason"), one)))
+    rows = F.filter(F.array(*cells), lambda x: x.isNotNull())
     return decided.select(F.explode(rows).alias("x")).groupBy(F.col("x.c").alias("counter")).agg(F.sum("x.v").alias("value"))

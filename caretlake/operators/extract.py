@@ -1,81 +1,265 @@
 """From accepted files to sample records: carets, exclusions, sampling, caps, first-wins removal, contexts.
 
-Texts are joined back last: only (file, offset, line) and hashes travel through windows.
+A file's carets are found, weighed and capped in one Arrow pass, since all of that needs only the file; what leaves it is
+offsets and hashes. First-wins removal, thinning and the cap of a repository work on those; texts are joined back last,
+and contexts are cut from the bytes by their offsets in the JVM.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import hashlib
+from bisect import bisect_left, bisect_right
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from caretlake.config import Config
-from caretlake.functions.hashing import stable_id, uniform
-from caretlake.functions.text import first_units, last_units, rtrim_hspace, utf16_len
+from caretlake.functions.hashing import uniform
+from caretlake.functions.regexes import globs
+from caretlake.functions.text import HSPACE, newline_style
 from caretlake.operators import gofiles, sampling
-from caretlake.operators.golexer import caret_table
+from caretlake.operators.discovery import TESTS, matches
+from caretlake.operators.golexer import Caret, Parsed, caret_table, carets, has_syntax_errors
+from caretlake.session import spread
 
 SCHEMA_VERSION = "caretlake-sample/v1"
+CORPUS_VERSION = "corpus-file/v1"
+CONFIG_VERSION = "go/1"
+GENERATOR = "caretlake/1"
+_BOM = b"\xef\xbb\xbf"
+#: White space that trimming a line removes.
+_SPACE = "\t\n\v\f\r \u0085\u00a0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
+
+_KEPT = (
+    "file_id bigint, repository_id string, relative_path string, source_sha256 string, bom int, sample_id string, key binary, line int, byte_offset bigint, target_end bigint, line_start bigint, line_end bigint, left_start bigint, right_end bigint, "
+    "caret_u int, target_u int, line_start_u int, line_end_u int, left_u int, right_u int, left_cut boolean, right_cut boolean, kind string, subkind string, eol string, indentation string, commented boolean, broken boolean, spans array<string>"
+)
+_TYPES = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string(), "binary": pa.binary(), "boolean": pa.bool_(), "array<string>": pa.list_(pa.string())}
+_ARROW = pa.schema([(n, _TYPES[t]) for n, t in (x.rsplit(" ", 1) for x in _KEPT.split(", "))])
+
+
+class Places:
+    """Byte and UTF-16 offsets of the characters of a text, both ways; the byte order mark counts as bytes only."""
+
+    def __init__(self, text: str, bom: int):
+        self.bom, self.n = bom, len(text)
+        self.bytes = self.units = None
+        if not text.isascii():
+            self.bytes, self.units = [0], [0]
+            for c in text:
+                p = ord(c)
+                self.bytes.append(self.bytes[-1] + (1 if p < 128 else 2 if p < 2048 else 3 if p < 65536 else 4))
+                self.units.append(self.units[-1] + (2 if p > 65535 else 1))
+
+    def byte(self, k: int) -> int:
+        return self.bom + (k if self.bytes is None else self.bytes[k])
+
+    def unit(self, k: int) -> int:
+        return k if self.units is None else self.units[k]
+
+    def back(self, k: int, budget: int) -> int:
+        """The first character of at most ``budget`` units before ``k``; none is cut."""
+        return max(0, k - budget) if self.units is None else bisect_left(self.units, self.units[k] - budget)
+
+    def forward(self, k: int, budget: int) -> int:
+        return min(self.n, k + budget) if self.units is None else bisect_right(self.units, self.units[k] + budget) - 1
+
+
+def scorer(sha: str, cfg: Config, place: Places) -> Callable[[int, str, bool], float | None]:
+    """Gives ``u / weight`` of a caret whose hash ``u`` lies under its weight."""
+    weights, trivial_keep = cfg.sampling.weights, cfg.sampling.trivial_keep
+    base = hashlib.sha256(f"{cfg.seed}\x1fcaret\x1f{sha}\x1f".encode())
+
+    def score(offset: int, kind: str, trivial: bool) -> float | None:
+        w = float(weights.get(kind, 0.0)) * (trivial_keep if trivial else 1.0)
+        if w <= 0:
+            return None
+        h = base.copy()
+        h.update(str(place.byte(offset)).encode())
+        u = (int.from_bytes(h.digest()[:7], "big") >> 3) / 9007199254740992.0
+        return u / w if u < w else None
+
+    return score
+
+
+def capped(found: list[Caret], per_line: int, per_file: int) -> list[Caret]:
+    """At most so many carets a line, then a file, the lowest scores first; 0 is no cap. In order of place."""
+    order = lambda c: (c.score, c.offset)
+    if per_line > 0:
+        lines: dict[int, list[Caret]] = {}
+        for c in found:
+            lines.setdefault(c.line, []).append(c)
+        found = [c for cs in lines.values() for c in sorted(cs, key=order)[:per_line]]
+    if per_file > 0 and len(found) > per_file:
+        found = sorted(found, key=order)[:per_file]
+    return sorted(found)
+
+
+def _rows(file_id, repo, path, src: str, bom: bool, cfg: Config) -> Iterator[tuple]:
+    raw = (_BOM if bom else b"") + src.encode("utf-8", "surrogatepass")
+    sha = hashlib.sha256(raw).hexdigest()
+    at, f, s = Places(src, 3 if bom else 0), Parsed(src), cfg.sampling
+    found, _ = carets(f, s.prefix_max, s.max_line, s.min_target, s.max_target, keep=scorer(sha, cfg, at))
+    found = capped(found, s.per_line, s.per_file)
+    if not found:
+        return
+    broken = has_syntax_errors(None, f.tokens, f.bad)
+    comments = [t.start for t in f.tokens if t.kind == "comment"]
+    messages = {f.code[i].start for i, (what, _) in f.messages.items() if what == "template"}
+    channels = {f.line_of(t.start) for t in f.code if t.text in ("<-", "chan") and t.kind in ("op", "keyword")}
+    spans, k, active = f.spans(), 0, []
+    name = "\x1f".join(x for x in (repo, path, sha) if x is not None)
+    size = at.byte(len(src))
+    for c in found:
+        o, ls, le = c.offset, f.starts[c.line], f.ends[c.line]
+        while k < len(spans) and spans[k][0] < o:
+            active.append(spans[k])
+            k += 1
+        active = [x for x in active if x[1] > o]
+        line = src[ls:le]
+        te = ls + len(line.rstrip(HSPACE))
+        indent = line[: len(line) - len(line.lstrip(HSPACE))]
+        eol = "EOF" if c.line + 1 == len(f.starts) else "CRLF" if src[le] == "\r" else "LF"
+        commented = (j := bisect_left(comments, o)) < len(comments) and comments[j] < te
+        tags = {x[2] for x in active}
+        if c.kind == "log_message" or o in messages or o - 1 in messages:
+            tags.add("log_call")
+        if c.kind == "error_handling":
+            tags.add("error_handling")
+        if c.line in channels:
+            tags.add("channel")
+        column = at.byte(o) - at.byte(min(ls + len(indent), o))
+        key = hashlib.md5(f"{line.strip(_SPACE)}\x1f{column}".encode("utf-8", "surrogatepass")).digest()
+        u, tu = at.unit(o), at.unit(te)
+        left, right = at.back(o, cfg.left_units), at.forward(te, cfg.right_units)
+        yield (
+            file_id, repo, path, sha, at.bom, hashlib.sha256(f"{name}\x1f{u}\x1f{tu}".encode()).hexdigest()[:32], key, c.line, at.byte(o), at.byte(te), at.byte(ls), at.byte(le), at.byte(left), at.byte(right),
+            u, tu, at.unit(ls), at.unit(le), at.unit(left), at.unit(right), left > 0, at.byte(right) < size, c.kind, c.subkind, eol, indent, commented, broken, sorted(tags),
+        )
 
 
 def sampled_carets(files: DataFrame, cfg: Config = Config()) -> DataFrame:
-    """(file_id, line, byte_offset, kind, subkind, syntax_errors): what is kept of the candidates of each file.
+    """One row per kept caret of each file, with all offsets, flags, the tags its place gives and the key for first-wins removal.
 
-    In order: the best candidate of a place and the exclusions (in the lexer), the weights, the cap a line, the cap a
-    file. Candidates are weighed where they are found, so that only the kept ones move to a cap.
+    In order: the best candidate of a place, the exclusions, the weights, the cap a line, the cap a file. A null content has none.
     """
-    hashed = files.withColumn("source", F.sha2(F.col("content").cast("binary"), 256))
-    c = caret_table(hashed, carry=["source"]).where("kind <> 'line' AND kind <> 'probe' AND reason IS NULL")
-    u = uniform(F.lit(str(cfg.seed)), F.lit("caret"), F.col("source"), F.col("byte_offset").cast("string"))
-    w = sampling.weight_of(F.col("kind"), cfg.sampling.weights) * F.when(F.col("trivial"), cfg.sampling.trivial_keep).otherwise(1.0)
-    c = sampling.keep_weighted(c, u, w).select("file_id", "line", "byte_offset", "kind", "subkind", "syntax_errors", "score")
-    c = sampling.cap(c, ["file_id", "line"], [F.col("score"), F.col("byte_offset")], cfg.sampling.per_line)
-    return sampling.cap(c, ["file_id"], [F.col("score"), F.col("byte_offset")], cfg.sampling.per_file).select("file_id", "line", "byte_offset", "kind", "subkind", "syntax_errors")
+    bom = F.coalesce("has_bom", F.lit(False)) if "has_bom" in files.columns else F.lit(False)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows: list[tuple] = []
+        made = lambda: pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), _ARROW.types)], schema=_ARROW)
+        for b in batches:
+            for i in range(b.num_rows):
+                src = b.column(4)[i].as_py()
+                if src:
+                    rows += _rows(*(b.column(k)[i].as_py() for k in range(3)), src, b.column(3)[i].as_py(), cfg)
+                if len(rows) >= 20_000:
+                    yield made()
+                    rows.clear()
+        if rows:
+            yield made()
 
+    return spread(files.select(F.col("file_id").cast("bigint"), "repository_id", "relative_path", bom.alias("has_bom"), "content")).mapInArrow(run, _KEPT)
 
-def flags(target: Column, rest: Column, syntax_errors: Column) -> Column:
+
+def flags(target: Column, padded: Column, commented: Column, broken: Column) -> Column:
+    """Quality flags of a target; ``padded``: white space follows it on its line, ``commented``: a comment starts in it."""
     found = F.array(
         F.when(target.rlike(r"\A[{}()\[\];,]*\z"), "trivial_target"), F.when(target.rlike(r"\A[ \t\x0B\f]"), "target_starts_with_whitespace"), F.when(target.rlike(r"\A[)\]}]"), "target_starts_with_closer"),
-        F.when(F.length(rest) > F.length(target), "trailing_whitespace"), F.when(target.contains("//") | target.contains("/*"), "target_has_comment"), F.when(syntax_errors, "file_has_syntax_errors"), F.when(target.rlike(r"[^\x00-\x7F]"), "non_ascii_target"),
+        F.when(padded, "trailing_whitespace"), F.when(commented, "target_has_comment"), F.when(broken, "file_has_syntax_errors"), F.when(target.rlike(r"[^\x00-\x7F]"), "non_ascii_target"),
     )
     return F.filter(found, lambda x: x.isNotNull())
 
 
+def line_key(head: Column, rest: Column) -> Column:
+    """The key for first-wins removal of a caret from its line's text before and after it, as ``sampled_carets`` makes it."""
+    blank = "".join(f"\\x{{{ord(x):x}}}" for x in _SPACE)
+    line = F.regexp_replace(F.regexp_replace(F.concat(head, rest), f"\\A[{blank}]+", ""), f"[{blank}]+\\z", "")
+    return F.unhex(F.md5(F.concat(line, F.lit("\x1f"), F.octet_length(F.ltrim(head, F.lit(HSPACE))).cast("string"))))
+
+
+def first_of_lines(carets_: DataFrame) -> DataFrame:
+    """The first of the rows of a repository with one ``key``, by path, place and id; groups are limited before they move."""
+    first = Window.partitionBy("repository_id", "key").orderBy("relative_path", "byte_offset", "sample_id")
+    return carets_.withColumn("rank_", F.row_number().over(first)).where("rank_ = 1").drop("rank_")
+
+
 def samples(files: DataFrame, cfg: Config = Config()) -> DataFrame:
     """Sample records of ``files`` (file_id, repository_id, relative_path, content; null contents have none).
 
-    A sample whose trimmed line and caret column stand earlier in the repository is dropped before thinning, and one that
-    is thinned out still stands for its duplicates.
+    ``has_bom``, ``revision`` and ``split_group`` are taken from ``files`` where they stand; a file without a group has its
+    repository as group, and the split follows from the group. A sample whose trimmed line and caret column stand earlier
+    in the repository is dropped before thinning, and one that is thinned out still stands for its duplicates.
     """
-    f = files.select("file_id", "repository_id", "relative_path", "content").where("content IS NOT NULL")
-    raw = f.select("file_id", "repository_id", "relative_path", F.col("content").cast("binary").alias("raw"), F.sha2(F.col("content").cast("binary"), 256).alias("source_sha256"))
-    j = sampled_carets(f, cfg).join(raw, "file_id").join(gofiles.file_facts(f), "file_id")
-    o = F.col("byte_offset").cast("int")
-    before = F.substr("raw", F.lit(1), o).cast("string")
-    after = F.substr("raw", o + 1).cast("string")
-    s = j.withColumn("before_", before).withColumn("after_", after).drop("raw")
-    s = s.withColumn("head_", F.substring_index("before_", "\n", -1)).withColumn("line_", F.substring_index("after_", "\n", 1))
-    s = s.withColumn("eol_", F.when(~F.contains("after_", F.lit("\n")), "EOF").when(F.col("line_").endswith("\r"), "CRLF").otherwise("LF"))
-    s = s.withColumn("line_", F.when(F.col("eol_") == "CRLF", F.expr("left(line_, length(line_) - 1)")).otherwise(F.col("line_")))
-    s = s.withColumn("target_text", rtrim_hspace(F.col("line_"))).withColumn("left_context", last_units(F.col("before_"), cfg.left_units))
-    s = s.withColumn("right_", F.substr("after_", F.length("target_text") + 1)).withColumn("right_context", first_units(F.col("right_"), cfg.right_units))
-    units, size = utf16_len, lambda c: F.octet_length(c).cast("bigint")
-    u0, t_u, t_b = units(F.col("before_")), units(F.col("target_text")), size("target_text")
-    trimmed = F.trim(F.concat("head_", "line_"))
-    s = s.withColumn("sample_id", stable_id("repository_id", "relative_path", "source_sha256", u0.cast("string"), (u0 + t_u).cast("string")))
-    out = s.select(
-        F.lit(SCHEMA_VERSION).alias("schema_version"), "sample_id", F.lit("go").alias("language"), "file_id", "repository_id", "relative_path", "project", "package_name", "is_test", "build_constraint", "build_match", "source_sha256", u0.alias("caret_utf16_offset"), F.col("byte_offset").alias("caret_byte_offset"),
-        F.col("line").alias("caret_line_zero_based"), units(F.col("head_")).alias("caret_column_utf16_zero_based"), F.octet_length("head_").alias("caret_column_byte_zero_based"),
-        (u0 + t_u).alias("target_end_utf16_offset"), (F.col("byte_offset") + t_b).alias("target_end_byte_offset"), (u0 - units(F.col("head_"))).alias("line_start_utf16_offset"),
-        (F.col("byte_offset") - size("head_")).alias("line_start_byte_offset"), (u0 + units(F.col("line_"))).alias("line_end_utf16_offset"), (F.col("byte_offset") + size("line_")).alias("line_end_byte_offset"),
-        F.col("kind").alias("caret_kind"), F.col("subkind").alias("caret_subkind"), gofiles.tags(F.col("is_test"), F.col("build_match"), F.col("cgo"), F.col("kind"), F.concat("head_", "line_")).alias("tags"), (u0 - units(F.col("left_context"))).alias("left_context_start_utf16_offset"),
-        (F.col("byte_offset") - size("left_context")).alias("left_context_start_byte_offset"), (F.length("left_context") < F.length("before_")).alias("left_context_truncated"), "left_context", "target_text", "right_context",
-        (u0 + t_u + units(F.col("right_context"))).alias("right_context_end_utf16_offset"), (F.col("byte_offset") + t_b + size("right_context")).alias("right_context_end_byte_offset"),
-        (F.length("right_context") < F.length("right_")).alias("right_context_truncated"), F.col("eol_").alias("end_of_line"), F.regexp_extract("head_", "\\A[ \\t\\x0B\\f]*", 0).alias("indentation"),
-        flags(F.col("target_text"), F.col("line_"), F.col("syntax_errors")).alias("quality_flags"), F.sha2(F.concat(trimmed, F.lit("\x1f"), F.length(F.ltrim("head_")).cast("string")), 256).alias("key_"),
+    s = cfg.sampling
+    kept = first_of_lines(sampled_carets(files, cfg)).drop("key")
+    if s.keep < 1 or s.test_keep < 1:
+        kept = sampling.thin(kept.withColumn("test_", F.coalesce(matches(F.col("relative_path"), globs(TESTS)), F.lit(False))), "sample_id", "test_", F.lit(s.keep), F.lit(s.test_keep), str(cfg.seed)).drop("test_")
+    if s.repo_cap > 0:
+        kept = sampling.repo_cap(kept.withColumnRenamed("byte_offset", "caret_byte_offset"), "repository_id", "sample_id", s.repo_cap, str(cfg.seed)).withColumnRenamed("caret_byte_offset", "byte_offset")
+    has = lambda c: F.col(c) if c in files.columns else F.lit(None).cast("string")
+    group = F.coalesce(F.nullif(F.lower(F.trim(has("split_group"))), F.lit("")), "repository_id")
+    f = files.where("content IS NOT NULL").select(F.col("file_id").cast("bigint").alias("file_id"), F.col("content").cast("binary").alias("raw"), has("revision").alias("revision"), group.alias("split_group"))
+    facts = gofiles.file_facts(files.select(F.col("file_id").cast("bigint").alias("file_id"), "relative_path", "content"))
+    j = kept.join(f.join(facts, "file_id"), "file_id")
+    cut = lambda a, b: F.substr("raw", (F.col(a) - F.col("bom") + 1).cast("int"), (F.col(b) - F.col(a)).cast("int")).cast("string")
+    c, lit = F.col, F.lit
+    return j.select(
+        lit(SCHEMA_VERSION).alias("schema_version"), "sample_id", lit("go").alias("language"), "file_id", "repository_id", "revision", "relative_path", "project", "package_name", "is_test", "source_sha256",
+        c("caret_u").alias("caret_utf16_offset"), c("byte_offset").alias("caret_byte_offset"), c("line").alias("caret_line_zero_based"),
+        (c("caret_u") - c("line_start_u")).alias("caret_column_utf16_zero_based"), (c("byte_offset") - c("line_start")).cast("int").alias("caret_column_byte_zero_based"),
+        c("target_u").alias("target_end_utf16_offset"), c("target_end").alias("target_end_byte_offset"), c("line_start_u").alias("line_start_utf16_offset"), c("line_start").alias("line_start_byte_offset"),
+        c("line_end_u").alias("line_end_utf16_offset"), c("line_end").alias("line_end_byte_offset"), c("kind").alias("caret_kind"), c("subkind").alias("caret_subkind"),
+        gofiles.tags(c("spans"), c("is_test"), c("build_match"), c("cgo")).alias("tags"), c("left_u").alias("left_context_start_utf16_offset"), c("left_start").alias("left_context_start_byte_offset"),
+        c("left_cut").alias("left_context_truncated"), cut("left_start", "byte_offset").alias("left_context"), cut("byte_offset", "target_end").alias("target_text"), cut("target_end", "right_end").alias("right_context"),
+        c("right_u").alias("right_context_end_utf16_offset"), c("right_end").alias("right_context_end_byte_offset"), c("right_cut").alias("right_context_truncated"), c("eol").alias("end_of_line"), "indentation",
+        flags(cut("byte_offset", "target_end"), c("line_end") > c("target_end"), c("commented"), c("broken")).alias("quality_flags"), sampling.split_of(c("split_group"), cfg.evaluation, cfg.test, str(cfg.seed)).alias("split"), "split_group", "build_constraint", "build_match",
+        lit("not_attempted").alias("semantic_status"), lit("not_requested").alias("semantic_reason"), lit(CONFIG_VERSION).alias("config_version"), lit(cfg.sha256()).alias("config_sha256"), lit(GENERATOR).alias("generator"),
+    )
+
+
+def in_source_order(records: DataFrame, path: str = "relative_path", offset: str = "caret_byte_offset") -> DataFrame:
+    """Records as a sink writes them: ranges of repositories and paths, by place within a file."""
+    return records.repartitionByRange("repository_id", path).sortWithinPartitions("repository_id", path, offset)
+
+
+def exclusions(files: DataFrame, cfg: Config = Config()) -> DataFrame:
+    """(schema_version, file_id, relative_path, line_zero_based, byte_offset, reason, caret_kind, line_text): examples of what was left out.
+
+    At most ``examples`` a file and reason, the first in order of place; reasons of whole lines stand as ``line:<reason>``
+    with an empty kind and are counted apart.
+    """
+    s = cfg.sampling
+    f = files.select("file_id", "relative_path", "content").where("content IS NOT NULL")
+    t = caret_table(f, prefix_max=s.prefix_max, max_line=s.max_line, min_target=s.min_target, max_target=s.max_target).where("reason IS NOT NULL")
+    whole = F.col("kind") == "line"
+    t = t.select("file_id", "line", "byte_offset", "line_start", F.when(whole, F.concat(F.lit("line:"), "reason")).otherwise(F.col("reason")).alias("reason"), F.when(whole, "").otherwise(F.col("kind")).alias("caret_kind"))
+    t = sampling.cap(t, ["file_id", "reason"], [F.col("line"), F.col("byte_offset"), F.col("caret_kind")], s.examples)
+    text = F.regexp_replace(F.substring_index(F.substr("raw", F.col("line_start").cast("int") + 1).cast("string"), "\n", 1), "\r\\z", "")
+    j = t.join(f.select("file_id", "relative_path", F.col("content").cast("binary").alias("raw")), "file_id")
+    return j.select(F.lit("caretlake-exclusion/v1").alias("schema_version"), "file_id", "relative_path", F.col("line").alias("line_zero_based"), "byte_offset", "reason", "caret_kind", text.alias("line_text"))
+
+
+def corpus_records(files: DataFrame, cfg: Config = Config(), licence: Column | None = None, reason: Column | None = None) -> DataFrame:
+    """Corpus records of accepted files: size and hash of the bytes, the byte order mark included, text without it, and what the text tells.
+
+    Null contents have none. ``licence`` and ``reason`` are columns of ``files``; ``revision`` and ``split_group`` are taken where they stand.
+    """
+    has = lambda c, t="string": F.col(c) if c in files.columns else F.lit(None).cast(t)
+    bom = F.coalesce(has("has_bom", "boolean"), F.lit(False))
+    f = files.where("content IS NOT NULL").withColumn("bom_", bom).withColumn("raw_", F.when(bom, F.concat(F.lit(_BOM), F.col("content").cast("binary"))).otherwise(F.col("content").cast("binary")))
+    facts = gofiles.file_facts(files.select("file_id", "relative_path", "content"))
+    group = F.coalesce(F.nullif(F.lower(F.trim(has("split_group"))), F.lit("")), "repository_id")
+    f = f.select(
+        "file_id", "repository_id", has("revision").alias("revision"), "relative_path", F.sha2("raw_", 256).alias("sha256"), F.octet_length("raw_").cast("bigint").alias("bytes"),
+        (licence if licence is not None else F.lit(None).cast("string")).alias("license"), (reason if reason is not None else F.lit(None).cast("string")).alias("license_reason"), F.col("bom_").alias("has_bom"),
+        newline_style(F.col("content")).alias("newline_style"), sampling.split_of(group, cfg.evaluation, cfg.test, str(cfg.seed)).alias("split"),
+        (F.length("content") - F.length(F.replace("content", F.lit("\n"), F.lit(""))) + 1).cast("int").alias("lines"), "content",
+    )
+    j = f.join(facts, "file_id")
+    return j.select(
+        F.lit(CORPUS_VERSION).alias("schema_version"), "file_id", "repository_id", "revision", "relative_path", F.lit("go").alias("language"), "sha256", "bytes", "license", "license_reason", F.lit("utf-8").alias("encoding"), "has_bom",
+        "newline_style", "project", "package_name", "is_test", "split", "lines", "build_constraint", "build_match", "content", F.lit(False).alias("content_normalized"),
     )
-    # The window sees ids and hashes only; survivors are joined back.
-    first = sampling.first_wins(out.select("sample_id", "repository_id", "relative_path", "caret_byte_offset", "key_"), ["repository_id", "key_"], [F.col("relative_path"), F.col("caret_byte_offset"), F.col("sample_id")])
-    kept = out.drop("key_").join(first.select("sample_id"), "sample_id", "left_semi")
-    if cfg.sampling.keep < 1:
-        kept = kept.where(uniform(F.lit(str(cfg.seed)), F.lit("keep"), F.col("sample_id")) < cfg.sampling.keep)
-    return sampling.repo_cap(kept, "repository_id", "sample_id", cfg.sampling.repo_cap)

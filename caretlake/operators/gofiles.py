@@ -39,6 +39,15 @@ def uses_cgo(content: Column) -> Column:
     return content.rlike(r'(?m)^[ \t]*(?:import[ \t]+)?"C"[ \t]*\r?$')
 
 
+def imports(files: DataFrame, id_col: str = "file_id") -> DataFrame:
+    """(id, path, name): every path that an import declaration of a file names, and the name by which it is used if it has no other."""
+    blocks = F.regexp_extract_all("content", F.lit(r"(?ms)(^import \(.*?^\)|^import [^(\n]*$)"), F.lit(1))
+    i = files.select(id_col, F.explode(blocks).alias("b")).select(id_col, F.explode(F.regexp_extract_all("b", F.lit('"([^"\n]+)"'), F.lit(1))).alias("path")).distinct()
+    parts = F.split("path", "/")
+    last = F.when((F.size(parts) > 1) & F.element_at(parts, -1).rlike(r"\Av[0-9]+\z"), F.try_element_at(parts, F.lit(-2))).otherwise(F.element_at(parts, -1))
+    return i.select(id_col, "path", F.replace(F.regexp_replace(F.substring_index(last, ".", 1), r"\Ago-", ""), F.lit("-"), F.lit("_")).alias("name"))
+
+
 def name_matches(path: str, system: str = "linux", machine: str = "amd64") -> bool:
     """Whether the file name's system and machine suffixes allow the build."""
     parts = re.sub(r"(_test)?\.go$", "", path.rsplit("/", 1)[-1]).split("_")[1:]
@@ -49,13 +58,13 @@ def name_matches(path: str, system: str = "linux", machine: str = "amd64") -> bo
     return not (parts and parts[-1] in MACHINES) or parts[-1] == machine
 
 
-def file_facts(files: DataFrame, cgo_on: bool = False) -> DataFrame:
-    """(file_id, package_name, project, build_constraint, build_match, cgo, is_test).
+def file_facts(files: DataFrame, cgo_on: bool = False, keys: tuple[str, ...] = ("file_id",)) -> DataFrame:
+    """(*keys, package_name, project, build_constraint, build_match, cgo, is_test).
 
     Each distinct pair of constraint and file-name suffix is evaluated once. A null content has only what its path tells.
     """
     c, p = F.col("content"), F.col("relative_path")
-    f = files.select("file_id", package_name(c).alias("package_name"), project(p).alias("project"), build_constraint(c).alias("build_constraint"), F.coalesce(uses_cgo(c), F.lit(False)).alias("cgo"), matches(p, globs(TESTS)).alias("is_test"), F.regexp_extract(p, r"((?:_[a-z0-9]+){0,3}\.go)$", 1).alias("suffix"))
+    f = files.select(*keys, package_name(c).alias("package_name"), project(p).alias("project"), build_constraint(c).alias("build_constraint"), F.coalesce(uses_cgo(c), F.lit(False)).alias("cgo"), matches(p, globs(TESTS)).alias("is_test"), F.regexp_extract(p, r"((?:_[a-z0-9]+){0,3}\.go)$", 1).alias("suffix"))
 
     def evaluate(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for d in frames:
@@ -65,13 +74,10 @@ def file_facts(files: DataFrame, cgo_on: bool = False) -> DataFrame:
     cases = f.select(F.coalesce("build_constraint", F.lit("")).alias("b"), F.coalesce("suffix", F.lit("")).alias("s")).distinct().mapInPandas(evaluate, "b string, s string, holds boolean")
     j = f.join(cases, (F.coalesce("build_constraint", F.lit("")) == F.col("b")) & (F.coalesce("suffix", F.lit("")) == F.col("s")))
     match = F.col("holds") if cgo_on else F.col("holds") & ~F.col("cgo")
-    return j.select("file_id", "package_name", "project", "build_constraint", match.alias("build_match"), "cgo", "is_test")
+    return j.select(*keys, "package_name", "project", "build_constraint", match.alias("build_match"), "cgo", "is_test")
 
 
-def tags(is_test: Column, build_match: Column, cgo: Column, kind: Column, line: Column) -> Column:
-    """Sorted tags of a caret from its file, kind and line."""
-    found = F.array(
-        F.when(is_test, "test_code"), F.when(~build_match, "build_excluded"), F.when(cgo, "cgo"), F.when(kind == "error_handling", "error_handling"),
-        F.when((kind == "log_message") | line.rlike(r"\b(?:log|slog|logger)\.[A-Z]\w*\("), "log_call"), F.when(line.contains("<-") | line.rlike(r"\bchan\b"), "channel"),
-    )
-    return F.array_sort(F.filter(found, lambda x: x.isNotNull()))
+def tags(place: Column, is_test: Column, build_match: Column, cgo: Column) -> Column:
+    """Sorted tags of a caret: those of its place, and those of its file."""
+    found = F.filter(F.array(F.when(is_test, "test_code"), F.when(~build_match, "build_excluded"), F.when(cgo, "cgo")), lambda x: x.isNotNull())
+    return F.array_sort(F.array_union(place, found))

@@ -8,7 +8,8 @@ a line's statement kind by how it starts. In files with syntax errors carets are
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from bisect import bisect_right
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import pyarrow as pa
@@ -16,6 +17,7 @@ from pyspark.sql import DataFrame
 
 from caretlake.functions.regexes import re2_to_java
 from caretlake.operators.discovery import LINE_SECRET
+from caretlake.session import spread
 
 KEYWORDS = frozenset("break case chan const continue default defer else fallthrough for func go goto if import interface map package range return select struct switch type var".split())
 # Operators and keywords after which a caret stands.
@@ -262,9 +264,10 @@ def _error_spans(code: list[Token], close: dict[int, int]) -> list[tuple[int, in
     return out
 
 
-def has_syntax_errors(src: str) -> bool:
+def has_syntax_errors(src: str | None, tokens: list[Token] | None = None, bad: int = 0) -> bool:
     """Whether the tokens tell that the file cannot be parsed: stray signs, open literals or comments, brackets that do not match."""
-    tokens, bad = lex(src)
+    if tokens is None:
+        tokens, bad = lex(src)
     stack = []
     for t in tokens:
         open_text = t.kind in ("string", "char", "raw") and (len(t.text) < 2 or t.text[-1] != t.text[0] or t.kind != "raw" and re.search(r"(?<!\\)(?:\\\\)*\\.\Z", t.text, re.S))
@@ -287,6 +290,7 @@ class Caret(NamedTuple):
     seq: int
     reason: str | None
     trivial: bool = False
+    score: float = 0.0
 
 
 _SECRET = re.compile(re2_to_java(LINE_SECRET).replace(r"\z", r"\Z"))
@@ -298,40 +302,111 @@ def has_secret(line: str) -> bool:
     return any(not re.fullmatch(r"[A-Z0-9_]*", m[3]) for m in _SECRET.finditer(line))
 
 
-def carets(src: str, prefix_max: int = 4, max_line: int = 240, min_target: int = 1, max_target: int = 200) -> tuple[list[Caret], list[tuple[int, str]]]:
-    """Candidates of one file (with the reason why the place is none, if so) and excluded lines (line, reason)."""
-    tokens, _ = lex(src)
-    plain = src.isascii()
-    code = [t for t in tokens if t.kind != "comment"]
-    opens, inside = brackets(code)
-    close, parent = pairs(code)
-    breaks = line_breaks(src, code)
-    errors = _error_spans(code, close)
-    heads, bodies = {h: kind for h, _, _, kind in errors}, {o for _, o, _, _ in errors}
+class Parsed:
+    """What is known of a file before its carets are looked for: tokens, brackets, statements, lines, log literals. Offsets are characters."""
+
+    def __init__(self, src: str):
+        self.src = src
+        self.tokens, self.bad = lex(src)
+        self.code = code = [t for t in self.tokens if t.kind != "comment"]
+        self.opens, self.inside = brackets(code)
+        self.close, self.parent = pairs(code)
+        self.breaks = line_breaks(src, code)
+        self.errors = _error_spans(code, self.close)
+        self.starts = [0] + [m.end() for m in re.finditer("\n", src)]
+        ends = [s - 1 for s in self.starts[1:]] + [len(src)]
+        self.ends = [e - 1 if e > s and src[e - 1] == "\r" and e < len(src) else e for s, e in zip(self.starts, ends)]
+        self.messages = self._messages()
+
+    def line_of(self, offset: int) -> int:
+        return bisect_right(self.starts, offset) - 1
+
+    def _messages(self) -> dict[int, tuple[str, str]]:
+        """{token: (what, function)} of the literals that are a message or build an error; what is template or error."""
+        out, commas = {}, {}
+        for i, t in enumerate(self.code):
+            p = self.parent[i]
+            if t.text == "," and t.kind == "op" and p >= 0:
+                commas[p] = commas.get(p, 0) + 1
+            elif t.kind in ("string", "raw") and p > 0 and self.opens[p] == "call":
+                arg = commas.get(p, 0)
+                name = self.code[p - 1].text
+                receiver = self.code[p - 3].text if p > 2 and self.code[p - 2].text == "." else ""
+                if FORMAT_FUNCS.get(name) == arg or (MESSAGE_FUNCS.get(name) == arg and LOGGER.search(receiver)):
+                    out[i] = ("template", name)
+                elif name in ERROR_FUNCS and receiver in ("errors", "fmt", "xerrors"):
+                    out[i] = ("error", name)
+        return out
+
+    def spans(self) -> list[tuple[int, int, str]]:
+        """(start, end, tag) of the parts of a file that give carets within them a tag, by start."""
+        code, close, out = self.code, self.close, []
+
+        def add(first: int, last: int, tag: str) -> None:
+            if 0 <= first < len(code):
+                out.append((code[first].start, code[min(last, len(code) - 1)].end, tag))
+
+        for _, o, c, _ in self.errors:
+            add(o, c, "error_handling")
+        for i, t in enumerate(code):
+            if t.kind == "keyword":
+                if t.text in ("switch", "select", "func"):
+                    brace = body_of(code, close, i)
+                    if brace >= 0 and t.text != "func":
+                        add(i, close.get(brace, len(code)), t.text)
+                    elif brace >= 0 and self.inside[i] != "":
+                        add(brace, close.get(brace, len(code)), "closure")
+                elif t.text in ("go", "defer"):
+                    k = i + 1
+                    while k < len(code) and not self.breaks[k]:
+                        k = close.get(k, k) + (0 if k in close and self.breaks[min(close[k], len(code) - 1)] else 1)
+                    add(i, k, "goroutine" if t.text == "go" else "defer")
+                elif t.text in ("struct", "interface") and i + 1 < len(code) and code[i + 1].text == "{":
+                    add(i, close.get(i + 1, len(code)), t.text + "_type")
+            elif t.text == "{" and self.opens[i] == "composite":
+                k = i
+                while k > 0 and (code[k - 1].kind == "ident" or code[k - 1].text in (".", "]", "map", "*")):
+                    k = self.parent_open(k - 1) if code[k - 1].text == "]" else k - 1
+                add(k, close.get(i, len(code)), "composite_literal")
+            elif t.text == "[" and i > 1 and code[i - 1].kind == "ident" and code[i - 2].text in ("func", "type") and i + 2 < len(code) and code[i + 1].kind == "ident" and code[i + 2].text != "]":
+                add(i, close.get(i, len(code)), "generics")
+        return sorted(out)
+
+    def parent_open(self, closing: int) -> int:
+        """The bracket that the one at ``closing`` closes."""
+        if not hasattr(self, "_opened"):
+            self._opened = {c: o for o, c in self.close.items()}
+        return self._opened.get(closing, closing)
+
+
+def carets(src: str | Parsed, prefix_max: int = 4, max_line: int = 240, min_target: int = 1, max_target: int = 200, keep: Callable[[int, str, bool], float | None] | None = None) -> tuple[list[Caret], list[tuple[int, str]]]:
+    """Candidates of one file (with the reason why the place is none, if so) and excluded lines (line, reason).
+
+    With ``keep`` (offset, kind, trivial) only the candidates that are none for no reason and get a number from it are
+    returned, with the number as ``score``.
+    """
+    f = src if isinstance(src, Parsed) else Parsed(src)
+    src, tokens, code, opens, inside, close, parent, breaks = f.src, f.tokens, f.code, f.opens, f.inside, f.close, f.parent, f.breaks
+    plain, starts, ends, line_of = src.isascii(), f.starts, f.ends, f.line_of
+    heads, bodies = {h: kind for h, _, _, kind in f.errors}, {o for _, o, _, _ in f.errors}
     reach, inner = 0, set()  # tokens inside the body of an error check
-    for _, o, c, _ in errors:
+    for _, o, c, _ in f.errors:
         inner.update(range(max(o + 1, reach), c))
         reach = max(reach, c)
-    starts = [0] + [m.end() for m in re.finditer("\n", src)]
-    from bisect import bisect_right
-
-    line_of = lambda p: bisect_right(starts, p) - 1
-    ends = [(src.find("\n", s) if src.find("\n", s) >= 0 else len(src)) for s in starts]
-    ends = [e - 1 if e > s and src[e - 1] == "\r" else e for s, e in zip(starts, ends)]
     covered: dict[int, str] = {}
-    wide = []
+    wide: dict[int, list[Token]] = {}
+    literals: dict[int, list[Token]] = {}
     for t in tokens:
-        if t.kind in ("raw", "comment") and "\n" in t.text:
-            wide.append(t)
-            for k in range(line_of(t.start) + 1, line_of(max(t.end - 1, t.start)) + 1):
-                covered[k] = "inside_raw_string" if t.kind == "raw" else "inside_block_comment"
+        if t.kind in ("comment", "string", "raw", "char"):
+            first = line_of(t.start)
+            literals.setdefault(first, []).append(t)
+            if t.kind in ("raw", "comment") and "\n" in t.text:
+                wide.setdefault(first, []).append(t)
+                for k in range(first + 1, line_of(max(t.end - 1, t.start)) + 1):
+                    covered[k] = "inside_raw_string" if t.kind == "raw" else "inside_block_comment"
     by_line: dict[int, list[int]] = {}
     for i, t in enumerate(code):
         by_line.setdefault(line_of(t.start), []).append(i)
-    literals: dict[int, list[Token]] = {}
-    for t in tokens:
-        if t.kind in ("comment", "string", "raw", "char"):
-            literals.setdefault(line_of(t.start), []).append(t)
     out: list[Caret] = []
     excluded: list[tuple[int, str]] = []
     imports = {m.rsplit("/", 1)[-1].removeprefix("go-").split(".")[0].replace("-", "_") for m in re.findall(r'"([\w./-]+)"', src[: src.find("func ")] if "func " in src else src)}
@@ -348,16 +423,16 @@ def carets(src: str, prefix_max: int = 4, max_line: int = 240, min_target: int =
             text = body.lstrip()
             excluded.append((ln, "build_constraint" if text.startswith(("//go:build", "// +build")) else "directive" if text.startswith(("//go:", "//line ", "//export ", "//nolint")) else "comment"))
             continue
-        if len(body.encode("utf-16-le")) // 2 > max_line:
+        if le - ls > max_line or not plain and len(body.encode("utf-16-le")) // 2 > max_line:
             excluded.append((ln, "too_long"))
             continue
-        found: dict[int, Caret] = {}
+        found: dict[int, tuple[int, str, str | None, int]] = {}  # offset: priority, kind, subkind, seq
 
         def add(off: int, kind: str, sub: str | None = None, force: bool = False) -> None:
             if ls <= off <= le:
                 old = found.get(off)
-                if force or old is None or old.priority > PRIORITY[kind]:
-                    found[off] = Caret(off, ln, kind, sub, -1 if force else PRIORITY[kind], len(out) + len(found), None)
+                if force or old is None or old[0] > PRIORITY[kind]:
+                    found[off] = (-1 if force else PRIORITY[kind], kind, sub, len(found))
 
         def after(off: int) -> int:
             while off < le and src[off] in " \t\x0b\x0c":
@@ -375,31 +450,25 @@ def carets(src: str, prefix_max: int = 4, max_line: int = 240, min_target: int =
                     add(t.start, "error_handling", "err_body_" + kind)
                 else:
                     add(t.start, "line_start", kind)
-            if t.kind == "ident" and len(t.text) > 1:
-                humps = {k for k in range(1, len(t.text)) if k <= prefix_max or (t.text[k].isupper() and t.text[k - 1].islower()) or t.text[k - 1] == "_"}
-                for k in sorted(humps):
-                    add(t.start + k, "identifier_partial")
-            if t.text == "func" and t.kind == "keyword" and inside[i] != "" and prev is not None:
-                where = {"return": "return", "go": "go", "defer": "defer", "=": "assignment", ":=": "assignment", ":": "composite_element"}
-                brace = body_of(code, close, i)
-                end = close.get(brace, len(code))
-                called = brace >= 0 and end + 1 < len(code) and code[end + 1].text == "(" and prev.text not in ("go", "defer")
-                add(t.start, "func_literal", "immediately_invoked" if called else where.get(prev.text, "call_argument" if inside[i] == "call" else "composite_element" if inside[i] == "composite" else "expression"))
-            if t.kind in ("string", "raw") and i >= 2 and inside[i] == "call":
-                k, arg, depth = i - 1, 0, 0
-                while k > 0 and not (depth == 0 and code[k].text == "(" and code[k].kind == "op"):
-                    depth += (code[k].text in (")", "]", "}")) - (code[k].text in ("(", "[", "{")) if code[k].kind == "op" else 0
-                    arg += depth == 0 and code[k].text == ","
-                    k -= 1
-                name = code[k - 1].text if k else ""
-                receiver = code[k - 3].text if k > 2 and code[k - 2].text == "." else ""
-                if FORMAT_FUNCS.get(name) == arg or (MESSAGE_FUNCS.get(name) == arg and LOGGER.search(receiver)):
-                    add(t.start, "log_message", "template_start", True)
-                    if t.kind == "string":
-                        add(t.start + 1, "log_message", "template_body", True)
-                elif name in ERROR_FUNCS and receiver in ("errors", "fmt", "xerrors"):
-                    add(t.start, "error_handling", "err_construct:" + name)
-            if t.kind == "op":
+            if t.kind == "ident":
+                if len(t.text) > 1:
+                    x = t.text
+                    for k in range(1, len(x)):
+                        if k <= prefix_max or x[k - 1] == "_" or x[k].isupper() and x[k - 1].islower():
+                            add(t.start + k, "identifier_partial")
+            elif t.kind == "keyword":
+                if t.text == "func" and inside[i] != "" and prev is not None:
+                    where = {"return": "return", "go": "go", "defer": "defer", "=": "assignment", ":=": "assignment", ":": "composite_element"}
+                    brace = body_of(code, close, i)
+                    end = close.get(brace, len(code))
+                    called = brace >= 0 and end + 1 < len(code) and code[end + 1].text == "(" and prev.text not in ("go", "defer")
+                    add(t.start, "func_literal", "immediately_invoked" if called else where.get(prev.text, "call_argument" if inside[i] == "call" else "composite_element" if inside[i] == "composite" else "expression"))
+                if src[t.end : t.end + 1] == " ":
+                    if t.text in CONTROL:
+                        add(after(t.end), *(("error_handling", "if_err_cond") if i in heads and i + 1 < len(code) and after(t.end) == code[i + 1].start else ("control_flow", t.text)))
+                    elif t.text in AFTER_KEYWORD:
+                        add(after(t.end), *(("error_handling", "err_return") if i in inner and t.text == "return" else ("after_keyword", t.text)))
+            elif t.kind == "op":
                 if t.text == ".":
                     sub = "package" if prev and prev.text in imports else "call_result" if prev and prev.text == ")" else "value"
                     if i + 1 < len(code) and code[i + 1].text == "(":
@@ -417,45 +486,59 @@ def carets(src: str, prefix_max: int = 4, max_line: int = 240, min_target: int =
                     add(after(t.end), "composite_literal", "key_value")
                 if t.text in AFTER_OPERATOR:
                     add(after(t.end), "after_operator", t.text)
-            if t.kind == "keyword" and src[t.end : t.end + 1] == " ":
-                if t.text in CONTROL:
-                    add(after(t.end), *(("error_handling", "if_err_cond") if i in heads and after(t.end) == code[i + 1].start else ("control_flow", t.text)))
-                elif t.text in AFTER_KEYWORD:
-                    add(after(t.end), *(("error_handling", "err_return") if i in inner and t.text == "return" else ("after_keyword", t.text)))
+            elif i in f.messages:
+                what, name = f.messages[i]
+                if what == "template":
+                    add(t.start, "log_message", "template_start", True)
+                    if t.kind == "string":
+                        add(t.start + 1, "log_message", "template_body", True)
+                else:
+                    add(t.start, "error_handling", "err_construct:" + name)
             add(t.end, "token_boundary")
         lits = literals.get(ln, [])
-        for x in lits:  # places inside literals, to count what is left out
-            if x.start + 1 <= le:
-                found.setdefault(x.start + 1, Caret(x.start + 1, ln, "probe", None, 98, 0, "probe_unclassified"))
+        if keep is None:
+            for x in lits:  # places inside literals, to count what is left out
+                if x.start + 1 <= le:
+                    found.setdefault(x.start + 1, (98, "probe", None, 0))
         secret = has_secret(body)
-        edges = {p for i in toks for p in (code[i].start, code[i].end)}
-        for c in sorted(found.values()):
+        if secret and keep is not None:
+            continue
+        insides = [(code[i].start, code[i].end) for i in toks if code[i].kind in ("ident", "number", "keyword", "op") and code[i].end - code[i].start > 1]
+        trimmed = len(body.rstrip(" \t\x0b\x0c")) + ls
+        long = wide.get(ln, [])
+        for off, (priority, kind, sub, seq) in sorted(found.items()):
+            target = src[off:trimmed]
+            trivial = _TRIVIAL.issuperset(target)
+            score = 0.0
+            if keep is not None and (not target or (score := keep(off, kind, trivial)) is None):
+                continue
             reason = None
-            target = src[c.offset : le].rstrip(" \t\x0b\x0c")
-            if c.subkind != "template_body":
+            if sub != "template_body":
                 for x in lits:
-                    if x.start < c.offset < x.end:
+                    if x.start < off < x.end:
                         reason = {"comment": "in_comment", "raw": "in_raw_string", "string": "in_string", "char": "in_rune_literal"}[x.kind]
-                if reason is None and c.kind != "identifier_partial" and c.offset not in edges and any(code[i].start < c.offset < code[i].end for i in toks if code[i].kind in ("ident", "number", "keyword", "op")):
+                if reason is None and kind != "identifier_partial" and any(a < off < b for a, b in insides):
                     reason = "caret_inside_token"
             if reason is None and not target:
                 reason = "empty_target"
-            if reason is None and wide and any(w.start < le and w.end > c.offset and w.start >= c.offset for w in wide):
-                w = next(w for w in wide if w.start < le and w.end > c.offset and w.start >= c.offset)
-                reason = "raw_multiline_string" if w.kind == "raw" else "multiline_comment"
+            if reason is None and long:
+                w = next((w for w in long if off <= w.start < le and w.end > off), None)
+                if w is not None:
+                    reason = "raw_multiline_string" if w.kind == "raw" else "multiline_comment"
             if reason is None:
                 n = len(target) if plain else len(target.encode("utf-16-le")) // 2
-                reason = "target_too_long" if n > max_target else "empty_target" if n < min_target else "secret_detected" if secret else c.reason
-            out.append(Caret(*c[:6], reason, _TRIVIAL.issuperset(target)))
+                reason = "target_too_long" if n > max_target else "empty_target" if n < min_target else "secret_detected" if secret else "probe_unclassified" if kind == "probe" else None
+            if keep is None or reason is None:
+                out.append(Caret(off, ln, kind, sub, priority, seq, reason, trivial, score))
     return out, excluded
 
 
-def caret_table(files: DataFrame, id_col: str = "file_id", content: str = "content", carry: list[str] = ()) -> DataFrame:
+def caret_table(files: DataFrame, id_col: str = "file_id", content: str = "content", carry: list[str] = (), **limits: int) -> DataFrame:
     """(id, *carry, line, byte_offset, line_start, kind, subkind, priority, seq, reason, trivial, syntax_errors): one row per candidate and excluded line.
 
     Of several candidates at one place the one of the best priority stands, of equal ones the first. Excluded lines have
     kind ``line``. Offsets are bytes. A null content has no rows; a file that cannot be read as Go
-    still gives what its tokens tell.
+    still gives what its tokens tell. ``limits`` are those of ``carets``.
     """
     held = [files.schema[c] for c in (id_col, *carry)]
     names = [*(f.name for f in held), "line", "byte_offset", "line_start", "kind", "subkind", "priority", "seq", "reason", "trivial", "syntax_errors"]
@@ -477,13 +560,14 @@ def caret_table(files: DataFrame, id_col: str = "file_id", content: str = "conte
                 if len(at) >= 50_000:  # a file has hundreds of rows: a batch of files would fill the worker's memory
                     yield made()
                     cols, at = [[] for _ in types], []
-                found, excluded = carets(src)
-                broken = has_syntax_errors(src)
+                parsed = Parsed(src)
+                found, excluded = carets(parsed, **limits)
+                broken = has_syntax_errors(None, parsed.tokens, parsed.bad)
                 wide = None if src.isascii() else [0]
                 if wide is not None:
                     for ch in src:
                         wide.append(wide[-1] + len(ch.encode("utf-8", "surrogatepass")))
-                starts = [0] + [m.end() for m in re.finditer("\n", src)]
+                starts = parsed.starts
                 place = lambda p: p if wide is None else wide[p]
                 for c in found:
                     at.append(i)
@@ -496,7 +580,7 @@ def caret_table(files: DataFrame, id_col: str = "file_id", content: str = "conte
             yield made()
 
     first = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in held)
-    return files.select(id_col, *carry, content).mapInArrow(run, f"{first}, line int, byte_offset bigint, line_start bigint, kind string, subkind string, priority int, seq int, reason string, trivial boolean, syntax_errors boolean")
+    return spread(files.select(id_col, *carry, content)).mapInArrow(run, f"{first}, line int, byte_offset bigint, line_start bigint, kind string, subkind string, priority int, seq int, reason string, trivial boolean, syntax_errors boolean")
 
 
 def build_matches(constraint: str, tags: frozenset[str] = frozenset({"linux", "amd64", "unix", "gc"})) -> bool:

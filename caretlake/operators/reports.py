@@ -16,20 +16,32 @@ def sample_counters(samples: DataFrame) -> DataFrame:
     return samples.select(F.explode(names).alias("counter")).where("counter IS NOT NULL").groupBy("counter").agg(F.count("*").alias("value"))
 
 
-def rank_percentiles(df: DataFrame, by: list[str], value: str, points: dict[str, float]) -> DataFrame:
+def rank_percentiles(df: DataFrame, by: list[str], value: str, points: dict[str, float], ranges: int = 64) -> DataFrame:
     """(*by, rows, each point): the value at place ``int(p * (n - 1) + 0.5)`` of the sorted values, no interpolation.
 
-    Equal values are counted first, then running counts are taken over distinct values: no group is gathered into a row.
+    Equal values are counted first. Distinct values are cut into ``ranges`` per group at sketched quantiles; rows ahead of
+    a range are summed over ranges, and running counts are taken within a range only, so that no task orders a whole group.
     """
     counts = df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count("*").alias("c"))
-    total = counts.groupBy(*by).agg(F.sum("c").alias("rows"))
-    w = Window.partitionBy(*by).orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-    run = counts.withColumn("upto", F.sum("c").over(w)).join(total, by)
+    edges = counts.groupBy(*by).agg(F.percentile_approx(value, [k / ranges for k in range(1, ranges)], 10 * ranges).alias("edges"), F.sum("c").alias("rows"))
+    cut = counts.join(edges, by)
+    cut = cut.withColumn("part", F.size(F.filter("edges", lambda x: x < F.col(value)))).drop("edges")
+    w = Window.partitionBy(*by).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    ahead = cut.groupBy(*by, "part").agg(F.sum("c").alias("n")).withColumn("ahead", F.coalesce(F.sum("n").over(w), F.lit(0))).drop("n")  # at most ``ranges`` rows a group
+    inner = Window.partitionBy(*by, "part").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+    run = cut.join(ahead, [*by, "part"]).withColumn("upto", F.col("ahead") + F.sum("c").over(inner))
     at = {k: F.floor(F.lit(p) * (F.col("rows") - 1) + 0.5) for k, p in points.items()}
     hit = lambda k: F.max(F.when((at[k] < F.col("upto")) & (at[k] >= F.col("upto") - F.col("c")), F.col(value)))
     return run.groupBy(*by).agg(F.max("rows").alias("rows"), *[hit(k).alias(k) for k in points])
 
 
+def throughput(samples: int, files: DataFrame, seconds: float) -> dict[str, float]:
+    """Samples, files and MiB of source a second, over ``files`` with content."""
+    n, size = files.agg(F.count("content"), F.coalesce(F.sum(F.octet_length("content").cast("bigint")), F.lit(0))).first()
+    per = lambda v: round(v / seconds, 3) if seconds > 0 else 0.0
+    return {"samples_per_sec": per(samples), "files_per_sec": per(n), "source_mib_per_sec": per(size / (1 << 20))}
+
+
 def compare_records(a: DataFrame, b: DataFrame, key: list[str], scalars: list[str], lists: list[str]) -> DataFrame:
     """(outcome, records): full outer match on ``key``; identical, subset, superset, different, only_left, only_right.
 

@@ -13,7 +13,7 @@ from caretlake.functions.hashing import stable_id, uniform
 from caretlake.functions.regexes import any_of, globs, re2_to_java
 from caretlake.functions.text import first_units, last_units, line_table, newline_style, rtrim_hspace, slug, utf16_len
 from caretlake.operators import discovery as D
-from caretlake.operators import extract, gofiles, rendering, reports, sampling, selection, semantics, validation
+from caretlake.operators import extract, gofiles, rendering, repolicence, reports, sampling, selection, semantics, validation
 from caretlake.operators.golexer import WEIGHTS, caret_table
 from caretlake.operators.hashes import clean_hash
 from caretlake.session import table
@@ -78,7 +78,7 @@ def discovery_records(spark, d):
 
 @query(f"""WITH {_DECIDED} SELECT counter, CAST(sum(v) AS BIGINT) AS value FROM (
  SELECT 'files.discovered' AS counter, 1 AS v FROM d UNION ALL SELECT 'files.accepted', 1 FROM d WHERE skip_reason IS NULL
- UNION ALL SELECT 'files.accepted_test', 1 FROM d WHERE skip_reason IS NULL AND is_test UNION ALL SELECT 'bytes.accepted', n FROM d WHERE skip_reason IS NULL
+ UNION ALL SELECT 'files.accepted_test', 1 FROM d WHERE skip_reason IS NULL AND is_test UNION ALL SELECT 'bytes.accepted', n FROM d WHERE skip_reason IS NULL UNION ALL SELECT 'bytes.discovered', coalesce(n, 0) FROM d
  UNION ALL SELECT 'files.skipped.' || skip_reason, 1 FROM d WHERE skip_reason IS NOT NULL) GROUP BY counter""")
 def discovery_funnel(spark, d):
     return D.funnel(_decided(spark, d))
@@ -131,37 +131,14 @@ def newline_and_size_profile(spark, d):
     return table(spark, d, "corpus_files").where("content IS NOT NULL").select("file_id", newline_style(c).alias("newline_style"), utf16_len(c).alias("u16"), count.alias("lines"), slug(F.col("relative_path")).alias("slug"))
 
 
-_SIG = [
-    ("Apache-2.0", [r"(?i)apache license", r"(?i)version 2\.0"], []), ("MPL-2.0", [r"(?i)mozilla public license,? (version|v\.?) ?2\.0"], []),
-    ("AGPL-3.0", [r"(?i)gnu affero general public license"], []), ("LGPL-3.0", [r"(?i)gnu lesser general public license"], []),
-    ("GPL-3.0", [r"(?i)gnu general public license", r"(?i)version 3"], []), ("GPL-2.0", [r"(?i)gnu general public license", r"(?i)version 2"], []),
-    ("Unlicense", [r"(?i)this is free and unencumbered software released into the public domain"], []),
-    ("0BSD", [r"(?i)permission to use, copy, modify, and/or distribute this software for any purpose with or without fee", r"(?i)zero-clause|0bsd"], []),
-    ("ISC", [r"(?i)permission to use, copy, modify, and(/or)? distribute this software for any purpose with or without fee"], []),
-    ("MIT", [r"(?i)permission is hereby granted, free of charge", r"(?i)the above copyright notice and this permission notice shall be\s+included"], []),
-    ("BSD-3-Clause", [r"(?i)redistribution and use in source and binary forms", r"(?i)(neither the name|names of (its|the) contributors)"], []),
-    ("BSD-2-Clause", [r"(?i)redistribution and use in source and binary forms"], [r"(?i)(neither the name|names of (its|the) contributors)"]),
-    ("Zlib", [r"(?i)this software is provided 'as-is', without any express or implied", r"(?i)altered source versions must be plainly marked"], []),
-]  # fmt: skip  # fixed values: licence signatures in order: all of, none of
-_SIGSQL = "CASE " + " ".join("WHEN " + " AND ".join([f"regexp_matches(t, {lit(p)})" for p in a] + [f"NOT regexp_matches(t, {lit(p)})" for p in n]) + f" THEN {lit(k)}" for k, a, n in _SIG) + " END"
+_SIGSQL = "CASE " + " ".join("WHEN " + " AND ".join([f"regexp_matches(t, {lit(p)})" for p in a] + [f"NOT regexp_matches(t, {lit(p)})" for p in n]) + f" THEN {lit(k)}" for k, a, n in repolicence.SIGNATURES) + " END"
 _DETECT = f"""b AS (SELECT repository_id, file_name, trim(regexp_replace(body, '\\s+', ' ', 'g')) AS t FROM license_files WHERE regexp_matches(lower(file_name), '^(license|licence|copying)') AND octet_length(encode(body)) <= 262144),
 s AS (SELECT repository_id, file_name, {_SIGSQL} AS spdx FROM b),
 g AS (SELECT repository_id, file_name, spdx FROM (SELECT *, row_number() OVER (PARTITION BY repository_id ORDER BY file_name) AS k FROM s WHERE spdx IS NOT NULL) WHERE k = 1)"""
 
 
 def _detected(spark, d):
-    b = table(spark, d, "license_files").where(F.lower("file_name").rlike("^(license|licence|copying)") & (F.octet_length("body") <= 262144))
-    t = F.trim(F.regexp_replace("body", r"[\t\n\f\r ]+", " "))
-    out = F.lit(None).cast("string")
-    for k, a, n in reversed(_SIG):
-        cond = F.lit(True)
-        for p in a:
-            cond = cond & D.matches(t, p)
-        for p in n:
-            cond = cond & ~D.matches(t, p)
-        out = F.when(cond, k).otherwise(out)
-    s = b.select("repository_id", "file_name", out.alias("spdx")).where("spdx IS NOT NULL")
-    return s.groupBy("repository_id").agg(F.min_by(F.struct("file_name", "spdx"), "file_name").alias("x")).select("repository_id", "x.file_name", "x.spdx")
+    return repolicence.detect(table(spark, d, "license_files"))
 
 
 @query(f"WITH {_DETECT} SELECT repository_id, file_name, spdx FROM g")
@@ -179,13 +156,8 @@ w AS (SELECT repo_id, coalesce(spdx, declared) AS licence, CASE WHEN spdx IS NOT
  WHEN spdx IS NOT NULL THEN 'detected:' || file_name WHEN declared IS NOT NULL THEN 'declared_only' ELSE 'license_unknown' END AS reason FROM v)
 SELECT repo_id, licence, CASE WHEN reason LIKE 'license\\_%' ESCAPE '\\' OR licence IN ({_ALLOW}) THEN reason ELSE reason || ' (not allowlisted)' END AS reason, NOT reason LIKE 'license\\_%' ESCAPE '\\' AND coalesce(licence IN ({_ALLOW}), false) AS allowed FROM w""")
 def licence_gate(spark, d):
-    j = table(spark, d, "jobs").groupBy("repo_id").agg(F.max("license").alias("declared")).withColumn("declared", F.when(F.col("declared") != "", F.col("declared")))
-    v = j.join(_detected(spark, d).withColumnRenamed("repository_id", "repo_id"), "repo_id", "left")
-    conflict = F.col("spdx").isNotNull() & F.col("declared").isNotNull() & (F.lower("spdx") != F.lower("declared"))
-    reason = F.when(conflict, F.concat(F.lit("license_conflict: declared "), "declared", F.lit(", detected "), "spdx", F.lit(" in "), "file_name")).when(F.col("spdx").isNotNull(), F.concat(F.lit("detected:"), "file_name")).when(F.col("declared").isNotNull(), "declared_only").otherwise("license_unknown")
-    w = v.select("repo_id", F.coalesce("spdx", "declared").alias("licence"), reason.alias("reason"))
-    fine, open_ = F.coalesce(F.col("licence").isin(*D.ALLOWED), F.lit(False)), ~F.col("reason").startswith("license_")
-    return w.select("repo_id", "licence", F.when(~open_ | fine, F.col("reason")).otherwise(F.concat("reason", F.lit(" (not allowlisted)"))).alias("reason"), (open_ & fine).alias("allowed"))
+    declared = table(spark, d, "jobs").groupBy(F.col("repo_id").alias("repository_id")).agg(F.max("license").alias("declared"))
+    return repolicence.gate(declared, _detected(spark, d), D.ALLOWED).withColumnRenamed("repository_id", "repo_id")
 
 
 _RESTR = " OR ".join(f"starts_with(license, {lit(p)})" for p in selection.RESTRICTED)
@@ -198,48 +170,44 @@ def licence_buckets(spark, d):
 
 # ---- lines and carets -----------------------------------------------------------------------------------------------
 
-_WHY = """CASE WHEN trim(content, ' ' || chr(9) || chr(11) || chr(12)) = '' THEN 'blank'
- WHEN starts_with(t, '//go:build') OR starts_with(t, '// +build') THEN 'build_constraint'
- WHEN starts_with(t, '//go:') OR starts_with(t, '//line ') OR starts_with(t, '//export ') OR starts_with(t, '//nolint') THEN 'directive'
- WHEN starts_with(t, '//') THEN 'comment'
- WHEN length(content) + length(regexp_replace(content, '[^\\x{10000}-\\x{10FFFF}]', '', 'g')) > 240 THEN 'too_long' ELSE 'code' END"""
-_EXCL = f"{_LINES}, e AS (SELECT file_id, line, content, {_WHY} AS reason FROM (SELECT *, ltrim(content, ' ' || chr(9) || chr(11) || chr(12)) AS t FROM l))"
-
-
-def _line_reasons(spark, d):
-    lines_ = line_table(table(spark, d, "corpus_files"), "file_id", "content")
-    t = F.ltrim(F.col("content"), F.lit(" \t\x0b\x0c"))
-    starts = lambda *p: F.greatest(*[t.startswith(x) for x in p]) if len(p) > 1 else t.startswith(p[0])
-    why = (
-        F.when(F.length(t) == 0, "blank").when(starts("//go:build", "// +build"), "build_constraint").when(starts("//go:", "//line ", "//export ", "//nolint"), "directive")
-        .when(starts("//"), "comment").when(utf16_len(F.col("content")) > 240, "too_long").otherwise("code")
-    )
-    return lines_.withColumn("reason", why)
-
-
-@query(f"WITH {_EXCL} SELECT reason, count(*) AS rows FROM e GROUP BY reason")
+# A lexer in SQL, independent of the one in Python: comments, literals, words and single other signs, with where each starts.
+_TOKENS = r"""tk AS (SELECT file_id, unnest(regexp_extract_all(content, '(?s)//[^\n]*|/\*.*?\*/|"(?:[^"\\\n]|\\.)*"|''(?:[^''\\\n]|\\.)*''|`[^`]*`|[\pL_][\pL\p{Nd}_]*|.')) AS t, generate_subscripts(regexp_extract_all(content, '(?s)//[^\n]*|/\*.*?\*/|"(?:[^"\\\n]|\\.)*"|''(?:[^''\\\n]|\\.)*''|`[^`]*`|[\pL_][\pL\p{Nd}_]*|.'), 1) AS i FROM corpus_files WHERE content IS NOT NULL),
+tl AS (SELECT file_id, t, i, nl, CAST(coalesce(sum(nl) OVER w, 0) AS INTEGER) AS line, CAST(coalesce(sum(octet_length(encode(t))) OVER w, 0) AS BIGINT) AS o,
+  CASE WHEN starts_with(t, '//') OR starts_with(t, '/*') THEN 'comment' WHEN starts_with(t, '`') THEN 'raw' WHEN trim(t, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) = '' THEN 'space' ELSE 'code' END AS k
+  FROM (SELECT *, length(t) - length(replace(t, chr(10), '')) AS nl FROM tk) WINDOW w AS (PARTITION BY file_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+cv AS (SELECT file_id, line, max(k) AS k FROM (SELECT file_id, CAST(unnest(range(line + 1, line + nl + 1)) AS INTEGER) AS line, k FROM tl WHERE k IN ('raw', 'comment') AND nl > 0) GROUP BY ALL),
+cl AS (SELECT file_id, line, min(o) AS first FROM tl WHERE k IN ('code', 'raw') GROUP BY ALL)"""
+_WHY = """CASE WHEN cv.k = 'raw' THEN 'inside_raw_string' WHEN cv.k = 'comment' THEN 'inside_block_comment' WHEN trim(content, ' ' || chr(9) || chr(11) || chr(12)) = '' THEN 'blank'
+ WHEN cl.first IS NULL AND (starts_with(t, '//go:build') OR starts_with(t, '// +build')) THEN 'build_constraint'
+ WHEN cl.first IS NULL AND (starts_with(t, '//go:') OR starts_with(t, '//line ') OR starts_with(t, '//export ') OR starts_with(t, '//nolint')) THEN 'directive'
+ WHEN cl.first IS NULL THEN 'comment'
+ WHEN length(content) + length(regexp_replace(content, '[^\\x{10000}-\\x{10FFFF}]', '', 'g')) > 240 THEN 'too_long' END"""
+_EXCL = f"{_LINES}, {_TOKENS}, e AS (SELECT l.file_id, l.line, content, cl.first, {_WHY} AS reason FROM (SELECT *, ltrim(content, ' ' || chr(9) || chr(11) || chr(12)) AS t FROM l) l LEFT JOIN cv USING (file_id, line) LEFT JOIN cl USING (file_id, line))"
+
+
+@query(f"WITH {_EXCL} SELECT reason, count(*) AS rows FROM e WHERE reason IS NOT NULL GROUP BY reason")
 def line_exclusions(spark, d):
-    return reports.count_by(_line_reasons(spark, d), "reason")
+    """Lines at which no caret may stand, by reason."""
+    return reports.count_by(caret_table(table(spark, d, "corpus_files")).where("kind = 'line'"), "reason")
 
 
-@query(f"WITH {_EXCL} SELECT file_id, reason, line FROM (SELECT *, row_number() OVER (PARTITION BY file_id, reason ORDER BY line) AS k FROM e WHERE reason <> 'code') WHERE k <= 25")
+@query(f"WITH {_EXCL} SELECT file_id, 'line:' || reason AS reason, line AS line_zero_based, content AS line_text FROM (SELECT *, row_number() OVER (PARTITION BY file_id, reason ORDER BY line) AS k FROM e WHERE reason IS NOT NULL) WHERE k <= 25")
 def exclusion_examples(spark, d):
-    """At most 25 examples of a reason in a file: the feature itself."""
-    e = _line_reasons(spark, d).where("reason <> 'code'").select("file_id", "reason", "line")
-    return sampling.cap(e, ["file_id", "reason"], [F.col("line")], 25)
+    """At most 25 examples of a line's reason in a file: the feature itself."""
+    return extract.exclusions(table(spark, d, "corpus_files")).where("caret_kind = ''").select("file_id", "reason", "line_zero_based", "line_text")
 
 
-_STARTS = f"""{_EXCL}, k AS (SELECT file_id, line, rtrim(content, ' ' || chr(9) || chr(11) || chr(12)) AS body, regexp_extract(content, '^[ \\t\\x0B\\f]*') AS indentation FROM e WHERE reason = 'code')"""
+@query()
+def caret_exclusions(spark, d):
+    """At most 25 examples of a caret's reason in a file: the feature itself."""
+    return extract.exclusions(table(spark, d, "corpus_files")).where("caret_kind <> ''").select("file_id", "reason", "line_zero_based", "byte_offset", "caret_kind", "line_text")
 
 
-@query(f"""WITH {_STARTS} SELECT file_id, line, length(indentation) AS col, body[length(indentation) + 1:] AS target, indentation, regexp_full_match(body[length(indentation) + 1:], '[{{}}()\\[\\];,]*') AS trivial FROM k""")
+@query(f"WITH {_EXCL} SELECT file_id, line, first AS byte_offset FROM e WHERE reason IS NULL")
 def line_start_carets(spark, d):
-    """Carets before the first sign of a code line, with target, indentation and whether the target is trivial."""
-    e = _line_reasons(spark, d).where("reason = 'code'")
-    ind = F.regexp_extract("content", "\\A[ \\t\\x0B\\f]*", 0)
-    e = e.select("file_id", "line", F.length(ind).cast("bigint").alias("col"), ind.alias("indentation"), rtrim_hspace(F.col("content")).alias("body"))
-    target = F.substr("body", F.length("indentation") + 1)
-    return e.select("file_id", "line", "col", target.alias("target"), "indentation", target.rlike(r"\A[{}()\[\];,]*\z").alias("trivial"))
+    """The first caret of each line of code, whatever its kind."""
+    t = caret_table(table(spark, d, "corpus_files")).where("kind NOT IN ('line', 'probe')")
+    return t.groupBy("file_id", "line").agg(F.min("byte_offset").alias("byte_offset"))
 
 
 @query()
@@ -258,24 +226,17 @@ def extracted_samples(spark, d):
 def extracted_checks(spark, d):
     """Every record of the chain held against its file again: no check may fail."""
     files = table(spark, d, "corpus_files")
-    s = extract.samples(files)
-    again = validation.reconstructed(s, files.where("content IS NOT NULL").withColumn("bom", F.lit(0)))
-    checks = {k: v for k, v in validation.field_checks().items() if k not in ("revision_format", "split")}
-    checks |= {c: F.col("file_" + c).eqNullSafe(F.col(t)) for c, t in (("target", "target_text"), ("left", "left_context"), ("right", "right_context"))}
-    return validation.report(again, checks)
+    again = validation.reconstructed(extract.samples(files), validation.with_bom(files))
+    return validation.report(again, validation.field_checks() | validation.file_checks())
 
 
-@query(r"""WITH i AS (SELECT file_id, unnest(regexp_extract_all(regexp_extract(content, '(?s)import \((.*?)\n\)', 1), '"([^"]+)"', 1)) AS path FROM corpus_files),
+@query(r"""WITH b AS (SELECT file_id, unnest(regexp_extract_all(content, '(?ms)^import \(.*?^\)|^import [^(\n]*$')) AS b FROM corpus_files),
+i AS (SELECT file_id, unnest(regexp_extract_all(b, '"([^"\n]+)"', 1)) AS path FROM b),
 s AS (SELECT DISTINCT file_id, path, string_split(path, '/') AS parts FROM i)
 SELECT file_id, path, replace(regexp_replace(string_split(CASE WHEN len(parts) > 1 AND regexp_full_match(parts[-1], 'v[0-9]+') THEN parts[-2] ELSE parts[-1] END, '.')[1], '^go-', ''), '-', '_') AS name FROM s""")
 def import_names(spark, d):
-    """The local name by which a Go import is used."""
-    block = F.regexp_extract("content", r"(?s)import \((.*?)\n\)", 1)
-    i = table(spark, d, "corpus_files").select("file_id", F.explode(F.regexp_extract_all(block, F.lit('"([^"]+)"'), F.lit(1))).alias("path")).distinct()
-    parts = F.split("path", "/")
-    last = F.when((F.size(parts) > 1) & F.element_at(parts, -1).rlike(r"\Av[0-9]+\z"), F.try_element_at(parts, F.lit(-2))).otherwise(F.element_at(parts, -1))
-    name = F.replace(F.regexp_replace(F.substring_index(last, ".", 1), r"\Ago-", ""), F.lit("-"), F.lit("_"))
-    return i.select("file_id", "path", name.alias("name"))
+    """The local name by which a Go import is used, of every import declaration of a file."""
+    return gofiles.imports(table(spark, d, "corpus_files"))
 
 
 @query(r"""SELECT file_id, nullif(regexp_extract(content, '(?m)^[ \t]*package[ \t]+([A-Za-z_][A-Za-z0-9_]*)', 1), '') AS package_name, CASE WHEN contains(relative_path, '/') THEN regexp_replace(relative_path, '/[^/]*$', '') ELSE '.' END AS project,
@@ -367,16 +328,16 @@ def repo_cap(spark, d):
     return sampling.repo_cap(s, "repository_id", "sample_id", 10).select("sample_id")
 
 
-_KEYED = """s AS (SELECT DISTINCT sample_id, repository_id, relative_path, caret_byte_offset AS o, trim(string_split(left_context, chr(10))[-1] || target_text, ' ' || chr(9)) AS t, length(ltrim(string_split(left_context, chr(10))[-1], ' ' || chr(9))) AS c FROM samples)"""
+_SP = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || chr(133) || chr(160)"
+_KEYED = f"""s AS (SELECT DISTINCT sample_id, repository_id, relative_path, caret_byte_offset AS o, trim(string_split(left_context, chr(10))[-1] || target_text, {_SP}) AS t, octet_length(encode(ltrim(string_split(left_context, chr(10))[-1], ' ' || chr(9) || chr(11) || chr(12)))) AS c FROM samples)"""
 
 
 @query(f"WITH {_KEYED} SELECT sample_id FROM s QUALIFY row_number() OVER (PARTITION BY repository_id, t, c ORDER BY relative_path, o, sample_id) = 1")
 def line_target_dedup(spark, d):
     """The first sample of each trimmed line and caret column of a repository."""
-    head = F.substring_index("left_context", "\n", -1)
-    s = table(spark, d, "samples").select("sample_id", "repository_id", "relative_path", F.col("caret_byte_offset").alias("o"), F.trim(F.concat(head, "target_text"), F.lit(" \t")).alias("t"), F.length(F.ltrim(head, F.lit(" \t"))).alias("c"))
-    s = s.withColumn("t", F.sha2("t", 256)).distinct()
-    return sampling.first_wins(s, ["repository_id", "t", "c"], [F.col("relative_path"), F.col("o"), F.col("sample_id")]).select("sample_id")
+    key = extract.line_key(F.substring_index("left_context", "\n", -1), F.col("target_text"))
+    s = table(spark, d, "samples").select("sample_id", "repository_id", "relative_path", F.col("caret_byte_offset").alias("byte_offset"), key.alias("key")).distinct()
+    return extract.first_of_lines(s).select("sample_id")
 
 
 @query("""SELECT counter, count(*) AS value FROM (SELECT 'samples.total' AS counter FROM samples UNION ALL SELECT 'samples.kind.' || caret_kind FROM samples
@@ -386,17 +347,16 @@ def sample_counters(spark, d):
 
 
 _FLAGS = """list_filter([CASE WHEN regexp_full_match(target_text, '[{}()\\[\\];,]*') THEN 'trivial_target' END, CASE WHEN regexp_matches(target_text, '^[ \\t\\x0B\\f]') THEN 'target_starts_with_whitespace' END,
-CASE WHEN regexp_matches(target_text, '^[)\\]}]') THEN 'target_starts_with_closer' END, CASE WHEN regexp_matches(target_text, '[^\\x00-\\x7F]') THEN 'non_ascii_target' END], lambda x: x IS NOT NULL)"""
+CASE WHEN regexp_matches(target_text, '^[)\\]}]') THEN 'target_starts_with_closer' END, CASE WHEN line_end_byte_offset > target_end_byte_offset THEN 'trailing_whitespace' END, CASE WHEN list_contains(quality_flags, 'target_has_comment') THEN 'target_has_comment' END,
+CASE WHEN list_contains(quality_flags, 'file_has_syntax_errors') THEN 'file_has_syntax_errors' END, CASE WHEN regexp_matches(target_text, '[^\\x00-\\x7F]') THEN 'non_ascii_target' END], lambda x: x IS NOT NULL)"""
 
 
 @query(f"SELECT sample_id, extracted_at, array_to_string({_FLAGS}, ',') AS flags FROM samples")
 def caret_flags(spark, d):
-    t = F.col("target_text")
-    flags = F.array(
-        F.when(t.rlike(r"\A[{}()\[\];,]*\z"), "trivial_target"), F.when(t.rlike(r"\A[ \t\x0B\f]"), "target_starts_with_whitespace"),
-        F.when(t.rlike(r"\A[)\]}]"), "target_starts_with_closer"), F.when(t.rlike(r"[^\x00-\x7F]"), "non_ascii_target"),
-    )
-    return table(spark, d, "samples").select("sample_id", "extracted_at", F.array_join(F.filter(flags, lambda x: x.isNotNull()), ",").alias("flags"))
+    """Flags of each sample; what only the file tells is taken from the record."""
+    held = lambda x: F.array_contains("quality_flags", x)
+    flags = extract.flags(F.col("target_text"), F.col("line_end_byte_offset") > F.col("target_end_byte_offset"), held("target_has_comment"), held("file_has_syntax_errors"))
+    return table(spark, d, "samples").select("sample_id", "extracted_at", F.array_join(flags, ",").alias("flags"))
 
 
 @query("""SELECT sample_id, extracted_at, right(left_context, 100) AS before, left(right_context, 40) AS after FROM samples""")
@@ -405,27 +365,71 @@ def context_windows(spark, d):
     return table(spark, d, "samples").select("sample_id", "extracted_at", last_units(F.col("left_context"), 100).alias("before"), first_units(F.col("right_context"), 40).alias("after"))
 
 
-_RECON = """j AS (SELECT s.sample_id, s.extracted_at, s.target_text, s.left_context, s.right_context, encode(f.content) AS raw, CASE WHEN f.has_bom THEN 3 ELSE 0 END AS bom, caret_byte_offset AS a, target_end_byte_offset AS e, left_context_start_byte_offset AS l, right_context_end_byte_offset AS r
- FROM samples s JOIN corpus_files f USING (repository_id, relative_path) WHERE f.content IS NOT NULL)"""
+_RECON = """j AS (SELECT s.*, f.content IS NULL AS missing, encode(f.content) AS raw, CASE WHEN f.has_bom THEN 3 ELSE 0 END AS bom, caret_byte_offset AS a, target_end_byte_offset AS e, left_context_start_byte_offset AS l, right_context_end_byte_offset AS r
+ FROM samples s LEFT JOIN corpus_files f USING (repository_id, relative_path))"""
 
 
-@query(f"""WITH {_RECON} SELECT count(*) AS rows, count(*) FILTER (raw[a - bom + 1 : e - bom] IS DISTINCT FROM encode(target_text)) AS bad_target, count(*) FILTER (raw[l - bom + 1 : a - bom] IS DISTINCT FROM encode(left_context)) AS bad_left,
+@query(f"""WITH {_RECON} SELECT count(*) AS rows, count(*) FILTER (missing) AS missing, count(*) FILTER (raw[a - bom + 1 : e - bom] IS DISTINCT FROM encode(target_text)) AS bad_target, count(*) FILTER (raw[l - bom + 1 : a - bom] IS DISTINCT FROM encode(left_context)) AS bad_left,
  count(*) FILTER (raw[e - bom + 1 : r - bom] IS DISTINCT FROM encode(right_context)) AS bad_right FROM j""")
 def reconstruction_check(spark, d):
-    """Targets and contexts cut again from the bytes of the files."""
-    f = table(spark, d, "corpus_files").where("content IS NOT NULL").withColumn("bom", F.when(F.col("has_bom"), 3).otherwise(0))
+    """Targets and contexts cut again from the bytes of the files; a sample without its file fails."""
     s = table(spark, d, "samples").select("sample_id", "repository_id", "relative_path", "target_text", "left_context", "right_context", "caret_byte_offset", "target_end_byte_offset", "left_context_start_byte_offset", "right_context_end_byte_offset")
-    r = validation.reconstructed(s, f)
-    bad = lambda a, b: F.sum((~F.col(a).eqNullSafe(F.col(b))).cast("bigint"))
-    return r.agg(F.count("*").alias("rows"), F.coalesce(bad("file_target", "target_text"), F.lit(0)).alias("bad_target"), F.coalesce(bad("file_left", "left_context"), F.lit(0)).alias("bad_left"), F.coalesce(bad("file_right", "right_context"), F.lit(0)).alias("bad_right"))
-
-
-@query()
+    r = validation.reconstructed(s, validation.with_bom(table(spark, d, "corpus_files")))
+    bad = lambda a, b: F.coalesce(F.sum((~F.col(a).eqNullSafe(F.col(b))).cast("bigint")), F.lit(0))
+    return r.agg(F.count("*").alias("rows"), F.count(F.when(F.col("raw").isNull(), 1)).alias("missing"), bad("file_target", "target_text").alias("bad_target"), bad("file_left", "left_context").alias("bad_left"), bad("file_right", "right_context").alias("bad_right"))
+
+
+_U16 = "(length({0}) + length(regexp_replace({0}, '[^\\x{{10000}}-\\x{{10FFFF}}]', '', 'g')))"
+_FILE_CHECKS = {
+    "source_missing": "NOT missing",
+    "source_sha256": "lower(trim(source_sha256)) = CASE WHEN bom = 3 THEN sha256(from_hex('EFBBBF') || raw) ELSE sha256(decode(raw)) END",
+    "offset_range": "a >= bom AND e >= a AND e <= octet_length(raw) + bom",
+    "reconstruction": "raw[a - bom + 1 : e - bom] = encode(target_text)",
+    "utf16_offset": f"{_U16.format('before')} = caret_utf16_offset AND {_U16.format('before')} + {_U16.format('target_text')} = target_end_utf16_offset",
+    "line_column": f"length(before) - length(replace(before, chr(10), '')) = caret_line_zero_based AND a - octet_length(encode(head)) = line_start_byte_offset AND octet_length(encode(head)) = caret_column_byte_zero_based AND {_U16.format('head')} = caret_column_utf16_zero_based AND e + octet_length(encode(rest)) = line_end_byte_offset",
+    "blank_after_target": "trim(rest, ' ' || chr(9) || chr(11) || chr(12)) = ''",
+    "left_context": f"raw[l - bom + 1 : a - bom] = encode(left_context) AND left_context_truncated = (l > bom) AND left_context_start_utf16_offset = caret_utf16_offset - {_U16.format('left_context')}",
+    "right_context": f"raw[e - bom + 1 : r - bom] = encode(right_context) AND right_context_truncated = (r < octet_length(raw) + bom) AND right_context_end_utf16_offset = target_end_utf16_offset + {_U16.format('right_context')}",
+}
+
+
+@query("WITH " + _RECON + """, h AS (SELECT *, decode(raw[1 : a - bom]) AS before, decode(raw[e - bom + 1 :]) AS tail FROM j),
+k AS (SELECT *, string_split(before, chr(10))[-1] AS head, CASE WHEN contains(tail, chr(10)) THEN regexp_replace(string_split(tail, chr(10))[1], '\\r$', '') ELSE tail END AS rest FROM h) """
+       + " UNION ALL ".join(f"SELECT '{k}' AS \"check\", count(*) AS rows, count(*) FILTER (({v}) IS NOT TRUE) AS failed FROM k" for k, v in _FILE_CHECKS.items()))
+def file_checks(spark, d):
+    """Every recorded sample held against its file: hash, range, bytes, UTF-16 offsets, line and column, contexts."""
+    again = validation.reconstructed(table(spark, d, "samples"), validation.with_bom(table(spark, d, "corpus_files")))
+    return validation.report(again, validation.file_checks())
+
+
+_ROW_CHECKS = {
+    "schema_version": "regexp_matches(schema_version, 'sample/v1$')", "language": "language = 'go'", "sample_id_format": "regexp_full_match(sample_id, '[0-9a-f]{32}')", "source_sha256_format": "regexp_full_match(source_sha256, '[0-9a-f]{64}')",
+    "config_sha256_format": "regexp_full_match(config_sha256, '[0-9a-f]{64}')", "revision_format": "revision IS NULL OR regexp_full_match(revision, '[0-9a-f]{40}')", "caret_kind": f"caret_kind IN ({', '.join(map(lit, WEIGHTS))})", "end_of_line": "end_of_line IN ('LF', 'CRLF', 'EOF')",
+    "split": "split IN ('train', 'validation', 'test')", "quality_flags": f"len(list_filter(quality_flags, lambda x: x NOT IN ({', '.join(map(lit, validation.FLAGS))}))) = 0", "target_not_empty": "length(target_text) > 0", "target_one_line": "NOT regexp_matches(target_text, '[\\r\\n\\x{2028}]')",
+    "target_not_padded": "rtrim(target_text, ' ' || chr(9) || chr(11) || chr(12)) = target_text", "target_size": f"{_U16.format('target_text')} = target_end_utf16_offset - caret_utf16_offset", "column": "caret_utf16_offset - line_start_utf16_offset = caret_column_utf16_zero_based",
+    "column_bytes": "caret_byte_offset - line_start_byte_offset = caret_column_byte_zero_based", "left_size": f"{_U16.format('left_context')} = caret_utf16_offset - left_context_start_utf16_offset",
+    "indentation": "indentation IS NULL OR starts_with(regexp_extract(string_split(left_context, chr(10))[-1], '^[ \\t\\x0B\\f]*'), indentation)",
+    "sample_id": f"sample_id = left(sha256(repository_id || {_SEP} || relative_path || {_SEP} || source_sha256 || {_SEP} || caret_utf16_offset || {_SEP} || target_end_utf16_offset), 32)",
+}
+
+
+@query(" UNION ALL ".join(f"SELECT '{k}' AS \"check\", count(*) AS rows, count(*) FILTER (({v}) IS NOT TRUE) AS failed FROM samples" for k, v in _ROW_CHECKS.items()))
 def sample_checks(spark, d):
     """Rows that fail each check of a sample record."""
     return validation.report(table(spark, d, "samples"), validation.field_checks())
 
 
+@query("""WITH r AS (SELECT sample_id, semantic_status AS status, CASE WHEN caret_kind = 'probe' THEN ['x'] ELSE [] END AS violations FROM samples WHERE semantic_status <> 'not_attempted' UNION ALL SELECT repo_id, status, ['x'] FROM jobs)
+SELECT 'semantic_orphan' AS "check", count(*) AS rows, count(*) FILTER (sample_id IS NULL OR sample_id NOT IN (SELECT sample_id FROM samples WHERE sample_id IS NOT NULL)) AS failed FROM r
+UNION ALL SELECT 'semantic_status', count(*), count(*) FILTER ((status IN ('resolved', 'partially_resolved', 'syntax_fallback', 'failed')) IS NOT TRUE) FROM r UNION ALL SELECT 'semantic_leakage', count(*), count(*) FILTER (len(violations) > 0) FROM r""")
+def semantic_checks(spark, d):
+    """Records held against the samples they are about; jobs stand in for records of unknown samples with violations."""
+    s, none = table(spark, d, "samples"), F.array().cast("array<string>")
+    r = s.where("semantic_status <> 'not_attempted'").select("sample_id", F.col("semantic_status").alias("status"), none.alias("violations"))
+    odd = table(spark, d, "jobs").select(F.col("repo_id").alias("sample_id"), "status", F.array(F.lit("x")).alias("violations"))
+    return validation.semantic_checks(r.unionByName(odd), s)
+
+
 @query(f"SELECT count(*) AS rows, count(*) FILTER (sample_id <> left(sha256(repository_id || {_SEP} || relative_path || {_SEP} || source_sha256 || {_SEP} || caret_utf16_offset || {_SEP} || target_end_utf16_offset), 32)) AS failed FROM samples")
 def sample_id_check(spark, d):
     s = table(spark, d, "samples")
@@ -559,13 +563,12 @@ def file_ownership(spark, d):
     return sampling.first_owner(o, "hash", "repo_id", ["batch"])
 
 
-@query("""WITH o AS (SELECT DISTINCT nullif(trim(regexp_replace(lower(trim(sha256)), '^sha256:', '')), '') AS h, repo_id FROM file_owner WHERE batch = 0)
-SELECT count(*) AS rows, count(*) FILTER (EXISTS (SELECT 1 FROM o WHERE o.h = s.source_sha256 AND o.repo_id <> s.repository_id)) AS owned_elsewhere FROM samples s""")
+@query("""WITH o AS (SELECT nullif(trim(regexp_replace(lower(trim(sha256)), '^sha256:', '')), '') AS h, repo_id, min(batch) AS owned FROM file_owner WHERE repo_id IS NOT NULL GROUP BY 1, 2),
+f AS (SELECT repository_id, relative_path, max(batch) AS batch FROM corpus_files GROUP BY 1, 2)
+SELECT count(*) AS rows, count(*) FILTER (EXISTS (SELECT 1 FROM o WHERE o.h = nullif(trim(regexp_replace(lower(trim(s.source_sha256)), '^sha256:', '')), '') AND o.repo_id <> s.repository_id AND o.owned < f.batch)) AS owned_elsewhere
+FROM samples s LEFT JOIN f USING (repository_id, relative_path)""")
 def owned_elsewhere(spark, d):
-    """Samples whose source another repository claimed in a batch before that of the sample's corpus file.
-
-    All claims count; the SQL beside it still holds those of batch 0 only, whatever the batch of the file.
-    """
+    """Samples whose source another repository claimed in a batch before that of the sample's corpus file."""
     claims = table(spark, d, "file_owner").select(clean_hash(F.col("sha256")).alias("source_sha256"), F.col("repo_id").alias("owner"), "batch")
     o = claims.where("source_sha256 IS NOT NULL AND owner IS NOT NULL").groupBy("source_sha256", "owner").agg(F.min("batch").alias("owned"))
     f = table(spark, d, "corpus_files").groupBy("repository_id", "relative_path").agg(F.max("batch").alias("batch"))
@@ -610,13 +613,24 @@ def go_bytes(spark, d):
     return f.agg(F.count("*").alias("files"), F.sum("bytes").alias("bytes"))
 
 
-@query("""SELECT file_id, coalesce(CASE WHEN has_bom THEN octet_length(encode(content)) + 3 ELSE octet_length(encode(content)) END, 0) AS size, CASE WHEN has_bom THEN sha256(from_hex('EFBBBF') || encode(content)) ELSE sha256(content) END AS hash,
-coalesce(nullif(trim(regexp_replace(lower(trim(sha256)), '^sha256:', '')), '') = CASE WHEN has_bom THEN sha256(from_hex('EFBBBF') || encode(content)) ELSE sha256(content) END, false) AS hash_ok FROM corpus_files WHERE content IS NOT NULL""")
+@query("""WITH c AS (SELECT *, CASE WHEN has_bom THEN from_hex('EFBBBF') || encode(content) ELSE encode(content) END AS raw, length(content) - length(replace(content, chr(10), '')) AS lf, (length(content) - length(replace(content, chr(13) || chr(10), ''))) // 2 AS crlf FROM corpus_files WHERE content IS NOT NULL)
+SELECT file_id, repository_id, relative_path, octet_length(raw) AS bytes, CASE WHEN has_bom THEN sha256(from_hex('EFBBBF') || encode(content)) ELSE sha256(content) END AS sha256, coalesce(has_bom, false) AS has_bom, CASE WHEN lf = 0 THEN 'none' WHEN crlf = 0 THEN 'lf' WHEN crlf = lf THEN 'crlf' ELSE 'mixed' END AS newline_style,
+ CAST(lf + 1 AS INTEGER) AS lines, license, license_reason, content FROM c""")
 def corpus_rows(spark, d):
-    """Size and hash of corpus files from their bytes, the byte order mark included, held against what is recorded."""
-    raw = F.when(F.col("has_bom"), F.concat(F.unhex(F.lit("EFBBBF")), F.col("content").cast("binary"))).otherwise(F.col("content").cast("binary"))
-    f = table(spark, d, "corpus_files").where("content IS NOT NULL").withColumn("raw", raw).withColumn("hash", F.sha2("raw", 256))
-    return f.select("file_id", F.octet_length("raw").cast("bigint").alias("size"), "hash", F.coalesce(clean_hash(F.col("sha256")) == F.col("hash"), F.lit(False)).alias("hash_ok"))
+    """Corpus records built from the texts: size and hash of the bytes, the byte order mark included."""
+    f = table(spark, d, "corpus_files")
+    return extract.corpus_records(f, licence=F.col("license"), reason=F.col("license_reason")).select("file_id", "repository_id", "relative_path", "bytes", "sha256", "has_bom", "newline_style", "lines", "license", "license_reason", "content")
+
+
+@query("""SELECT count(*) AS rows, count(*) FILTER (bytes IS DISTINCT FROM size) AS bad_bytes, count(*) FILTER (h IS NOT NULL AND h <> hash) AS bad_hash FROM (
+ SELECT bytes, octet_length(encode(content)) + CASE WHEN has_bom THEN 3 ELSE 0 END AS size, nullif(trim(regexp_replace(lower(trim(sha256)), '^sha256:', '')), '') AS h, CASE WHEN has_bom THEN sha256(from_hex('EFBBBF') || encode(content)) ELSE sha256(content) END AS hash FROM corpus_files WHERE content IS NOT NULL)""")
+def corpus_check(spark, d):
+    """Recorded size and hash of corpus files held against their bytes; a hash that is not recorded is not checked."""
+    f = table(spark, d, "corpus_files")
+    made = extract.corpus_records(f).select("file_id", F.col("bytes").alias("size"), F.col("sha256").alias("hash"))
+    j = f.select("file_id", "bytes", clean_hash(F.col("sha256")).alias("h")).join(made, "file_id")
+    bad = lambda c: F.coalesce(F.sum(c.cast("bigint")), F.lit(0))
+    return j.agg(F.count("*").alias("rows"), bad(~F.col("bytes").eqNullSafe(F.col("size"))).alias("bad_bytes"), bad(F.coalesce(F.col("h") != F.col("hash"), F.lit(False))).alias("bad_hash"))
 
 
 @query("""WITH r AS (SELECT event_type, value, row_number() OVER (PARTITION BY event_type ORDER BY value) - 1 AS i, count(*) OVER (PARTITION BY event_type) AS n FROM events WHERE value IS NOT NULL)

@@ -54,6 +54,18 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` in enough partitions for all cores, for work that costs far more than moving its rows.
+
+    Only a plain scan of fewer partitions than the cluster has cores is moved: a small table in few files. Large tables
+    have enough splits and stay where they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df._jdf.queryExecution().executedPlan().nodeName() == "AdaptiveSparkPlan" or df._jdf.rdd().getNumPartitions() >= cores:
+        return df
+    return df.repartition(2 * cores)
+
+
 def discard(df: DataFrame) -> None:
     """Delete what ``materialise`` wrote for ``df``; nothing that is still to be computed may read it."""
     path = getattr(df, "_written_at", None)

@@ -19,6 +19,20 @@ def test_the_verbs_in_order(spark, tmp_path, capsys):
     assert samples.count() > 3 and samples.groupBy("relative_path", "repository_id", "caret_line_zero_based").count().where("count > 1").count() == 0
     capsys.readouterr()
     assert cli.main(["validate", "--input", at("s")], spark) == 0 and json.loads(capsys.readouterr().out)["ok"]
+    assert cli.main(["validate", "--input", at("s"), "--files", at("in"), "--trees"], spark) == 0 and json.loads(capsys.readouterr().out)["ok"]
+    (tmp_path / "in" / "c" / "pkg" / "x.go").write_text(SRC)
+    (tmp_path / "in" / "b" / "pkg" / "x.go").unlink()
+    assert cli.main(["validate", "--input", at("s"), "--files", at("in"), "--trees"], spark) == 1
+    failed = json.loads(capsys.readouterr().out)["failed"]
+    each = {r["repository_id"]: r["count"] for r in samples.groupBy("repository_id").count().collect()}
+    assert failed["source_missing"] == each["b"] and failed["source_sha256"] == each["b"] + each["c"]
+    assert cli.main(["extract", "--input", at("in"), "--trees", "--out", at("s2"), "--corpus", at("cf"), "--exclusions", at("ex")], spark) == 0
+    told = json.loads(capsys.readouterr().out)
+    assert told["counters"]["samples.total"] == spark.read.parquet(at("s2")).count() and told["throughput"]["samples_per_sec"] > 0
+    assert spark.read.parquet(at("cf")).count() == 2 and spark.read.parquet(at("ex")).count() > 0
+    (tmp_path / "lic.json").write_text(json.dumps({"allowed": ["MIT"]}))
+    assert cli.main(["discover", "--config", at("lic.json"), "--input", at("in"), "--trees", "--out", at("d2")], spark) == 0
+    assert {r["skip_reason"] for r in spark.read.parquet(at("d2")).collect()} == {"license_not_allowed", "generated_path"}
     samples.unionByName(samples.limit(1)).write.parquet(at("bad"))
     assert cli.main(["validate", "--input", at("bad")], spark) == 1
     assert cli.main(["render", "--input", at("s"), "--out", at("r")], spark) == 0

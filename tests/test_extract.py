@@ -4,6 +4,7 @@ from dataclasses import replace
 
 from pyspark.sql import functions as F
 
+from caretlake import schemas
 from caretlake.config import Config, Sampling
 from caretlake.operators import extract, validation
 from caretlake.operators.golexer import WEIGHTS
@@ -19,10 +20,53 @@ def files(spark, n=1):
 
 
 def failures(s, f):
-    again = validation.reconstructed(s, f.where("content IS NOT NULL").withColumn("bom", F.lit(0)))
-    checks = {k: v for k, v in validation.field_checks().items() if k not in ("revision_format", "split")}
-    checks |= {c: F.col("file_" + c).eqNullSafe(F.col(t)) for c, t in (("target", "target_text"), ("left", "left_context"), ("right", "right_context"))}
-    return {r["check"]: r["failed"] for r in validation.report(again, checks).collect() if r["failed"]}
+    again = validation.reconstructed(s, validation.with_bom(f))
+    return {r["check"]: r["failed"] for r in validation.report(again, validation.field_checks() | validation.file_checks()).collect() if r["failed"]}
+
+
+def test_settings_are_in_force(spark):
+    f = files(spark)
+    n = lambda **kw: extract.samples(f, replace(ALL, sampling=replace(ALL.sampling, **kw)))
+    assert n(test_keep=0.0).where("is_test").count() == 0
+    t = spark.createDataFrame([(1, "r", "a_test.go", SRC, 1, 1.0), (2, "q", "a.go", SRC, 1, 1.0)], COLS)
+    thin = extract.samples(t, replace(ALL, sampling=replace(ALL.sampling, test_keep=0.0)))
+    assert {r[0] for r in thin.select("relative_path").distinct().collect()} == {"a.go"}
+    assert n(max_target=5).where("length(target_text) > 5").count() == 0 and n(min_target=3).where("length(target_text) < 3").count() == 0
+    assert n(max_line=20).where("line_end_byte_offset - line_start_byte_offset > 20").count() == 0
+    ends = lambda d: d.where("caret_kind = 'identifier_partial'").count()
+    assert ends(n(prefix_max=1)) < ends(n())
+
+
+def test_a_line_at_another_depth_is_the_same_line(spark):
+    body = "package a\n\nfunc f() {\n%scall(one, two)\n}\n"
+    rows = [(1, "r", "a.go", body % "\t", 1, 1.0), (2, "r", "b.go", body % "\t\t  ", 1, 1.0), (3, "r", "c.go", body % "", 1, 1.0), (4, "q", "d.go", body % "\t", 1, 1.0)]
+    s = extract.samples(spark.createDataFrame(rows, COLS), ALL).where("target_text LIKE 'call(%'")
+    assert {(r["relative_path"], r["indentation"]) for r in s.collect()} == {("a.go", "\t"), ("d.go", "\t")}
+    line = spark.createDataFrame([("\t\u00a0x", "y \u2003"), ("x", "y"), ("  x", "y\r"), ("x ", "y")], "h string, t string")
+    keys = [r[0] for r in line.select(extract.line_key(F.col("h"), F.col("t"))).collect()]
+    assert keys[1] == keys[2] != keys[3]
+
+
+def test_marks_tags_and_splits(spark):
+    src = "package a\n\nfunc F[T any](x T) {\n\tgo run(x)\n\tdefer stop()\n\tselect {\n\tcase c <- 1:\n\t\ty = T{a: 1}\n\t}\n\tf := func() { log.Printf(\"z\") }\n}\n\ntype S struct {\n\tA int\n}\n"
+    f = spark.createDataFrame([(1, "r", "a.go", src, True, "a" * 40, " G ")], "file_id bigint, repository_id string, relative_path string, content string, has_bom boolean, revision string, split_group string")
+    s = extract.samples(f, ALL)
+    assert failures(s, f) == {} and s.count() > 40
+    rows = s.collect()
+    assert {r["split_group"] for r in rows} == {"g"} and {r["revision"] for r in rows} == {"a" * 40} and min(r["caret_byte_offset"] - r["caret_utf16_offset"] for r in rows) == 3
+    tags = lambda text: {t for r in rows if r["target_text"].startswith(text) for t in r["tags"]}
+    assert "generics" in tags("any](x") and "goroutine" in tags("run(x)") and "defer" in tags("stop()") and {"select", "channel"} <= tags("c <- 1") and "composite_literal" in tags("1}") and {"closure", "log_call"} <= tags("\"z\")") and "struct_type" in tags("A int")
+    assert {x.name for x in schemas.SAMPLE.fields} == set(s.columns) - {"file_id"}
+
+
+def test_corpus_and_exclusion_records(spark):
+    f = files(spark).withColumn("has_bom", F.col("file_id") == 0)
+    c = {r["file_id"]: r for r in extract.corpus_records(f).collect()}
+    assert 5 not in c and c[0]["bytes"] == len(SRC.encode()) + 3 and c[1]["newline_style"] == "crlf" and c[4]["lines"] == 1
+    assert {x.name for x in schemas.CORPUS.fields} == set(extract.corpus_records(f).columns) - {"file_id"}
+    e = extract.exclusions(f, replace(ALL, sampling=replace(ALL.sampling, examples=2))).collect()
+    assert e and max(sum(1 for x in e if (x["file_id"], x["reason"]) == k) for k in {(x["file_id"], x["reason"]) for x in e}) == 2
+    assert any(x["reason"] == "line:blank" and x["line_text"] == "" for x in e) and any(x["reason"] == "secret_detected" for x in e)
 
 
 def test_every_candidate_is_reconstructed(spark):

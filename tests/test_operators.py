@@ -101,7 +101,7 @@ def test_caret_kinds():
     ln = lambda s: next(i for i, x in enumerate(lines) if s in x)
     for want in (
         (ln("if err"), "error_handling", "if_err_init"), (ln("return fmt"), "error_handling", "err_body_return"), (ln("Printf"), "log_message", "template_start"), (ln("Printf"), "log_message", "template_body"), (ln("go func"), "func_literal", "go"),
-        (ln("Printf"), "member_access", "package"), (ln("[]string"), "composite_literal", "open"), (ln("[]string"), "composite_literal", "next"), (ln("map["), "composite_literal", "key_value"), (ln("if err"), "control_flow", "if"), (ln("x := "), "after_operator", ":="),
+        (ln("Printf"), "member_access", "package"), (ln("[]string"), "composite_literal", "open"), (ln("[]string"), "composite_literal", "next"), (ln("map["), "composite_literal", "key_value"), (ln("if err"), "error_handling", "if_err_cond"), (ln("x := "), "after_operator", ":="),
         (ln("x := "), "line_start", "short_var_decl"), (ln("func (t"), "line_start", "method_decl"), (ln("func (t"), "argument_list", "params_open"), (ln("f(n)"), "argument_list", "call_open"), (ln("Name string"), "line_start", "field"),
     ):
         assert want in at, want
