@@ -1,8 +1,9 @@
 """Credentials in source texts: where each one begins, and the same text with it masked.
 
 Literals are found by their own shape (issued tokens, private key blocks, key containers) or by the name or call that
-they are given to. Base64, hex, percent and escape layers are decoded and scanned again, up to ``DEPTH`` layers; what is
-reported and masked is then the enclosing encoded literal. Binary key containers are recognised by parsing them.
+they are given to. Base64 (wrapped over lines too), hex, percent, escape and byte-list layers are decoded and scanned
+again, as deep as they go: each layer is shorter than the one around it. What is reported and masked is then the enclosing
+encoded literal. Binary key containers are recognised by parsing them to their end.
 Placeholders, names of variables, look-ups, hashes, revisions, ids, public keys, embedded images and messages are none.
 """
 
@@ -20,8 +21,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEPTH = 4
-
 
 class Hit(NamedTuple):
     start: int  # of the literal that is masked
@@ -50,23 +49,28 @@ ISSUED = [
 _ISSUED = [re.compile(p) for _, p in ISSUED]
 
 # Names that hold a credential; in the second group only values that look random count.
-_SURE = r"(?:passwor[dt]|passwd|passphrase|passwort|kennwort|contrase[nñ]a|пароль|pwd)"
+_SURE = r"(?:passwor[dt]|passwd|passphrase|passwort|kennwort|contrase[nñ]a|mot_?de_?passe|senha|palavra_?passe|wachtwoord|l[oö]senord|adgangskode|salasana|heslo|jelsz[oó]|пароль|密码|密碼|パスワード|pwd)"
 _LIKE = r"(?:secret|token|api[_-]?key|apikey|access[_-]?key|auth[_-]?key|signing[_-]?key|private[_-]?key|encryption[_-]?key|client[_-]?secret|shared[_-]?key|account[_-]?key|credentials?|\.pass)"
 _LIT = r"(?:\"((?:[^\"\\\n]|\\.)*)\"|`([^`\n]*)`|'((?:[^'\\\n]|\\.)*)')"
 _ASSIGN = re.compile(rf"((?<![\w.-])[\w.-]{{0,160}}?(?:(?i:{_SURE})|(?i:{_LIKE}))\w{{0,80}})[\"'\]]?(?:\s+string)?\s*(?:=|:=|:|,)\s*(?:\[\]byte\(|string\(|&|new\()?\s*{_LIT}")
 _CALL = re.compile(rf"\.?\b(Set(?i:password|passphrase|secret|token|apikey|passwd)|With(?i:password|passphrase|secret|token|apikey))\(\s*(?:\[\]byte\()?{_LIT}")
 _TUPLE = re.compile(r"([\w.]+(?:\s*,\s*[\w.]+)+)\s*:?=\s*(\"(?:[^\"\\\n]|\\.)*\"(?:\s*,\s*\"(?:[^\"\\\n]|\\.)*\")+)")
+_LIST, _EQUALS = re.compile(r"\w\s*,\s*\Z"), re.compile(r"\s*:?=(?!=)")  # one of several names that are assigned at once
 _STRING = re.compile(r"\"((?:[^\"\\\n]|\\.)*)\"")
 _YAML = re.compile(r"(?im)^[ \t]*((?://|#|\*)?[ \t]*)[\"']?(pass|password|passwd|passwort|passphrase|pwd|secret|token|api[_-]?key|client_secret)[\"']?[ \t]*:[ \t]+[\"']?([^\s\"'`,;(){}]{6,})[\"']?[ \t]*\r?$")
 _USER = re.compile(r"\b[a-zA-Z][a-zA-Z0-9+.-]*://[^\s/:@\"'`]*:([^\s@/\"'`]{3,})@")
 _QUERY = re.compile(r"(?i)[?&](?:token|access_token|auth_token|api_?key|key|secret|client_secret|sig|signature|password|pass|pwd|auth)=([A-Za-z0-9._~%+/-]{10,}=*)")
 _PAIRS = re.compile(r"(?i)\b(?:AccountKey|SharedAccessKey|SharedSecret|Password|Pwd)=([^;\"'\s`]{6,})")
 _SCHEME = re.compile(r"(?i)\b(Basic|Bearer)\s+([A-Za-z0-9+/._~-]{8,}={0,2})")
+_ENV = re.compile(rf"(?<![\w./-])([A-Za-z][A-Za-z0-9_]*?(?:PASS|(?i:{_SURE})|PHRASE|SECRET|TOKEN|API_?KEY|ACCESS_KEY|PRIVATE_KEY|SIGNING_KEY|AUTH_KEY))=([^\s\"'`=;&|<>()$,][^\s\"'`;&|<>()$]{{5,}})(?=[\s\"'`;&|]|$)")
 _CURL = re.compile(r"(?:\s-u|--user)[\s=]+[\"']?([^\s:\"'`]+):([^\s\"'`]{4,})")
 _PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]*)PRIVATE KEY( BLOCK)?-----(.*?)-----END \1PRIVATE KEY( BLOCK)?-----", re.S)
 _GLUE = re.compile(r"([\"`])\s*\+\s*\1")
 _ADDED = re.compile(r"\"(?:[^\"\\\n]|\\.)*\"(?:\s*\+\s*\"(?:[^\"\\\n]|\\.)*\")+")
 _RUN = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}={0,2}")
+_WRAPPED = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{16,}(?:[ \t]*\r?\n[ \t]*[A-Za-z0-9+/_-]{16,})*[ \t]*\r?\n[ \t]*[A-Za-z0-9+/_-]+={0,2}(?![A-Za-z0-9+/_=-])")
+_BYTES = re.compile(r"\[(?:\d+|\.\.\.)?\](?:byte|uint8)\{([^{}]*)\}")
+_NUMBER = re.compile(r"0[xX][0-9a-fA-F]{1,2}|'(?:[^'\\\n]|\\.)'|\d{1,3}")
 _SURE_NAME = re.compile(rf"(?i)(?:{_SURE}|\bpass$)")
 _LIKE_END = re.compile(r"(?i)(?:token|secret)\w{0,2}$")
 _FIELD_NAME = re.compile(rf"(?i)(?:{_SURE}|\bpass|secret|token|apikey)$")
@@ -82,7 +86,7 @@ _VARIABLE = re.compile(r"^[A-Z][A-Z0-9]*(?:_[A-Z0-9]+)+$|^[a-z]+(?:_[a-z]+)+$|^(
 _NAME_OF = re.compile(r"(?i)(?:env|name|header|field|label|param|file|path|url|uri|hint|prompt|msg|message|err|title|id|type|kind|prefix|regexp?|pattern|sum|hash|digest|rev|len|size|pub|public)$")
 #: A line is looked at only if it holds one of these: the first as they stand, the others in lower case.
 _EXACT = [t for t, _ in ISSUED] + ["ASIA", "gho_", "ghu_", "ghs_", "ghr_"]
-_NAMED = ["pass", "secret", "token", "kennwort", "pwd", "contrase", "пароль", "credential", "key"]
+_NAMED = ["pass", "secret", "token", "kennwort", "pwd", "contrase", "пароль", "credential", "key", "senha", "wachtwoord", "senord", "adgangskode", "salasana", "heslo", "jelsz", "密码", "密碼", "パスワード", "phrase"]
 _OTHER = ["://", "basic ", "bearer ", "curl", "--user", "wget"]
 
 
@@ -110,10 +114,66 @@ def _is_secret_value(name: str, v: str, sure: bool) -> bool:
     return looks_random(v)
 
 
+def _openssh(raw: bytes) -> bool:
+    """Magic, names of cipher and derivation, its options, the number of keys, their public parts and one private part, to the end."""
+    at = 15
+
+    def part() -> bytes | None:
+        nonlocal at
+        if at + 4 > len(raw):
+            return None
+        n = int.from_bytes(raw[at : at + 4], "big")
+        at += 4 + n
+        return raw[at - n : at] if at <= len(raw) else None
+
+    cipher, derived, options = part(), part(), part()
+    if not cipher or not derived or options is None or at + 4 > len(raw):
+        return False
+    keys = int.from_bytes(raw[at : at + 4], "big")
+    at += 4
+    return 1 <= keys <= 64 and all(part() for _ in range(keys)) and bool(part()) and at == len(raw)
+
+
+def _keystore(raw: bytes) -> bool:
+    """Magic, version, the number of entries, the entries and a digest of 20 bytes; one entry at least holds a private key."""
+    at, private = 12, False
+    if len(raw) < 32 or int.from_bytes(raw[4:8], "big") not in (1, 2):
+        return False
+
+    def skip(size: int) -> None:
+        nonlocal at
+        at += size + int.from_bytes(raw[at : at + size], "big")
+
+    for _ in range(int.from_bytes(raw[8:12], "big")):
+        if at + 4 > len(raw) or (kind := int.from_bytes(raw[at : at + 4], "big")) not in (1, 2, 3):
+            return False
+        at += 4
+        skip(2)
+        at += 8
+        chain = 1
+        if kind == 1:
+            private = True
+            skip(4)
+            chain = int.from_bytes(raw[at : at + 4], "big")
+            at += 4
+        elif kind == 3:  # a sealed secret key: a serialised object, which is not parsed
+            return at < len(raw)
+        for _ in range(chain):
+            if at > len(raw):
+                return False
+            skip(2)
+            skip(4)
+    return private and at + 20 == len(raw)
+
+
 def key_container(raw: bytes) -> bool:
-    """Whether bytes are a private key by the grammar of their container: DER (PKCS#1, PKCS#8, SEC 1, PKCS#12), OpenSSH, JKS."""
-    if raw.startswith((b"openssh-key-v1\0", b"\xfe\xed\xfe\xed", b"\xce\xce\xce\xce", b"PuTTY-User-Key-File-")):
-        return True
+    """Whether bytes are a private key by the grammar of their container: DER (PKCS#1, PKCS#8, SEC 1, PKCS#12), OpenSSH, Java key store, PuTTY."""
+    if raw.startswith(b"openssh-key-v1\0"):
+        return _openssh(raw)
+    if raw.startswith((b"\xfe\xed\xfe\xed", b"\xce\xce\xce\xce")):
+        return _keystore(raw)
+    if raw.startswith(b"PuTTY-User-Key-File-"):
+        return re.search(rb"(?m)^Private-Lines: [1-9]\d*\r?$", raw) is not None
 
     def read(at: int, end: int) -> tuple[int, int, int] | None:
         if at + 2 > end:
@@ -163,33 +223,61 @@ def _base64(s: str) -> bytes | None:
         return None
 
 
-def _layers(text: str, depth: int) -> Iterator[tuple[int, int, str]]:
+def _opens(raw: bytes | None) -> bool:
+    """Whether decoded bytes are a key container or a text that holds a credential, in layers of its own perhaps."""
+    return bool(raw) and (key_container(raw) or bool((p := _printable(raw)) and _scan(p, True)))
+
+
+def _byte_list(body: str) -> bytes | None:
+    """The bytes that a list of numbers and signs stands for."""
+    out = bytearray()
+    for m in _NUMBER.finditer(body):
+        v = m[0]
+        n = ord(v[1:-1].encode().decode("unicode_escape")) if v[0] == "'" else int(v, 16 if v[:2] in ("0x", "0X") else 10)
+        if n > 255:
+            return None
+        out.append(n)
+    return bytes(out)
+
+
+def _layers(text: str) -> Iterator[tuple[int, int, str]]:
     """(start, end, kind) of encoded literals whose decoded content holds a credential."""
     for m in _RUN.finditer(text):
         s = m[0]
         if re.fullmatch(r"[0-9a-fA-F]+", s):
-            if len(s) % 2 == 0 and len(s) >= 24:
-                raw = bytes.fromhex(s)
-                if key_container(raw) or ((p := _printable(raw)) and _scan(p, depth + 1, True)):
-                    yield m.start(), m.end(), "hex"
+            if len(s) % 2 == 0 and len(s) >= 24 and _opens(bytes.fromhex(s)):
+                yield m.start(), m.end(), "hex"
             continue
-        if s.endswith("=") or (any(map(str.isdigit, s)) and s.lower() != s != s.upper()):
-            raw = _base64(s)
-            if raw and (key_container(raw) or ((p := _printable(raw)) and _scan(p, depth + 1, True))):
-                yield m.start(), m.end(), "base64"
+        if (s.endswith("=") or (any(map(str.isdigit, s)) and s.lower() != s != s.upper())) and _opens(_base64(s)):
+            yield m.start(), m.end(), "base64"
+    if "\n" in text:
+        for m in _WRAPPED.finditer(text):
+            s = re.sub(r"\s+", "", m[0])
+            if _opens(bytes.fromhex(s) if len(s) % 2 == 0 and re.fullmatch(r"[0-9a-fA-F]+", s) else _base64(s)):
+                yield m.start(), m.end(), "wrapped"
+    if "byte{" in text or "uint8{" in text:
+        for m in _BYTES.finditer(text):
+            if len(m[1]) >= 48 and _opens(_byte_list(re.sub(r"//[^\n]*|/\*.*?\*/", "", m[1], flags=re.S))):
+                yield m.start(1), m.end(1), "bytes"
     for seed, sign, kind in ((_PERCENT, _URL_SIGN, "percent"), (_ESCAPED, _TEXT_SIGN, "escaped")):
         if ("%" if kind == "percent" else "\\") in text:
             for start, end in _around(text, seed, sign):
                 s = text[start:end]
-                if kind == "percent":
-                    p = _printable(unquote_to_bytes(s))
-                else:
-                    p = _UNIT.sub(lambda u: chr(int(u[1] or u[2], 16) if u[1] or u[2] else int(u[3], 8) & 255), s)
-                    p = p if all(c.isprintable() for c in p) else None
-                if p and p != s and _scan(p, depth + 1, True):
+                raw = unquote_to_bytes(s) if kind == "percent" else _unescaped(s)
+                if len(raw) < len(s) and raw != s.encode("utf-8", "surrogatepass") and _opens(raw):
                     yield start, end, kind
 
 
+def _unescaped(s: str) -> bytes:
+    """The bytes of a literal with hex, octal and Unicode escapes."""
+    out, at = bytearray(), 0
+    for m in _UNIT.finditer(s):
+        out += s[at : m.start()].encode("utf-8", "surrogatepass")
+        out += bytes([int(m[1], 16)]) if m[1] else chr(int(m[2], 16)).encode("utf-8", "surrogatepass") if m[2] else bytes([int(m[3], 8) & 255])
+        at = m.end()
+    return bytes(out + s[at:].encode("utf-8", "surrogatepass"))
+
+
 def _around(text: str, seed: re.Pattern, sign: re.Pattern) -> Iterator[tuple[int, int]]:
     """Stretches of signs around each seed, in time that grows with the text."""
     at = 0
@@ -251,11 +339,15 @@ def _in_line(text: str, low: str, final: bool) -> Iterator[Hit]:
                 yield Hit(m.start(2), m.end(2), m.start(2), "login")
     if not any(t in low for t in _NAMED):
         return
+    if "=" in text:
+        for m in _ENV.finditer(text):
+            if done(m.end()) and _is_secret_value(m[1], m[2], bool(_SURE_NAME.search(m[1])) or m[1].upper().endswith(("PASS", "PHRASE"))):
+                yield Hit(m.start(2), m.end(2), m.start(2), "setting")
     if '"' in text or "`" in text or "'" in text:
         tuples = list(_TUPLE.finditer(text)) if "," in text else []
         for rx in (_ASSIGN, _CALL):
             for m in rx.finditer(text):
-                if rx is _ASSIGN and any(t.start(2) <= m.end() - 1 <= t.end(2) for t in tuples):
+                if rx is _ASSIGN and (any(t.start(2) <= m.end() - 1 <= t.end(2) for t in tuples) or _LIST.search(text, 0, m.start()) and _EQUALS.match(text, m.end(1))):
                     continue
                 g = 2 if m[2] is not None else 3 if m[3] is not None else 4
                 sure = bool(_SURE_NAME.search(m[1])) and (rx is _CALL or not _LIKE_END.search(m[1]))
@@ -287,7 +379,7 @@ def _glued(text: str) -> Iterator[tuple[int, str, list[tuple[int, int]]]]:
         yield line, "".join(joined) + '"', marks
 
 
-def _scan(text: str, depth: int = 0, final: bool = True) -> list[Hit]:
+def _scan(text: str, inner: bool = False, final: bool = True) -> list[Hit]:
     low = text.lower()
     if len(low) != len(text):  # a few letters grow in lower case
         low = "".join(x if len(x) == 1 else c for c, x in ((c, c.lower()) for c in text))
@@ -298,14 +390,13 @@ def _scan(text: str, depth: int = 0, final: bool = True) -> list[Hit]:
         for m in _PEM.finditer(text):
             if len(re.sub(r"[^A-Za-z0-9+/]", "", m[3])) >= 64:
                 hits.append(Hit(m.start(), m.end(), m.start(), "private_key"))
-    if depth < DEPTH:
-        for start, end, kind in _layers(text, depth):
-            if final or end < len(text):
-                hits.append(Hit(start, end, start, kind))
-    if depth == 0 and ('" +' in text or '"+' in text):
+    for start, end, kind in _layers(text):
+        if final or end < len(text):
+            hits.append(Hit(start, end, start, kind))
+    if not inner and ('" +' in text or '"+' in text):
         for _, joined, marks in _glued(text):
             starts = [a for a, _ in marks]
-            found = [*_in_line(joined, joined.lower() if joined.isascii() else joined, True), *(Hit(a, b, a, k) for a, b, k in _layers(joined, depth))]
+            found = [*_in_line(joined, joined.lower() if joined.isascii() else joined, True), *(Hit(a, b, a, k) for a, b, k in _layers(joined))]
             for h in found:
                 spot = [(k := bisect_right(starts, p) - 1, p - marks[k][0] + marks[k][1])[1] for p in (h.start, h.end - 1)]
                 if spot[1] + 1 - spot[0] != h.end - h.start:  # one that lies in a single literal was found above
@@ -330,7 +421,7 @@ def find(text: str | None, final: bool = True, before: str = "") -> list[Hit]:
     if not text:
         return []
     tail = before[before.rfind("\n") + 1 :]
-    hits = merged(_scan(tail + text, 0, final))
+    hits = merged(_scan(tail + text, False, final))
     return [Hit(h.start - len(tail), h.end - len(tail), h.line_at - len(tail), h.kind) for h in hits if h.start >= len(tail)]
 
 
@@ -341,6 +432,8 @@ def mask(text: str, hits: list[Hit]) -> str:
         body = text[h.start : h.end]
         if _GLUE.search(body):
             body = "".join(x if k % 2 else re.sub(r"[^\r\n]", "*", x) for k, x in enumerate(re.split(r"([\"`]\s*\+\s*[\"`])", body)))
+        elif h.kind == "bytes":
+            body = _NUMBER.sub(lambda m: "'*'" + " " * (len(m[0]) - 3) if m[0][0] == "'" else m[0][:2] + "0" * (len(m[0]) - 2) if m[0][:2] in ("0x", "0X") else "0" * len(m[0]), body)
         elif h.kind == "private_key":
             body = re.sub(r"(-----[A-Z0-9 ]+-----)|[^\r\n\\\"`+\s]", lambda m: m[1] or "*", body)
         else:

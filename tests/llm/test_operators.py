@@ -115,6 +115,48 @@ def test_credentials_of_a_text(text, lines):
         assert len(masked) == len(text) and masked.count("\n") == text.count("\n") and masked.count('"') == text.count('"') and secrets.find(masked) == []
 
 
+def _lines(raw, width=40):
+    b = base64.b64encode(raw).decode()
+    return "\n".join(b[i : i + width] for i in range(0, len(b), width))
+
+
+_part = lambda b: len(b).to_bytes(4, "big") + b
+OPENSSH = b"openssh-key-v1\0" + _part(b"none") + _part(b"none") + _part(b"") + (1).to_bytes(4, "big") + _part(bytes(range(50))) + _part(bytes(range(90)))
+STORE = b"\xfe\xed\xfe\xed" + (2).to_bytes(4, "big") + (1).to_bytes(4, "big") + (1).to_bytes(4, "big") + b"\0\x03key" + bytes(8) + _part(bytes(range(60))) + (1).to_bytes(4, "big") + b"\0\x05X.509" + _part(bytes(range(70))) + bytes(20)
+
+
+def _wrap(text, layers):
+    for _ in range(layers):
+        text = base64.b64encode(text.encode()).decode()
+    return text
+
+
+@pytest.mark.parametrize(
+    "text, kind",
+    [
+        ("var k = `\n" + _lines(KEY) + "\n`\n", "wrapped"), ("var k = []byte{\n\t" + ", ".join(f"0x{b:02x}" for b in KEY) + ",\n}\n", "bytes"), ("var k = []byte{" + ", ".join(map(str, b'password = \"Hunter2!abcXYZ99\"')) + "}", "bytes"),
+        ('x = "' + _wrap('password = "Hunter2!abcXYZ99"', 7) + '"', "base64"), ('x = "' + base64.b64encode(OPENSSH).decode() + '"', "base64"), ('x = "' + STORE.hex() + '"', "hex"), ('x = "' + "".join(f"\\x{b:02x}" for b in KEY) + '"', "escaped"),
+        ('x = "' + "".join(f"%{b:02X}" for b in KEY) + '"', "percent"), ('x = "' + "".join(f"\\x{b:02x}" for b in PEM.encode()) + '"', "escaped"), ("// run it as: STORE_PASS=mika-tarola-venu-soral39 ./bin/x", "setting"), ('var motDePasseRo = "7zStZ!JFK#DNaa"', "literal"),
+    ],
+)
+def test_layers_and_containers(text, kind):
+    hits = secrets.find(text)
+    assert [h.kind for h in hits] == [kind]
+    masked = secrets.mask(text, hits)
+    assert len(masked) == len(text) and masked.count("\n") == text.count("\n") and masked.count(",") == text.count(",") and secrets.find(masked) == []
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        'x = "' + (b"\xfe\xed\xfe\xed" + b"plain words that follow the magic").hex() + '"', 'x = "' + base64.b64encode(OPENSSH[:-3]).decode() + '"', 'x = "' + base64.b64encode(STORE[:-1]).decode() + '"', "var t = []byte{" + ", ".join(f"0x{(i * 7) % 256:02x}" for i in range(80)) + "}",
+        'c.User, c.Pass = "giclulend",', "// set STORE_PASS=$PASS or STORE_PASS=<password> first", "if MAX_TOKEN=12 then", "var k = `\n" + _lines(bytes(range(3, 90))) + "\n`\n",
+    ],
+)
+def test_what_is_no_container(text):
+    assert secrets.find(text) == []
+
+
 def test_fields_hold_credentials_whole(spark):
     samples = spark.createDataFrame(
         [("s1", 'x = 1\nvar aAuth = "Basic ', base64.b64encode(b"me:Qlt5CFQsg").decode() + '"'), ("s2", f'var a = "{TOKEN[:20]}', TOKEN[20:] + '"'), ("s3", f'var a = "{TOKEN}"\nb := ', "1"), ("s4", f'var a = "{TOKEN}', '"'), ("s5", None, None), ("s6", None, f'"{TOKEN}"'), (None, "", f'"{TOKEN}"'), ("s6", None, f'"{TOKEN}"')],
