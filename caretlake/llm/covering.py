@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from caretlake.llm import shingles as S
 from caretlake.llm.rarity import Rarity
+from caretlake.session import spread
 
 FULL_BELOW = 0.85
 
@@ -136,7 +137,7 @@ def covering_keys(df: DataFrame, text: str, covering: Covering, rarity: Rarity,
                     names=[*carry, "cls", "n", "tables"] + ["shingles"] * with_sets,
                 )
 
-    return df.select(*carry, F.col(text)).mapInArrow(run, schema)
+    return spread(df.select(*carry, F.col(text))).mapInArrow(run, schema)
 
 
 def bucket_pairs(rows: DataFrame, key: str, item: str, left: Column | None = None, block: int = 256, size: str | None = None, threshold: float = 0.0) -> DataFrame:

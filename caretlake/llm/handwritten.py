@@ -14,6 +14,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from caretlake.session import spread
+
 # Directories of third-party code, anywhere in a path, in lower case.
 VENDORED_DIRS = "vendor _vendor vendored third_party third-party thirdparty _third_party 3rdparty 3rd_party external externals godeps node_modules bower_components".split()
 # Endings and beginnings of file names that generators and minifiers give, in lower case.
@@ -159,7 +161,7 @@ def contents_kinds(files: DataFrame) -> DataFrame:
             kinds = [content_kind(t) for t in b.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(kinds, pa.string())], names=["repository_id", "relative_path", "content_kind"])
 
-    return files.select("repository_id", "relative_path", "content").mapInArrow(run, "repository_id string, relative_path string, content_kind string").where("content_kind IS NOT NULL")
+    return spread(files.select("repository_id", "relative_path", "content")).mapInArrow(run, "repository_id string, relative_path string, content_kind string").where("content_kind IS NOT NULL")
 
 
 def not_by_hand(discovery: DataFrame, files: DataFrame) -> DataFrame:

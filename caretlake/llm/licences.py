@@ -15,6 +15,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from caretlake.session import spread
+
 # SPDX identifiers that are known, in lower case without "-only", "-or-later" and "+".
 SPDX = (
     "0BSD AFL-3.0 AGPL-3.0 Apache-1.1 Apache-2.0 Artistic-2.0 BSD-2-Clause BSD-3-Clause BSD-4-Clause BSL-1.0 CC-BY-4.0 "
@@ -144,7 +146,7 @@ def notices(files: DataFrame) -> DataFrame:
             heads = [header_block(t) for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(heads, pa.string())], names=["file_id", "block"])
 
-    found = files.select(F.col("file_id").cast("bigint").alias("file_id"), "content").mapInArrow(blocks, "file_id bigint, block string").where("block <> ''")
+    found = spread(files.select(F.col("file_id").cast("bigint").alias("file_id"), "content")).mapInArrow(blocks, "file_id bigint, block string").where("block <> ''")
     found = found.withColumn("digest", F.unhex(F.md5("block")))
     distinct = found.groupBy("digest").agg(F.first("block").alias("block"))
     known = _labels(distinct, "digest", "block", licences_in).where("size(licences) > 0")

@@ -13,9 +13,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from caretlake.session import materialise
+
 MAX_COMBINATIONS = 12_000
 SALTS = 64
 
@@ -58,26 +60,38 @@ def combinations(lengths: list[int], counts: dict[int, int], capacity: int, wind
     return sorted(out, reverse=True)
 
 
-def solve_counts(combos: list[tuple[int, ...]], counts: dict[int, int], rounds: int = 60) -> np.ndarray:
-    """Repeat counts x >= 0 with small |Ax - h|: coordinate descent of the non-negative least squares problem."""
-    at = {x: k for k, x in enumerate(sorted(counts))}
-    h = np.array([counts[x] for x in sorted(counts)], float)
-    cols = [(np.array([at[y] for y in c]), np.array(list(c.values()), float)) for c in map(Counter, combos)]
-    x, left = np.zeros(len(cols)), h.copy()
-    weight = np.array(sorted(counts), float)  # a left-over token costs the same wherever it lies
+def solve_counts(combos: list[tuple[int, ...]], counts: dict[int, int], rounds: int = 400) -> np.ndarray:
+    """Repeat counts x >= 0 with small |Ax - h|, in tokens: accelerated projected gradient of the non-negative least squares problem.
+
+    Columns are scaled to length 1. The matrix has at most four entries a column and is never made whole.
+    """
+    order = np.array(sorted(counts), np.int64)
+    cells = [(j, y, k) for j, c in enumerate(combos) for y, k in Counter(c).items()]
+    col, y, num = (np.array(v, np.int64) for v in zip(*cells))
+    row, n, m = np.searchsorted(order, y), len(combos), len(order)
+    value = (num * y).astype(float)  # a left-over token costs the same wherever it lies
+    size = np.sqrt(np.bincount(col, value**2, n))
+    value /= size[col]
+    h = np.array([counts[x] * x for x in order.tolist()], float)
+    forward = lambda x: np.bincount(row, value * x[col], m)
+    back = lambda r: np.bincount(col, value * r[row], n)
+    v = np.ones(n)
+    for _ in range(30):  # the largest curvature, by power iteration
+        v = back(forward(v))
+        v /= np.linalg.norm(v)
+    step = 1 / (1.05 * np.linalg.norm(back(forward(v))))
+    x = ahead = np.zeros(n)
+    t = 1.0
     for _ in range(rounds):
-        moved = 0.0
-        for j, (idx, num) in enumerate(cols):
-            w = weight[idx]
-            step = float((num * w) @ (left[idx] * w)) / float((num * w) @ (num * w))
-            step = max(step, -x[j])
-            if abs(step) > 1e-9:
-                x[j] += step
-                left[idx] -= num * step
-                moved = max(moved, abs(step))
-        if moved < 0.05:
+        new = np.maximum(ahead - step * back(forward(ahead) - h), 0.0)
+        if (ahead - new) @ (new - x) > 0:  # overshot: start the acceleration anew
+            t = 1.0
+        t, last = (1 + np.sqrt(1 + 4 * t * t)) / 2, t
+        ahead, moved = new + (last - 1) / t * (new - x), np.abs((new - x) / size).max()
+        x = new
+        if moved < 1e-3:
             break
-    return x
+    return x / size
 
 
 def greedy(counts: dict[int, int], capacity: int, open_packs: Counter | None = None) -> Counter:
@@ -147,49 +161,76 @@ def places(shapes: list[tuple[tuple[int, ...], int]]) -> dict[int, tuple[np.ndar
     return {x: tuple(np.array(c, np.int64) for c in zip(*v)) for x, v in out.items()}
 
 
-def pieces(sizes: DataFrame, capacity: int, id_col: str = "doc_id") -> DataFrame:
-    """(id, piece, start, length): a document is split only if it is larger than the capacity, into full pieces and a rest."""
-    n = F.ceil(F.col("tokens") / capacity).cast("int")
-    cut = sizes.where("tokens > 0").select(id_col, "tokens", F.explode(F.sequence(F.lit(0), n - 1)).alias("piece"))
-    start = F.col("piece").cast("bigint") * capacity
-    return cut.select(id_col, "piece", start.alias("start"), F.least(F.lit(capacity), F.col("tokens") - start).cast("int").alias("length"))
+def pieces(sizes: DataFrame, capacity: int | str, id_col: str = "doc_id", keep: tuple[str, ...] = ()) -> DataFrame:
+    """(*keep, id, piece, start, length): a document is split only if it is larger than the capacity (a number or a column), into full pieces and a rest."""
+    most = F.col(capacity) if isinstance(capacity, str) else F.lit(capacity)
+    n = F.ceil(F.col("tokens") / most).cast("int")
+    cut = sizes.where("tokens > 0").select(*keep, id_col, "tokens", most.alias("most_"), F.explode(F.sequence(F.lit(0), n - 1)).alias("piece"))
+    start = F.col("piece").cast("bigint") * F.col("most_")
+    return cut.select(*keep, id_col, "piece", start.alias("start"), F.least(F.col("most_"), F.col("tokens") - start).cast("int").alias("length"))
 
 
-def pack(sizes: DataFrame, capacity: int, id_col: str = "doc_id") -> DataFrame:
-    """(id, piece, start, length, container_id) for (id, tokens) rows; every token lies in exactly one container.
+def pack_kinds(sizes: DataFrame, kinds: dict[str, int], id_col: str = "doc_id") -> DataFrame:
+    """(kind, capacity, id, piece, start, length, container_id, unused) for (id, tokens) rows and each kind of container.
 
-    Rows without tokens (null, 0) get no container. Repeated ids are packed each. Ranks within a length are counted in
-    ``SALTS`` parts by hash, so that no length is one task's work.
+    Every token lies in exactly one container of a kind. Rows without tokens (null, 0) get no container. Repeated ids are
+    packed each. Only the number of pieces of each length goes to the driver (at most the sum of the capacities); ranks
+    within a length are counted in ``SALTS`` parts by hash, so that no length is one task's work.
     """
     spark = sizes.sparkSession
-    p = pieces(sizes, capacity, id_col).withColumn("salt", F.pmod(F.xxhash64(id_col, "piece"), F.lit(SALTS)).cast("int"))
-    cells = p.groupBy("length", "salt").agg(F.count("*").alias("n")).collect()  # at most capacity * SALTS rows
-    counts: Counter = Counter()
-    offset: dict[tuple[int, int], int] = {}
-    for r in sorted(cells, key=lambda r: (r["length"], r["salt"])):
-        offset[r["length"], r["salt"]] = counts[r["length"]]
-        counts[r["length"]] += r["n"]
-    held = spark.sparkContext.broadcast((places(plan(counts, capacity)), offset))
-    from pyspark.sql import Window
-
-    ranked = p.withColumn("rank", F.row_number().over(Window.partitionBy("length", "salt").orderBy(id_col, "piece")))
+    named = F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), F.lit(int(c)).alias("capacity")) for k, c in kinds.items()])).alias("k")
+    each = sizes.select(id_col, "tokens", named).select(id_col, "tokens", "k.kind", "k.capacity")
+    p = pieces(each, "capacity", id_col, ("kind", "capacity")).withColumn("salt", F.pmod(F.xxhash64(id_col, "piece"), F.lit(SALTS)).cast("int"))
+    p = materialise(p, "pieces")
+    ahead = Window.partitionBy("kind", "length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
+    cells = materialise(p.groupBy("kind", "length", "salt").agg(F.count("*").alias("n")).withColumn("ahead", F.coalesce(F.sum("n").over(ahead), F.lit(0))), "cells")
+    counts: dict[str, Counter] = {k: Counter() for k in kinds}
+    for r in cells.groupBy("kind", "length").agg(F.sum("n").alias("n")).collect():
+        counts[r["kind"]][r["length"]] = r["n"]
+    held = spark.sparkContext.broadcast({k: places(plan(counts[k], c)) for k, c in kinds.items()})
+    rank = F.row_number().over(Window.partitionBy("kind", "length", "salt").orderBy(id_col, "piece"))
+    ranked = p.withColumn("rank", rank).join(F.broadcast(cells.drop("n")), ["kind", "length", "salt"])  # at most SALTS * capacity rows a kind
+    ranked = ranked.select("kind", "capacity", id_col, "piece", "start", "length", (F.col("rank") - 1 + F.col("ahead")).alias("rank"))
 
     def look_up(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        where, start_of = held.value
+        where = held.value
         for f in frames:
-            out = np.zeros(len(f), np.int64)
-            for (length, salt), g in f.groupby(["length", "salt"], sort=False).indices.items():
-                first, container, per = where[length]
-                rank = f["rank"].to_numpy()[g] - 1 + start_of[length, salt]
-                k = np.searchsorted(first, rank, side="right") - 1
-                out[g] = container[k] + (rank - first[k]) // per[k]
-            yield f.drop(columns=["salt", "rank"]).assign(container_id=out)
+            out, rank = np.zeros(len(f), np.int64), f["rank"].to_numpy()
+            for (kind, length), g in f.groupby(["kind", "length"], sort=False).indices.items():
+                first, container, per = where[kind][length]
+                k = np.searchsorted(first, rank[g], side="right") - 1
+                out[g] = container[k] + (rank[g] - first[k]) // per[k]
+            yield f.drop(columns=["rank"]).assign(container_id=out)
 
     kind = sizes.schema[id_col].dataType.simpleString()
-    return ranked.mapInPandas(look_up, f"`{id_col}` {kind}, piece int, start bigint, length int, container_id bigint")
+    packed = ranked.mapInPandas(look_up, f"kind string, capacity int, `{id_col}` {kind}, piece int, start bigint, length int, container_id bigint")
+    filled = F.sum("length").over(Window.partitionBy("kind", "container_id"))  # a container holds at most as many pieces as tokens
+    return packed.withColumn("unused", F.col("capacity") - filled)
+
+
+def pack(sizes: DataFrame, capacity: int, id_col: str = "doc_id") -> DataFrame:
+    """``pack_kinds`` for one capacity: (id, piece, start, length, container_id)."""
+    return pack_kinds(sizes, {"": capacity}, id_col).select(id_col, "piece", "start", "length", "container_id")
 
 
 def containers(packed: DataFrame, capacity: int) -> DataFrame:
     """(container_id, pieces, used, unused)."""
     g = packed.groupBy("container_id").agg(F.count("*").alias("pieces"), F.sum("length").alias("used"))
     return g.select("container_id", "pieces", "used", (F.lit(capacity) - F.col("used")).alias("unused"))
+
+
+def checks(packed: DataFrame, sizes: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """(kind, check, failed): documents whose tokens do not all lie in containers once, containers over their capacity, and documents split without need.
+
+    Ids are taken as unique.
+    """
+    of = packed.groupBy("kind", id_col).agg(F.sum("length").alias("held"), F.count("*").alias("n"), F.first("capacity").alias("capacity"), F.count_distinct("start").alias("starts"), F.max(F.col("start") + F.col("length")).alias("last"))
+    every = packed.select("kind").distinct().crossJoin(sizes.where("tokens > 0").select(id_col, "tokens"))  # one row a kind and document
+    j = every.join(of, ["kind", id_col], "left")
+    whole = F.coalesce((F.col("held") == F.col("tokens")) & (F.col("last") == F.col("tokens")) & (F.col("starts") == F.col("n")), F.lit(False))
+    split = F.coalesce((F.col("n") > 1) & (F.col("tokens") <= F.col("capacity")), F.lit(False))
+    bad = lambda c: F.sum(c.cast("bigint"))
+    docs = j.groupBy("kind").agg(bad(~whole).alias("a"), bad(split).alias("b"))
+    full = packed.groupBy("kind", "container_id").agg(F.sum("length").alias("used"), F.first("capacity").alias("capacity"), F.max("unused").alias("unused")).groupBy("kind").agg(bad((F.col("used") > F.col("capacity")) | (F.col("used") + F.col("unused") != F.col("capacity"))).alias("c"))
+    cells = F.array(*[F.struct(F.lit(name).alias("check"), F.col(c).alias("failed")) for name, c in (("every_token_once", "a"), ("split_without_need", "b"), ("over_capacity", "c"))])
+    return docs.join(full, "kind").select("kind", F.explode(cells).alias("x")).select("kind", "x.check", "x.failed")

@@ -38,17 +38,22 @@ def p5_redacted(spark: SparkSession, d: str) -> DataFrame:
     return secrets.redacted(secrets.fields_of(table(spark, d, "corpus_files"), table(spark, d, "samples")))
 
 
-def p8_containers(spark: SparkSession, d: str) -> DataFrame:
-    """Containers of every kind of pack_capacities with the place of each document piece and the container's unused space."""
+def _packed(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     sizes = materialise(tokens.token_sizes(table(spark, d, "documents")), "token-sizes")
     kinds = table(spark, d, "pack_capacities").where("capacity_tokens > 0").select("container_kind", "capacity_tokens").distinct().collect()  # four rows
-    out = None
-    for r in sorted(kinds):
-        packed = materialise(packing.pack(sizes, r["capacity_tokens"]), "packed")
-        used = packing.containers(packed, r["capacity_tokens"]).select("container_id", "unused")
-        part = packed.join(used, "container_id").select(F.lit(r["container_kind"]).alias("container_kind"), "doc_id", "piece", "start", "length", "container_id", "unused")
-        out = part if out is None else out.unionByName(part)
-    return out
+    return packing.pack_kinds(sizes, {r["container_kind"]: r["capacity_tokens"] for r in sorted(kinds)}), sizes
+
+
+def p8_containers(spark: SparkSession, d: str) -> DataFrame:
+    """Containers of every kind of pack_capacities with the place of each document piece and the container's unused space."""
+    return _packed(spark, d)[0].withColumnRenamed("kind", "container_kind").drop("capacity")
+
+
+def p8_checks(spark: SparkSession, d: str) -> DataFrame:
+    """Every token in one container, none over its capacity, no document split without need: nothing may fail."""
+    packed, sizes = _packed(spark, d)
+    packed = materialise(packed, "packed")
+    return packing.checks(packed, sizes)
 
 
 def p8_fill(spark: SparkSession, d: str) -> DataFrame:
@@ -70,18 +75,39 @@ def _targets(spark: SparkSession, d: str) -> tuple[dict[str, float], dict[str, f
     return {s: t for s, t, _ in named}, {s: float(m) if m is not None else float("inf") for s, _, m in named}
 
 
-def p9_mix(spark: SparkSession, d: str) -> DataFrame:
-    """How often each document is used, at the largest budget at which all target shares are met within the limits."""
+def _mixed(spark: SparkSession, d: str, budget: float | None = None) -> tuple[DataFrame, mixing.Mix, dict[str, float]]:
+    """The mix of ``budget`` tokens (by default as many as the sources with a target hold), its weights and the targets."""
     sized, (targets, limits) = _sized(spark, d), _targets(spark, d)
     have = mixing.source_tokens(sized)
-    budget = mixing.full_budget(have, targets, limits)
-    _, weights = mixing.temper_to_limits(have, targets, limits, budget)
-    return mixing.realise(sized, {k: w * budget for k, w in weights.items()}, limits)
+    budget = budget or float(sum(have.get(k, 0) for k, t in targets.items() if t > 0))
+    budget = min(budget, mixing.capacity(have, targets, limits))
+    mix = mixing.temper_to_limits(have, targets, limits, budget)
+    return mixing.realise(sized, {k: w * budget for k, w in mix.weights.items()}, limits), mix, targets
+
+
+def p9_mix(spark: SparkSession, d: str) -> DataFrame:
+    """How often each document is used in a mix of as many tokens as there are, as near to the targets as the limits allow."""
+    return _mixed(spark, d)[0].select("doc_id", "source", "tokens", "uses")
 
 
 def p9_shares(spark: SparkSession, d: str) -> DataFrame:
-    targets, _ = _targets(spark, d)
-    return mixing.reached(p9_mix(spark, d), targets)
+    """The shares reached by p9_mix, their errors, and the exponent at which a source met its limit."""
+    used, mix, targets = _mixed(spark, d)
+    return mixing.reached(used, targets, mix.held)
+
+
+def p9_stream(spark: SparkSession, d: str) -> DataFrame:
+    """The uses of p9_mix in the order of their passes."""
+    return mixing.passes(_mixed(spark, d)[0])
+
+
+def p9_plan(spark: SparkSession, d: str) -> DataFrame:
+    """The weights of a mix by characters instead of tokens, and whether a source is held at its limit."""
+    targets, limits = _targets(spark, d)
+    docs = table(spark, d, "documents").select(mixing.clean_source(F.col("source")).alias("source"), F.length("text").alias("tokens"))
+    have = mixing.source_tokens(docs)
+    mix = mixing.temper_to_limits(have, targets, limits, float(sum(have.get(k, 0) for k, t in targets.items() if t > 0)))
+    return spark.createDataFrame([(k, round(w, 9), k in mix.held) for k, w in mix.weights.items()], "source string, weight double, held boolean")
 
 
 def p9_temperature(spark: SparkSession, d: str) -> DataFrame:
@@ -89,9 +115,9 @@ def p9_temperature(spark: SparkSession, d: str) -> DataFrame:
     sized, (targets, limits) = _sized(spark, d), _targets(spark, d)
     have = {k: v for k, v in mixing.source_tokens(sized).items() if k in targets}
     _, tempered = mixing.temper_to_entropy(have, mixing.entropy(mixing.scaled(targets)))
-    budget = float(sum(have.values()))
-    _, weights = mixing.temper_to_limits(have, tempered, limits, budget)
-    return mixing.reached(mixing.realise(sized, {k: w * budget for k, w in weights.items()}, limits), weights)
+    budget = min(float(sum(have.values())), mixing.capacity(have, tempered, limits))
+    mix = mixing.temper_to_limits(have, tempered, limits, budget)
+    return mixing.reached(mixing.realise(sized, {k: w * budget for k, w in mix.weights.items()}, limits), tempered, mix.held)
 
 
 def _measured(spark: SparkSession, d: str) -> DataFrame:
@@ -112,10 +138,18 @@ def p10_adaptive(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = corpus_queries.QUERIES | {
     f.__name__: f
-    for f in (p2_found, p2_evidence, p3_found, p3_files, p3_repositories, p5_found, p5_redacted, p8_containers, p8_fill, p9_mix, p9_shares, p9_temperature, p10_found, p10_adaptive)
+    for f in (p2_found, p2_evidence, p3_found, p3_files, p3_repositories, p5_found, p5_redacted, p8_containers, p8_checks, p8_fill, p9_mix, p9_shares, p9_stream, p9_plan, p9_temperature, p10_found, p10_adaptive)
 }
 
 ORACLE = corpus_queries.ORACLE | {
+    "p8_checks": """SELECT container_kind AS kind, c AS "check", CAST(0 AS BIGINT) AS failed FROM (SELECT DISTINCT container_kind FROM pack_capacities WHERE capacity_tokens > 0), (VALUES ('every_token_once'), ('split_without_need'), ('over_capacity')) v(c)""",
+    "p9_plan": """
+WITH m AS (SELECT lower(trim(source)) AS source, target_share AS t, max_repeats AS r FROM mix_targets WHERE target_share > 0),
+d AS (SELECT lower(trim(source)) AS source, sum(length(text)) AS n FROM documents GROUP BY 1),
+s AS (SELECT source, t / sum(t) OVER () AS t, r * n / sum(n) OVER () AS most FROM m JOIN d USING (source) WHERE n > 0),
+o AS (SELECT *, row_number() OVER w AS k, coalesce(sum(most) OVER w, 0) AS gone, 1 - coalesce(sum(t) OVER w, 0) AS open FROM s WINDOW w AS (ORDER BY most / t, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+f AS (SELECT arg_min((1 - gone) / open, k) AS scale FROM o WHERE (1 - gone) / open * t <= most * (1 + 1e-9))
+SELECT source, round(least(most, coalesce(scale, 1e99) * t), 9) AS weight, coalesce(scale, 1e99) * t > most * (1 + 1e-9) AS held FROM s, f""",
     "p10_found": r"""
 WITH w AS (SELECT doc_id, list_filter(string_split_regex(regexp_replace(lower(text), '[^\p{L}\p{N}\s\p{Z}\x0b\x1c-\x1f\x85]', '', 'g'), '[\s\p{Z}\x0b\x1c-\x1f\x85]+'), lambda x: x <> '') AS w FROM documents),
 r AS (SELECT doc_id, i, array_to_string(w[i : i + 7], ' ') AS h FROM (SELECT doc_id, w, unnest(range(1, len(w) - 6)) AS i FROM w WHERE len(w) >= 8)),

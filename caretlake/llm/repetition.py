@@ -15,6 +15,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from caretlake.session import spread
+
 RUN = 8
 _DROP = re.compile(r"[^\w\s]+|_+")
 _U = np.uint64
@@ -93,7 +95,7 @@ def repetition(documents: DataFrame, id_col: str = "doc_id", text: str = "text",
                 names=[*(f.name for f in fields), "words", "repeated_words", "line_share", "block_share"],
             )
 
-    return documents.select(id_col, *keep, text).mapInArrow(run, schema)
+    return spread(documents.select(id_col, *keep, text)).mapInArrow(run, schema)
 
 
 def clean_label(c: Column) -> Column:

@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from caretlake.session import spread
+
 
 class Hit(NamedTuple):
     start: int  # of the literal that is masked
@@ -471,7 +473,7 @@ def credentials(fields: DataFrame) -> DataFrame:
                 pick = pa.array(at, pa.int64())
                 yield pa.RecordBatch.from_arrays([*(b.column(k).take(pick) for k in range(3)), pa.array(lines, pa.int32()), pa.array(kinds, pa.string())], names=["record_table", "record_key", "field_name", "line_zero_based", "kind"])
 
-    return fields.mapInArrow(run, "record_table string, record_key string, field_name string, line_zero_based int, kind string")
+    return spread(fields).mapInArrow(run, "record_table string, record_key string, field_name string, line_zero_based int, kind string")
 
 
 def redacted(fields: DataFrame) -> DataFrame:
@@ -490,4 +492,4 @@ def redacted(fields: DataFrame) -> DataFrame:
                 pick = pa.array(at, pa.int64())
                 yield pa.RecordBatch.from_arrays([*(b.column(k).take(pick) for k in range(3)), pa.array(count, pa.int32()), pa.array(texts, pa.string())], names=["record_table", "record_key", "field_name", "credentials", "masked"])
 
-    return fields.mapInArrow(run, "record_table string, record_key string, field_name string, credentials int, masked string")
+    return spread(fields).mapInArrow(run, "record_table string, record_key string, field_name string, credentials int, masked string")

@@ -9,6 +9,8 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from caretlake.session import spread
+
 VOCABULARY = os.environ.get("CARETLAKE_VOCABULARY", "/opt/tokenizers/byte_bpe_50k.tiktoken")
 #: Fixed value: the pre-tokenizer pattern that belongs to the vocabulary file.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -67,4 +69,4 @@ def token_sizes(documents: DataFrame, id_col: str = "doc_id", text: str = "text"
                 out.append(seen[key])
             yield pa.RecordBatch.from_arrays([*b.columns[:k], pa.array(out, pa.int64())], names=[*(f.name for f in fields), "tokens"])
 
-    return documents.select(id_col, *keep, text).mapInArrow(run, schema)
+    return spread(documents.select(id_col, *keep, text)).mapInArrow(run, schema)
