@@ -1,8 +1,8 @@
 """The licence of each code file and repository, with conflicts and unknowns.
 
-The comment blocks before a file's package clause are masked (years, holders, comment signs), equal blocks are
-grouped, each distinct block is identified once, and its label is joined back to the files. Licence files and the
-recorded free-text licence of a repository go through the same naming rules.
+The comment blocks before a file's package clause are masked: years, holders, and every word that no licence's name or
+text is made of. Equal blocks are grouped, each distinct block is identified once, and its label is joined back to the
+files. Licence files and the recorded free-text licence of a repository go through the same naming rules.
 """
 
 from __future__ import annotations
@@ -15,7 +15,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from caretlake.session import spread
+from caretlake.session import materialise, spread
+
+SALTS = 16
 
 # SPDX identifiers that are known, in lower case without "-only", "-or-later" and "+".
 SPDX = (
@@ -38,11 +40,15 @@ NAMES: list[tuple[str, str]] = [
     ("EPL", rf"(?i:eclipse\s+public\s+{_L}){_V}"),
     ("BSD-2-Clause", rf"(?i:\b(?:2|two)[\s-]+clause\s+bsd\b|\bsimplified\s+bsd\b|\bfreebsd\s+{_L}|\bbsd[\s-]+(?:2|two)[\s-]+clause\b|\bbsd\s+{_L}\s*\(?2[\s-]clause)"),
     ("BSD-3-Clause", rf"(?i:\b(?:3|three)[\s-]+clause\s+bsd\b|\b(?:new|modified|revised)\s+bsd\b|\bbsd[\s-]+(?:3|three)[\s-]+clause\b|\bbsd\s+{_L}\s*\(?3[\s-]clause)"),
+    ("BSD-3-Clause", r"(?i:redistribution and use in source and binary forms\b.*?(?:neither the name|names of (?:its|the) contributors))"),
+    ("BSD-2-Clause", r"(?i:redistribution and use in source and binary forms)"),
     ("BSD", rf"(?i:\bbsd[\s-]+(?:style\s+)?{_L}|\bbsd[\s-]style\b)"),
     ("0BSD", rf"\b0BSD\b|(?i:zero[\s-]clause\s+bsd)"),
     ("MIT", rf"\bMIT(?:[\s/-]+X11)?[\s-]+(?i:{_L})|\(MIT\)|(?i:\bexpat\b(?:\s+{_L})?)|(?i:{_L})\s*:?\s*\(?MIT\b|(?i:under)\s+(?:the\s+)?MIT\b|(?i:permission is hereby granted, free of charge, to any person obtaining a copy)"),
+    ("0BSD", r"(?i:permission to use, copy, modify, and/?(?:or)? distribute this software for any purpose with or without fee is hereby granted\.)"),
     ("ISC", rf"\bISC[\s-]+(?i:{_L})|(?i:{_L})\s*:?\s*ISC\b|(?i:under)\s+(?:the\s+)?ISC\b|(?i:permission to use, copy, modify, and/?(?:or)? distribute this software for any purpose with or without fee)"),
     ("Unlicense", r"(?i:\b(?:the\s+)?unlicense\b|this is free and unencumbered software)"),
+    ("Zlib", r"(?i:this software is provided .?as-is.?, without any express or implied warranty\b.*?altered source versions must be plainly marked)"),
     ("Zlib", rf"(?i:\bzlib(?:/libpng)?\s+{_L}|{_L}\s*:?\s*zlib\b)"),
     ("BSL-1.0", rf"(?i:boost\s+software\s+{_L})"),
     ("CC0-1.0", r"(?i:\bcc0\b|creative\s+commons\s+zero)"),
@@ -56,6 +62,10 @@ FAMILIES = {
 #: Recorded licences that say that nothing is known.
 NOTHING = {"", "none", "other", "noassertion", "unknown", "null", "n/a", "na", "-", "unlicensed", "proprietary", "see license", "custom"}
 
+#: Words that licences are named by: those of the patterns and identifiers above. Others are masked.
+_WORDS = {w.lower() for text in [*(p.replace(r"\b", " ").replace(r"\s", " ") for _, p in NAMES), *SPDX] for w in re.findall(r"[A-Za-z0-9]{2,}", text)} | {"license", "licence", "licenses", "licences", "licensed", "version", "ver", "libpng"}
+_WORD = re.compile(r"[^\W_][\w.'@+/-]*")
+_VERSION = re.compile(r"v?\d(?:\.\d){0,2}\.?", re.I)
 _SPDX_LINE = re.compile(r"(?i)SPDX-License-Identifier:\s*([^\n*]+)")
 _SIGNS = re.compile(r"(?m)^[ \t]*(?://+|/\*+|\*+/|\*+(?!/)|#+)[ \t]?|\*+/")
 _HEAD = re.compile(r"\ufeff?(?:\s+|//[^\n]*|/\*.*?\*/)*", re.S)
@@ -114,8 +124,19 @@ def recorded_licences(value: str | None) -> set[str]:
     return licences_in(t) or licences_in(f"{t} license") or (spdx_ids(t.split()[0]) if t.split() else set())
 
 
+def masked_words(text: str) -> str:
+    """``text`` with "_" for each run of words that take no part in naming a licence; lines with an SPDX identifier stay."""
+
+    def keep(m: re.Match) -> str:
+        w = m[0]
+        return w if _VERSION.fullmatch(w) or any(x.lower() in _WORDS for x in re.split(r"[^A-Za-z0-9]+", w) if x) else "_"
+
+    lines = [x if "SPDX-License-Identifier" in x else _WORD.sub(keep, x) for x in text.split("\n")]
+    return re.sub(r"_(?:[\s,;:.'\"()]*_)+", "_", "\n".join(lines))
+
+
 def header_block(content: str | None) -> str:
-    """The comments before the package clause, with years and holders masked; "" where there are none."""
+    """The comments before the package clause, masked; "" where there are none."""
     if not content:
         return ""
     head = _HEAD.match(content)[0]
@@ -124,8 +145,8 @@ def header_block(content: str | None) -> str:
         head += rest  # a comment that never ends
     if "//" not in head and "/*" not in head:
         return ""
-    head = _HOLDER.sub("H ", _YEARS.sub("Y", head.replace("\r\n", "\n")))
-    return re.sub(r"[ \t]+", " ", head).strip()
+    head = _SIGNS.sub(" ", _HOLDER.sub("_ ", _YEARS.sub("_", head.replace("\r\n", "\n"))))
+    return re.sub(r"\s*\n\s*", "\n", re.sub(r"[ \t]+", " ", masked_words(head))).strip()
 
 
 def _labels(df: DataFrame, key: str, text: str, how) -> DataFrame:
@@ -147,10 +168,13 @@ def notices(files: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(heads, pa.string())], names=["file_id", "block"])
 
     found = spread(files.select(F.col("file_id").cast("bigint").alias("file_id"), "content")).mapInArrow(blocks, "file_id bigint, block string").where("block <> ''")
-    found = found.withColumn("digest", F.unhex(F.md5("block")))
+    found = materialise(found.withColumn("digest", F.unhex(F.md5("block"))), "headers")  # read twice; texts are scanned once
     distinct = found.groupBy("digest").agg(F.first("block").alias("block"))
     known = _labels(distinct, "digest", "block", licences_in).where("size(licences) > 0")
-    return found.select("file_id", "digest").join(known, "digest").select("file_id", "licences")
+    # One block may stand in a third of all files: its files are spread over SALTS parts, each of which has the label.
+    salted = known.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    named = found.select("file_id", "digest", F.pmod(F.xxhash64("file_id"), F.lit(SALTS)).cast("int").alias("salt")).join(salted, ["digest", "salt"])
+    return named.select("file_id", "licences")
 
 
 def repository_sources(license_files: DataFrame, jobs: DataFrame) -> DataFrame:

@@ -133,7 +133,9 @@ def p10_adaptive(spark: SparkSession, d: str) -> DataFrame:
     """Documents above the threshold of their language and source, which follows the data."""
     m = materialise(_measured(spark, d), "measured")
     by = ["lang", "source"]
-    return repetition.repetitive_adaptive(m, repetition.adaptive_thresholds(m, by), by)
+    sketches = materialise(repetition.share_sketches(m, by), "sketches")  # a row a group
+    hit = repetition.repetitive_adaptive(m, repetition.adaptive_thresholds(sketches, by), by)
+    return hit.select("doc_id", *by, "words", "repeated_words")
 
 
 QUERIES = corpus_queries.QUERIES | {
@@ -141,6 +143,12 @@ QUERIES = corpus_queries.QUERIES | {
     for f in (p2_found, p2_evidence, p3_found, p3_files, p3_repositories, p5_found, p5_redacted, p8_containers, p8_checks, p8_fill, p9_mix, p9_shares, p9_stream, p9_plan, p9_temperature, p10_found, p10_adaptive)
 }
 
+_WORDS = r"""WITH w AS (SELECT doc_id, list_filter(string_split_regex(regexp_replace(lower(text), '[^\p{L}\p{N}\s\p{Z}\x0b\x1c-\x1f\x85]', '', 'g'), '[\s\p{Z}\x0b\x1c-\x1f\x85]+'), lambda x: x <> '') AS w FROM documents),
+r AS (SELECT doc_id, i, array_to_string(w[i : i + 7], ' ') AS h FROM (SELECT doc_id, w, unnest(range(1, len(w) - 6)) AS i FROM w WHERE len(w) >= 8)),
+s AS (SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY doc_id, h ORDER BY i) AS k FROM r) WHERE k > 1),
+c AS (SELECT DISTINCT doc_id, p FROM (SELECT doc_id, unnest(range(i, i + 8)) AS p FROM s)),
+n AS (SELECT doc_id, count(*) AS c FROM c GROUP BY doc_id)"""
+
 ORACLE = corpus_queries.ORACLE | {
     "p8_checks": """SELECT container_kind AS kind, c AS "check", CAST(0 AS BIGINT) AS failed FROM (SELECT DISTINCT container_kind FROM pack_capacities WHERE capacity_tokens > 0), (VALUES ('every_token_once'), ('split_without_need'), ('over_capacity')) v(c)""",
     "p9_plan": """
@@ -150,11 +158,14 @@ s AS (SELECT source, t / sum(t) OVER () AS t, r * n / sum(n) OVER () AS most FRO
 o AS (SELECT *, row_number() OVER w AS k, coalesce(sum(most) OVER w, 0) AS gone, 1 - coalesce(sum(t) OVER w, 0) AS open FROM s WINDOW w AS (ORDER BY most / t, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
 f AS (SELECT arg_min((1 - gone) / open, k) AS scale FROM o WHERE (1 - gone) / open * t <= most * (1 + 1e-9))
 SELECT source, round(least(most, coalesce(scale, 1e99) * t), 9) AS weight, coalesce(scale, 1e99) * t > most * (1 + 1e-9) AS held FROM s, f""",
-    "p10_found": r"""
-WITH w AS (SELECT doc_id, list_filter(string_split_regex(regexp_replace(lower(text), '[^\p{L}\p{N}\s\p{Z}\x0b\x1c-\x1f\x85]', '', 'g'), '[\s\p{Z}\x0b\x1c-\x1f\x85]+'), lambda x: x <> '') AS w FROM documents),
-r AS (SELECT doc_id, i, array_to_string(w[i : i + 7], ' ') AS h FROM (SELECT doc_id, w, unnest(range(1, len(w) - 6)) AS i FROM w WHERE len(w) >= 8)),
-s AS (SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY doc_id, h ORDER BY i) AS k FROM r) WHERE k > 1),
-c AS (SELECT DISTINCT doc_id, p FROM (SELECT doc_id, unnest(range(i, i + 8)) AS p FROM s)),
-n AS (SELECT doc_id, count(*) AS c FROM c GROUP BY doc_id)
+    "p10_found": f"""
+{_WORDS}
 SELECT doc_id FROM n JOIN w USING (doc_id) WHERE c * 100 >= len(w) * 30""",
+    "p10_adaptive": f"""
+{_WORDS},
+m AS (SELECT doc_id, nullif(lower(trim(lang)), '') AS lang, nullif(lower(trim(source)), '') AS source, len(w) AS words, coalesce(c, 0) AS repeated_words FROM documents JOIN w USING (doc_id) LEFT JOIN n USING (doc_id) WHERE len(w) > 0),
+a AS (SELECT quantile_disc(repeated_words / words, 0.9) AS whole FROM m),
+g AS (SELECT lang, source, 3 * (count(*) * quantile_disc(repeated_words / words, 0.9) + 500 * any_value(whole)) / (count(*) + 500) AS threshold FROM m, a GROUP BY ALL)
+SELECT doc_id, m.lang, m.source, words, repeated_words FROM m JOIN g ON g.lang IS NOT DISTINCT FROM m.lang AND g.source IS NOT DISTINCT FROM m.source
+WHERE repeated_words > 0 AND repeated_words >= threshold * words""",
 }

@@ -12,12 +12,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from caretlake.session import spread
 
 RUN = 8
+CHUNK_BYTES = 1 << 22
 _DROP = re.compile(r"[^\w\s]+|_+")
 _U = np.uint64
 
@@ -76,6 +78,16 @@ def _parts(text: str, block: bool) -> tuple[int, int]:
     return again, total
 
 
+def chunks(column: pa.Array) -> Iterator[tuple[int, int]]:
+    """(first, last + 1) of runs of texts of at most ``CHUNK_BYTES`` together; a longer text stands alone. Memory follows that bound, not the batch."""
+    sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+    ends, at = np.cumsum(sizes), 0
+    while at < len(sizes):
+        end = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + CHUNK_BYTES, side="right")))
+        yield at, end
+        at = end
+
+
 def repetition(documents: DataFrame, id_col: str = "doc_id", text: str = "text", keep: list[str] = ()) -> DataFrame:
     """(id, *keep, words, repeated_words, line_share, block_share) of every document.
 
@@ -86,14 +98,16 @@ def repetition(documents: DataFrame, id_col: str = "doc_id", text: str = "text",
     k = len(fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            texts = b.column(k).to_pylist()
-            size, covered = repeated_words(texts)
-            shares = [[a / n if n else 0.0 for a, n in (_parts(t or "", block) for t in texts)] for block in (False, True)]
-            yield pa.RecordBatch.from_arrays(
-                [*b.columns[:k], pa.array(size), pa.array(covered), pa.array(shares[0], pa.float64()), pa.array(shares[1], pa.float64())],
-                names=[*(f.name for f in fields), "words", "repeated_words", "line_share", "block_share"],
-            )
+        for whole in batches:
+            for lo, hi in chunks(whole.column(k)):
+                b = whole.slice(lo, hi - lo)
+                texts = b.column(k).to_pylist()
+                size, covered = repeated_words(texts)
+                shares = [[a / n if n else 0.0 for a, n in (_parts(t or "", block) for t in texts)] for block in (False, True)]
+                yield pa.RecordBatch.from_arrays(
+                    [*b.columns[:k], pa.array(size), pa.array(covered), pa.array(shares[0], pa.float64()), pa.array(shares[1], pa.float64())],
+                    names=[*(f.name for f in fields), "words", "repeated_words", "line_share", "block_share"],
+                )
 
     return spread(documents.select(id_col, *keep, text)).mapInArrow(run, schema)
 
@@ -103,16 +117,40 @@ def clean_label(c: Column) -> Column:
     return F.when(t != "", t)
 
 
-def adaptive_thresholds(measured: DataFrame, by: list[str], quantile: float = 0.95, least: float = 0.1, most: float = 0.3, accuracy: int = 1000) -> DataFrame:
-    """(*by, documents, threshold) from mergeable quantile sketches of the repeated share per group.
+def share_sketches(measured: DataFrame, by: list[str], size: int = 4096) -> DataFrame:
+    """(*by, documents, sketch): a quantile sketch (KLL) of the repeated share of each group; documents without words do not count.
 
-    The sketches are partial aggregates of bounded size that Spark merges (approx_percentile, rank error 1/accuracy).
-    The threshold lies between ``least`` and ``most``: a clean group loses nothing below the first, a spoilt one keeps
-    nothing above the second. Documents without words do not count.
+    Sketches are of bounded size and are built from partial ones on every task. A group of up to about ``size`` documents
+    is held exactly; beyond that the rank error is under 1/1000.
     """
     share = F.col("repeated_words") / F.col("words")
-    q = F.percentile_approx(share, quantile, accuracy)
-    return measured.where("words > 0").groupBy(*by).agg(F.count("*").alias("documents"), F.greatest(F.lit(least), F.least(F.lit(most), q)).alias("threshold"))
+    return measured.where("words > 0").groupBy(*by).agg(F.count("*").alias("documents"), F.kll_sketch_agg_double(share, size).alias("sketch"))
+
+
+def merged_sketches(*parts: DataFrame, by: list[str]) -> DataFrame:
+    """The sketches of several batches, or of several groups where ``by`` names fewer columns, as those of all their documents."""
+    every = parts[0]
+    for x in parts[1:]:
+        every = every.unionByName(x)
+    return every.groupBy(*by).agg(F.sum("documents").alias("documents"), F.kll_merge_agg_double("sketch").alias("sketch"))
+
+
+def adaptive_thresholds(sketches: DataFrame, by: list[str], quantile: float = 0.9, factor: float = 3.0, prior: int = 500, least: float | None = None, most: float | None = None) -> DataFrame:
+    """(*by, documents, threshold) from the sketches of ``share_sketches`` or ``merged_sketches``.
+
+    The threshold is ``factor`` times the group's quantile, taken together with that of all documents, which counts like
+    ``prior`` documents: a group of a few documents leans on the whole, a large one stands for itself. ``least`` and
+    ``most`` may clamp it; by default nothing does.
+    """
+    at = lambda c: F.kll_sketch_get_quantile_double(c, F.lit(float(quantile)))
+    whole = merged_sketches(sketches, by=[]).select(at("sketch").alias("whole"))  # one row
+    n = F.col("documents")
+    t = F.lit(float(factor)) * (n * at("sketch") + F.lit(prior) * F.col("whole")) / (n + F.lit(prior))
+    if least is not None:
+        t = F.greatest(F.lit(float(least)), t)
+    if most is not None:
+        t = F.least(F.lit(float(most)), t)
+    return sketches.crossJoin(F.broadcast(whole)).select(*by, "documents", t.alias("threshold"))
 
 
 def repetitive(measured: DataFrame, cutoff_percent: int = 30) -> DataFrame:

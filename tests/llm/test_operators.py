@@ -77,6 +77,30 @@ def test_headers_are_masked_and_end_at_the_package_clause():
     assert a == b and "Apache" not in a and licences.header_block("package a // MIT License\n") == "" and licences.header_block("/* MIT License") != ""
 
 
+@pytest.mark.parametrize(
+    "text, want",
+    [
+        ("Redistribution and use in source and binary forms, with or without modification, are permitted. Neither the name of X nor", {"BSD-3-Clause"}), ("Redistribution and use in source and binary forms, with or without\nmodification, are permitted", {"BSD-2-Clause"}),
+        ("This software is provided 'as-is', without any express or implied warranty. Altered source versions must be plainly marked as such", {"Zlib"}), ("Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted.", {"0BSD"}),
+        ("Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that", {"ISC"}),
+    ],
+)
+def test_licences_are_known_by_their_text(text, want):
+    assert licences.licences_in(text) == want
+
+
+def test_masking_changes_no_label_and_leaves_few_blocks():
+    heads = ["// Copyright (c) {y} {n}.\n// Licensed under the {l}; see the file of {n}.\n\npackage a", "/* {n} service, {y}\n Use of {n} is governed by the {l}.\n*/\npackage a", "// {n} helpers, owned by {n}.\npackage a", "// Made by {n} v{y}\n// SPDX-License-Identifier: GPL-2.0-or-later OR ISC\npackage a"]
+    names = ["MIT License", "Apache License, Version 2.0", "GNU Lesser General Public License, version 3", "two-clause BSD licence", "zlib Licence", "MPL, version 2.0"]
+    blocks = set()
+    for k in range(300):
+        text = heads[k % 4].format(y=1990 + k % 30, n=f"Anon{k} word{k % 7}x", l=names[k % 6])
+        block = licences.header_block(text)
+        assert licences.licences_in(block) == licences.licences_in(text.split("package")[0])
+        blocks.add(block)
+    assert len(blocks) < 20
+
+
 def test_file_licences(spark):
     files = spark.createDataFrame(
         [(1, "r1", "// SPDX-License-Identifier: MIT\npackage a", "x"), (2, "r1", "package a", "x"), (3, "r2", "package a", "x"), (4, "r3", None, "x"), (5, "r4", "", "x"), (6, None, "/* MIT License */ package a", "x"), (7, "r1", "// Licensed under the Apache License 2.0\npackage a", "x"), (2, "r1", "package a", "x")],
@@ -314,11 +338,35 @@ def test_repetitive_documents(spark):
     assert sorted(r["doc_id"] for r in repetition.repetitive(m).collect()) == [1, 1]
     r = {x["doc_id"]: x for x in m.collect()}
     assert r[1]["repeated_words"] == 40 and round(r[1]["line_share"], 3) == 0.8 and r[3]["words"] == r[4]["words"] == 0
-    t = repetition.adaptive_thresholds(m, ["lang"])
+    t = repetition.adaptive_thresholds(repetition.share_sketches(m, ["lang"]), ["lang"], quantile=0.3, most=0.4)
     assert [x["doc_id"] for x in repetition.repetitive_adaptive(m, t, ["lang"]).distinct().collect()] == [1]
     assert repetition.repetition(df.limit(0)).count() == 0
 
 
+def test_sketches_of_batches_are_merged(spark):
+    rnd = random.Random(9)
+    rows = [(rnd.choice("ab"), 1000, rnd.randrange(1000)) for _ in range(3000)]
+    df = spark.createDataFrame(rows, "lang string, words bigint, repeated_words bigint")
+    parts = [repetition.share_sketches(df.where(c), ["lang"]) for c in ("repeated_words < 300", "repeated_words >= 300")]
+    one, two = ({r["lang"]: (r["documents"], r["threshold"]) for r in repetition.adaptive_thresholds(s, ["lang"]).collect()} for s in (repetition.share_sketches(df, ["lang"]), repetition.merged_sketches(*parts, by=["lang"])))
+    assert one == two
+    exact = lambda xs: sorted(xs)[-(-len(xs) * 9 // 10) - 1] / 1000
+    whole = exact([r[2] for r in rows])
+    for k in "ab":
+        mine = [r[2] for r in rows if r[0] == k]
+        assert one[k] == (len(mine), pytest.approx(3 * (len(mine) * exact(mine) + 500 * whole) / (len(mine) + 500)))
+    tight = repetition.adaptive_thresholds(repetition.share_sketches(df, ["lang"]), ["lang"], least=0.1, most=0.3).collect()
+    assert {r["threshold"] for r in tight} == {0.3}
+
+
+def test_chunks_follow_sizes_not_batches(monkeypatch):
+    monkeypatch.setattr(repetition, "CHUNK_BYTES", 10)
+    import pyarrow as pa
+
+    assert list(repetition.chunks(pa.array(["aaaa", None, "bbbb", "c" * 40, "", "d" * 9, "ee"]))) == [(0, 3), (3, 4), (4, 6), (6, 7)]
+    assert list(repetition.chunks(pa.array([], pa.string()))) == []
+
+
 def test_labels(spark):
     df = spark.createDataFrame([(" EN ",), ("",), (None,)], "l string")
     assert [r[0] for r in df.select(repetition.clean_label(F.col("l"))).collect()] == ["en", None, None]
