@@ -79,6 +79,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
             v.add_argument("--trees", action="store_true", help="files is a folder of source trees, one a repository")
         if name == "extract":
             v.add_argument("--corpus", help="also write corpus records here")
+            v.add_argument("--manifest", help="write settings, counters and throughput as JSON here")
             v.add_argument("--exclusions", help="also write examples of what was left out here")
         if needs_out:
             v.add_argument("--out", required=True)
@@ -115,7 +116,10 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     if a.exclusions:
         publish(extract.exclusions(texts, cfg).drop("file_id"), a.exclusions, a.overwrite)
     counters = reports.sample_counters(spark.read.parquet(a.out))
-    print(records.summary_json(counters, config_sha256=cfg.sha256(), seed=cfg.seed, throughput=reports.throughput(spark.read.parquet(a.out).count(), texts, seconds)))
+    told = json.loads(records.summary_json(counters, config_sha256=cfg.sha256(), seed=cfg.seed, throughput=reports.throughput(spark.read.parquet(a.out).count(), texts, seconds)))
+    if a.manifest:
+        records.write_json(spark, a.manifest, told | {"config": dataclasses.asdict(cfg), "generator": extract.GENERATOR, "outputs": [x for x in (a.out, a.corpus, a.exclusions) if x]})
+    print(json.dumps(told, sort_keys=True))
     discard(texts)
     return 0
 

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from caretlake.functions.hashing import uniform
+
 IDENT = r"[A-Za-z_][A-Za-z0-9_]*"
 
 
@@ -61,3 +63,50 @@ def limited(facts: Column, n: int = 48) -> tuple[Column, Column]:
 
 def no_nulls(c: Column, kind: str) -> Column:
     return F.coalesce(c, F.array().cast(kind))
+
+
+def in_subset(sample_id: Column, fraction: float, seed: str) -> Column:
+    """Whether a sample belongs to the part that is enriched with facts."""
+    return uniform(F.lit(seed), F.lit("semantic_subset"), sample_id) < F.lit(float(fraction))
+
+
+def work_items(samples: DataFrame, chunk: int = 48) -> DataFrame:
+    """(repository_id, project, chunk, sample_id): the samples of a package in runs of ``chunk``, in order of path and place."""
+    w = Window.partitionBy("repository_id", "project").orderBy("relative_path", "caret_byte_offset", "sample_id")
+    return samples.select("repository_id", "project", F.floor((F.row_number().over(w) - 1) / chunk).cast("int").alias("chunk"), "sample_id")
+
+
+def package_files(files: DataFrame, most: int = 400) -> DataFrame:
+    """(file_id, variant, files, reason): the files that a file is checked with.
+
+    ``lib``: the package without tests; ``test``: with the tests of the package itself; ``xtest``: the tests of the
+    package from outside. ``files`` is their number. A file that the build leaves out, or of a set of more than ``most``
+    files, has a reason and no variant. Packages are counted with partial aggregation.
+    """
+    outside = F.col("is_test") & F.coalesce(F.col("package_name").endswith("_test"), F.lit(False))
+    kind = F.when(outside, "xtest").when(F.col("is_test"), "test").otherwise("lib")
+    f = files.select("file_id", "repository_id", "project", F.coalesce("build_match", F.lit(True)).alias("built"), kind.alias("variant"))
+    n = f.where("built").groupBy("repository_id", "project").pivot("variant", ["lib", "test", "xtest"]).count().na.fill(0)
+    j = f.join(n, ["repository_id", "project"], "left")
+    size = F.when(F.col("variant") == "xtest", F.col("xtest")).when(F.col("variant") == "test", F.col("lib") + F.col("test")).otherwise(F.col("lib"))
+    reason = F.when(~F.col("built"), "build_constraint_excluded").when(size > most, "package_too_large")
+    return j.select("file_id", F.when(reason.isNull(), F.col("variant")).alias("variant"), F.when(reason.isNull(), size).alias("files"), reason.alias("reason"))
+
+
+# What is no bracket of code in Go: comments and literals, open ones too.
+_NO_CODE = r"""(?s)//[^\n]*|/\*.*?(?:\*/|\z)|"(?:[^"\\\n]|\\.)*(?:"|\n|\z)|`[^`]*(?:`|\z)|'(?:[^'\\\n]|\\.)*(?:'|\n|\z)"""
+
+
+def open_brackets(prefix: Column) -> Column:
+    """The brackets that close what a text leaves open, the innermost first."""
+    signs = F.regexp_replace(F.regexp_replace(prefix, _NO_CODE, " "), r"[^(){}\[\]]", "")
+    push = lambda c: F.when(c == "(", ")").when(c == "[", "]").otherwise("}")
+    step = lambda acc, c: F.when(c.isin("(", "[", "{"), F.concat(push(c), acc)).when(c == "", acc).otherwise(F.substr(acc, F.lit(2)))
+    return F.aggregate(F.split(signs, ""), F.lit(""), step)
+
+
+def snapshot(before: Column, after: Column, policy: str) -> Column:
+    """The text of a file without the target: what stands before and after it, or (``strict_prefix``) what stands before it and a line for each bracket left open."""
+    if policy == "editor_snapshot":
+        return F.concat(before, after)
+    return F.concat(before, F.lit("\n"), F.regexp_replace(open_brackets(before), "(.)", "$1\n"))

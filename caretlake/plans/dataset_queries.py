@@ -17,6 +17,7 @@ from caretlake.operators import extract, gofiles, rendering, repolicence, report
 from caretlake.operators.golexer import WEIGHTS, caret_table
 from caretlake.operators.hashes import clean_hash
 from caretlake.session import table
+from caretlake.sources import records
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -553,6 +554,94 @@ def budgeted_facts(spark, d):
     return table(spark, d, "samples").select("sample_id", "extracted_at", facts.alias("facts"))
 
 
+_SAID = f"""a AS (SELECT sample_id, extracted_at, split, relative_path, left_context, left_context_truncated, target_text, semantic_status AS status, indentation, package_name, row_number() OVER (PARTITION BY sample_id ORDER BY extracted_at DESC, split DESC NULLS LAST) AS k FROM samples),
+s AS (SELECT * FROM a WHERE k = 1),
+f AS (SELECT *, {_IDS.format("string_split(left_context, chr(10))[-1]")} AS ids FROM s),
+g AS (SELECT *, CASE WHEN status IN ('resolved', 'partially_resolved') THEN 'RET ' || package_name || chr(10) || CASE WHEN len(ids) > 0 THEN 'LOCAL ' || array_to_string(list_transform(ids[1:24], lambda x: x || ':int'), ' ') || chr(10) ELSE '' END ELSE '' END AS facts,
+  CASE WHEN status IN ('resolved', 'partially_resolved') THEN greatest(len(ids) - 24, 0) ELSE 0 END AS dropped FROM f)"""
+
+
+def _last_samples(spark, d):
+    s = table(spark, d, "samples")
+    return s.groupBy("sample_id").agg(F.max_by(F.struct(*[c for c in s.columns if c != "sample_id"]), F.struct("extracted_at", "split")).alias("s")).select("sample_id", "s.*")
+
+
+def _made_records(s):
+    """Records for the samples: identifiers of the caret's line stand in for locals, the package for a return type; a second policy and an earlier record must not show."""
+    ids = semantics.identifiers(F.substring_index("left_context", "\n", -1))
+    fact = F.transform(ids, lambda x: F.struct(x.alias("name"), F.lit("var").alias("kind"), F.lit("int").alias("type"), F.lit(None).cast("string").alias("signature")))
+    none = {n: F.lit(None).cast(t).alias(n) for n, t in (x.split(" ", 1) for x in rendering.RECORD.replace("array<" + rendering.FACT + ">", "FACTS").replace("array<struct<name: string, members: FACTS>>", "TYPES").split(", "))if t not in ("FACTS", "TYPES")}
+    facts = f"array<{rendering.FACT}>"
+    row = lambda policy, place, ret: s.select("sample_id", F.col("semantic_status").alias("status"), F.lit(policy).alias("visibility_policy"), F.lit(place).alias("ordinal"), ret.alias("return_type"), fact.alias("locals"), *[none[n] for n in none if n != "return_type"], *[F.lit(None).cast(facts).alias(n) for n in ("parameters", "receiver_members", "members")], F.lit(None).cast(f"array<struct<name: string, members: {facts}>>").alias("context_types"))
+    return row("editor_snapshot", 1, F.lit("old")).unionByName(row("editor_snapshot", 2, F.col("package_name"))).unionByName(row("strict_prefix", 3, F.lit("other")))
+
+
+@query(f"""WITH {_SAID} SELECT sample_id, split, facts <> '' AS has_semantic, '<|go|><|path|>' || relative_path || chr(10) || CASE WHEN facts <> '' THEN '<|sem|>' || chr(10) || facts ELSE '' END || '<|code|>' || chr(10) || {_CUT} || '<|complete|>' AS prompt, target_text || '<|eol|>' AS completion,
+ CAST(length({_CUT}) AS INTEGER) AS code_chars, length(left_context) > 300 OR left_context_truncated AS code_truncated, CAST(length(facts) AS INTEGER) AS semantic_chars, CAST(dropped AS INTEGER) AS semantic_items_dropped FROM g""")
+def train_records(spark, d):
+    """Prompts with the facts of resolved records of one policy, as many as the budget admits."""
+    s = _last_samples(spark, d)
+    r = rendering.train_records(s, _made_records(s), "editor_snapshot", 300, 100_000)
+    return r.drop("schema_version", "caret_kind", "semantic_status")
+
+
+@query(r"""WITH s AS (SELECT sample_id, extracted_at, left_context, regexp_replace(regexp_replace(left_context, '(?s)//[^\n]*|/\*.*?(?:\*/|\z)|"(?:[^"\\\n]|\\.)*(?:"|\n|\z)|`[^`]*(?:`|\z)|''(?:[^''\\\n]|\\.)*(?:''|\n|\z)', ' ', 'g'), '[^(){}\[\]]', '', 'g') AS b FROM samples)
+SELECT sample_id, extracted_at, list_reduce(list_concat([''], list_filter(string_split(b, ''), lambda c: c <> '')), lambda acc, c: CASE c WHEN '(' THEN ')' || acc WHEN '[' THEN ']' || acc WHEN '{' THEN '}' || acc ELSE acc[2:] END) AS closers FROM s WHERE left_context IS NOT NULL""")
+def strict_suffix(spark, d):
+    """What closes the brackets that each left context leaves open."""
+    return table(spark, d, "samples").where("left_context IS NOT NULL").select("sample_id", "extracted_at", semantics.open_brackets(F.col("left_context")).alias("closers"))
+
+
+@query(f"SELECT sample_id, extracted_at FROM samples WHERE {usql(lit('20261009'), lit('semantic_subset'), 'sample_id')} < 0.15")
+def semantic_subset(spark, d):
+    """The part of the samples that is enriched: a sampling operator."""
+    return table(spark, d, "samples").where(semantics.in_subset(F.col("sample_id"), 0.15, "20261009")).select("sample_id", "extracted_at")
+
+
+@query("SELECT repository_id, project, CAST(floor((row_number() OVER (PARTITION BY repository_id, project ORDER BY relative_path, caret_byte_offset, sample_id) - 1) / 48) AS INTEGER) AS chunk, sample_id FROM (SELECT DISTINCT repository_id, project, relative_path, caret_byte_offset, sample_id FROM samples)")
+def package_work_items(spark, d):
+    s = table(spark, d, "samples").select("repository_id", "project", "relative_path", "caret_byte_offset", "sample_id").distinct()
+    return semantics.work_items(s)
+
+
+@query("""WITH f AS (SELECT file_id, repository_id, project, coalesce(build_match, true) AS built, CASE WHEN is_test AND coalesce(package_name LIKE '%$_test' ESCAPE '$', false) THEN 'xtest' WHEN is_test THEN 'test' ELSE 'lib' END AS v FROM corpus_files),
+n AS (SELECT repository_id, project, count(*) FILTER (v = 'lib') AS l, count(*) FILTER (v = 'test') AS t, count(*) FILTER (v = 'xtest') AS x FROM f WHERE built GROUP BY ALL),
+j AS (SELECT *, CASE v WHEN 'xtest' THEN x WHEN 'test' THEN l + t ELSE l END AS size FROM f LEFT JOIN n USING (repository_id, project)), r AS (SELECT *, CASE WHEN NOT built THEN 'build_constraint_excluded' WHEN size > 3 THEN 'package_too_large' END AS reason FROM j)
+SELECT file_id, CASE WHEN reason IS NULL THEN v END AS variant, CASE WHEN reason IS NULL THEN size END AS files, reason FROM r""")
+def package_file_sets(spark, d):
+    """The files that each file is checked with; sets of more than three count as too large here."""
+    return semantics.package_files(table(spark, d, "corpus_files"), 3)
+
+
+@query("SELECT s.sample_id, s.extracted_at, s.semantic_status FROM samples s WHERE s.semantic_status <> 'failed' AND s.sample_id IN (SELECT sample_id FROM samples WHERE split = 'train')")
+def kept_facts(spark, d):
+    """Records of one policy of the samples that are kept; the status stands in for the policy."""
+    s = table(spark, d, "samples")
+    r = s.select("sample_id", "extracted_at", "semantic_status", F.when(F.col("semantic_status") != "failed", "editor_snapshot").otherwise("strict_prefix").alias("visibility_policy"))
+    return records.kept_records(r, s.where("split = 'train'"), "editor_snapshot").drop("visibility_policy")
+
+
+@query("""SELECT sample_id, extracted_at, {'t': list_sort(list_distinct(regexp_extract_all(target_text, '[A-Za-z_][A-Za-z0-9_]*')))}.t AS target_identifiers, CASE WHEN caret_subkind IS NULL OR caret_subkind = '' THEN 0 ELSE 1 END AS candidates, CASE WHEN caret_subkind <> '' THEN caret_kind || caret_subkind END AS signature, CAST(NULL AS VARCHAR) AS missing FROM samples""")
+def packed_columns(spark, d):
+    """Fact records in the columns of the published table, then projected to a schema that has one column more."""
+    from pyspark.sql import types as T
+
+    none = F.lit(None).cast("string")
+    s = table(spark, d, "samples")
+    r = s.select("sample_id", "extracted_at", F.struct(semantics.identifiers(F.col("target_text")).alias("target_identifiers"), F.array().cast("array<string>").alias("mentioned")).alias("leakage"), F.array().alias("receiver_members"), F.col("caret_kind").alias("call_name"), F.col("caret_subkind").alias("call_signature"), F.lit(1).alias("argument_index"), none.alias("parameter_name"), none.alias("expected_type"))
+    p = records.packed_facts(r).withColumn("candidates", F.size("invocation_candidates")).withColumn("signature", F.try_element_at("invocation_candidates", F.lit(1))["signature"])
+    fields = [("sample_id", T.StringType()), ("extracted_at", T.TimestampType()), ("target_identifiers", T.ArrayType(T.StringType())), ("candidates", T.IntegerType()), ("signature", T.StringType()), ("missing", T.StringType())]
+    return records.project(p, T.StructType([T.StructField(*f) for f in fields]))
+
+
+@query("SELECT repo_id, min(k) AS round FROM (SELECT repo_id, 0 AS k FROM jobs WHERE batch <= 4 UNION ALL SELECT repo_id, 1 FROM jobs WHERE batch > 4) WHERE repo_id NOT IN (SELECT repository_id FROM license_files WHERE repository_id IS NOT NULL) GROUP BY repo_id")
+def remaining_repositories(spark, d):
+    """Repositories of two manifests that were not done before, each once, from the first manifest that names it."""
+    j = table(spark, d, "jobs")
+    rounds = [j.where("batch <= 4").select("repo_id", F.lit(0).alias("round")), j.where("batch > 4").select("repo_id", F.lit(1).alias("round"))]
+    return records.remaining(rounds, table(spark, d, "license_files").select(F.col("repository_id").alias("repo_id")), "repo_id")
+
+
 # ---- repositories ---------------------------------------------------------------------------------------------------
 
 

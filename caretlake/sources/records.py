@@ -45,6 +45,56 @@ def write_split_parquet(df: DataFrame, path: str, overwrite: bool = False) -> No
     df.write.mode("overwrite" if overwrite else "errorifexists").option("compression", "zstd").partitionBy("split").parquet(path)
 
 
+def project(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """The columns of a schema in its order and types; what ``df`` does not have is null, what else it has is left out."""
+    return df.select(*[(F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
+def kept_records(records: DataFrame, samples: DataFrame, policy: str | None = None) -> DataFrame:
+    """Records of samples that are kept, of one visibility policy if it is given."""
+    r = records if policy is None else records.where(F.col("visibility_policy") == policy)
+    return r.join(samples.select("sample_id").distinct(), "sample_id", "left_semi")
+
+
+def packed_facts(records: DataFrame) -> DataFrame:
+    """Records of facts in the columns of the published table: what the audit found, the receiver's members as those of ``this``, the call as the one candidate."""
+    call = F.struct(
+        F.concat(F.coalesce("call_name", F.lit("")), "call_signature").alias("signature"), F.col("argument_index").alias("argument_index"), F.col("parameter_name").alias("parameter_name"), F.col("expected_type").alias("parameter_type")
+    )
+    none = F.array().cast("array<struct<signature: string, argument_index: int, parameter_name: string, parameter_type: string>>")
+    r = records.withColumn("invocation_candidates", F.when(F.coalesce("call_signature", F.lit("")) != "", F.array(call)).otherwise(none))
+    r = r.withColumn("target_identifiers", F.col("leakage.target_identifiers")).withColumn("covered_target_identifiers", F.col("leakage.mentioned"))
+    return r.withColumnRenamed("receiver_members", "this_members").withColumn("snapshot_syntax_errors", F.lit(None).cast("int")).drop("leakage", "call_name", "call_signature", "argument_index", "parameter_name")
+
+
+def remaining(manifests: list[DataFrame], done: DataFrame, key: str = "repository_id") -> DataFrame:
+    """Rows of several manifests whose key is in none of ``done``, each key once: the row of the first manifest, then by content."""
+    every = None
+    for k, m in enumerate(manifests):
+        m = m.withColumn("round_", F.lit(k))
+        every = m if every is None else every.unionByName(m, allowMissingColumns=True)
+    fresh = every.join(done.select(key).where(F.col(key).isNotNull()).distinct(), key, "left_anti")
+    return cap(fresh, [key], [F.col("round_"), F.to_json(F.struct(*[c for c in fresh.columns if c != "round_"]))], 1).drop("round_")
+
+
+def merge_parquet(parts: list[DataFrame], path: str, overwrite: bool = False, rows_per_file: int = 2_000_000) -> None:
+    """Tables of several repositories of one kind as one, a folder a split; missing columns are null. Files are cut by rows, row groups by bytes."""
+    every = parts[0]
+    for p in parts[1:]:
+        every = every.unionByName(p, allowMissingColumns=True)
+    every.write.mode("overwrite" if overwrite else "errorifexists").option("compression", "zstd").option("maxRecordsPerFile", rows_per_file).partitionBy("split").parquet(path)
+
+
+def write_json(spark: SparkSession, path: str, value: dict) -> None:
+    """One JSON text in one file of whatever file system ``path`` lies on; an existing file is replaced."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = at.getFileSystem(spark._jsc.hadoopConfiguration()).create(at, True)
+    try:
+        out.write(bytearray(json.dumps(value, indent=1, sort_keys=True).encode() + b"\n"))
+    finally:
+        out.close()
+
+
 def publish(df: DataFrame, path: str, overwrite: bool = False) -> None:
     """Written beside the target, then renamed: readers see all or nothing; an existing target is refused without ``overwrite``."""
     spark = df.sparkSession
