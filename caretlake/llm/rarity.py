@@ -23,7 +23,7 @@ from caretlake.session import spread
 
 LEAST, MOST = 1 << 18, 1 << 24
 PIECE = 1 << 16
-COMMON_FROM = 64  # texts, whatever the size of the collection, so that buckets of rare shingles do not grow with it
+COMMON_FROM = 256  # texts, whatever the size of the collection, so that buckets of rare shingles do not grow with it
 SHINGLES_A_TEXT = 200  # only to choose the size of the sketch
 
 
