@@ -106,10 +106,10 @@ def covering_keys(df: DataFrame, text: str, covering: Covering, rarity: Rarity,
     """One row per text: ``cls`` (fingerprint of its shingle set, 0 if empty), ``n`` (its size), ``tables`` (keys).
 
     Equal sets within one task send their keys once (others have null): a hot group of copies costs a row per task and
-    table. ``with_sets`` adds the ``shingles`` where there are keys.
+    table. ``with_sets`` adds the packed ``shingles`` where there are keys.
     """
     fields = [df.schema[c] for c in carry]
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in fields] + ["cls bigint", "n int", "tables array<bigint>"] + ["shingles array<bigint>"] * with_sets)
+    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in fields] + ["cls bigint", "n int", "tables array<bigint>"] + ["shingles binary"] * with_sets)
     carry = list(carry)
     held = df.sparkSession.sparkContext.broadcast(rarity)
 
@@ -130,8 +130,7 @@ def covering_keys(df: DataFrame, text: str, covering: Covering, rarity: Rarity,
                 order = np.argsort(row, kind="stable")
                 cols = [S.list_column(keys[order].view(np.int64), np.append(0, np.cumsum(np.bincount(row, minlength=hi - lo))), new)]
                 if with_sets:
-                    sizes = np.diff(bounds) * new
-                    cols.append(S.list_column(values[np.repeat(new, np.diff(bounds))], np.append(0, np.cumsum(sizes)), new))
+                    cols.append(S.packed_column(values, bounds, new))
                 yield pa.RecordBatch.from_arrays(
                     [b.column(k).slice(lo, hi - lo) for k in range(len(carry))] + [pa.array(cls.astype(np.int64)), pa.array(np.diff(bounds).astype(np.int32)), *cols],
                     names=[*carry, "cls", "n", "tables"] + ["shingles"] * with_sets,
@@ -151,11 +150,9 @@ def bucket_pairs(rows: DataFrame, key: str, item: str, left: Column | None = Non
     sided = left is not None
     n = F.col(size).cast("bigint") if size else F.lit(1).cast("bigint")
     rows = rows.select(F.col(key).alias("k"), F.col(item).alias("i"), n.alias("n"), (left if sided else F.lit(True)).alias("l"))
-    sizes = rows.groupBy("k").agg(
-        F.count("*").alias("size"), F.min("i").alias("lo"), F.max("i").alias("hi"), F.sum(F.col("l").cast("long")).alias("nl")
-    )
-    many = F.col("lo") != F.col("hi")
-    sizes = sizes.where((F.col("nl") > 0) & (F.col("nl") < F.col("size")) if sided else many).select("k", F.ceil(F.col("size") / block).alias("blocks"))
+    sizes = rows.groupBy("k").agg(F.count("*").alias("size"), *([F.sum(F.col("l").cast("long")).alias("nl")] if sided else []))
+    many = (F.col("nl") > 0) & (F.col("nl") < F.col("size")) if sided else F.col("size") > 1
+    sizes = sizes.where(many).select("k", F.ceil(F.col("size") / block).alias("blocks"))
     live = rows.join(sizes, "k").withColumn("b", F.pmod(F.xxhash64("i"), F.col("blocks")))
     if sided:
         others = F.expr("transform(sequence(0, blocks - 1), x -> IF(l, struct(b AS p, x AS q), struct(x AS p, b AS q)))")

@@ -3,11 +3,11 @@
 State lies in Parquet under one folder and is opened again from there, by this process or another:
 
 * ``settings``: threshold, covering and rarity levels, written once; keys of all runs must be made alike.
-* ``keys``, ``reps``, ``sets``: for every distinct shingle set accepted so far its blocking keys, the text that stands
-  for it with its fields, and its shingles, each in ``buckets`` folders by hash, so that a batch reads only the folders
-  that its own keys and candidates touch.
-* ``members``: which text belongs to which set, with its batch. ``links``: similar pairs of representatives, scored.
-* ``cells``: counts from which the weights of the fields are learned. ``clusters``: moved representatives only.
+* ``texts``: every accepted text with its batch, its fields, the shingle set it belongs to, and, once a set and task, the
+  blocking keys and packed shingles of that set; ``reps``: the text that stands for each set; ``keys``: the blocking keys.
+  These lie in ``buckets`` folders by hash, so that a batch reads only the folders that its own keys and candidates touch.
+* ``links``: similar pairs of representatives, scored. ``cells``: counts from which the weights of the fields are learned.
+  ``clusters``: moved representatives only.
 * ``commits``: a run counts only if it has one; what a run left that ended before is deleted by the next.
 
 ``ingest`` makes keys of the new texts, probes the history's keys through a bounded Bloom filter, scores candidates by
@@ -17,32 +17,50 @@ shingles, and moves the representatives of the clusters that the new links touch
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from caretlake.llm import shingles as S
 from caretlake.llm.bloom import build
 from caretlake.llm.covering import Covering, bucket_pairs, covering_keys
-from caretlake.llm.neardup import verified
 from caretlake.llm.rarity import Rarity, rarity_of
 from caretlake.operators.components import hash_to_min
 from caretlake.operators.hashes import clean_hash, file_hashes
 from caretlake.session import delete, discard, fresh_dir, materialise
 
 LINK_FIELDS = ("tables", "length", "name", "package")
+_TEXT = "id bigint, batch int, length bigint, name string, package string, cls bigint, n int, tables array<bigint>, shingles binary"
 _SCHEMAS = {
+    "texts": _TEXT + ", bucket int",
+    "reps": "cls bigint, rep bigint, length bigint, name string, package string, bucket int",
     "keys": "key bigint, cls bigint, n int, bucket int",
-    "reps": "cls bigint, rep bigint, n int, length bigint, name string, package string, bucket int",
-    "sets": "cls bigint, shingles array<bigint>, bucket int",
-    "members": "id bigint, batch int, cls bigint",
     "links": "a bigint, b bigint, similarity double, score double",
     "cells": "field string, agrees boolean, links bigint, all bigint",
     "clusters": "node bigint, to bigint",
 }
 
 
+def similar(pairs: DataFrame, threshold: float) -> DataFrame:
+    """``pairs`` (a, b, sa, sb with packed shingles) as (a, b, similarity) of those that are similar enough, in whole numbers."""
+    need = int(round(threshold * 1_000_000))
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            left = {k: S.unpacked(v) for k, v in zip(f["a"], f["sa"])}  # a text is unpacked once a batch
+            right = {k: left[k] if k in left else S.unpacked(v) for k, v in zip(f["b"], f["sb"])}
+            both = np.array([S.shared(left[a], right[b]) for a, b in zip(f["a"], f["b"])], np.int64)
+            union = np.array([len(left[a]) + len(right[b]) for a, b in zip(f["a"], f["b"])], np.int64) - both
+            ok = (both > 0) & (both * 1_000_000 >= union * need)
+            yield pd.DataFrame({"a": f["a"][ok], "b": f["b"][ok], "similarity": both[ok] / union[ok]})
+
+    return pairs.select("a", "b", "sa", "sb").mapInPandas(run, "a bigint, b bigint, similarity double")
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
     return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
@@ -115,17 +133,15 @@ class IncrementalDedup:
         has = lambda c, t: F.col(c).cast(t).alias(c) if c in new.columns else F.lit(None).cast(t).alias(c)
         named = new.where("id IS NOT NULL").select("id", F.coalesce("batch", F.lit(2**31 - 1)).alias("batch"), has("length", "bigint"), has("name", "string"), has("package", "string"), "text")
         made = covering_keys(named, "text", self.covering, self.rarity, self.threshold, ["id", "batch", "length", "name", "package"], with_sets=True)
-        made = materialise(made.where("n > 0"), "new-keys")
-        self._write(made.select("id", "batch", "cls"), "members")
-        sets = made.groupBy("cls").agg(F.min("id").alias("rep"), F.min_by(F.struct("length", "name", "package"), "id").alias("fields"), F.first("n").alias("n"))
+        self._write(made.where("n > 0"), "texts", "cls")
+        made = self._runs_of("texts", [run])
+        sets = made.groupBy("cls").agg(F.min("id").alias("rep"), F.min_by(F.struct("length", "name", "package"), "id").alias("fields")).select("cls", "rep", "fields.*")
+        once = made.where("tables IS NOT NULL").select("cls", "n", "tables")
         if run:  # sets that history holds have their links already
-            sets = sets.join(self._touched("reps", made, "cls", run).select("cls"), "cls", "left_anti")
-        sets = materialise(sets.select("cls", "rep", "n", "fields.*"), "new-sets")
-        once = made.where("tables IS NOT NULL").select("cls", "n", "tables", "shingles").join(sets.select("cls"), "cls", "left_semi")
-        once = materialise(once.groupBy("cls").agg(*[F.first(c).alias(c) for c in ("n", "tables", "shingles")]), "new-once")
+            known = materialise(self._touched("reps", made, "cls", run).select("cls").join(made.select("cls").distinct(), "cls", "left_semi"), "known")
+            sets, once = sets.join(known, "cls", "left_anti"), once.join(known, "cls", "left_anti")
         self._write(sets, "reps", "cls")
-        self._write(once.select("cls", "shingles"), "sets", "cls")
-        self._write(once.select(F.explode("tables").alias("key"), "cls", "n"), "keys", "key")
+        self._write(once.groupBy("cls").agg(F.first("n").alias("n"), F.first("tables").alias("tables")).select(F.explode("tables").alias("key"), "cls", "n"), "keys", "key")
         keys = self._runs_of("keys", [run]).select("key", "cls", "n")
         pairs = bucket_pairs(keys, "key", "cls", size="n", threshold=self.threshold)
         if run:
@@ -143,8 +159,10 @@ class IncrementalDedup:
         ids = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
         reps = self._touched("reps", ids, "cls", run + 1).join(ids, "cls", "left_semi").select("cls", F.struct("rep", "length", "name", "package").alias("r"))
         cand = materialise(self._compared(pairs.join(reps.toDF("a", "ra"), "a").join(reps.toDF("b", "rb"), "b")), "candidates")
-        shingles = self._touched("sets", ids, "cls", run + 1).select(F.col("cls").alias("id"), "shingles").join(ids.withColumnRenamed("cls", "id"), "id", "left_semi")
-        found = materialise(cand.join(verified(cand.select("a", "b"), shingles, self.threshold), ["a", "b"], "left"), "verified")
+        held_sets = self._touched("texts", ids, "cls", run + 1).where("shingles IS NOT NULL").select("cls", "shingles").join(ids, "cls", "left_semi").groupBy("cls").agg(F.first("shingles").alias("s"))
+        held_sets = materialise(held_sets, "candidate-sets")
+        checked = similar(cand.select("a", "b").join(held_sets.toDF("a", "sa"), "a").join(held_sets.toDF("b", "sb"), "b"), self.threshold)
+        found = materialise(cand.join(checked, ["a", "b"], "left"), "verified")
         flags = F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).alias("agrees")) for f in LINK_FIELDS])).alias("x")
         self._write(found.select("similarity", flags).groupBy("x.field", "x.agrees").agg(F.count("similarity").alias("links"), F.count("*").alias("all")), "cells")
         weights = {(r["field"], r["agrees"]): r["weight"] for r in self.weights(run + 1).collect()}  # two rows a field
@@ -156,7 +174,7 @@ class IncrementalDedup:
         links = self._runs_of("links", [run])
         self._move(links)
         self.spark.createDataFrame([(run,)], "run int").coalesce(1).write.mode("overwrite").parquet(f"{self.root}/commits/run={run}")
-        for done in (made, sets, once, pairs, cand, found):
+        for done in (pairs, cand, held_sets, found, *([known] if run else [])):
             discard(done)
         self.runs += 1
         return links
@@ -198,7 +216,7 @@ class IncrementalDedup:
 
     def members(self) -> DataFrame:
         """(id, batch, rep): every accepted text and the representative of its set, which stays the one it first had."""
-        return self._read("members").join(self._read("reps").select("cls", "rep"), "cls").select("id", "batch", "rep")
+        return self._read("texts").select("id", "batch", "cls").join(self._read("reps").select("cls", "rep"), "cls").select("id", "batch", "rep")
 
     def not_new(self) -> DataFrame:
         """(id, duplicate_of, score) of the texts that are equal or similar to one of a smaller batch.

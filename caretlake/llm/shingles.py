@@ -161,3 +161,26 @@ def component_minima(values: np.ndarray, bounds: np.ndarray, components: int, se
 def list_column(values: np.ndarray, bounds: np.ndarray, valid: np.ndarray | None = None) -> pa.Array:
     """Lists of numbers; rows that are not ``valid`` are null."""
     return pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(values.astype(np.int64)), mask=None if valid is None else pa.array(~valid))
+
+
+def packed_column(values: np.ndarray, bounds: np.ndarray, valid: np.ndarray) -> pa.Array:
+    """The sets as bytes, six a shingle; rows that are not ``valid`` are null."""
+    keep = np.repeat(valid, np.diff(bounds))
+    data = values[keep].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+    offsets = np.append(0, np.cumsum(np.diff(bounds) * valid * 6)).astype(np.int32)
+    whole = pa.Array.from_buffers(pa.binary(), len(valid), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(data)])
+    return pc.if_else(pa.array(valid), whole, pa.scalar(None, pa.binary()))
+
+
+def unpacked(raw: bytes) -> np.ndarray:
+    """The sorted shingles of a packed set."""
+    out = np.zeros((len(raw) // 6, 8), np.uint8)
+    out[:, :6] = np.frombuffer(raw, np.uint8).reshape(-1, 6)
+    return out.view("<u8").ravel()
+
+
+def shared(a: np.ndarray, b: np.ndarray) -> int:
+    """How many shingles two sorted sets have in common."""
+    both = np.concatenate((a, b))
+    both.sort(kind="stable")
+    return int(np.count_nonzero(both[1:] == both[:-1]))

@@ -75,6 +75,15 @@ def test_chunks_and_long_texts_give_the_same_sets(monkeypatch):
     assert whole == small
 
 
+def test_packed_sets_come_back():
+    rnd = np.random.default_rng(1)
+    sets_ = [np.unique(rnd.integers(0, 1 << 48, n, dtype=np.uint64)) for n in (0, 5, 90, 3)]
+    bounds = np.append(0, np.cumsum([len(s) for s in sets_]))
+    col = S.packed_column(np.concatenate(sets_), bounds, np.array([True, False, True, True])).to_pylist()
+    assert col[1] is None and all((S.unpacked(col[k]) == sets_[k]).all() and len(S.unpacked(col[k])) == len(sets_[k]) for k in (0, 2, 3))
+    assert S.shared(sets_[2], np.sort(np.concatenate((sets_[2][::3], sets_[3])))) == 30 and S.shared(sets_[0], sets_[2]) == 0
+
+
 def test_masks_cover_the_radius():
     """Whatever ``radius`` components differ, some table's mask leaves them all out."""
     c = Covering(parts=3, width=3)
