@@ -74,7 +74,7 @@ class IncrementalDedup:
     threshold: float = 0.6
     covering: Covering = field(default_factory=Covering)
     root: str | None = None
-    buckets: int = 16
+    buckets: int = 0  # 0: by the number of texts of the first call, one for about 50,000
     runs: int = 0
     rarity: Rarity | None = None
 
@@ -90,6 +90,10 @@ class IncrementalDedup:
     def _start(self, new: DataFrame) -> None:
         if self.rarity is None:
             self.rarity = rarity_of(new, "text")
+            if self.buckets <= 0:
+                texts, self.buckets = new.count(), 8
+                while self.buckets < 4096 and self.buckets * 50_000 < texts:
+                    self.buckets *= 2
             c = self.covering
             row = [(float(self.threshold), self.buckets, c.parts, c.width, c.seed, self.rarity.common, bytearray(self.rarity.levels.tobytes()))]
             self.spark.createDataFrame(row, "threshold double, buckets int, parts int, width int, seed int, common int, levels binary").coalesce(1).write.mode("overwrite").parquet(f"{self.root}/settings")
@@ -110,7 +114,8 @@ class IncrementalDedup:
         if by is None:
             df.write.parquet(path)
         else:
-            df.withColumn("bucket", self._bucket(by)).repartition("bucket").sortWithinPartitions("bucket", by).write.partitionBy("bucket").parquet(path)
+            # One set may hold a third of all texts, and one key of all sets: partitions far above the wanted size are split, small ones joined.
+            df.withColumn("bucket", self._bucket(by)).hint("rebalance", "bucket").sortWithinPartitions("bucket", by).write.partitionBy("bucket").parquet(path)
 
     def _bucket(self, c: str) -> Column:
         return F.pmod(F.xxhash64(c), F.lit(self.buckets)).cast("int")

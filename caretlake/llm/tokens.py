@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import hashlib
 import os
 from collections.abc import Iterator
 
@@ -17,15 +18,18 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 _loaded: dict = {}
 
 
-def encoding(vocabulary: str = VOCABULARY):
-    """The tokenizer of a rank file, loaded once a process."""
-    if vocabulary not in _loaded:
+def encoding(vocabulary: str | bytes = VOCABULARY):
+    """The tokenizer of a rank file (its path or its bytes), made once a process."""
+    key = vocabulary if isinstance(vocabulary, str) else hashlib.sha256(vocabulary).hexdigest()
+    if key not in _loaded:
         import tiktoken
 
-        with open(vocabulary, "rb") as f:
-            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        _loaded[vocabulary] = tiktoken.Encoding("public", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
-    return _loaded[vocabulary]
+        if isinstance(vocabulary, str):
+            with open(vocabulary, "rb") as f:
+                vocabulary = f.read()
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, vocabulary.splitlines())}
+        _loaded[key] = tiktoken.Encoding("public", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return _loaded[key]
 
 
 PIECE_CHARS = 1 << 18
@@ -51,13 +55,18 @@ def count_tokens(text: str | None, enc) -> int:
 
 
 def token_sizes(documents: DataFrame, id_col: str = "doc_id", text: str = "text", keep: list[str] = (), vocabulary: str = VOCABULARY) -> DataFrame:
-    """(id, *keep, tokens) of every row; null and empty texts have 0 tokens. A text met again within a task is not tokenized again."""
+    """(id, *keep, tokens) of every row; null and empty texts have 0 tokens. A text met again within a task is not tokenized again.
+
+    The vocabulary file is read where this is called and sent to the executors (about 1 MB), which need not have it.
+    """
+    with open(vocabulary, "rb") as f:
+        held = documents.sparkSession.sparkContext.broadcast(f.read())
     fields = [documents.schema[c] for c in (id_col, *keep)]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields) + ", tokens bigint"
     k = len(fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, seen = encoding(vocabulary), {}
+        enc, seen = encoding(held.value), {}
         for b in batches:
             out = []
             for t in b.column(k).to_pylist():
