@@ -78,10 +78,8 @@ def batches(repos: DataFrame, target: int, order: str = "repo_id", size: str = "
     named = d.select(order).where(F.col(order).isNotNull())
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     edges = [r[0] for r in named.repartitionByRange(n, order).groupBy(F.spark_partition_id().alias("p")).agg(F.min(order).alias("lo")).orderBy("lo").select("lo").collect()]  # one a partition
-    part = F.lit(0)
-    for e in edges[1:]:
-        part = part + (F.col(order) >= F.lit(e)).cast("int")
-    d = d.withColumn("part_", part)
+    part = F.size(F.filter(F.array(*map(F.lit, edges[1:])), lambda e: e <= F.col(order))) if len(edges) > 1 else F.lit(0)
+    d = d.withColumn("part_", F.when(F.col(order).isNull(), 0).otherwise(part))
     sums = sorted((r["part_"], r["s"]) for r in d.groupBy("part_").agg(F.sum("size_").alias("s")).collect())
     ahead, total = [], 0
     for k, s in sums:

@@ -12,6 +12,7 @@ from caretlake.operators.sampling import cap
 # Licence families that are allowed or restricted.
 PERMISSIVE = ["MIT", "Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "0BSD", "Unlicense", "ISC", "MS-PL", "Zlib"]
 RESTRICTED = ["GPL", "LGPL", "AGPL", "MPL", "EPL", "OSL", "EUPL", "MS-RL", "CC-BY-SA", "MulanPSL", "BSD-4-Clause", "Artistic", "ODbL"]
+# Words that token sets leave out.
 STOP_WORDS = "a an the for and of to in with is go golang lib library tool".split()
 #: Default categories of this project's domain; the first pattern that matches decides. Any ordered table may be given.
 CATEGORIES = [
@@ -77,6 +78,7 @@ def normal_text(c: Column) -> Column:
 
 def priority(stars: Column, pushed: Column, organisation: Column, described: Column, topics: Column, damp: Column, first: str = "2024-10-09", last: str = "2026-10-09") -> Column:
     """0 to 1000 from stars, recency, ownership and description, rounded half to even."""
+    # The weights 0.45, 0.30, 0.10, 0.15, the parts 0.5 and 0.1 of a description, and 150,000 stars as full measure.
     popular = F.least(F.lit(1.0), F.log10(stars + 1) / F.log10(F.lit(150001.0)))
     span = F.datediff(F.lit(last).cast("date"), F.lit(first).cast("date"))
     recent = F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.datediff(F.substring(pushed, 1, 10).cast("date"), F.lit(first).cast("date")) / span))
