@@ -189,7 +189,7 @@ def pack_kinds(sizes: DataFrame, kinds: dict[str, int], id_col: str = "doc_id")
         counts[r["kind"]][r["length"]] = r["n"]
     held = spark.sparkContext.broadcast({k: places(plan(counts[k], c)) for k, c in kinds.items()})
     rank = F.row_number().over(Window.partitionBy("kind", "length", "salt").orderBy(id_col, "piece"))
-    ranked = p.withColumn("rank", rank).join(F.broadcast(cells.drop("n")), ["kind", "length", "salt"])  # at most SALTS * capacity rows a kind
+    ranked = p.withColumn("rank", rank).join(cells.drop("n"), ["kind", "length", "salt"])  # partitioned as the ranks are
     ranked = ranked.select("kind", "capacity", id_col, "piece", "start", "length", (F.col("rank") - 1 + F.col("ahead")).alias("rank"))
 
     def look_up(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
