@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from caretlake.functions.regexes import globs
-from caretlake.operators.discovery import TESTS, matches
+from caretlake.operators.discovery import PACKAGE, TESTS, matches
 from caretlake.operators.golexer import build_matches
 
 # Operating systems and architectures that a file name may end with.
@@ -19,7 +19,8 @@ MACHINES = "386 amd64 arm arm64 loong64 mips mips64 mips64le mipsle ppc64 ppc64l
 
 
 def package_name(content: Column) -> Column:
-    return F.nullif(F.regexp_extract(content, r"(?m)^[ \t]*package[ \t]+([A-Za-z_][A-Za-z0-9_]*)", 1), F.lit(""))
+    """The name in the package clause, which only comments and blanks may precede."""
+    return F.nullif(F.regexp_extract(content, PACKAGE, 1), F.lit(""))
 
 
 def project(path: Column) -> Column:
@@ -61,10 +62,16 @@ def name_matches(path: str, system: str = "linux", machine: str = "amd64") -> bo
 def file_facts(files: DataFrame, cgo_on: bool = False, keys: tuple[str, ...] = ("file_id",)) -> DataFrame:
     """(*keys, package_name, project, build_constraint, build_match, cgo, is_test).
 
-    Each distinct pair of constraint and file-name suffix is evaluated once. A null content has only what its path tells.
+    A null content has only what its path tells.
     """
     c, p = F.col("content"), F.col("relative_path")
-    f = files.select(*keys, package_name(c).alias("package_name"), project(p).alias("project"), build_constraint(c).alias("build_constraint"), F.coalesce(uses_cgo(c), F.lit(False)).alias("cgo"), matches(p, globs(TESTS)).alias("is_test"), F.regexp_extract(p, r"((?:_[a-z0-9]+){0,3}\.go)$", 1).alias("suffix"))
+    f = files.select(*keys, package_name(c).alias("package_name"), project(p).alias("project"), build_constraint(c).alias("build_constraint"), F.coalesce(uses_cgo(c), F.lit(False)).alias("cgo"), matches(p, globs(TESTS)).alias("is_test"), name_suffix(p).alias("suffix"))
+
+    return with_build_match(f, cgo_on).select(*keys, "package_name", "project", "build_constraint", "build_match", "cgo", "is_test")
+
+
+def with_build_match(f: DataFrame, cgo_on: bool = False) -> DataFrame:
+    """``f`` (build_constraint, suffix, cgo) with ``build_match``; each distinct pair of constraint and suffix is evaluated once."""
 
     def evaluate(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for d in frames:
@@ -72,9 +79,13 @@ def file_facts(files: DataFrame, cgo_on: bool = False, keys: tuple[str, ...] = (
             yield d
 
     cases = f.select(F.coalesce("build_constraint", F.lit("")).alias("b"), F.coalesce("suffix", F.lit("")).alias("s")).distinct().mapInPandas(evaluate, "b string, s string, holds boolean")
-    j = f.join(cases, (F.coalesce("build_constraint", F.lit("")) == F.col("b")) & (F.coalesce("suffix", F.lit("")) == F.col("s")))
-    match = F.col("holds") if cgo_on else F.col("holds") & ~F.col("cgo")
-    return j.select(*keys, "package_name", "project", "build_constraint", match.alias("build_match"), "cgo", "is_test")
+    j = f.join(cases, (F.coalesce("build_constraint", F.lit("")) == F.col("b")) & (F.coalesce("suffix", F.lit("")) == F.col("s"))).drop("b", "s")
+    return j.withColumn("build_match", F.col("holds") if cgo_on else F.col("holds") & ~F.coalesce("cgo", F.lit(False))).drop("holds")
+
+
+def name_suffix(path: Column) -> Column:
+    """The part of a file name that may name a system, a machine or a test."""
+    return F.regexp_extract(path, r"((?:_[a-z0-9]+){0,3}\.go)$", 1)
 
 
 def tags(place: Column, is_test: Column, build_match: Column, cgo: Column) -> Column:

@@ -57,7 +57,7 @@ r AS (SELECT *, CASE WHEN c IS NULL THEN 'unreadable' ELSE coalesce({_PATHS}, CA
   WHEN contains(c, chr(0)) THEN 'binary_nul'
   WHEN len(list_filter(string_split(c, chr(10)), lambda x: contains(regexp_replace(x, '\\r$', ''), chr(13)))) > 0 THEN 'lone_cr'
   WHEN trim(c, chr(10) || chr(13) || chr(9) || ' ' || chr(11) || chr(12)) = '' THEN 'empty'
-  WHEN NOT regexp_matches(c, '(?m)^[ \\t]*package[ \\t]+[\\p{{L}}_][\\p{{L}}\\p{{N}}_]*') THEN 'invalid_package_clause'
+  WHEN NOT regexp_matches(c, '^(?:[ \\t\\r\\n]|//[^\\n]*\\n|/\\*(?:[^*]|\\*+[^*/])*\\*+/)*package[ \\t]+[\\p{{L}}_][\\p{{L}}\\p{{N}}_]*') THEN 'invalid_package_clause'
   WHEN regexp_matches(chr(10) || regexp_extract(c, '^((?:[ \\t\\r\\n]|//[^\\n]*\\n|/\\*(?:[^*]|\\*+[^*/])*\\*+/)*)package[ \\t]', 1), '\\n// Code generated [^\\n]* DO NOT EDIT\\.\\r?\\n')
     OR regexp_matches(left(c, 4000), {lit(any_of(D.MARKERS))}) THEN 'generated_marker'
   WHEN list_max(list_transform(string_split(c, chr(10)), lambda x: octet_length(encode(regexp_replace(x, '\\r$', ''))))) > 2000 THEN 'long_lines'
@@ -240,7 +240,7 @@ def import_names(spark, d):
     return gofiles.imports(table(spark, d, "corpus_files"))
 
 
-@query(r"""SELECT file_id, nullif(regexp_extract(content, '(?m)^[ \t]*package[ \t]+([A-Za-z_][A-Za-z0-9_]*)', 1), '') AS package_name, CASE WHEN contains(relative_path, '/') THEN regexp_replace(relative_path, '/[^/]*$', '') ELSE '.' END AS project,
+@query(r"""SELECT file_id, nullif(regexp_extract(content, '^(?:[ \t\r\n]|//[^\n]*\n|/\*(?:[^*]|\*+[^*/])*\*+/)*package[ \t]+([\p{L}_][\p{L}\p{N}_]*)', 1), '') AS package_name, CASE WHEN contains(relative_path, '/') THEN regexp_replace(relative_path, '/[^/]*$', '') ELSE '.' END AS project,
 nullif(regexp_extract(string_split(content, chr(10) || 'package ')[1], '(?m)^(//go:build [^\r\n]*)', 1), '') AS build_constraint, coalesce(regexp_matches(content, '(?m)^[ \t]*(?:import[ \t]+)?"C"[ \t]*\r?$'), false) AS cgo,
 regexp_matches(relative_path, '^(?:[^/]+/)*[^/]*_test\.go$') AS is_test FROM corpus_files""")
 def file_facts(spark, d):
@@ -248,6 +248,13 @@ def file_facts(spark, d):
     return gofiles.file_facts(table(spark, d, "corpus_files")).drop("build_match")
 
 
+@query("SELECT repository_id, relative_path, build_constraint, build_match FROM discovery_files WHERE build_match IS NOT NULL")
+def build_match(spark, d):
+    """Whether the build takes a file, from its recorded constraint, its name and cgo; the SQL reads what was recorded."""
+    f = table(spark, d, "discovery_files").where("build_match IS NOT NULL").select("repository_id", "relative_path", "build_constraint", "cgo", gofiles.name_suffix(F.col("relative_path")).alias("suffix"))
+    return gofiles.with_build_match(f, cgo_on=True).select("repository_id", "relative_path", "build_constraint", "build_match")
+
+
 @query("SELECT is_test, build_match, count(*) AS rows FROM corpus_files GROUP BY ALL")
 def build_counters(spark, d):
     return reports.count_by(table(spark, d, "corpus_files"), "is_test", "build_match")

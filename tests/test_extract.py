@@ -55,7 +55,7 @@ def test_marks_tags_and_splits(spark):
     rows = s.collect()
     assert {r["split_group"] for r in rows} == {"g"} and {r["revision"] for r in rows} == {"a" * 40} and min(r["caret_byte_offset"] - r["caret_utf16_offset"] for r in rows) == 3
     tags = lambda text: {t for r in rows if r["target_text"].startswith(text) for t in r["tags"]}
-    assert "generics" in tags("any](x") and "goroutine" in tags("run(x)") and "defer" in tags("stop()") and {"select", "channel"} <= tags("c <- 1") and "composite_literal" in tags("1}") and {"closure", "log_call"} <= tags("\"z\")") and "struct_type" in tags("A int")
+    assert "generics" in tags(" any](x") and "goroutine" in tags("run(x)") and "defer" in tags("stop()") and {"select", "channel"} <= tags("c <- 1") and "composite_literal" in tags("1}") and {"closure", "log_call"} <= tags("\"z\")") and "struct_type" in tags("A int")
     assert {x.name for x in schemas.SAMPLE.fields} == set(s.columns) - {"file_id"}
 
 

@@ -16,7 +16,7 @@ from caretlake.streaming.ingest import ingest_drops
 GO = "package a\n\nfunc A() {}\n"
 TREE = {
     "_hidden/h.go": (GO, "go_ignored_dir"), "api.pb.go": (GO + "//pb", "generated_path"), "cmd/app/main.go": (GO + "// m", None), "cmd/app/main_copy.go": (GO + "// m", "exact_duplicate"),
-    "generated.go": ("// Code generated by x. DO NOT EDIT.\n\n" + GO, "generated_marker"), "service_test.go": (GO + "// t", None), "template.go": ("package {{.Package}}\n", "invalid_package_clause"), "testdata/data.go": (GO, "testdata_path"),
+    "generated.go": ("// Code generated by x. DO NOT EDIT.\n\n" + GO, "generated_marker"), "service_test.go": (GO + "// t", None), "template.go": ("package {{.Package}}\n", "invalid_package_clause"), "late.go": ("var x = `\npackage a\n`\n", "invalid_package_clause"), "inside.go": ("/*\npackage a\n*/\n", "invalid_package_clause"), "headed.go": ("/* x **/ // y\n\n/* z */package b\n", None), "testdata/data.go": (GO, "testdata_path"),
     "vendor/x/y.go": (GO, "vendored_path"), "crlf.go": ("package a\r\n\r\nvar x = 1\r\n", None), "lone.go": ("package a\rvar x = 1\n", "lone_cr"), "empty.go": (" \n\t\n", "empty"), "nul.go": ("package a\x00\n", "binary_nul"),
     "long.go": ("package a\n// " + "x" * 2100 + "\n", "long_lines"), "secret.go": ('package a\nvar k = "AKIA' + "A1" * 8 + '"\n', "secret_detected"), "big.go": ("package a\n" + "// x\n" * 300_000, "too_large"), ".git/x.go": (GO, None),
     "_file.go": (GO + "// underscore", None), "notes.txt": ("x", None),
@@ -40,7 +40,7 @@ def test_tree_to_decisions(spark, root):
     want = {k: v[1] for k, v in {**TREE, **RAW}.items() if not k.startswith(".git/") and k.endswith(".go")}
     assert {k: v[0] for k, v in got.items()} == want and got["cmd/app/main_copy.go"][1] == "cmd/app/main.go"
     counters = {r["counter"]: r["value"] for r in D.funnel(D.decide(files)).collect()}
-    assert counters["files.discovered"] == len(want) and counters["files.accepted"] == 6 - 1 and counters["files.accepted_test"] == 1 and counters["files.skipped.exact_duplicate"] == 1
+    assert counters["files.discovered"] == len(want) and counters["files.accepted"] == 7 - 1 and counters["files.accepted_test"] == 1 and counters["files.skipped.exact_duplicate"] == 1
     skipped = tree.read_tree(spark, root, maxBytes="1000000").where("content IS NULL").select("relative_path").collect()
     assert [r[0] for r in skipped] == ["big.go"]
 
