@@ -175,10 +175,10 @@ def pack_kinds(sizes: DataFrame, kinds: dict[str, int], id_col: str = "doc_id")
 
     Every token lies in exactly one container of a kind. Rows without tokens (null, 0) get no container. Repeated ids are
     packed each. Only the number of pieces of each length goes to the driver (at most the sum of the capacities); ranks
-    within a length are counted in ``SALTS`` parts by hash, so that no length is one task's work.
+    within a length are counted in ``SALTS`` parts by hash, so that no length is one task's work. No kinds give no rows.
     """
     spark = sizes.sparkSession
-    named = F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), F.lit(int(c)).alias("capacity")) for k, c in kinds.items()])).alias("k")
+    named = F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), F.lit(int(c)).alias("capacity")) for k, c in kinds.items()]).cast("array<struct<kind: string, capacity: int>>")).alias("k")
     each = sizes.select(id_col, "tokens", named).select(id_col, "tokens", "k.kind", "k.capacity")
     p = pieces(each, "capacity", id_col, ("kind", "capacity")).withColumn("salt", F.pmod(F.xxhash64(id_col, "piece"), F.lit(SALTS)).cast("int"))
     p = materialise(p, "pieces")

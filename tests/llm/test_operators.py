@@ -255,6 +255,7 @@ def test_pack(spark):
     assert {r["doc_id"] for r in whole} == {i for i, t in rows if t and t > 256}
     assert packing.containers(packing.pack(df, 256), 256).where("unused < 0").count() == 0
     assert packing.pack(df.limit(0), 256).count() == 0
+    assert packing.pack_kinds(df, {}).count() == 0
     both = packing.pack_kinds(df, {"s": 256, "l": 999})
     assert sorted((r["doc_id"], r["piece"], r["container_id"]) for r in both.where("kind = 's'").collect()) == sorted((r["doc_id"], r["piece"], r["container_id"]) for r in p)
     bad = both.groupBy("kind", "container_id").agg(F.sum("length").alias("n"), F.max("unused").alias("u"), F.min("unused").alias("v"), F.first("capacity").alias("c"))
