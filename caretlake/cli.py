@@ -24,7 +24,7 @@ def _files(spark: SparkSession, path: str, trees: bool) -> DataFrame:
     if path.endswith(".parquet"):
         df = spark.read.parquet(path)
         return df.select("repository_id", "relative_path", F.col("content").cast("binary").alias("content"), *[c for c in ("license", "revision", "split_group") if c in df.columns])
-    return read_tree(spark, path, trees=str(trees).lower()).select("repository_id", "relative_path", "content")
+    return read_tree(spark, path, trees=str(trees).lower()).select("repository_id", "relative_path", "content", "revision")
 
 
 def _rules(cfg: config.Config) -> discovery.FilterConfig:

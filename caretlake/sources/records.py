@@ -96,7 +96,10 @@ def write_json(spark: SparkSession, path: str, value: dict) -> None:
 
 
 def publish(df: DataFrame, path: str, overwrite: bool = False) -> None:
-    """Written beside the target, then renamed: readers see all or nothing; an existing target is refused without ``overwrite``."""
+    """Written beside the target, then renamed: readers see all or nothing; an existing target is refused without ``overwrite``.
+
+    With it the old target is moved away before and deleted after the new one stands; if that fails it is moved back.
+    """
     spark = df.sparkSession
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
@@ -104,9 +107,17 @@ def publish(df: DataFrame, path: str, overwrite: bool = False) -> None:
         raise FileExistsError(path)
     staging = path.rstrip("/") + ".staging"
     df.write.mode("overwrite").option("compression", "zstd").parquet(staging)
-    if fs.exists(target):
-        fs.delete(target, True)
-    fs.rename(spark._jvm.org.apache.hadoop.fs.Path(staging), target)
+    at, old = (spark._jvm.org.apache.hadoop.fs.Path(path.rstrip("/") + x) for x in (".staging", ".old"))
+    held = fs.exists(target)
+    if held:
+        fs.delete(old, True)
+        fs.rename(target, old)
+    if not fs.rename(at, target):
+        if held:
+            fs.rename(old, target)
+        raise OSError(f"cannot rename {staging}")
+    if held:
+        fs.delete(old, True)
 
 
 def summary_json(counters: DataFrame, **more) -> str:

@@ -11,13 +11,16 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from caretlake.functions.regexes import glob_to_regex
 
-SCHEMA = "repository_id string, relative_path string, bytes bigint, content binary, error string"
+SCHEMA = "repository_id string, relative_path string, bytes bigint, content binary, error string, revision string, module_path string"
 PER_TASK = 64 << 20
+TREES_A_TASK = 8
 
 
 class _Files(InputPartition):
-    def __init__(self, files: list[tuple[str, str, str, int]]):
-        self.files = files
+    """Files of one tree, or whole trees that the task walks itself."""
+
+    def __init__(self, root: str = "", repo: str = "", files: list[tuple[str, str, int]] = (), trees: list[tuple[str, str]] = ()):
+        self.root, self.repo, self.files, self.trees = root, repo, list(files), list(trees)
 
 
 class TreeReader(DataSourceReader):
@@ -30,39 +33,50 @@ class TreeReader(DataSourceReader):
         self.most = int(options.get("maxbytes", options.get("maxBytes", 0)) or 0)
         self.repository = options.get("repository", "local/unknown")
 
-    def _walk(self, root: str, repo: str) -> Iterator[tuple[str, str, str, int]]:
+    def _walk(self, root: str) -> Iterator[tuple[str, str, int]]:
         for at, dirs, names in os.walk(root):
             dirs[:] = sorted(d for d in dirs if d != ".git" and not os.path.islink(os.path.join(at, d)))
             for n in sorted(names):
                 full = os.path.join(at, n)
                 rel = os.path.relpath(full, root).replace(os.sep, "/")
                 if os.path.isfile(full) and not os.path.islink(full) and any(rx.search(rel) for rx in self.include):
-                    yield repo, rel, full, os.path.getsize(full)
+                    yield rel, full, os.path.getsize(full)
 
     def partitions(self) -> list[InputPartition]:
-        """Listings only; files of one task add up to about 64 MB."""
-        roots = [(os.path.join(self.root, d), d) for d in sorted(os.listdir(self.root)) if os.path.isdir(os.path.join(self.root, d))] if self.trees else [(self.root, self.repository)]
+        """Of many trees the driver lists only their names, ``TREES_A_TASK`` a task; one tree is listed, about 64 MB of files a task."""
+        if self.trees:
+            roots = [(os.path.join(self.root, d), d) for d in sorted(os.listdir(self.root)) if os.path.isdir(os.path.join(self.root, d))]
+            return [_Files(trees=roots[k : k + TREES_A_TASK]) for k in range(0, len(roots), TREES_A_TASK)] or [_Files()]
         out, now, size = [], [], 0
-        for root, repo in roots:
-            for f in self._walk(root, repo):
-                now.append(f)
-                size += f[3]
-                if size >= PER_TASK:
-                    out.append(_Files(now))
-                    now, size = [], 0
-        return [*out, _Files(now)] if now or not out else out
+        for f in self._walk(self.root):
+            now.append(f)
+            size += f[2]
+            if size >= PER_TASK:
+                out.append(_Files(self.root, self.repository, now))
+                now, size = [], 0
+        return [*out, _Files(self.root, self.repository, now)] if now or not out else out
 
     def read(self, partition: _Files) -> Iterator[tuple]:
-        """A file larger than maxBytes is listed without content; one that cannot be read has an error."""
-        for repo, rel, full, size in partition.files:
-            if self.most and size > self.most:
-                yield repo, rel, size, None, None
-                continue
-            try:
-                with open(full, "rb") as f:
-                    yield repo, rel, size, f.read(), None
-            except OSError as e:
-                yield repo, rel, size, None, str(e)
+        """A file larger than maxBytes is listed without content; one that cannot be read has an error. Every row has its tree's commit and module."""
+        for root, repo, files in [(partition.root, partition.repo, partition.files)] if partition.files else [(r, n, self._walk(r)) for r, n in partition.trees]:
+            revision, module = revision_of(root), module_of(_text(os.path.join(root, "go.mod")))[0]
+            for rel, full, size in files:
+                if self.most and size > self.most:
+                    yield repo, rel, size, None, None, revision, module
+                    continue
+                try:
+                    with open(full, "rb") as f:
+                        yield repo, rel, size, f.read(), None, revision, module
+                except OSError as e:
+                    yield repo, rel, size, None, str(e), revision, module
+
+
+def _text(path: str) -> str | None:
+    try:
+        with open(path, encoding="utf-8", errors="replace") as f:
+            return f.read()
+    except OSError:
+        return None
 
 
 class TreeSource(DataSource):

@@ -9,6 +9,8 @@ def test_the_verbs_in_order(spark, tmp_path, capsys):
         (tmp_path / "in" / repo / "pkg").mkdir(parents=True)
         (tmp_path / "in" / repo / "pkg" / "x.go").write_text(SRC.replace("Run", "Run" + repo))
         (tmp_path / "in" / repo / "x.pb.go").write_text(SRC)
+    (tmp_path / "in" / "a" / ".git").mkdir()
+    (tmp_path / "in" / "a" / ".git" / "HEAD").write_text("ab" * 20 + "\n")
     (tmp_path / "c.json").write_text(json.dumps({"sampling": {"per_line": 1}}))
     at = lambda n: str(tmp_path / n)
     assert cli.main(["config", "--config", at("c.json")]) == 0 and '"per_line": 1' in capsys.readouterr().out
@@ -16,6 +18,10 @@ def test_the_verbs_in_order(spark, tmp_path, capsys):
     assert {(r["repository_id"], r["skip_reason"]) for r in spark.read.parquet(at("d")).collect()} == {(x, y) for x in "abc" for y in (None, "generated_path")}
     assert cli.main(["extract", "--config", at("c.json"), "--input", at("in"), "--trees", "--out", at("s")], spark) == 0
     samples = spark.read.parquet(at("s"))
+    assert {(r[0], r[1]) for r in samples.select("repository_id", "revision").distinct().collect()} == {("a", "ab" * 20), ("b", None), ("c", None)}
+    assert cli.main(["extract", "--config", at("c.json"), "--input", at("in"), "--trees", "--out", at("s"), "--overwrite"], spark) == 0
+    samples = spark.read.parquet(at("s"))
+    assert not (tmp_path / "s.old").exists() and not (tmp_path / "s.staging").exists()
     assert samples.count() > 3 and samples.groupBy("relative_path", "repository_id", "caret_line_zero_based").count().where("count > 1").count() == 0
     capsys.readouterr()
     assert cli.main(["validate", "--input", at("s")], spark) == 0 and json.loads(capsys.readouterr().out)["ok"]
