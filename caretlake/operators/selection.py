@@ -123,3 +123,38 @@ def canonical(df: DataFrame, group: str, order: list[str], name: str) -> DataFra
 
 def owner_cap(df: DataFrame, owner: Column, order: list[Column], n: int = 15) -> DataFrame:
     return cap(df.withColumn("owner", owner), ["owner"], order, n)
+
+
+def reasons(rules: dict[str, Column]) -> Column:
+    """The names of all rules that hold, sorted; a rule that is null does not hold."""
+    return F.array_sort(F.filter(F.array(*[F.when(c, F.lit(name)) for name, c in rules.items()]), lambda x: x.isNotNull()))
+
+
+def first_reason(rules: dict[str, Column], detail: dict[str, Column] | None = None) -> Column:
+    """The name of the first rule that holds, with ``:`` and its detail where it has one; null if none holds."""
+    out = F.lit(None).cast("string")
+    for name, c in reversed(list(rules.items())):
+        said = F.concat(F.lit(name + ":"), (detail or {})[name].cast("string")) if name in (detail or {}) else F.lit(name)
+        out = F.when(c, said).otherwise(out)
+    return out
+
+
+def odd_name(c: Column, stem: int = 10, digits: int = 3, vowels: float = 0.22) -> Column:
+    """Whether a name looks made by chance: a run of digits beside a long stem of few vowels."""
+    low = F.lower(c)
+    letters = F.regexp_replace(low, "[-_0-9]", "")
+    n = F.length(letters)
+    return (n >= stem) & low.rlike(rf"[0-9]{{{digits},}}") & (F.length(F.regexp_replace(letters, "[^aeiou]", "")) / F.when(n > 0, n) < vowels)
+
+
+def one_group(df: DataFrame, key: str, root: str | None = None) -> DataFrame:
+    """A star of edges (a, b) that ties all rows of ``df`` together: from ``root`` if it is among them, else from the smallest key."""
+    d = df.select(F.col(key).alias("b")).where("b IS NOT NULL").distinct()
+    centre = d.agg(F.coalesce(F.max(F.when(F.col("b") == F.lit(root), F.col("b"))), F.min("b")).alias("a"))  # one row
+    return d.crossJoin(F.broadcast(centre)).where("a <> b").select("a", "b")
+
+
+def outcomes(df: DataFrame, key: str, reasons_col: str, order: list[Column]) -> tuple[DataFrame, DataFrame]:
+    """(selected, rejected): rows without reasons in ``order``, rows with any by key. Both are sorted over ranges, not in one task."""
+    none = F.size(F.coalesce(reasons_col, F.array().cast("array<string>"))) == 0
+    return df.where(none).orderBy(*order), df.where(~none).withColumn(reasons_col, F.array_sort(F.array_distinct(reasons_col))).orderBy(key)

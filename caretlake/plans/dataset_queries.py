@@ -809,3 +809,37 @@ def same_text_edges(spark, d):
 @query("SELECT status, reason, count(*) AS rows, count(DISTINCT lower(trim(grp))) AS groups FROM jobs GROUP BY ALL")
 def selection_report(spark, d):
     return table(spark, d, "jobs").groupBy("status", "reason").agg(F.count("*").alias("rows"), F.countDistinct(F.lower(F.trim("grp"))).alias("groups"))
+
+
+_GATES = {"tiny": "size_kb < 20", "giant": "size_kb > 400000", "inactive": "started < '2025-01-01'", "no_samples": "samples = 0", "license_unknown": "license IS NULL OR trim(license) = ''"}
+
+
+@query(f"""WITH g AS (SELECT repo_id, attempts, started, list_sort(list_filter([{', '.join(f"CASE WHEN {c} THEN '{n}' END" for n, c in _GATES.items())}], lambda x: x IS NOT NULL)) AS r FROM jobs)
+SELECT repo_id, attempts, started, array_to_string(r, ',') AS reasons, len(r) = 0 AS selected FROM g""")
+def gate_reasons(spark, d):
+    """All gates that each row fails, the thresholds being parameters; rows without any are selected."""
+    j = table(spark, d, "jobs").select("repo_id", "attempts", "started", "priority", selection.reasons({n: F.expr(c) for n, c in _GATES.items()}).alias("r"))
+    chosen, rejected = selection.outcomes(j, "repo_id", "r", [F.desc("priority"), F.col("repo_id")])
+    return chosen.withColumn("selected", F.lit(True)).unionByName(rejected.withColumn("selected", F.lit(False))).select("repo_id", "attempts", "started", F.array_join("r", ",").alias("reasons"), "selected")
+
+
+@query("""SELECT repo_id, attempts, started, CASE WHEN finished IS NULL THEN 'not_finished' WHEN cs_bytes > 1000000 THEN 'too_large:' || (cs_bytes >> 20) || 'MB' WHEN license IS NULL THEN 'license_not_allowed' WHEN samples = 0 THEN 'no_samples' END AS reason FROM jobs""")
+def first_gate(spark, d):
+    """The first gate that each row fails, with a detail."""
+    rules = {"not_finished": F.col("finished").isNull(), "too_large": F.col("cs_bytes") > 1_000_000, "license_not_allowed": F.col("license").isNull(), "no_samples": F.col("samples") == 0}
+    detail = {"too_large": F.concat(F.shiftright("cs_bytes", 20).cast("string"), F.lit("MB"))}
+    return table(spark, d, "jobs").select("repo_id", "attempts", "started", selection.first_reason(rules, detail).alias("reason"))
+
+
+@query("""WITH n AS (SELECT sample_id, extracted_at, lower(sample_id) AS l, regexp_replace(lower(sample_id), '[-_0-9]', '', 'g') AS s FROM samples)
+SELECT sample_id, extracted_at, length(s) >= 10 AND regexp_matches(l, '[0-9]{3,}') AND length(regexp_replace(s, '[^aeiou]', '', 'g')) / length(s) < 0.22 AS odd FROM n WHERE length(s) > 0""")
+def odd_names(spark, d):
+    """Names that look made by chance; ids of samples stand in for owners."""
+    c = F.col("sample_id")
+    return table(spark, d, "samples").where(F.length(F.regexp_replace(F.lower(c), "[-_0-9]", "")) > 0).select(c, "extracted_at", selection.odd_name(c).alias("odd"))
+
+
+@query("""WITH m AS (SELECT DISTINCT repo_id FROM jobs WHERE license LIKE 'BSD%' AND repo_id IS NOT NULL) SELECT a, repo_id AS b FROM m, (SELECT min(repo_id) AS a FROM m) WHERE a <> repo_id""")
+def one_group_edges(spark, d):
+    """Edges that tie all members of one family together; a family of licences stands in for forks of one project."""
+    return selection.one_group(table(spark, d, "jobs").where("license LIKE 'BSD%'"), "repo_id", "no/such")

@@ -85,3 +85,18 @@ def test_merging_and_manifests(spark, tmp_path):
     m = [spark.createDataFrame(x, "repository_id string, v int") for x in ([("a", 1), ("b", 2), ("b", 1), (None, 9)], [("b", 7), ("c", 3)])]
     got = {r["repository_id"]: r["v"] for r in records.remaining(m, spark.createDataFrame([("a",), (None,)], "repository_id string")).collect()}
     assert got == {"b": 1, "c": 3, None: 9}
+
+
+def test_gates_and_groups(spark):
+    from caretlake.operators import selection as G
+
+    df = spark.createDataFrame([("a", 1, None), ("b", 500, "x"), ("c", None, "x"), ("xkcdqrtplmn1234", 50, "x")], "k string, n int, t string")
+    rules = {"small": F.col("n") < 10, "no_text": F.col("t").isNull(), "large": F.col("n") > 100}
+    r = df.withColumn("r", G.reasons(rules)).withColumn("f", G.first_reason(rules, {"large": F.col("n")}))
+    got = {x["k"]: (x["r"], x["f"]) for x in r.collect()}
+    assert got == {"a": (["no_text", "small"], "small"), "b": (["large"], "large:500"), "c": ([], None), "xkcdqrtplmn1234": ([], None)}
+    chosen, rejected = G.outcomes(r, "k", "r", [F.desc_nulls_last("n")])
+    assert [x["k"] for x in chosen.collect()] == ["xkcdqrtplmn1234", "c"] and [x["k"] for x in rejected.collect()] == ["a", "b"]
+    assert [x["o"] for x in df.select(G.odd_name(F.col("k")).alias("o")).collect()] == [False, False, False, True]
+    edges = lambda root: {tuple(x) for x in G.one_group(df.limit(3), "k", root).collect()}
+    assert edges(None) == {("a", "b"), ("a", "c")} and edges("b") == {("b", "a"), ("b", "c")} and edges("z") == edges(None)
