@@ -47,7 +47,8 @@ WEAK = {
         "code generated", "generated by", "generated from", "generated with", "generated file", "file is generated", "was generated", "do not edit", "don't edit",
         "not be edited", "do not modify", "don't modify", "do not change", "by hand", "manually", "manual changes", "will be overwritten", "edit is lost",
         "edits are lost", "changes will be lost", "was produced by", "produced by", "during the build", "runs again", "next run", "regenerate", "nicht von hand",
-        "nicht ändern", "written by",
+        "nicht ändern", "written by", "nicht bearbeiten", "generiert von", "erzeugt von", "ne pas modifier", "généré par", "no editar", "no modificar",
+        "generado por", "não editar", "gerado por", "не редактировать", "не изменять", "сгенерировано", "请勿编辑", "由工具生成",
     ],
     "vendored": ["imported from", "copied from", "taken from", "forked from", "mirrored from", "origin ", "upstream", "module proxy", "local changes", "(tag ", "at commit "],
 }

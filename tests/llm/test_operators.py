@@ -26,6 +26,7 @@ CODE = "package a\n\nimport \"fmt\"\n\nfunc A(x int) int {\n\tif x > 1 {\n\t\tre
         ("// @generated by y\r\npackage a\r\n", "generated"), ("// Automatisch erzeugt mit x, bitte nicht von Hand ändern.\npackage a", "generated"),
         ("// Copied verbatim from a.invalid/b at 6b84aa0; local changes: none.\npackage a", "vendored"), ("// Imported from a.invalid/b (tag 9.9) because the module proxy drops it.\npackage a", "vendored"),
         ("package a\n\nconst head = \"// Code generated by a. DO NOT EDIT.\\n\"\n" + CODE, None), ("package a\n// B returns the list generated by the caller; do not edit the returned slice.\n" + CODE, None),
+        ("// Fichier généré par x, ne pas modifier.\npackage a", "generated"), ("// Archivo generado por x. No editar.\npackage a", "generated"), ("// Файл сгенерировано программой x, не редактировать.\npackage a", "generated"), ("// No editar sin pruebas.\npackage a\n" + CODE, None),
         ("package a\n" + BLOB, "blob"), ("package a\nvar t = []int{1, 2, 3, 4, 5, 6, 7}\n" + CODE, None), ("package a\n" + "func a(b,c int)int{if b>1{return c};return b};" * 40, "minified"),
         ("package a\nconst q = \"SELECT " + "a_b, " * 60 + "\"\n" + CODE * 4, None), (None, None), ("", None), ("// Copyright 2020 The Vendor authors\npackage a\n", None),
     ],
