@@ -150,6 +150,20 @@ c AS (SELECT DISTINCT doc_id, p FROM (SELECT doc_id, unnest(range(i, i + 8)) AS
 n AS (SELECT doc_id, count(*) AS c FROM c GROUP BY doc_id)"""
 
 ORACLE = corpus_queries.ORACLE | {
+    # Names and identifiers as they stand in these tables, written for this SQL; the operator knows more forms.
+    "p3_found": r"""
+WITH p(id, p) AS (VALUES ('MIT', '\bmit licen[cs]e|\(mit\)'), ('ISC', '\bisc licen[cs]e'), ('Apache-2.0', 'apache (?:software )?licen[cs]e,? (?:version |v)?2|apache 2\.0|\basl 2\.0'), ('MPL-2.0', '(?:mozilla public licen[cs]e|\bmpl),? (?:version )?2\.0'),
+  ('BSD-2-Clause', 'two-clause bsd|simplified bsd|bsd 2-clause'), ('BSD-3-Clause', 'three-clause bsd|new bsd|bsd 3-clause'), ('Zlib', 'zlib licen[cs]e'), ('Unlicense', '\bunlicense\b'), ('AGPL-3.0', '(?:affero general public licen[cs]e|\bagpl),? ?(?:version |v)?3'),
+  ('LGPL-3.0', '(?:lesser general public licen[cs]e|\blgpl),? ?(?:version |v)?3'), ('LGPL-2.1', '(?:lesser general public licen[cs]e|\blgpl),? ?(?:version |v)?2\.1'), ('GPL-3.0', '(?:gnu general public licen[cs]e|\bgpl),? ?(?:version |v)?3'), ('GPL-2.0', '(?:gnu general public licen[cs]e|\bgpl),? ?(?:version |v)?2')),
+x AS (SELECT 'f' AS k, CAST(file_id AS VARCHAR) AS key, regexp_extract(content, '^\x{FEFF}?(?:\s+|//[^\n]*|/\*(?:[^*]|\*+[^*/])*\*+/)*') AS t FROM corpus_files WHERE content IS NOT NULL
+  UNION ALL SELECT 'l', repository_id, body FROM license_files UNION ALL SELECT 'j', repo_id, license FROM jobs),
+n AS (SELECT k, key, trim(lower(regexp_replace(regexp_replace(t, '(?m)^[ \t]*(?://+|/\*+|\*+/?|#+)', ' ', 'g'), '[\s*]+', ' ', 'g'))) AS t FROM x WHERE t IS NOT NULL AND key IS NOT NULL),
+i AS (SELECT k, key, unnest(regexp_extract_all(CASE WHEN k = 'j' THEN t ELSE regexp_extract(t, 'spdx-license-identifier: ([a-z0-9.+-]+(?: or [a-z0-9.+-]+)*)', 1) END, '[a-z0-9.+-]+')) AS id FROM n),
+c AS (SELECT k, key, p.id FROM i JOIN p ON lower(p.id) = regexp_replace(rtrim(i.id, '.'), '(-only|-or-later|\+)$', '') UNION SELECT k, key, id FROM n JOIN p ON regexp_matches(t, p)),
+g AS (SELECT k, key, list(DISTINCT id) AS s FROM c GROUP BY ALL),
+f AS (SELECT file_id, a.s AS a, b.s AS b, d.s AS d FROM corpus_files f LEFT JOIN g a ON a.k = 'f' AND a.key = CAST(file_id AS VARCHAR) LEFT JOIN g b ON b.k = 'l' AND b.key = f.repository_id LEFT JOIN g d ON d.k = 'j' AND d.key = f.repository_id),
+r AS (SELECT file_id, CASE WHEN coalesce(a, b, d) IS NULL THEN 'unknown' WHEN len(list_intersect(list_intersect(coalesce(a, b, d), coalesce(b, d, a)), coalesce(d, a, b))) = 0 THEN 'conflict' END AS finding FROM f)
+SELECT file_id, finding FROM r WHERE finding IS NOT NULL""",
     "p8_checks": """SELECT container_kind AS kind, c AS "check", CAST(0 AS BIGINT) AS failed FROM (SELECT DISTINCT container_kind FROM pack_capacities WHERE capacity_tokens > 0), (VALUES ('every_token_once'), ('split_without_need'), ('over_capacity')) v(c)""",
     "p9_plan": """
 WITH m AS (SELECT lower(trim(source)) AS source, target_share AS t, max_repeats AS r FROM mix_targets WHERE target_share > 0),
