@@ -129,6 +129,23 @@ e AS (SELECT u, v FROM d UNION SELECT v, u FROM d),
 r AS (SELECT DISTINCT rep AS u, rep AS v FROM k UNION SELECT r.u, e.v FROM r JOIN e ON r.v = e.u),
 m AS (SELECT u, min(v) AS cluster_id FROM r GROUP BY u), l AS (SELECT u, count(*) AS links FROM e GROUP BY u)
 SELECT f.file_id, coalesce(cluster_id, f.file_id) AS cluster_id, coalesce(links, 0) AS links FROM corpus_files f LEFT JOIN k USING (file_id) LEFT JOIN m ON m.u = k.rep LEFT JOIN l ON l.u = k.rep""",
+    "p1_assignment": """
+WITH RECURSIVE t AS (
+  SELECT DISTINCT repo, nullif(lower(trim(g)), '') AS g FROM (
+    SELECT repo_id AS repo, grp AS g FROM jobs UNION ALL SELECT repository_id, split_group FROM samples) WHERE repo IS NOT NULL),
+n AS (SELECT DISTINCT x.repo AS a, y.repo AS b FROM t x JOIN t y ON x.g = y.g),
+r AS (SELECT DISTINCT repo AS a, repo AS b FROM t UNION SELECT r.a, n.b FROM r JOIN n ON r.b = n.a),
+c AS (SELECT r.a AS repository_id, coalesce(min('g|' || t.g), 'r|' || r.a) AS component FROM r JOIN t ON t.repo = r.b GROUP BY r.a),
+m AS (SELECT c.*, coalesce(k, 0) AS samples FROM c LEFT JOIN (SELECT repository_id, count(*) AS k FROM samples GROUP BY 1) USING (repository_id)),
+z AS (SELECT component, CAST(sum(samples) AS BIGINT) AS size FROM m GROUP BY 1), q AS (SELECT CAST(sum(size) AS DOUBLE) AS total FROM z),
+l AS (SELECT component, size, row_number() OVER (ORDER BY size DESC, component) AS k FROM z, q WHERE size > total * 0.05 / 10),
+p AS (SELECT CAST(0 AS BIGINT) AS k, total * 0.9 AS tr, total * 0.05 AS va, total * 0.05 AS te, '' AS component, '' AS split FROM q
+  UNION ALL SELECT k, tr - CASE split WHEN 'train' THEN size ELSE 0 END, va - CASE split WHEN 'validation' THEN size ELSE 0 END, te - CASE split WHEN 'test' THEN size ELSE 0 END, component, split
+  FROM (SELECT l.k, tr, va, te, l.component, size, CASE WHEN va >= tr AND va >= te THEN 'validation' WHEN tr >= te THEN 'train' ELSE 'test' END AS split FROM p JOIN l ON l.k = p.k + 1)),
+w AS (SELECT unnest(['train', 'validation', 'test']) AS split, unnest([greatest(tr, 0), greatest(va, 0), greatest(te, 0)]) AS w FROM (SELECT * FROM p ORDER BY k DESC LIMIT 1)),
+h AS (SELECT component, split, -w / ln((CAST(('0x' || substr(sha256('20261009' || chr(31) || 'split' || chr(31) || split || chr(31) || component), 1, 13)) AS UBIGINT) + 0.5) / 4503599627370496.0) AS score FROM z, w WHERE w > 0 AND component NOT IN (SELECT component FROM l)),
+s AS (SELECT component, split FROM h QUALIFY row_number() OVER (PARTITION BY component ORDER BY score DESC, split DESC) = 1 UNION ALL SELECT component, split FROM p WHERE k > 0)
+SELECT repository_id, component, samples, split FROM m JOIN s USING (component)""",
     "p4_found": f"WITH {_SETS} SELECT a AS file_id_a, b AS file_id_b FROM j",
     "p6_found": f"""
 WITH {_SETS},
@@ -167,3 +184,6 @@ e AS (SELECT a AS x, b AS y FROM j UNION ALL SELECT b, a FROM j),
 t AS (SELECT file_id, min(file_id) OVER (PARTITION BY g) AS first FROM k WHERE sp = 'train')
 SELECT DISTINCT x AS file_id, first AS train_file_id FROM e JOIN k ON k.file_id = x JOIN t ON t.file_id = y WHERE sp IN ('validation', 'test')""",
 }
+ORACLE["p1_shares"] = f"""
+SELECT split, count(*) AS repositories, CAST(sum(samples) AS BIGINT) AS samples, round(sum(samples) / any_value(total), 4) AS share
+FROM (SELECT *, sum(samples) OVER () AS total FROM ({ORACLE["p1_assignment"]})) GROUP BY split"""

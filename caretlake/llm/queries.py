@@ -164,6 +164,17 @@ g AS (SELECT k, key, list(DISTINCT id) AS s FROM c GROUP BY ALL),
 f AS (SELECT file_id, a.s AS a, b.s AS b, d.s AS d FROM corpus_files f LEFT JOIN g a ON a.k = 'f' AND a.key = CAST(file_id AS VARCHAR) LEFT JOIN g b ON b.k = 'l' AND b.key = f.repository_id LEFT JOIN g d ON d.k = 'j' AND d.key = f.repository_id),
 r AS (SELECT file_id, CASE WHEN coalesce(a, b, d) IS NULL THEN 'unknown' WHEN len(list_intersect(list_intersect(coalesce(a, b, d), coalesce(b, d, a)), coalesce(d, a, b))) = 0 THEN 'conflict' END AS finding FROM f)
 SELECT file_id, finding FROM r WHERE finding IS NOT NULL""",
+    "p2_found": r"""
+WITH d AS (SELECT repository_id, relative_path, lower(relative_path) AS p, regexp_replace(lower(trim(skip_reason)), '[\s-]+', '_', 'g') AS r, lower(detail) AS t FROM discovery_files WHERE repository_id IS NOT NULL AND relative_path IS NOT NULL),
+a AS (SELECT repository_id, relative_path FROM d WHERE r IN ('vendored_path', 'generated_path', 'generated_marker')
+  OR regexp_matches(p, '(^|/)(_?vendor|vendored|_?third[_-]party|thirdparty|3rd_?party|externals?|godeps|node_modules|bower_components)/')
+  OR regexp_matches(p, '(\.pb(\.gw|\.validate)?|[._]gen(erated)?|_easyjson|_ffjson|_stringer|_msgp|\.capnp|\.twirp|\.connect|_enumer|\.xo|\.sql|_grpc\.pb)\.go$|(^|/)(zz_generated[._][^/]*|generated\.[^/]*|bindata_assetfs[^/]*|bindata\.go|wire_gen\.go)$|[.-]min\.(go|js|css)$|[._]bundle\.(go|js)$|(^|/)(go\.sum|[^/]*\.lock|package-lock\.json|pnpm-lock\.yaml)$')
+  OR regexp_matches(t, 'code generated|generated by|@generated|do not edit|vendored')),
+c AS (SELECT DISTINCT f.repository_id, f.relative_path, content, lower(regexp_replace(regexp_extract(content, '^\x{FEFF}?(?:\s+|//[^\n]*|/\*(?:[^*]|\*+[^*/])*\*+/)*'), '\s+', ' ', 'g')) AS h, list_filter(string_split(content, chr(10)), lambda x: length(x) >= 32) AS ls FROM corpus_files f WHERE length(content) > 0),
+b AS (SELECT repository_id, relative_path FROM c WHERE regexp_matches(h, 'code generated.*do not edit|@generated|machine-written|automatisch erzeugt|auto-?generated|produced by.*(during the build|by hand|manual changes)|vendored from|copied verbatim from|imported from.*(module proxy|tag|commit)|third-party code')
+  OR coalesce(list_sum(list_transform(ls, lambda x: CASE WHEN length(x) >= 160 THEN length(x) ELSE 0 END)), 0) * 2 >= length(content)
+  OR CAST(coalesce(list_sum(list_transform(ls, lambda x: CASE WHEN regexp_matches(trim(x, ' ' || chr(9) || chr(13)), '^(0[xX][0-9a-fA-F]{1,4},? ?)+$|^["`'']?(\\x[0-9a-fA-F]{2})+["`'']?( ?\+)?$|^["`'']?[A-Za-z0-9+/]{40,}={0,2}["`'']?( ?\+|,)?$|^([+-]?[0-9.]+, ?){5,}[0-9.+-]*$') THEN length(x) ELSE 0 END)), 0) AS BIGINT) * 2 >= length(content))
+SELECT repository_id, relative_path FROM a UNION SELECT b.repository_id, b.relative_path FROM b JOIN d USING (repository_id, relative_path)""",
     "p8_checks": """SELECT container_kind AS kind, c AS "check", CAST(0 AS BIGINT) AS failed FROM (SELECT DISTINCT container_kind FROM pack_capacities WHERE capacity_tokens > 0), (VALUES ('every_token_once'), ('split_without_need'), ('over_capacity')) v(c)""",
     "p9_plan": """
 WITH m AS (SELECT lower(trim(source)) AS source, target_share AS t, max_repeats AS r FROM mix_targets WHERE target_share > 0),
