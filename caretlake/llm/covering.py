@@ -13,12 +13,18 @@ minima are taken over a text's rare shingles (rarity.py), of which unrelated tex
 under ``FULL_BELOW`` is sketched by all its shingles too, or by them alone where it is under ``rare_from``. That bound
 follows from the similarity that is looked for: no partner of a text that sends rare keys only can lie below it, so any
 two similar texts send keys of one kind both. What remains is chance (``worst_miss``).
+
+Texts that send full keys share common phrases, and more of them the larger the collection is. So each text also has a
+sketch of 128 minima of all its shingles, two bits each, that tells pairs far below the threshold apart where they meet:
+they are never written. A pair that reaches the threshold is taken for such with a chance of ``SKETCH_MISS`` at most.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -27,9 +33,13 @@ from pyspark.sql import functions as F
 
 from caretlake.llm import shingles as S
 from caretlake.llm.rarity import Rarity
-from caretlake.session import spread
+from caretlake.session import discard, materialise, spread
 
 FULL_BELOW = 0.85
+SKETCH = 128  # minima
+SKETCH_MISS = 1e-6
+KEYS_A_PASS = 1 << 26
+SKETCH_TYPE = "struct<l0:bigint,l1:bigint,h0:bigint,h1:bigint>"  # the low and the high bits of the minima
 
 
 @dataclass(frozen=True)
@@ -102,14 +112,32 @@ def sketch_keys(values: np.ndarray, bounds: np.ndarray, covering: Covering, rari
     return np.concatenate(rows), np.concatenate(keys)
 
 
+def sketch_column(values: np.ndarray, bounds: np.ndarray, valid: np.ndarray) -> pa.Array:
+    """Two bits of each of ``SKETCH`` minima of each set; rows that are not ``valid`` are null."""
+    bits = S.mix(S.component_minima(values, bounds, SKETCH, 17))
+    out = np.zeros((4, len(bounds) - 1), np.int64)
+    for k in range(2):
+        plane = np.packbits((bits >> np.uint64(k) & np.uint64(1)).astype(np.uint8), axis=1, bitorder="little")
+        out[2 * k : 2 * k + 2, np.diff(bounds) > 0] = plane.view("<i8").T
+    return pa.StructArray.from_arrays([pa.array(w) for w in out], names=["l0", "l1", "h0", "h1"], mask=pa.array(~valid))
+
+
+def most_different(threshold: float) -> int:
+    """In how many minima of their sketches two texts of this similarity may differ; more with a chance of at most ``SKETCH_MISS``."""
+    p, beyond, d = (1 - threshold) * 3 / 4, 0.0, SKETCH
+    while d > 0 and (beyond := beyond + math.comb(SKETCH, d) * p**d * (1 - p) ** (SKETCH - d)) <= SKETCH_MISS:
+        d -= 1
+    return d
+
+
 def covering_keys(df: DataFrame, text: str, covering: Covering, rarity: Rarity, threshold: float, carry: list[str] = (), with_sets: bool = False) -> DataFrame:
-    """One row per text: ``cls`` (fingerprint of its shingle set, 0 if empty), ``n`` (its size), ``tables`` (keys).
+    """One row per text: ``cls`` (fingerprint of its shingle set, 0 if empty), ``n`` (its size), ``tables`` (keys), ``sketch``.
 
-    Equal sets within one task send their keys once (others have null): a hot group of copies costs a row per task and
+    Equal sets within one task send their keys and sketch once (others have null): a hot group of copies costs a row per task and
     table. ``with_sets`` adds the packed ``shingles`` where there are keys.
     """
     fields = [df.schema[c] for c in carry]
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in fields] + ["cls bigint", "n int", "tables array<bigint>"] + ["shingles binary"] * with_sets)
+    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in fields] + ["cls bigint", "n int", "tables array<bigint>", f"sketch {SKETCH_TYPE}"] + ["shingles binary"] * with_sets)
     carry = list(carry)
     held = df.sparkSession.sparkContext.broadcast(rarity)
 
@@ -128,25 +156,38 @@ def covering_keys(df: DataFrame, text: str, covering: Covering, rarity: Rarity,
                 ok = new[row]
                 row, keys = row[ok], keys[ok]
                 order = np.argsort(row, kind="stable")
-                cols = [S.list_column(keys[order].view(np.int64), np.append(0, np.cumsum(np.bincount(row, minlength=hi - lo))), new)]
+                cols = [S.list_column(keys[order].view(np.int64), np.append(0, np.cumsum(np.bincount(row, minlength=hi - lo))), new), sketch_column(values, bounds, new)]
                 if with_sets:
                     cols.append(S.packed_column(values, bounds, new))
                 yield pa.RecordBatch.from_arrays(
                     [b.column(k).slice(lo, hi - lo) for k in range(len(carry))] + [pa.array(cls.astype(np.int64)), pa.array(np.diff(bounds).astype(np.int32)), *cols],
-                    names=[*carry, "cls", "n", "tables"] + ["shingles"] * with_sets,
+                    names=[*carry, "cls", "n", "tables", "sketch"] + ["shingles"] * with_sets,
                 )
 
     return spread(df.select(*carry, F.col(text))).mapInArrow(run, schema)
 
 
-def bucket_pairs(rows: DataFrame, key: str, item: str, left: Column | None = None, block: int = 256, size: str | None = None, threshold: float = 0.0) -> DataFrame:
+def passes_for(keys: int) -> int:
+    return max(1, math.ceil(keys / KEYS_A_PASS))
+
+
+def bucket_pairs(rows: DataFrame, key: str, item: str, left: Column | None = None, block: int = 256, size: str | None = None, threshold: float = 0.0, sketches: DataFrame | None = None, passes: int = 1) -> DataFrame:
     """(a, b, tables): pairs of items that share a key, and how many they share; a < b, or, with ``left``, left items against the others.
 
     Sizes of buckets are counted with partial aggregation, so that no hot key is gathered. A bucket of more than
     ``block`` items is cut into blocks by the items' hash, and each pair of blocks is a group of its own, so that no
     task gathers more than about two blocks at once, however hot the bucket. With ``size``, pairs whose sizes cannot be
-    similar enough for ``threshold`` are never formed.
+    similar enough for ``threshold`` are never formed, and with ``sketches`` (item, sketch; one row an item) neither are
+    those whose sketches differ in more than ``most_different`` minima. Sketches meet only the keys that several items
+    share; an item without one is left to the sizes. With several ``passes`` each takes its part of the keys and deletes
+    its shuffle files, so that disk is needed for one part at a time.
     """
+    if passes > 1:
+        parts = [materialise(bucket_pairs(rows.where(F.pmod(F.col(key), F.lit(passes)) == k), key, item, left, block, size, threshold, sketches), "pass") for k in range(passes)]
+        whole = materialise(reduce(DataFrame.unionByName, parts).groupBy("a", "b").agg(F.sum("tables").alias("tables")), "passes")
+        for part in parts:
+            discard(part)
+        return whole
     sided = left is not None
     n = F.col(size).cast("bigint") if size else F.lit(1).cast("bigint")
     rows = rows.select(F.col(key).alias("k"), F.col(item).alias("i"), n.alias("n"), (left if sided else F.lit(True)).alias("l"))
@@ -154,17 +195,23 @@ def bucket_pairs(rows: DataFrame, key: str, item: str, left: Column | None = Non
     many = (F.col("nl") > 0) & (F.col("nl") < F.col("size")) if sided else F.col("size") > 1
     sizes = sizes.where(many).select("k", F.ceil(F.col("size") / block).alias("blocks"))
     live = rows.join(sizes, "k").withColumn("b", F.pmod(F.xxhash64("i"), F.col("blocks")))
+    fields = ["i", "n", "b", "l"]
+    if sketches is not None:
+        live, fields = live.join(sketches.toDF("i", "s"), "i", "left"), [*fields, "s"]
     if sided:
         others = F.expr("transform(sequence(0, blocks - 1), x -> IF(l, struct(b AS p, x AS q), struct(x AS p, b AS q)))")
     else:
         others = F.expr("transform(sequence(0, blocks - 1), x -> struct(least(b, x) AS p, greatest(b, x) AS q))")
     grouped = (
-        live.select("k", "i", "n", "b", "l", F.explode(others).alias("o"))
+        live.select("k", *fields, F.explode(others).alias("o"))
         .groupBy("k", "o")
-        .agg(F.collect_set(F.struct("i", "n", "b", "l")).alias("s"))
+        .agg(F.collect_set(F.struct(*fields)).alias("s"))
     )
     t = int(round(threshold * 1_000_000))
     fit = f"least(u.n, v.n) * 1000000 >= greatest(u.n, v.n) * {t}L"
+    if sketches is not None:
+        differ = " + ".join(f"bit_count((u.s.l{k} ^ v.s.l{k}) | (u.s.h{k} ^ v.s.h{k}))" for k in range(2))
+        fit += f" AND coalesce({differ} <= {most_different(threshold)}, true)"
     if sided:
         pairs = grouped.select(F.expr("filter(s, x -> x.l)").alias("x"), F.expr("filter(s, x -> NOT x.l)").alias("y")).select(
             F.explode(F.expr(f"flatten(transform(x, u -> transform(filter(y, v -> {fit} AND u.i <> v.i), v -> struct(u.i AS a, v.i AS b))))")).alias("p")

@@ -1,7 +1,10 @@
 """Near-duplicates, incremental deduplication and cross-split overlap against brute force."""
 
+import dataclasses
+import os
 import random
 import re
+import time
 
 import numpy as np
 import pyarrow as pa
@@ -13,11 +16,12 @@ from pyspark.sql import functions as F
 from caretlake.llm import corpus_queries
 from caretlake.llm import shingles as S
 from caretlake.llm.bloom import build
-from caretlake.llm.covering import FULL_BELOW, Covering, bucket_pairs, rare_from
+from caretlake.llm.covering import FULL_BELOW, Covering, bucket_pairs, covering_keys, most_different, rare_from, sketch_column
 from caretlake.llm.incremental import IncrementalDedup, nothing_new
 from caretlake.llm.neardup import near_duplicates
 from caretlake.llm.overlap import cross_split, equal_targets, overlapping, partners
-from caretlake.session import fresh_dir
+from caretlake.llm.rarity import rarity_of
+from caretlake.session import discard, fresh_dir, materialise
 
 
 def sets(t):
@@ -278,3 +282,58 @@ def test_clusters_hold_every_file(spark, tmp_path):
     assert set(earlier) == {9, 10, 11} and (earlier[9]["duplicate_of"], earlier[10]["duplicate_of"]) == (3, 4) and earlier[9]["score"] is None
     assert {i: r["cluster_id"] for i, r in got.items()} == {1: 1, 2: 1, 3: 1, 9: 1, 11: 1, 4: 4, 5: 4, 10: 4, 6: 6, 7: 7, 8: 8}
     assert {i: r["links"] for i, r in got.items()} == {1: 2, 2: 2, 3: 2, 9: 2, 11: 2, 4: 0, 5: 0, 10: 0, 6: 0, 7: 0, 8: 0}
+
+
+def test_unlike_texts_with_common_phrases_are_no_candidates(spark):
+    """Texts of a third common phrases, all sent with full keys: their pairs must not grow with the square of the texts, and no similar one may be lost."""
+    rnd = random.Random(9)
+    phrases = [" ".join(f"p{k}x{i}" for i in range(12)) for k in range(40)]
+    texts = []
+    for k in range(600):
+        own = " ".join(f"u{k}x{i}" for i in range(60))
+        texts.append(" ".join([own, *rnd.sample(phrases, 4)]))
+    texts += [t + " one more end" for t in texts[::6]]
+    docs = spark.createDataFrame(list(enumerate(texts)), "id bigint, text string")
+    rarity = dataclasses.replace(rarity_of(docs, "text"), common=20)  # phrases stand in some 60 texts
+    keys = covering_keys(docs, "text", Covering(), rarity, 0.6, ["id"]).where("n > 0").cache()
+    rows = keys.where("tables IS NOT NULL").select("cls", "n", F.explode("tables").alias("key"))
+    sketches = keys.where("sketch IS NOT NULL").select("cls", "sketch").distinct()
+    want = {(i * 6, 600 + i) for i in range(100)}
+    name = {r["cls"]: r["id"] for r in keys.collect()}
+    found = [{tuple(sorted((name[r["a"]], name[r["b"]]))) for r in bucket_pairs(rows, "key", "cls", size="n", threshold=0.6, sketches=s).collect()} for s in (None, sketches)]
+    assert want <= found[1] <= found[0] and len(found[0]) > 2000 and len(found[1]) < 200
+    whole, parts = (sorted(map(tuple, bucket_pairs(rows, "key", "cls", size="n", threshold=0.6, sketches=sketches, passes=n).collect())) for n in (1, 3))
+    assert whole == parts
+    keys.unpersist()
+    r = near_duplicates(docs, "id", "text", 0.6)
+    assert {(p["id_a"], p["id_b"]) for p in r.pairs().collect()} == want
+
+
+def test_sketches_lose_no_similar_pair():
+    rnd = np.random.default_rng(4)
+    limit, differ = most_different(0.6), []
+    for n in (3, 12, 80, 300):  # common parts of 3 n of 5 n shingles: a similarity of 0.6
+        for _ in range(150):
+            v = np.unique(rnd.integers(0, 1 << 48, 5 * n, dtype=np.uint64))
+            pick = rnd.permutation(len(v))
+            a, b = np.sort(v[pick[: 4 * n]]), np.sort(v[np.append(pick[: 3 * n], pick[4 * n :])])
+            x, y = sketch_column(np.concatenate((a, b)), np.array([0, len(a), len(a) + len(b)]), np.ones(2, bool)).to_pylist()
+            differ.append(sum(((x[f"l{k}"] ^ y[f"l{k}"] | x[f"h{k}"] ^ y[f"h{k}"]) & (1 << 64) - 1).bit_count() for k in range(2)))
+    assert max(differ) <= limit and abs(np.mean(differ) - 128 * 0.3) < 1
+    assert most_different(0.6) < 70 and most_different(1.0) == 0 and most_different(0.0) > 96 + 4 * 5
+
+
+def test_shuffle_files_go_with_the_step_that_wrote_them(spark):
+    files = lambda: sum(f.endswith(".data") for at in shuffle_dirs(spark) for _, _, fs in os.walk(at) for f in fs)
+    before = files()
+    out = materialise(spark.range(10_000).repartition(7, "id").groupBy((F.col("id") % 100).alias("k")).count(), "x")
+    for _ in range(50):
+        if files() <= before:
+            break
+        time.sleep(0.1)
+    assert files() <= before and out.count() == 100
+    discard(out)
+
+
+def shuffle_dirs(spark):
+    return [f.getPath() for f in spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()]
