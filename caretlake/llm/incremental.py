@@ -4,7 +4,8 @@ State lies in Parquet under one folder and is opened again from there, by this p
 
 * ``settings``: threshold, covering and rarity levels, written once; keys of all runs must be made alike.
 * ``texts``: every accepted text with its batch, its fields, the shingle set it belongs to, and, once a set and task, the
-  blocking keys and packed shingles of that set; ``reps``: the text that stands for each set; ``keys``: the blocking keys.
+  blocking keys, sketch and packed shingles of that set; ``reps``: the text that stands for each set, with the sketch;
+  ``keys``: the blocking keys.
   These lie in ``buckets`` folders by hash, so that a batch reads only the folders that its own keys and candidates touch.
 * ``links``: similar pairs of representatives, scored. ``cells``: counts from which the weights of the fields are learned.
   ``clusters``: moved representatives only.
@@ -27,17 +28,17 @@ from pyspark.sql import functions as F
 
 from caretlake.llm import shingles as S
 from caretlake.llm.bloom import build
-from caretlake.llm.covering import Covering, bucket_pairs, covering_keys
+from caretlake.llm.covering import SKETCH_TYPE, Covering, bucket_pairs, covering_keys, passes_for
 from caretlake.llm.rarity import Rarity, rarity_of
 from caretlake.operators.components import hash_to_min
 from caretlake.operators.hashes import clean_hash, file_hashes
-from caretlake.session import delete, discard, fresh_dir, materialise
+from caretlake.session import delete, discard, fresh_dir, materialise, own_shuffles
 
 LINK_FIELDS = ("tables", "length", "name", "package")
-_TEXT = "id bigint, batch int, length bigint, name string, package string, cls bigint, n int, tables array<bigint>, shingles binary"
+_TEXT = f"id bigint, batch int, length bigint, name string, package string, cls bigint, n int, tables array<bigint>, sketch {SKETCH_TYPE}, shingles binary"
 _SCHEMAS = {
     "texts": _TEXT + ", bucket int",
-    "reps": "cls bigint, rep bigint, length bigint, name string, package string, bucket int",
+    "reps": f"cls bigint, rep bigint, length bigint, name string, package string, sketch {SKETCH_TYPE}, bucket int",
     "keys": "key bigint, cls bigint, n int, bucket int",
     "links": "a bigint, b bigint, similarity double, score double",
     "cells": "field string, agrees boolean, links bigint, all bigint",
@@ -111,9 +112,10 @@ class IncrementalDedup:
     def _write(self, df: DataFrame, name: str, by: str | None = None) -> None:
         """Append a run of a table, in buckets of ``by``, sorted within."""
         path = f"{self.root}/{name}/run={self.runs}"
-        if by is None:
-            df.write.parquet(path)
-        else:
+        with own_shuffles(self.spark):
+            if by is None:
+                df.write.parquet(path)
+                return
             # One set may hold a third of all texts, and one key of all sets: partitions far above the wanted size are split, small ones joined.
             df.withColumn("bucket", self._bucket(by)).hint("rebalance", "bucket").sortWithinPartitions("bucket", by).write.partitionBy("bucket").parquet(path)
 
@@ -140,7 +142,7 @@ class IncrementalDedup:
         made = covering_keys(named, "text", self.covering, self.rarity, self.threshold, ["id", "batch", "length", "name", "package"], with_sets=True)
         self._write(made.where("n > 0"), "texts", "cls")
         made = self._runs_of("texts", [run])
-        sets = made.groupBy("cls").agg(F.min("id").alias("rep"), F.min_by(F.struct("length", "name", "package"), "id").alias("fields")).select("cls", "rep", "fields.*")
+        sets = made.groupBy("cls").agg(F.min("id").alias("rep"), F.min_by(F.struct("length", "name", "package"), "id").alias("fields"), F.first("sketch", ignorenulls=True).alias("sketch")).select("cls", "rep", "fields.*", "sketch")
         once = made.where("tables IS NOT NULL").select("cls", "n", "tables")
         if run:  # sets that history holds have their links already
             known = materialise(self._touched("reps", made, "cls", run).select("cls").join(made.select("cls").distinct(), "cls", "left_semi"), "known")
@@ -148,19 +150,23 @@ class IncrementalDedup:
         self._write(sets, "reps", "cls")
         self._write(once.groupBy("cls").agg(F.first("n").alias("n"), F.first("tables").alias("tables")).select(F.explode("tables").alias("key"), "cls", "n"), "keys", "key")
         keys = self._runs_of("keys", [run]).select("key", "cls", "n")
-        pairs = bucket_pairs(keys, "key", "cls", size="n", threshold=self.threshold)
+        count = keys.count()
+        pairs = bucket_pairs(keys, "key", "cls", size="n", threshold=self.threshold, sketches=self._runs_of("reps", [run]).select("cls", "sketch"), passes=passes_for(count))
         if run:
-            held = self.spark.sparkContext.broadcast(build(keys, "key", keys.count()))
+            held = self.spark.sparkContext.broadcast(build(keys, "key", count))
 
             def probe(frames):
                 for f in frames:
                     yield f[held.value.might_hold(f["key"].to_numpy("int64").view("uint64"))]
 
             history = self._touched("keys", keys, "key", run).select("key", "cls", "n")
-            near = history.mapInPandas(probe, history.schema)
+            near = materialise(history.mapInPandas(probe, history.schema), "near")
             both = near.withColumn("is_new", F.lit(False)).unionByName(keys.withColumn("is_new", F.lit(True)))
-            pairs = pairs.unionByName(bucket_pairs(both, "key", "cls", left=F.col("is_new"), size="n", threshold=self.threshold))
+            sketches = self._touched("reps", both, "cls", run + 1).select("cls", "sketch")
+            pairs = pairs.unionByName(bucket_pairs(both, "key", "cls", left=F.col("is_new"), size="n", threshold=self.threshold, sketches=sketches, passes=passes_for(count + near.count())))
         pairs = materialise(pairs, "pairs")
+        if run:
+            discard(near)
         ids = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
         reps = self._touched("reps", ids, "cls", run + 1).join(ids, "cls", "left_semi").select("cls", F.struct("rep", "length", "name", "package").alias("r"))
         cand = materialise(self._compared(pairs.join(reps.toDF("a", "ra"), "a").join(reps.toDF("b", "rb"), "b")), "candidates")
@@ -168,6 +174,8 @@ class IncrementalDedup:
         held_sets = materialise(held_sets, "candidate-sets")
         checked = similar(cand.select("a", "b").join(held_sets.toDF("a", "sa"), "a").join(held_sets.toDF("b", "sb"), "b"), self.threshold)
         found = materialise(cand.join(checked, ["a", "b"], "left"), "verified")
+        for done in (pairs, cand, held_sets):
+            discard(done)
         flags = F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).alias("agrees")) for f in LINK_FIELDS])).alias("x")
         self._write(found.select("similarity", flags).groupBy("x.field", "x.agrees").agg(F.count("similarity").alias("links"), F.count("*").alias("all")), "cells")
         weights = {(r["field"], r["agrees"]): r["weight"] for r in self.weights(run + 1).collect()}  # two rows a field
@@ -179,7 +187,7 @@ class IncrementalDedup:
         links = self._runs_of("links", [run])
         self._move(links)
         self.spark.createDataFrame([(run,)], "run int").coalesce(1).write.mode("overwrite").parquet(f"{self.root}/commits/run={run}")
-        for done in (pairs, cand, held_sets, found, *([known] if run else [])):
+        for done in (found, *([known] if run else [])):
             discard(done)
         self.runs += 1
         return links

@@ -337,3 +337,17 @@ def test_shuffle_files_go_with_the_step_that_wrote_them(spark):
 
 def shuffle_dirs(spark):
     return [f.getPath() for f in spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()]
+
+
+def test_a_run_compares_no_unlike_texts(spark):
+    """Candidates of both runs, counted in the cells, must stay near the similar pairs though all texts share phrases."""
+    rnd = random.Random(9)
+    phrases = [" ".join(f"p{k}x{i}" for i in range(12)) for k in range(40)]
+    texts = [" ".join([" ".join(f"u{k}x{i}" for i in range(60)), *rnd.sample(phrases, 4)]) for k in range(400)]
+    texts += [t + " one more end" for t in texts[::8]]
+    docs = spark.createDataFrame([(i, i // 400, t) for i, t in enumerate(texts)], "id bigint, batch int, text string")
+    state = IncrementalDedup(spark, 0.6, buckets=2, rarity=dataclasses.replace(rarity_of(docs, "text"), common=20))
+    for batch in (0, 1):
+        state.ingest(docs.where(F.col("batch") == batch))
+    assert {r["id"] for r in state.not_new().collect()} == set(range(400, 450))
+    assert 50 <= state._read("cells").where("field = 'name'").agg(F.sum("all")).first()[0] < 200
