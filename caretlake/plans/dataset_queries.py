@@ -220,7 +220,7 @@ def caret_candidates(spark, d):
 @query()
 def extracted_samples(spark, d):
     """The whole chain from files to sample records."""
-    return extract.samples(table(spark, d, "corpus_files")).select("sample_id", "repository_id", "relative_path", "caret_byte_offset", "caret_kind", "caret_subkind", "target_text")
+    return extract.samples(table(spark, d, "corpus_files"), columns=["sample_id", "repository_id", "relative_path", "caret_byte_offset", "caret_kind", "caret_subkind", "target_text"])
 
 
 @query()

@@ -94,6 +94,17 @@ def test_same_samples_for_any_partitioning_and_caps_hold(spark):
     assert extract.samples(f.limit(0)).count() == 0
 
 
+def test_columns_of_the_caret_need_no_file(spark):
+    f = files(spark)
+    some = ["sample_id", "repository_id", "relative_path", "caret_byte_offset", "caret_kind", "caret_subkind", "target_text"]
+    for cfg in (Config(), ALL, replace(ALL, sampling=replace(ALL.sampling, keep=0.5, repo_cap=40))):
+        narrow = extract.samples(f, cfg, columns=some)
+        rows = sorted(map(repr, narrow.collect()))
+        assert rows and rows == sorted(map(repr, extract.samples(f, cfg).select(some).collect()))
+        assert "Join" not in narrow._jdf.queryExecution().executedPlan().toString()  # contents and facts were joined to every caret
+    assert extract.samples(f, ALL, columns=["sample_id", "left_context"]).columns == ["sample_id", "left_context"]
+
+
 def test_plans_stay_in_the_jvm(spark):
     """Filters and caps that need no lexer use no Python and limit groups before they shuffle."""
     from caretlake.operators import discovery as D
